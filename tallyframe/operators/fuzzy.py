@@ -25,8 +25,7 @@ def normalized(c: Column) -> Column:
 
 def _grams(texts: DataFrame, width: int) -> DataFrame:
     """(text, gram): runs of ``width`` characters, repeats numbered."""
-    starts = F.when(F.length("text") >= width, F.sequence(F.lit(1), F.length("text") - (width - 1)))
-    pieces = F.transform(starts, lambda i: F.substring(F.col("text"), i, F.lit(width)))
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
     counted = texts.select("text", F.explode(pieces).alias("piece")).groupBy("text", "piece").count()
     return counted.select("text", F.explode(F.transform(F.sequence(F.lit(1), F.col("count").cast("int")), lambda i: F.concat(F.col("piece"), F.lit("#"), i.cast("string")))).alias("gram"))
 

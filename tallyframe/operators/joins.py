@@ -214,10 +214,8 @@ def contained_pairs(wholes: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _substrings(name: str, size: int) -> Column:
-    """All substrings of one length."""
-    starts = F.when(F.length(name) >= size, F.sequence(F.lit(1), F.length(name) - (size - 1)))
-    cut = F.transform(starts, lambda at: F.substring(F.col(name), at, F.lit(size)))
-    return F.coalesce(cut, F.array().cast("array<string>"))
+    """All substrings of one length, in one pass over the text."""
+    return F.coalesce(F.regexp_extract_all(name, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)), F.array().cast("array<string>"))
 
 
 def lookup(df: DataFrame, reference: DataFrame, on: list[On], columns: list[str] | None = None, hit: str | None = None, check_unique: bool = True) -> DataFrame:
