@@ -94,7 +94,8 @@ def unescape_html(c: Column) -> Column:
 
 
 def base64_encode(c: Column) -> Column:
-    return F.base64(c.cast("binary"))
+    # one line: Spark breaks base64 text every 76 characters
+    return F.translate(F.base64(c.cast("binary")), "\r\n", "")
 
 
 def base64_decode(c: Column) -> Column:

@@ -46,16 +46,16 @@ def json_flatten(df: DataFrame, field: str, schema: str | None = None, keep_inpu
     return _flatten(df, F.from_json(ref(field), struct), struct, kept)
 
 
-def json_explode(df: DataFrame, field: str, out: str | None = None, element: str = "string") -> DataFrame:
+def json_explode(df: DataFrame, field: str, out: str | None = None, element: str = "string", keep_input: bool = False) -> DataFrame:
     """One row per element of a JSON array; an empty or broken array drops the row."""
     field = resolve(df, field)
     out = out or field
     items = F.explode(F.from_json(ref(field), f"array<{element}>"))
-    rest = [c for c in df.columns if c != out]
+    rest = [c for c in df.columns if c != out and (keep_input or c != field)]
     return df.select(*[ref(c) for c in rest], items.alias(out))
 
 
-def xml_select(df: DataFrame, field: str, path: str, out: str | None = None, schema: str | None = None) -> DataFrame:
+def xml_select(df: DataFrame, field: str, path: str, out: str | None = None, schema: str | None = None, keep_input: bool = False) -> DataFrame:
     """One row per element at a path such as `orders/order/name`; a wrong path gives no rows.
 
     Without ``schema`` the element's text; with a DDL struct of the element its XML fragment.
@@ -73,7 +73,7 @@ def xml_select(df: DataFrame, field: str, path: str, out: str | None = None, sch
         for step in steps[1:]:
             found = found.getField(step)
         found = F.transform(found, lambda e: F.to_xml(e, {"rowTag": steps[-1]}))
-    rest = [c for c in df.columns if c != out]
+    rest = [c for c in df.columns if c != out and (keep_input or c != field)]
     return df.select(*[ref(c) for c in rest], F.explode(found).alias(out))
 
 
