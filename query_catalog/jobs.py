@@ -128,17 +128,16 @@ def _related(t):
 
 
 @query("""WITH c AS (SELECT count(*) AS n FROM customer), o AS (SELECT count(*) AS n, count(DISTINCT o_orderkey) AS keys, count(DISTINCT o_custkey) AS customers FROM orders),
-k AS (SELECT count(*) AS both FROM customer WHERE c_custkey IN (SELECT o_orderkey FROM orders))
+k AS (SELECT count(*) AS shared FROM customer WHERE c_custkey IN (SELECT o_orderkey FROM orders))
 SELECT 'customers' AS "leftSource", 'orders' AS "rightSource", 'Customer ID' AS "leftColumn", 'Buyer ID' AS "rightColumn", 'exact' AS "matchStrategy", o.customers AS "overlapCount", 1.0::DOUBLE AS "uniqueRatioLeft",
 round(o.customers / o.n, 4)::DOUBLE AS "uniqueRatioRight" FROM o, c
-UNION ALL SELECT 'customers', 'orders', 'Customer ID', 'Order ID', 'exact', both, 1.0, 1.0 FROM k
+UNION ALL SELECT 'customers', 'orders', 'Customer ID', 'Order ID', 'exact', shared, 1.0, 1.0 FROM k
 UNION ALL SELECT 'customers', 'orders', 'Customer ID', 'customer_id', 'exact', o.customers, 1.0, round(o.customers / o.n, 4) FROM o
 UNION ALL SELECT 'customers', 'cards', 'Customer Ref', 'Card No', 'trailing_digits', c.n, 1.0, 1.0 FROM c
 UNION ALL SELECT 'customers', 'cards', 'Customer Ref', 'Holder Ref', 'alphanumeric', c.n, 1.0, 1.0 FROM c""")
 def join_candidates(t):
     found = relationships.join_candidates(_related(t))
-    kept = found.filter(~((C("leftColumn") == "Customer ID") & (C("rightSource") == "cards")) & (C("leftSource") == "customers"))
-    return kept.select("leftSource", "rightSource", "leftColumn", "rightColumn", "matchStrategy", "overlapCount", "uniqueRatioLeft", "uniqueRatioRight")
+    return found.select("leftSource", "rightSource", "leftColumn", "rightColumn", "matchStrategy", "overlapCount", "uniqueRatioLeft", "uniqueRatioRight")
 
 
 @query("""SELECT 'customers' AS "leftSource", 'orders' AS "rightSource", 'Customer ID' AS "leftColumn", 'customer_id' AS "rightColumn", 'suggested' AS "use" WHERE (SELECT count(DISTINCT o_custkey) FROM orders) >= 0.95 * (SELECT count(*) FROM customer)
@@ -148,8 +147,7 @@ UNION ALL SELECT 'customers', 'cards', 'Customer Ref', 'Card No', 'review'
 UNION ALL SELECT 'customers', 'cards', 'Customer Ref', 'Holder Ref', 'suggested'""")
 def join_review_split(t):
     split = relationships.review_split(relationships.join_candidates(_related(t)))
-    kept = split.filter(~((C("leftColumn") == "Customer ID") & (C("rightSource") == "cards")) & (C("leftSource") == "customers"))
-    return kept.select("leftSource", "rightSource", "leftColumn", "rightColumn", "use")
+    return split.select("leftSource", "rightSource", "leftColumn", "rightColumn", "use")
 
 
 @query("""SELECT 'Customer Ref' AS "leftColumn", 'Card No' AS "rightColumn", 'Customer Ref Digits' AS "leftJoinField", 'Card No' AS "rightJoinField", count(*) AS "overlapCount" FROM customer""")
@@ -401,7 +399,7 @@ def usage_trend_weekly(t):
 
 
 @query("""WITH e AS (SELECT event_id, event_type, user_id, ts, value, CAST(round_even(value * 40000 / 1000, 0) AS BIGINT) AS secs FROM events)
-SELECT event_id AS id, CASE event_type WHEN 'click' THEN 'test' ELSE 'run' END AS type, epoch_ms(epoch_ms(ts)) AS "startedAt",
+SELECT event_id AS id, CASE event_type WHEN 'click' THEN 'test' ELSE 'run' END AS type, epoch_ms(epoch_us(ts) // 1000) AS "startedAt",
 CASE WHEN secs >= 3600 THEN (secs // 3600) || ' h ' || (secs // 60 % 60) || ' m ' || (secs % 60) || ' s' WHEN secs >= 60 THEN (secs // 60) || ' m ' || (secs % 60) || ' s' ELSE secs || ' s' END AS duration,
 CAST(user_id % 101 AS VARCHAR) || '%' AS "progressLabel", CASE WHEN user_id % 2 = 0 THEN 'u' || user_id || '@example.org' END AS "submitterEmail" FROM e""")
 def run_history(t):

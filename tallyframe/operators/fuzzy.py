@@ -1,8 +1,10 @@
 """Approximate text join, exact about which pairs reach the threshold.
 
-Similarity is 1 - edit distance / longer length. Two texts within the distance share a pair of
-adjacent characters among each one's few rarest ones, so those are the join keys. Work is done on
-distinct texts, a text's rare pairs are chosen by global frequency, and every candidate is verified.
+Similarity is 1 - edit distance / longer length. If two texts are at most `d` edits apart, one of
+`d + 1` consecutive segments of the one occurs unchanged, at nearly the same place, in the other;
+those segments are the join keys. A segment that very many texts share is refined by the rarest
+characters of each text, so no busy key pairs up all its texts. Work is done on distinct texts and
+every candidate is verified.
 """
 
 from __future__ import annotations
@@ -10,9 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..types import column_type, ref, resolve
 from .joins import output_names
 
+# A segment that would give more candidate pairs than this is refined.
+BUSY_PAIRS = 100_000
 # At lower thresholds too many edits are allowed to be sure of a shared character pair: single
 # characters serve instead, down to one half.
 PAIR_THRESHOLD = 0.75
@@ -23,11 +28,80 @@ def normalized(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "))
 
 
-def _grams(texts: DataFrame, width: int) -> DataFrame:
-    """(text, gram): runs of ``width`` characters, repeats numbered."""
+def _edits(length: Column, threshold: float) -> Column:
+    """Edits allowed between two texts whose longer one has this length."""
+    return F.floor(F.lit(1 - threshold) * length + 1e-9).cast("int")
+
+
+def _start(i: Column, length: Column, edits: Column) -> Column:
+    """Where segment ``i`` of a text begins when it is cut into ``edits + 1`` even segments."""
+    return F.floor(i * length / (edits + 1)).cast("int")
+
+
+def _key(length: Column, edits: Column, i: Column, at: Column, size: Column) -> Column:
+    """A hash stands for the segment: two segments that share one only cost a verification."""
+    return F.struct(edits.alias("edits"), F.xxhash64(length, i, F.substring(F.col("text"), at + 1, size)).alias("hash"))
+
+
+def _own_segments(threshold: float) -> Column:
+    """Keys of a text's own segments, for every number of edits a partner may be away."""
+    n = F.length("text").cast("int")
+    most = _edits(F.floor(n / F.lit(threshold) + 1e-9), threshold)
+
+    def cut(edits: Column) -> Column:
+        begin = lambda i: _start(i, n, edits)
+        return F.transform(F.sequence(F.lit(0), edits), lambda i: _key(n, edits, i, begin(i), begin(i + 1) - begin(i)))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(_edits(n, threshold), most), cut)))
+
+
+def _possible_segments(threshold: float) -> Column:
+    """Keys of all pieces of a text that may equal a segment of a similar text.
+
+    A piece may have moved by at most the edits before it and the edits after it.
+    """
+    n = F.length("text").cast("int")
+    shortest = F.greatest(F.ceil(F.lit(threshold) * n - 1e-9).cast("int"), F.lit(1))
+    longest = F.floor(n / F.lit(threshold) + 1e-9).cast("int")
+
+    def of_length(length: Column) -> Column:
+        edits = _edits(F.greatest(n, length), threshold)
+
+        def of_segment(i: Column) -> Column:
+            begin = _start(i, length, edits)
+            size = _start(i + 1, length, edits) - begin
+            low = F.greatest(F.lit(0), begin - i, begin + n - length - (edits - i))
+            high = F.least(n - size, begin + i, begin + n - length + (edits - i))
+            places = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+            return F.transform(places, lambda at: _key(length, edits, i, at, size))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), edits), of_segment))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(shortest, longest), of_length)))
+
+
+def _rare_grams(keyed: DataFrame, other: DataFrame, width: int) -> DataFrame:
+    """(key, text, gram): of each text its characters rarest among the texts of that key.
+
+    Two texts ``edits`` apart share one of their ``width * edits + 1`` rarest runs of ``width``
+    characters; repeats are numbered. Texts too short for that also get the empty run.
+    """
     pieces = F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
-    counted = texts.select("text", F.explode(pieces).alias("piece")).groupBy("text", "piece").count()
-    return counted.select("text", F.explode(F.transform(F.sequence(F.lit(1), F.col("count").cast("int")), lambda i: F.concat(F.col("piece"), F.lit("#"), i.cast("string")))).alias("gram"))
+
+    def grams(side: DataFrame) -> DataFrame:
+        counted = side.select("key", "text", F.explode(pieces).alias("piece")).groupBy("key", "text", "piece").count()
+        repeats = F.transform(F.sequence(F.lit(1), F.col("count").cast("int")), lambda i: F.concat("piece", F.lit("#"), i.cast("string")))
+        return counted.select("key", "text", F.explode(repeats).alias("gram"))
+
+    own = grams(keyed)
+    rarity = own.unionByName(grams(other)).groupBy("key", "gram").agg(F.count(F.lit(1)).alias("n"))
+    ordered = own.join(rarity, ["key", "gram"]).groupBy("key", "text").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"))
+    needed = width * F.col("key.edits") + 1
+    full = keyed.join(ordered, ["key", "text"], "left").withColumn("needed", needed)
+    empty = F.array().cast("array<string>")
+    rare = F.coalesce(F.transform(F.slice("grams", F.lit(1), F.col("needed")), lambda g: g["gram"]), empty)
+    short = F.coalesce(F.size("grams"), F.lit(0)) < F.col("needed")
+    return full.select("key", "text", F.explode(F.concat(rare, F.when(short, F.array(F.lit(""))).otherwise(empty))).alias("gram"))
 
 
 def similar_texts(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -35,39 +109,28 @@ def similar_texts(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     if not 0.5 < threshold <= 1:
         raise ValueError("threshold must be above 0.5 and at most 1")
     width = 2 if threshold >= PAIR_THRESHOLD else 1
-    texts = left.toDF("text").distinct(), right.toDF("text").distinct()
-    grams = [_grams(t, width) for t in texts]
-    rarity = grams[0].unionByName(grams[1]).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    # edits a text may be away from any partner, however long that partner is
-    reach = F.floor(F.lit((1 - threshold) / threshold) * F.length("text") + 1e-9).cast("int")
-
-    def keys(side: DataFrame, side_grams: DataFrame) -> DataFrame:
-        ordered = (
-            side_grams.join(rarity, "gram")
-            .groupBy("text")
-            .agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"))
-        )
-        full = side.join(ordered, "text", "left").withColumn("reach", reach)
-        prefix = F.transform(F.slice("grams", F.lit(1), width * F.col("reach") + 1), lambda g: g["gram"])
-        # a text of at most three characters may share no pair: such texts also meet each other
-        short = F.coalesce(F.size("grams"), F.lit(0)) <= width * F.col("reach")
-        probes = F.concat(F.coalesce(prefix, F.array().cast("array<string>")), F.when(short, F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
-        return full.select("text", F.explode(probes).alias("probe"))
-
-    lkeys = keys(texts[0], grams[0]).withColumnRenamed("text", "ltext")
-    rkeys = keys(texts[1], grams[1]).withColumnRenamed("text", "rtext")
+    ltexts, rtexts = left.toDF("text").distinct(), right.toDF("text").distinct()
+    # each side's keys serve several joins: computed once
+    lkeys = cut_lineage(ltexts.select("text", F.explode(_possible_segments(threshold)).alias("key")))
+    rkeys = cut_lineage(rtexts.select("text", F.explode(_own_segments(threshold)).alias("key")))
+
+    sizes = [keys.groupBy("key").agg(F.count(F.lit(1)).alias(n)) for keys, n in ((lkeys, "ln"), (rkeys, "rn"))]
+    busy = cut_lineage(sizes[0].join(sizes[1], "key").filter(F.col("ln") * F.col("rn") > BUSY_PAIRS).select("key"))
+
+    def pairs(l: DataFrame, r: DataFrame, on: list[str]) -> DataFrame:
+        return l.withColumnRenamed("text", "ltext").join(r.withColumnRenamed("text", "rtext"), on).select("ltext", "rtext")
+
+    if busy.isEmpty():
+        found = pairs(lkeys, rkeys, ["key"])
+    else:
+        calm = pairs(lkeys.join(busy, "key", "left_anti"), rkeys, ["key"])
+        lbusy, rbusy = lkeys.join(busy, "key", "left_semi"), rkeys.join(busy, "key", "left_semi")
+        refined = pairs(_rare_grams(lbusy, rbusy, width), _rare_grams(rbusy, lbusy, width), ["key", "gram"])
+        found = calm.unionByName(refined)
     longer = F.greatest(F.length("ltext"), F.length("rtext"))
-    allowed = F.floor(F.lit(1 - threshold) * longer + 1e-9).cast("int")
-    close_length = F.abs(F.length("ltext") - F.length("rtext")) <= allowed
-    unequal = (
-        lkeys.join(rkeys, "probe")
-        .filter((F.col("ltext") != F.col("rtext")) & close_length)
-        .select("ltext", "rtext")
-        .distinct()
-    )
-    distance = F.levenshtein("ltext", "rtext")
-    scored = unequal.withColumn("d", distance).filter(F.col("d") <= allowed)
-    equal = texts[0].toDF("ltext").join(texts[1].toDF("rtext"), F.col("ltext") == F.col("rtext")).withColumn("score", F.lit(1.0))
+    candidates = found.filter(F.col("ltext") != F.col("rtext")).distinct()
+    scored = candidates.withColumn("d", F.levenshtein("ltext", "rtext")).filter(F.col("d") <= _edits(longer, threshold))
+    equal = ltexts.toDF("ltext").join(rtexts.toDF("rtext"), F.col("ltext") == F.col("rtext")).withColumn("score", F.lit(1.0))
     return scored.select("ltext", "rtext", (1 - F.col("d") / longer).alias("score")).unionByName(equal)
 
 

@@ -67,9 +67,13 @@ def join_candidates(tables: dict[str, DataFrame]) -> DataFrame:
         .withColumn("prefixed_share", F.col("prefixed") / F.col("filled"))
         .select("t", "table", "name", "key_like", "measure", "norm", "unique_ratio", "prefixed_share")
     )
+    # only likely keys, and columns whose name another table has too, can become a pair
+    named_again = F.size(F.collect_set("t").over(W.partitionBy("norm"))) > 1
+    eligible = facts.withColumn("again", named_again).filter("key_like OR (again AND NOT measure)").select("t", "name")
     spelled = F.array(*[F.struct(F.lit(s).alias("strategy"), c.alias("spelling")) for s, c in _spellings().items()])
     keys = (
-        values.select("t", "name", F.explode(spelled).alias("s"))
+        values.join(eligible, ["t", "name"], "left_semi")
+        .select("t", "name", F.explode(spelled).alias("s"))
         .select("t", "name", "s.strategy", "s.spelling")
         .filter("spelling != ''")
         .distinct()
