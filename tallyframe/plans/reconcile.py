@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_date, business_day_index
 from ..functions.text import key_text
-from ..operators.windows import window
+from ..operators.windows import MAX_GROUP_ROWS, window
 from ..session import cut_lineage
 from ..types import ref, resolve
 
@@ -80,65 +80,72 @@ def _cents(c: Column) -> Column:
 
 
 def _lines(df: DataFrame, side: Side, negate: bool, holidays) -> DataFrame:
-    keys = F.array(*[key_text(ref(resolve(df, k))) for k in side.keys]) if side.keys else F.array().cast("array<string>")
+    """Key columns k0, k1, ..., business day, cents and id of all lines that can match.
+
+    A line without a date or amount, or with a null key, matches nothing.
+    """
     cents = _cents(ref(resolve(df, side.amount)))
-    return df.select(
-        keys.alias("k"),
+    keys = [key_text(ref(resolve(df, k))).alias(f"k{i}") for i, k in enumerate(side.keys)]
+    lines = df.select(
+        *keys,
         business_index(ref(resolve(df, side.date)), holidays).alias("day"),
         (-cents if negate else cents).alias("cents"),
         ref(resolve(df, side.id)).alias("id"),
     )
+    return lines.dropna(subset=[c for c in lines.columns if c != "id"])
 
 
-def _matchable(lines: DataFrame) -> DataFrame:
-    """A line without a date or amount, or with a null key, matches nothing."""
-    return lines.filter("day is not null and cents is not null and not exists(k, x -> x is null)")
-
-
-CELL = ["k", "day", "cents"]
-LINK = ["k", "a_day", "a_cents", "b_day", "b_cents"]
-
-
-def _neighbours(a: DataFrame, b: DataFrame, cents: int, days: int) -> DataFrame:
+def _neighbours(a: DataFrame, b: DataFrame, keys: list[str], cents: int, days: int) -> DataFrame:
     """Pairs of cells with lines left that lie within both tolerances."""
     width = cents + 1
     shifted = F.explode(F.sequence(F.col("a_day") - days, F.col("a_day") + days)).alias("b_day")
-    left = a.select("k", "a_day", "a_cents", "a_left", "a_used", shifted).withColumn("bucket", F.floor(F.col("a_cents") / width))
+    left = a.select("*", shifted).withColumn("bucket", F.floor(F.col("a_cents") / width))
     near = F.floor(F.col("b_cents") / width)
     right = b.withColumn("bucket", F.explode(F.array(near - 1, near, near + 1)) if cents else near)
-    return left.join(right, ["k", "b_day", "bucket"]).filter(F.abs(F.col("a_cents") - F.col("b_cents")) <= cents).drop("bucket")
+    joined = left.join(right, [*keys, "b_day", "bucket"])
+    return joined.filter(F.abs(F.col("a_cents") - F.col("b_cents")) <= cents).drop("bucket")
 
 
-def _link_cells(a: DataFrame, b: DataFrame, cents: int, days: int) -> DataFrame:
+def _link_cells(a: DataFrame, b: DataFrame, keys: list[str], cents: int, days: int) -> tuple[DataFrame, int]:
     """How many lines of which cells match: closest cells first, until nothing is left to match.
 
-    Rows: link, the first used line number of either cell, the number of lines.
+    Rows: both cells, the first used line number of either cell, the number of lines. Also the size
+    of the largest cell.
     """
-    a = a.select("k", F.col("day").alias("a_day"), F.col("cents").alias("a_cents"), F.col("n").alias("a_n"))
-    b = b.select("k", F.col("day").alias("b_day"), F.col("cents").alias("b_cents"), F.col("n").alias("b_n"))
-    both = a.join(
-        b.withColumnRenamed("k", "bk"),
-        (F.col("k") == F.col("bk")) & (F.col("a_day") == F.col("b_day")) & (F.col("a_cents") == F.col("b_cents")),
-        "full",
-    ).withColumn("m", F.coalesce(F.least("a_n", "b_n"), F.lit(0)))
-    # least skips nulls, so a cell without partner needs its own test
-    both = both.withColumn("m", F.when(F.col("k").isNull() | F.col("bk").isNull(), F.lit(0)).otherwise(F.col("m")).cast("bigint"))
-    both = cut_lineage(both)
+    link = [*keys, "a_day", "a_cents", "b_day", "b_cents"]
     zero = F.lit(0).cast("bigint")
-    links = [both.filter("m > 0").select(*LINK, zero.alias("a_from"), zero.alias("b_from"), "m")]
+    # equal cells first: one row per cell with the lines of either side
+    sides = [
+        cells.select(*keys, "day", "cents", *[(F.col("n") if s == t else zero).alias(f"{t}_n") for t in ("a", "b")])
+        for s, cells in (("a", a), ("b", b))
+    ]
+    both = sides[0].unionByName(sides[1]).groupBy(*keys, "day", "cents").agg(F.sum("a_n").alias("a_n"), F.sum("b_n").alias("b_n"))
+    both = cut_lineage(both.withColumn("m", F.least("a_n", "b_n")))
+    largest = both.agg(F.max(F.greatest("a_n", "b_n"))).first()[0] or 0
+    same = both.filter("m > 0")
+    for s in ("a", "b"):
+        same = same.withColumn(f"{s}_day", F.col("day")).withColumn(f"{s}_cents", F.col("cents")).withColumn(f"{s}_from", zero)
+    links = [same.select(*link, "a_from", "b_from", "m")]
     if not cents and not days:
-        return links[0]
-    a_rest = both.filter("k is not null").select("k", "a_day", "a_cents", (F.col("a_n") - F.col("m")).alias("a_left"), F.col("m").alias("a_used")).filter("a_left > 0")
-    b_rest = both.filter("bk is not null").select(F.col("bk").alias("k"), "b_day", "b_cents", (F.col("b_n") - F.col("m")).alias("b_left"), F.col("m").alias("b_used")).filter("b_left > 0")
-    live = _neighbours(a_rest, b_rest, cents, days)
+        return links[0], largest
+    rest = [
+        both.filter(f"{s}_n > m").select(
+            *keys,
+            F.col("day").alias(f"{s}_day"),
+            F.col("cents").alias(f"{s}_cents"),
+            (F.col(f"{s}_n") - F.col("m")).alias(f"{s}_left"),
+            F.col("m").alias(f"{s}_used"),
+        )
+        for s in ("a", "b")
+    ]
     rank = F.struct(
         F.abs(F.col("a_day") - F.col("b_day")).alias("gap"),
         F.abs(F.col("a_cents") - F.col("b_cents")).alias("diff"),
         "a_day", "a_cents", "b_day", "b_cents",
     )
-    by_a, by_b = W.partitionBy("k", "a_day", "a_cents"), W.partitionBy("k", "b_day", "b_cents")
-    live = cut_lineage(live.withColumn("rank", rank))
-    while not live.isEmpty():
+    by_a, by_b = W.partitionBy(*keys, "a_day", "a_cents"), W.partitionBy(*keys, "b_day", "b_cents")
+    live = _neighbours(*rest, keys, cents, days).withColumn("rank", rank)
+    while True:
         chosen = (
             live.withColumn("mutual", F.col("rank") == F.min("rank").over(by_a))
             .withColumn("mutual", F.col("mutual") & (F.col("rank") == F.min("rank").over(by_b)))
@@ -147,7 +154,7 @@ def _link_cells(a: DataFrame, b: DataFrame, cents: int, days: int) -> DataFrame:
             .withColumn("a_take", F.sum("m").over(by_a))
         )
         chosen = cut_lineage(chosen)
-        links.append(chosen.filter("mutual").select(*LINK, F.col("a_used").alias("a_from"), F.col("b_used").alias("b_from"), "m"))
+        links.append(chosen.filter("mutual").select(*link, F.col("a_used").alias("a_from"), F.col("b_used").alias("b_from"), "m"))
         live = (
             chosen.withColumn("a_left", F.col("a_left") - F.col("a_take"))
             .withColumn("b_left", F.col("b_left") - F.col("b_take"))
@@ -156,7 +163,9 @@ def _link_cells(a: DataFrame, b: DataFrame, cents: int, days: int) -> DataFrame:
             .filter("a_left > 0 and b_left > 0")
             .drop("mutual", "m", "a_take", "b_take")
         )
-    return reduce(DataFrame.unionByName, links)
+        if live.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, links), largest
 
 
 def match_lines(a: DataFrame, b: DataFrame, a_side: Side, b_side: Side, settings: Settings, negate_b: bool = False, holidays: list[dt.date] = ()) -> DataFrame:
@@ -167,19 +176,21 @@ def match_lines(a: DataFrame, b: DataFrame, a_side: Side, b_side: Side, settings
     """
     if len(a_side.keys) != len(b_side.keys):
         raise ValueError("both sides need the same number of keys")
-    sides = [_matchable(_lines(df, side, neg, holidays)) for df, side, neg in ((a, a_side, False), (b, b_side, negate_b))]
-    cells = [lines.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n")) for lines in sides]
+    keys = [f"k{i}" for i in range(len(a_side.keys))]
+    sides = [_lines(df, side, neg, holidays) for df, side, neg in ((a, a_side, False), (b, b_side, negate_b))]
+    cells = [lines.groupBy(*keys, "day", "cents").agg(F.count(F.lit(1)).alias("n")) for lines in sides]
     tolerance = int(round(settings.amount_tolerance * 100))
-    links = cut_lineage(_link_cells(*cells, tolerance, settings.date_tolerance))
+    links, largest = _link_cells(*cells, keys, tolerance, settings.date_tolerance)
+    link = [*keys, "a_day", "a_cents", "b_day", "b_cents"]
 
     def placed(lines: DataFrame, s: str) -> DataFrame:
-        numbered = window(lines, "rn", "ROW_NUM", sorts=[("id", "asc")], partitions=CELL)
-        named = numbered.select("k", F.col("day").alias(f"{s}_day"), F.col("cents").alias(f"{s}_cents"), F.col("id").alias(f"{s}_id"), "rn")
-        joined = named.join(links, ["k", f"{s}_day", f"{s}_cents"])
+        numbered = window(lines, "rn", "ROW_NUM", sorts=[("id", "asc")], partitions=[*keys, "day", "cents"], split=largest > MAX_GROUP_ROWS)
+        named = numbered.select(*keys, F.col("day").alias(f"{s}_day"), F.col("cents").alias(f"{s}_cents"), F.col("id").alias(f"{s}_id"), "rn")
+        joined = named.join(links, [*keys, f"{s}_day", f"{s}_cents"])
         slot = F.col("rn") - 1 - F.col(f"{s}_from")
-        return joined.withColumn("slot", slot).filter("slot >= 0 and slot < m").select(*LINK, "slot", f"{s}_id")
+        return joined.withColumn("slot", slot).filter("slot >= 0 and slot < m").select(*link, "slot", f"{s}_id")
 
-    pairs = placed(sides[0], "a").join(placed(sides[1], "b"), [*LINK, "slot"])
+    pairs = placed(sides[0], "a").join(placed(sides[1], "b"), [*link, "slot"])
     return pairs.select(
         "a_id",
         "b_id",

@@ -1,7 +1,7 @@
 """Join discovery over several tables: which column pairs share values, and how safe that is.
 
-All pairs come from one grouping: each column's distinct values, under three spellings, are
-gathered by value, and a value yields the pairs of columns that hold it.
+All pairs come from one join: each column's distinct values, under three spellings, are joined on
+the spelling, so a value counts once per pair of columns however often it occurs.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import key_text, regex_extract
+from ..session import cut_lineage
 from .profile import IDENTIFIER_NAME, KEY_MINIMUM, KEY_NAME, MEASURE_NAME, key_score, long_form
 
 PAIR_LIMIT = 8
@@ -46,13 +47,10 @@ def join_candidates(tables: dict[str, DataFrame]) -> DataFrame:
         columns = [c for c in df.columns]
         cells.append(long_form(df, columns).select(F.lit(position).alias("t"), "name", "value"))
         sizes.append(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(position).alias("t"), F.lit(table).alias("table"), "rows"))
-    values = (
-        reduce(DataFrame.unionByName, cells)
-        .groupBy("t", "name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    # values, facts and keys each serve several steps: computed once
+    values = cut_lineage(reduce(DataFrame.unionByName, cells).groupBy("t", "name", "value").agg(F.count(F.lit(1)).alias("n")))
     rows = reduce(DataFrame.unionByName, sizes)
-    facts = (
+    facts = cut_lineage(
         values.groupBy("t", "name")
         .agg(
             F.sum("n").alias("filled"),
@@ -71,7 +69,7 @@ def join_candidates(tables: dict[str, DataFrame]) -> DataFrame:
     named_again = F.size(F.collect_set("t").over(W.partitionBy("norm"))) > 1
     eligible = facts.withColumn("again", named_again).filter("key_like OR (again AND NOT measure)").select("t", "name")
     spelled = F.array(*[F.struct(F.lit(s).alias("strategy"), c.alias("spelling")) for s, c in _spellings().items()])
-    keys = (
+    keys = cut_lineage(
         values.join(eligible, ["t", "name"], "left_semi")
         .select("t", "name", F.explode(spelled).alias("s"))
         .select("t", "name", "s.strategy", "s.spelling")
@@ -79,16 +77,10 @@ def join_candidates(tables: dict[str, DataFrame]) -> DataFrame:
         .distinct()
     )
     sizes_by_column = keys.groupBy("t", "name", "strategy").agg(F.count(F.lit(1)).alias("size"))
-    # a spelling is held by at most as many columns as the tables have together
-    holders = keys.groupBy("strategy", "spelling").agg(F.sort_array(F.collect_list(F.struct("t", "name"))).alias("columns")).filter(F.size("columns") > 1)
-    combos = F.flatten(
-        F.transform("columns", lambda a: F.transform(F.filter("columns", lambda b: b["t"] > a["t"]), lambda b: F.struct(a.alias("l"), b.alias("r"))))
-    )
-    overlaps = (
-        holders.select("strategy", F.explode(combos).alias("p"))
-        .groupBy("strategy", F.col("p.l.t").alias("lt"), F.col("p.l.name").alias("ln"), F.col("p.r.t").alias("rt"), F.col("p.r.name").alias("rn"))
-        .agg(F.count(F.lit(1)).alias("overlap"))
-    )
+    # a spelling is held by at most as many columns as the tables have, however often it occurs
+    other = keys.select(F.col("t").alias("rt"), F.col("name").alias("rn"), F.col("strategy").alias("rs"), F.col("spelling").alias("rv"))
+    shared = keys.join(other, (F.col("spelling") == F.col("rv")) & (F.col("strategy") == F.col("rs")) & (F.col("t") < F.col("rt")))
+    overlaps = shared.groupBy("strategy", F.col("t").alias("lt"), F.col("name").alias("ln"), "rt", "rn").agg(F.count(F.lit(1)).alias("overlap"))
 
     def side(prefix: str) -> DataFrame:
         named = facts.join(sizes_by_column, ["t", "name"])
