@@ -12,6 +12,15 @@ from .windows import window
 
 # Up to this rank Spark trims every task's rows to the leading ones before the shuffle.
 RANK_TRIM = 1000
+# Up to this many rows a whole-table top list is gathered in one task.
+TOP_IN_ONE_TASK = 100_000
+
+
+def _leading(df: DataFrame, n: int, order: list[tuple[str, str]]) -> DataFrame:
+    """First ``n`` rows of a whole table; a long list is cut by row number instead of gathered."""
+    if n <= TOP_IN_ONE_TASK:
+        return df.orderBy(*sort_columns(order)).limit(n)
+    return window(df, "__rn", "ROW_NUM", sorts=order).filter(ref("__rn") <= n).drop("__rn")
 
 
 def sample_top(df: DataFrame, n: int, sorts: list[tuple[str, str]], group_by: list[str] = ()) -> DataFrame:
@@ -21,7 +30,7 @@ def sample_top(df: DataFrame, n: int, sorts: list[tuple[str, str]], group_by: li
     keys = [resolve(df, k) for k in group_by]
     order = with_tiebreak(df, check_sorts(df, list(sorts)))
     if not keys:
-        return df.orderBy(*sort_columns(order)).limit(n)
+        return _leading(df, n, order)
     if n <= RANK_TRIM:
         by = W.partitionBy(*[ref(k) for k in keys]).orderBy(*sort_columns(order))
         ranked = df.withColumn("__rn", F.row_number().over(by))
@@ -61,8 +70,9 @@ def sample_random(df: DataFrame, fraction: float | None = None, n: int | None =
         text = F.concat_ws("|", F.lit(str(seed)), *[ref(resolve(df, c)).cast("string") for c in by])
         draw = F.md5(text)
         if n is not None:
-            return df.orderBy(draw, *sort_columns(with_tiebreak(df, []))).limit(n)
+            drawn = df.withColumn("__draw", draw)
+            return _leading(drawn, n, [("__draw", "asc"), *with_tiebreak(df, [])]).drop("__draw")
         return df.filter(F.substring(draw, 1, 8) < F.lit(f"{int(fraction * 2**32):08x}")) if fraction < 1 else df
     if n is not None:
-        return df.orderBy(F.rand(seed)).limit(n)
+        return _leading(df.withColumn("__draw", F.rand(seed)), n, [("__draw", "asc")]).drop("__draw")
     return df.sample(fraction=fraction, seed=seed)

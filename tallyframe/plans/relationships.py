@@ -6,6 +6,7 @@ the spelling, so a value counts once per pair of columns however often it occurs
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,10 @@ def _spellings() -> dict[str, Column]:
     }
 
 
+def _plain(name: str) -> str:
+    return re.sub("[^a-z0-9]", "", name.lower())
+
+
 def _column_norm(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
 
@@ -39,14 +44,19 @@ def _matches(c: Column, pattern: str) -> Column:
 def join_candidates(tables: dict[str, DataFrame]) -> DataFrame:
     """Column pairs of different tables with overlapping values, under their best strategy.
 
-    Compared are likely keys of either table and columns of the same name. Tables are taken in the
-    given order: the earlier one is the left side.
+    Compared are likely keys of either table and columns of the same name; what a name rules out is
+    not even read. Tables are taken in the given order: the earlier one is the left side.
     """
     cells, sizes = [], []
     for position, (table, df) in enumerate(tables.items()):
-        columns = [c for c in df.columns]
+        others = {_plain(c) for other, frame in tables.items() if other != table for c in frame.columns}
+        columns = [c for c in df.columns if not re.search(MEASURE_NAME, c) and (re.search(KEY_NAME, c) or _plain(c) in others)]
+        if not columns:
+            continue
         cells.append(long_form(df, columns).select(F.lit(position).alias("t"), "name", "value"))
         sizes.append(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(position).alias("t"), F.lit(table).alias("table"), "rows"))
+    if not cells:
+        raise ValueError("no table has a column that looks like a key")
     # values, facts and keys each serve several steps: computed once
     values = cut_lineage(reduce(DataFrame.unionByName, cells).groupBy("t", "name", "value").agg(F.count(F.lit(1)).alias("n")))
     rows = reduce(DataFrame.unionByName, sizes)
@@ -59,15 +69,14 @@ def join_candidates(tables: dict[str, DataFrame]) -> DataFrame:
         )
         .join(rows, "t")
         .withColumn("key_like", F.round(key_score(F.col("name"), F.col("filled"), F.col("distinct"), F.col("rows")), 3) >= KEY_MINIMUM)
-        .withColumn("measure", F.regexp_like("name", F.lit(MEASURE_NAME)))
         .withColumn("norm", _column_norm(F.col("name")))
         .withColumn("unique_ratio", F.col("distinct") / F.col("filled"))
         .withColumn("prefixed_share", F.col("prefixed") / F.col("filled"))
-        .select("t", "table", "name", "key_like", "measure", "norm", "unique_ratio", "prefixed_share")
+        .select("t", "table", "name", "key_like", "norm", "unique_ratio", "prefixed_share")
     )
-    # only likely keys, and columns whose name another table has too, can become a pair
+    # a column of no likely key pairs up by its name only
     named_again = F.size(F.collect_set("t").over(W.partitionBy("norm"))) > 1
-    eligible = facts.withColumn("again", named_again).filter("key_like OR (again AND NOT measure)").select("t", "name")
+    eligible = facts.withColumn("again", named_again).filter("key_like OR again").select("t", "name")
     spelled = F.array(*[F.struct(F.lit(s).alias("strategy"), c.alias("spelling")) for s, c in _spellings().items()])
     keys = cut_lineage(
         values.join(eligible, ["t", "name"], "left_semi")
@@ -92,7 +101,7 @@ def join_candidates(tables: dict[str, DataFrame]) -> DataFrame:
         .join(r, (F.col("rt") == F.col("r_t")) & (F.col("rn") == F.col("r_name")) & (F.col("strategy") == F.col("r_strategy")))
         .filter(
             (F.col("l_key_like") & F.col("r_key_like"))
-            | ((F.col("l_norm") == F.col("r_norm")) & ~F.col("l_measure") & ~F.col("r_measure"))
+            | (F.col("l_norm") == F.col("r_norm"))
         )
         .withColumn("left_ratio", F.round(F.col("overlap") / F.col("l_size"), 4))
         .withColumn("right_ratio", F.round(F.col("overlap") / F.col("r_size"), 4))

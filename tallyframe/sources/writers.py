@@ -25,13 +25,24 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(Path(path))
 
 
+def by_value(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of one value together for a partitioned write, without a task per (task, value) file;
+    adaptive execution splits a big value and joins small ones."""
+    return df.hint("rebalance", *[ref(c) for c in columns])
+
+
+def _partitioned(df: DataFrame, fmt: str, partition_by: list[str], options: dict[str, str]):
+    if not partition_by:
+        return df.write.format(fmt).options(**options)
+    return by_value(df, partition_by).write.format(fmt).options(**options).partitionBy(*partition_by)
+
+
 def _swap(df: DataFrame, path: str, fmt: str, partition_by: list[str], options: dict[str, str]) -> None:
     """Write next to the target, then rename, so that the target may be an input of ``df``."""
     spark = df.sparkSession
     mark = uuid.uuid4().hex[:8]
     staging, backup = f"{path.rstrip('/')}__new_{mark}", f"{path.rstrip('/')}__old_{mark}"
-    writer = df.write.format(fmt).options(**options)
-    (writer.partitionBy(*partition_by) if partition_by else writer).save(staging)
+    _partitioned(df, fmt, partition_by, options).save(staging)
     files, Path = _files(spark, path)
     had = files.exists(Path(path))
     if had and not files.rename(Path(path), Path(backup)):
@@ -126,15 +137,14 @@ def write_table(
     old = spark.read.format(fmt).options(**options).load(path)
     if mode == "append":
         check_compatible(df, old)
-        writer = df.write.format(fmt).options(**options).mode("append")
-        (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+        _partitioned(df, fmt, partition_by, options).mode("append").save(path)
         return
     keys = [resolve(df, k) for k in keys]
     if mode == "groupReplace":
         check_compatible(df, old)
         if partition_by and [k.lower() for k in keys] == [p.lower() for p in partition_by]:
-            writer = df.write.format(fmt).options(**options).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(*partition_by).save(path)
+            writer = _partitioned(df, fmt, partition_by, options).mode("overwrite")
+            writer.option("partitionOverwriteMode", "dynamic").save(path)
             return
         _swap(group_replaced(old, df, keys), path, fmt, partition_by, options)
         return
@@ -161,10 +171,8 @@ def write_delimited(
     outputs a person opens. ``by`` writes one folder per value of that column.
     """
     if by:
-        # rows of one value lie together, but a big value is still written by several tasks
         by = resolve(df, by)
-        inner = sort_columns(check_sorts(df, list(sorts)))
-        df = df.sortWithinPartitions(ref(by), *inner)
+        df = by_value(df, [by]).sortWithinPartitions(ref(by), *sort_columns(check_sorts(df, list(sorts))))
     elif sorts:
         df = df.orderBy(*sort_columns(check_sorts(df, list(sorts))))
     if one_file:
