@@ -62,6 +62,19 @@ def read_json_text(t):
     return json_flatten(json_explode(docs, "Content"), "Content", "turn bigint, role string")
 
 
+@query("""SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS VARCHAR) AS turn FROM conversations""")
+def read_xml_text(t):
+    from tallyframe.operators.semistructured import xml_select
+
+    path = scratch_path(t.spark, "xml-documents")
+    turns = F.array_join(F.transform(F.collect_list("turn"), lambda n: F.concat(F.lit("<turn>"), n.cast("string"), F.lit("</turn>"))), "")
+    text = F.concat(F.lit("<conversation>"), turns, F.lit("</conversation>")).alias("value")
+    t.conversations.groupBy("conv_id").agg(text).write.partitionBy("conv_id").text(path)
+    docs = readers.read_xml_text(t.spark, path, pattern="*.txt", subfolders=True)
+    docs = docs.withColumn("conv_id", F.regexp_extract("path", r"conv_id=(\d+)", 1).cast("bigint")).drop("path")
+    return xml_select(docs, "Content", "conversation/turn", "turn")
+
+
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS "Order ID", upper(trim(o_orderstatus)) AS "Status",
 o_totalprice AS "Amount", o_orderdate::DATE AS "Order Date", CAST(NULL AS VARCHAR) AS "Region" FROM orders""")
 def standardized_source(t):

@@ -49,6 +49,12 @@ def infer(t):
     return df.select("doc_id", "AI Answer")
 
 
+@query("""SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY n_chars DESC, doc_id) <= 1000 THEN CASE WHEN contains(text, 'the') THEN 'english' ELSE 'other' END END AS "AI Answer" FROM documents""")
+def infer_default_row_limit(t):
+    df = inf.infer(t.documents.select("doc_id", "n_chars", "text"), "{{text}}", keyword_answer, order=[("n_chars", "dsc"), ("doc_id", "asc")])
+    return df.select("doc_id", "AI Answer")
+
+
 @query("SELECT doc_id, CAST(length(text) + 2 AS BIGINT) AS size, length(text) + 2 > 500 AS \"kind.long\" FROM documents")
 def infer_json(t):
     df = inf.infer_json(t.documents.select("doc_id", "text"), "[{{text}}]", keyword_json, "size bigint, kind struct<long: boolean>", row_limit=None)
@@ -99,6 +105,21 @@ def profile_table(t):
     return df.withColumn("samples", F.array_join("sampleValues", "|")).drop("sampleValues")
 
 
+@query("""SELECT * FROM (VALUES ('c_custkey', 'integer'), ('c_name', 'string'), ('c_nationkey', 'integer'), ('c_acctbal', 'number'), ('c_mktsegment', 'string'), ('rate', 'number')) v(name, "dataType")
+UNION ALL SELECT 'code', CASE WHEN max(c_acctbal) >= 0 THEN 'integer' ELSE 'string' END FROM customer""")
+def infer_types(t):
+    found = profile.infer_types(_profiled(t).select([C(c).cast("string").alias(c) for c in _profiled(t).columns]))
+    return t.spark.createDataFrame(list(found.items()), "name string, dataType string")
+
+
+@query("""SELECT name, "dataType", name AS "mappedFrom", false AS required FROM (VALUES ('o_orderkey', 'integer'), ('o_orderdate', 'datetime'), ('o_orderpriority', 'string'), ('o_totalprice', 'number')) v(name, "dataType")
+UNION ALL SELECT 'order_date', 'date', 'order_date', false""")
+def expected_schema(t):
+    text = F.date_format("o_orderdate", "M/d/yyyy")
+    df = t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice", text.alias("order_date"))
+    return profile.expected_schema(profile.profile_table(df, approximate=True), profile.date_candidates(df))
+
+
 @query("""SELECT 'order_date' AS "column", 'string' AS "observedDataType", 'date' AS "expectedDataType", true AS "needsAdapter", 'text' AS evidence,
 count(CASE WHEN o_orderstatus <> 'P' THEN 1 END) AS "dateCount", count(*) AS "nonEmptyCount" FROM orders HAVING count(CASE WHEN o_orderstatus <> 'P' THEN 1 END) >= 0.6 * count(*)
 UNION ALL SELECT 'ship_dt', 'string', 'datetime', true, 'serial', count(*), count(*) FROM orders
@@ -292,6 +313,11 @@ def reconcile_master(t):
     return master.select("Item #", "Source", "Side A Date", "Side B Date", "Document / Reference #", "Variance", "Status", "Action required")
 
 
+@query(f"SELECT a_id, b_id, status FROM {CATEGORIZED} c WHERE category = 'Timing'")
+def reconcile_timing(t):
+    return rec.timing_items(_items(t)).select("a_id", "b_id", "status")
+
+
 @query(f"""SELECT aging_bucket, count(*) AS items, round(sum(abs(coalesce(a_amount, b_amount))), 2) AS amount FROM {CATEGORIZED} c WHERE category IN ('Adjustment', 'Investigation') GROUP BY 1""")
 def reconcile_aging(t):
     return rec.aging_summary(_items(t))
@@ -386,6 +412,11 @@ def usage_run_types(t):
     return _usage(t).run_types
 
 
+@query(f"""SELECT CAST(inp % 3 AS VARCHAR) AS workspace, {METRICS} FROM {USAGE} u GROUP BY 1""")
+def usage_workspaces(t):
+    return _usage(t).workspaces
+
+
 @query("""WITH e AS (SELECT event_type FROM events WHERE ts::DATE BETWEEN DATE '2024-01-05' AND DATE '2024-01-25')
 SELECT 'src' AS role, event_type AS connector, count(*) AS "runCount" FROM e GROUP BY 2 UNION ALL SELECT 'src', 'csv', count(*) FROM e
 UNION ALL SELECT 'dst', 'bank', count(*) FROM e WHERE event_type = 'purchase'""")

@@ -225,7 +225,7 @@ def scalar_geo_distance(t):
     return t.customer.select("c_custkey", F.round(km, 4).alias("km"))
 
 
-@query("""SELECT o_orderkey, (o_orderdate::DATE - DATE '1899-12-30') + 0.25 AS serial, o_orderdate::DATE + INTERVAL 6 HOUR AS moment FROM orders""")
+@query("""SELECT o_orderkey, (o_orderdate::DATE - DATE '1899-12-30') + 0.25::DOUBLE AS serial, o_orderdate::DATE + INTERVAL 6 HOUR AS moment FROM orders""")
 def scalar_excel_datetime(t):
     serial = F.datediff(C("o_orderdate").cast("date"), F.lit(d.SERIAL_EPOCH).cast("date")) + F.lit(0.25)
     return t.orders.select("o_orderkey", serial.alias("serial"), d.excel_serial_datetime(serial).cast("timestamp_ntz").alias("moment"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,19 +12,33 @@ from ..types import column_type, ref, resolve
 
 # Texts that stand for a missing value.
 MISSING_TOKENS = ("", "-", "--", "n/a", "na", "nan", "none", "null", "#n/a")
-# Date patterns tried in order.
+# Date patterns tried in order; months, days and times may have one digit.
 DATE_FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy",
-    "MM-dd-yyyy",
-    "dd/MM/yyyy",
-    "dd-MM-yyyy",
-    "yyyy-MM-dd HH:mm:ss",
-    "MM/dd/yyyy HH:mm:ss",
+    "yyyy-M-d",
+    "yyyy/M/d",
+    "M/d/yyyy",
+    "M-d-yyyy",
+    "d/M/yyyy",
+    "d-M-yyyy",
+    "yyyy-M-d H:m:s",
+    "M/d/yyyy H:m:s",
 )
 
 
+def parse_date(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
+    """First pattern that parses wins. Only texts of a pattern's shape are parsed by it, because a
+    failed parse is costly."""
+
+    def attempt(fmt: str) -> Column:
+        parsed = F.try_to_timestamp(text, F.lit(fmt)).cast("date")
+        if re.search("MMM|[^yMdHms\\W]", fmt):
+            return parsed
+        shape = re.sub("y+|M+|d+|H+|m+|s+", lambda piece: r"\d{4}" if piece[0] == "yyyy" else r"\d{1,2}", fmt)
+        return F.when(F.regexp_like(text, F.lit(f"^{shape}$")), parsed)
+
+    return F.coalesce(*[attempt(fmt) for fmt in formats])
+
+
 def blank_to_null(c: Column) -> Column:
     """Trimmed text; blank becomes null."""
     return F.nullif(F.trim(c.cast("string")), F.lit(""))
@@ -48,9 +64,8 @@ def clean_number(c: Column) -> Column:
 
 
 def clean_date(c: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """First pattern that parses wins; null when none does."""
-    text = F.trim(c.cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)).cast("date") for fmt in formats])
+    """Date of a text in one of the patterns; null when none fits."""
+    return parse_date(F.trim(c.cast("string")), formats)
 
 
 def cleanse(

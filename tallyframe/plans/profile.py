@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import is_blank
-from ..operators.cleanse import DATE_FORMATS
+from ..operators.cleanse import parse_date
 from ..operators.shape import SERIAL_RANGE
 from ..types import logical_type, ref
 
@@ -142,11 +142,10 @@ def date_candidates(df: DataFrame) -> DataFrame:
         declared = logical_type(df.schema[c].dataType)
         filled, number = ~is_blank(ref(c)), as_number(ref(c))
         text = F.trim(ref(c).cast("string"))
-        parsed = F.coalesce(
-            *[F.try_to_timestamp(text, F.lit(fmt)).cast("date") for fmt in DATE_FORMATS], text.try_cast("date")
-        )
-        # the lenient cast would also take a bare year
-        is_date = parsed.isNotNull() & (F.length(text) >= 8) & F.regexp_like(text, F.lit(r"\D"))
+        # besides the patterns: ISO dates with a time or without separators
+        iso = F.when(F.regexp_like(text, F.lit(r"^\d{4}-\d{2}-\d{2}[T ]")), text.try_cast("date"))
+        basic = F.when(F.regexp_like(text, F.lit(r"^\d{8}$")), F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date"))
+        is_date = F.coalesce(parse_date(text), iso, basic).isNotNull()
         serial = number.between(*SERIAL_RANGE)
         named = bool(re.search(DATE_NAME, c))
         rows.append(
