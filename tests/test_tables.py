@@ -368,3 +368,38 @@ def test_office_vacancy_example(rows):
     current = history.filter(F.col("closing") == quarters[4])
     dropped = current.filter("building = 'RM-0003'").first()
     assert current.count() == 8 and (dropped.area, dropped.previous) == (0.0, 300.0)
+
+
+def test_big_groups_are_split_on_their_own(rows, monkeypatch):
+    df = rows([("hot" if i % 3 else "cold", i) for i in range(90)], "k string, v int")
+    plain = values(window(df, "n", "ROW_NUM", sorts=[("v", "dsc")], partitions=["k"]).withColumn("n", F.col("n").cast("bigint")))
+    monkeypatch.setattr(windows, "MAX_GROUP_ROWS", 10)
+    assert values(window(df, "n", "ROW_NUM", sorts=[("v", "dsc")], partitions=["k"])) == plain
+
+
+def test_any_condition_join_has_no_nested_loop(rows):
+    left, right = rows([(1, "a")], "x int, s string"), rows([(1, "b")], "y int, u string")
+    out = joins.blend_forks(left, right, [On("x", "eq", "y"), On("s", "eq", "u")], "full", "or")
+    for df in out:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward", "nearest"])
+def test_nearest_equals_brute_force(rows, direction):
+    random.seed(8)
+    left = [(i, random.choice(["p", "q", None]), random.choice([None, *range(20)])) for i in range(40)]
+    right = [(100 + v, k, v) for k in "pq" for v in random.sample(range(20), 6)]
+    out = joins.nearest(rows(left, "i int, k string, v int"), rows(right, "j int, q string, w int"), [("k", "q")], ("v", "w"), direction)
+    for row in out.collect():
+        fits = [(abs(w - row.v), w, j) for j, q, w in right if row.v is not None and q == row.k and (direction == "nearest" or (w <= row.v if direction == "backward" else w >= row.v))]
+        assert row.j == (min(fits)[2] if fits else None)
+
+
+def test_tolerances_include_their_limit(rows):
+    left = rows([(1, 10.0, dt.date(2024, 1, 1)), (2, -0.01, dt.date(2024, 1, 1)), (3, None, None)], "i int, a double, d date")
+    right = rows([(7, 10.01, dt.date(2024, 1, 4)), (8, 10.02, dt.date(2024, 1, 1)), (9, 0.0, dt.date(2024, 1, 5))], "j int, b double, e date")
+    assert values(joins.tolerance_join(left, right, amount=("a", "b", 0.01)), "i", "j") == [(1, 7), (2, 9)]
+    assert values(joins.tolerance_join(left, right, date=("d", "e", 3)), "i", "j") == [(1, 7), (1, 8), (2, 7), (2, 8)]
+    assert values(joins.tolerance_join(left, right, amount=("a", "b", 0.01), date=("d", "e", 3)), "i", "j") == [(1, 7)]
+    assert joins.tolerance_join(left, right, amount=("a", "b", 0)).count() == 0
