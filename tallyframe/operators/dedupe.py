@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..types import ref, resolve
-from .keys import attach, check_sorts, sort_columns, with_tiebreak
+from .keys import attach, check_sorts, sort_columns, with_tiebreak, within_groups
 from .windows import window
 
 # Up to this rank Spark trims every task's rows to the leading ones before the shuffle.
@@ -32,7 +32,7 @@ def sample_top(df: DataFrame, n: int, sorts: list[tuple[str, str]], group_by: li
     if not keys:
         return _leading(df, n, order)
     if n <= RANK_TRIM:
-        by = W.partitionBy(*[ref(k) for k in keys]).orderBy(*sort_columns(order))
+        by = W.partitionBy(*[ref(k) for k in keys]).orderBy(*sort_columns(within_groups(order, keys)))
         ranked = df.withColumn("__rn", F.row_number().over(by))
     else:
         ranked = window(df, "__rn", "ROW_NUM", sorts=order, partitions=keys)

@@ -28,6 +28,11 @@ def with_tiebreak(df: DataFrame, sorts: list[Sort]) -> list[Sort]:
     return sorts + [(c, "asc") for c in rest]
 
 
+def within_groups(sorts: list[Sort], partitions: list[str]) -> list[Sort]:
+    """Sorts without the partition columns, which are constant inside a group."""
+    return [(n, d) for n, d in sorts if n not in partitions] or sorts
+
+
 def sort_columns(sorts: list[Sort]) -> list[Column]:
     """Nulls first when ascending, last when descending."""
     return [ref(n).asc_nulls_first() if d == "asc" else ref(n).desc_nulls_last() for n, d in sorts]

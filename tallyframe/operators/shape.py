@@ -12,7 +12,7 @@ from ..functions.dates import excel_serial_date, excel_serial_datetime
 from ..functions.predicates import case as case_column
 from ..functions.predicates import flag as flag_column
 from ..functions.text import is_blank, json_field, key_text, replace_literal
-from ..types import cast_to, ref, resolve, spark_type
+from ..types import convert, ref, resolve, spark_type
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,7 @@ def adapter(df: DataFrame, specs: list[ColumnSpec], passthrough: bool = False) -
         source = (spec.mapped_from or spec.name).lower()
         if source in present:
             used.add(source)
-            out.append(cast_to(ref(present[source]), spec.data_type).alias(spec.name))
+            out.append(convert(df, present[source], spec.data_type).alias(spec.name))
         else:
             out.append(F.lit(None).cast(spark_type(spec.data_type)).alias(spec.name))
     names = [spec.name for spec in specs]
@@ -90,15 +90,15 @@ def retype(df: DataFrame, types: dict[str, str], fmt: str | None = None) -> Data
     """Cast columns in place; ``fmt`` is a date pattern for text to date or datetime."""
     wanted = {resolve(df, name): logical for name, logical in types.items()}
 
-    def convert(name: str) -> Column:
+    def retyped(name: str) -> Column:
         logical = wanted[name]
         if fmt and logical == "date":
             return F.try_to_date(ref(name), fmt)
         if fmt and logical == "datetime":
             return F.try_to_timestamp(ref(name), F.lit(fmt))
-        return cast_to(ref(name), logical)
+        return convert(df, name, logical)
 
-    return df.select(*[convert(c).alias(c) if c in wanted else ref(c) for c in df.columns])
+    return df.select(*[retyped(c).alias(c) if c in wanted else ref(c) for c in df.columns])
 
 
 def hide(df: DataFrame, names: list[str]) -> DataFrame:
@@ -149,12 +149,12 @@ def from_excel_serial(df: DataFrame, name: str, datetime: bool = False) -> DataF
     """Spreadsheet serial numbers in the plausible range become dates; ISO dates stay dates."""
     column = ref(resolve(df, name))
     number = column.cast("string").try_cast("double")
-    convert = excel_serial_datetime if datetime else excel_serial_date
+    from_serial = excel_serial_datetime if datetime else excel_serial_date
     target = "timestamp" if datetime else "date"
     return _in_slot(
         df,
         name,
-        F.when(number.between(*SERIAL_RANGE), convert(number)).otherwise(column.cast("string").try_cast(target)),
+        F.when(number.between(*SERIAL_RANGE), from_serial(number)).otherwise(column.cast("string").try_cast(target)),
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from ..types import ref, resolve
 from .aggregate import Agg, summarize
-from .keys import attach, check_sorts, flipped, null_safe, order_key, sort_columns, with_tiebreak
+from .keys import attach, check_sorts, flipped, null_safe, order_key, sort_columns, with_tiebreak, within_groups
 
 ORDERED = ("LEAD", "LAG", "FILL_DOWN", "ROW_NUM", "RANK", "NTILE", "CUM_SUM")
 GROUPED = ("SUM", "COUNT", "AVG", "MAX", "MIN", "MEDIAN", "MODE", "NUNIQUE", "STDDEV", "VAR", "FIRST", "LAST", "JOIN_STR", "JOIN_STR_DISTINCT")
@@ -74,7 +74,7 @@ def window(
 
 def _plain(df, calc, field, sorts, partitions, offset, back_fill, ntile) -> Column:
     by = W.partitionBy(*[ref(p) for p in partitions])
-    order = by.orderBy(*sort_columns(with_tiebreak(df, sorts)))
+    order = by.orderBy(*sort_columns(within_groups(with_tiebreak(df, sorts), partitions)))
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     if calc == "LEAD":
         return F.lead(ref(field), offset).over(order)
@@ -99,7 +99,7 @@ def _split(df, out, calc, field, sorts, partitions, offset, back_fill, ntile) ->
         return _split_rank(df, out, sorts, partitions)
     if calc in ("LEAD", "LAG"):
         return _split_neighbour(df, out, calc, field, sorts, partitions, offset)
-    order = with_tiebreak(df, sorts)
+    order = within_groups(with_tiebreak(df, sorts), partitions)
     if calc == "FILL_DOWN" and back_fill:
         order = flipped(order)
     if calc in ("ROW_NUM", "NTILE"):

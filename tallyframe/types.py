@@ -71,6 +71,17 @@ def ref(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def convert(df: DataFrame, name: str, logical: str) -> Column:
+    """A column of ``df`` in a logical type; one that has it already stays plain, so that filters
+    and joins on it still reach the source."""
+    data_type = df.schema[name].dataType
+    if logical == "integer" and isinstance(data_type, T.IntegralType):
+        return ref(name).cast("bigint")
+    if logical == "string" and isinstance(data_type, T.StringType):
+        return ref(name)
+    return cast_to(ref(name), logical)
+
+
 def orderable(df: DataFrame, name: str) -> bool:
     """False for columns Spark cannot compare (maps, variants)."""
 
