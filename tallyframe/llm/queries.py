@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.session import tune
 
-from . import exact_dedup, packing, secrets, shards, token_counts
+from . import exact_dedup, jaccard_join, packing, secrets, shards, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,3 +61,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 def op8_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
     out = shards.shard(table(spark, folder, "documents"), 24)
     return out.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query
+def op10_signature_tree_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.similar_components(table(spark, folder, "documents"))
