@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.session import tune
 
-from . import exact_dedup, jaccard_join, packing, secrets, shards, token_counts
+from . import exact_dedup, html_text, jaccard_join, lang_id, packing, secrets, shards, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,3 +66,13 @@ def op8_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_signature_tree_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, folder, "documents"))
+
+
+@query
+def op3_block_rules_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+@query
+def op9_word_first_language(spark: SparkSession, folder: str) -> DataFrame:
+    return lang_id.identify(table(spark, folder, "documents"))
