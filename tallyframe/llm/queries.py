@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.session import tune
 
-from . import exact_dedup, html_text, jaccard_join, lang_id, packing, secrets, shards, token_counts
+from . import decontaminate, exact_dedup, html_text, jaccard_join, lang_id, packing, secrets, shards, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op3_block_rules_html(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_word_first_language(spark: SparkSession, folder: str) -> DataFrame:
     return lang_id.identify(table(spark, folder, "documents"))
+
+
+@query
+def op5_spaced_seed_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
