@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, join_groups, possible_rows, staged
+from .common import components, join_groups, possible_rows, staged, without_rows
 from .shingles import set_class, shingle_sets
 
 #: Counters of each of the sketch's two rows, and how many of them travel in one row.
@@ -398,3 +398,10 @@ def similar_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     out = join_groups(rows, named, "cls", "size", rows.count())
     smallest = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(id_column), F.col("n").cast("long").alias("n_shingles"), smallest.alias("component_id"))
+
+
+def drop_similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5) -> DataFrame:
+    """The rows of ``docs`` with one document of each component, the smallest id; rows that repeat an id share its fate."""
+    found = similar_components(docs, id_column, text_column, width)
+    dropped = found.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("id")).distinct()
+    return without_rows(docs, id_column, staged(dropped, "similar"))

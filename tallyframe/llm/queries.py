@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.session import tune
 
-from . import decontaminate, exact_dedup, html_text, jaccard_join, lang_id, packing, secrets, shards, token_counts
+from . import decontaminate, exact_dedup, html_text, jaccard_join, lang_id, packing, passages, secrets, shards, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,3 +82,17 @@ def op9_word_first_language(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_spaced_seed_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op7_collinear_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
