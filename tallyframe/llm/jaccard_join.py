@@ -276,70 +276,101 @@ def _pruned(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     return sized.mapInPandas(run, "a long, b long")
 
 
+def _tree_pairs(unit: dict[str, np.ndarray], best_only: bool) -> np.ndarray:
+    """(a, b) of a unit's pairs of different components that its signature tree leaves possible."""
+    at, halves = unit["at"][0], unit["first"][0] != unit["second"][0]
+    comp, level = unit["comp"], unit["level"]
+    if len(comp) < 2 or (comp == comp[0]).all() or not (level == at).any():
+        return np.empty((0, 2), np.int64)
+    order = np.lexsort((unit["cls"], unit["n"]))
+    cls, comp, level, part = (unit[c][order] for c in ("cls", "comp", "level", "part"))
+    words = [np.frombuffer(unit["bits"][i], dtype="<u8") for i in order]
+    width = min(map(len, words))
+    found = np.empty((0, 5), np.int64)
+    for i, j, most in Tree(np.stack([folded(x, width) for x in words]), unit["n"][order].astype(np.int64)).pairs():
+        # pairs of the upper level, or of one half of a pair of blocks, have units of their own
+        own = (comp[i] != comp[j]) & ((level[i] == at) | (level[j] == at))
+        if halves:
+            own &= part[i] != part[j]
+        if own.any():
+            i, j = i[own], j[own]
+            pairs = np.stack((most[own], np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j]), np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])), axis=1)
+            found = np.concatenate((found, pairs))
+            if best_only:
+                found = _best(found)
+    return found[:, 3:]
+
+
+def _best(pairs: np.ndarray) -> np.ndarray:
+    """For each two components the pair with the largest possible overlap."""
+    most, low, high, a, b = pairs.T
+    pairs = pairs[np.lexsort((b, a, -most, high, low))]
+    first = np.ones(len(pairs), dtype=bool)
+    first[1:] = (pairs[1:, 1:3] != pairs[:-1, 1:3]).any(axis=1)
+    return pairs[first]
+
+
 def _treed(members: DataFrame, best_only: bool) -> DataFrame:
     """Pairs of different components that the buckets' signature trees leave possible.
 
     A task's unit is a pair of blocks of two neighbouring size levels, so its size is bounded.
     """
+    unit = ["key", "at", "first", "second"]
+    names = [*unit, "cls", "n", "comp", "level", "part", "bits"]
 
-    def joined(group: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        group = group.sort_values(["n", "cls"]).drop_duplicates("cls")
-        comp = group["comp"].to_numpy()
-        if len(group) < 2 or (comp == comp[0]).all():
-            return
-        words = [np.frombuffer(x, dtype="<u8") for x in group["bits"]]
-        width = min(map(len, words))
-        tree = Tree(np.stack([folded(x, width) for x in words]), group["n"].to_numpy(dtype=np.int64))
-        cls, level, part = group["cls"].to_numpy(), group["level"].to_numpy(), group["part"].to_numpy()
-        at, halves = group["at"].iloc[0], group["first"].iloc[0] != group["second"].iloc[0]
-        found = []
-        for i, j, most in tree.pairs():
-            # pairs of the upper level, or of one half of a pair of blocks, have units of their own
-            own = (comp[i] != comp[j]) & ((level[i] == at) | (level[j] == at))
-            if halves:
-                own &= part[i] != part[j]
-            found.append(pd.DataFrame({"a": cls[i[own]], "b": cls[j[own]], "x": comp[i[own]], "y": comp[j[own]], "most": most[own]}))
-            if best_only and len(found) > 64:
-                found = [_best(pd.concat(found))]
-        every = pd.concat(found) if found else pd.DataFrame(columns=["a", "b", "x", "y", "most"])
-        if best_only:
-            every = _best(every)
-        if len(every):
-            yield pd.DataFrame({"a": every[["a", "b"]].min(axis=1), "b": every[["a", "b"]].max(axis=1)})
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unit, held = None, []
+        held: list[dict[str, np.ndarray]] = []
         for batch in batches:
-            for name, group in batch.groupby(["key", "at", "first", "second"], sort=False):
-                if name != unit and held:
-                    yield from joined(pd.concat(held))
+            if not batch.num_rows:
+                continue
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+            new = np.zeros(batch.num_rows, dtype=bool)
+            for c in unit:
+                new[1:] |= rows[c][1:] != rows[c][:-1]
+            new[0] = bool(held) and any(held[-1][c][-1] != rows[c][0] for c in unit)
+            cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            out = []
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                if new[low] and held:  # the unit of the batch before ends here
+                    out.append(_tree_pairs({c: np.concatenate([h[c] for h in held]) for c in names}, best_only))
                     held = []
-                unit = name
-                held.append(group)
+                if high > low:
+                    part = {c: x[low:high] for c, x in rows.items()}
+                    if high < batch.num_rows and not held:
+                        out.append(_tree_pairs(part, best_only))
+                    elif high < batch.num_rows:
+                        held.append(part)
+                        out.append(_tree_pairs({c: np.concatenate([h[c] for h in held]) for c in names}, best_only))
+                        held = []
+                    else:
+                        held.append(part)
+            pairs = np.concatenate(out) if out else np.empty((0, 2), np.int64)
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
         if held:
-            yield from joined(pd.concat(held))
+            pairs = _tree_pairs({c: np.concatenate([h[c] for h in held]) for c in names}, best_only)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     units = members.select("*", F.explode(F.array(F.col("level") - 1, F.col("level"))).alias("at"))
     units = units.select("*", F.explode(F.expr("sequence(0L, parts - 1)")).alias("other"))
-    units = units.select("*", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second")).drop("other", "parts", "size")
-    unit = ["key", "at", "first", "second"]
-    pairs = units.repartition(*unit).sortWithinPartitions(*unit).mapInPandas(run, "a long, b long")
-    return pairs.distinct()
-
-
-def _best(pairs: pd.DataFrame) -> pd.DataFrame:
-    """For each two components the pair with the largest possible overlap."""
-    low, high = pairs[["x", "y"]].min(axis=1), pairs[["x", "y"]].max(axis=1)
-    return pairs.assign(x=low, y=high).sort_values(["most", "a", "b"], ascending=[False, True, True]).drop_duplicates(["x", "y"])
+    units = units.select("*", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"))
+    dealt = units.select(*names).repartition(*unit).sortWithinPartitions(*unit)
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def _members(shared: DataFrame, comps: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Postings in buckets that span several components, of equal buckets one."""
+    """Postings in buckets that span several components, of equal buckets one.
+
+    A bucket of two needs no tree: on one size level the pair has been compared, and more than one
+    level apart it can't be a link.
+    """
     named = staged(shared.join(comps, F.col("cls") == F.col("node"), "left").selectExpr("key", "level", "cls", "coalesce(component, cls) AS comp"), "buckets")
     spans = named.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("xor")
+        F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"), (F.max("level") - F.min("level")).alias("levels"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("xor")
     )
-    keys = spans.filter("low <> high").groupBy("size", "sum", "xor").agg(F.min("key").alias("key"))
+    keys = spans.filter("low <> high AND (size > 2 OR levels = 1)").groupBy("size", "sum", "xor").agg(F.min("key").alias("key"))
     keys = staged(keys.select("key", "size"), "bucket-keys")
     kept = join_groups(named, keys, "key", "size", named.count()).filter("size IS NOT NULL")
     parts = F.ceil(F.col("size") / BLOCK).cast("long")
