@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import DataFrame, SparkSession
+import csv
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import chain, count
+from urllib.parse import unquote
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.shape import ColumnSpec, adapter, normalize_keys
@@ -16,14 +21,20 @@ TIER_ROWS = 1000
 
 
 def unique_headers(names: Iterable[object]) -> list[str]:
-    """Blank headers become `col_N`, repeated ones `name_2`, `name_3`."""
-    out: list[str] = []
-    seen: dict[str, int] = {}
-    for position, raw in enumerate(names, start=1):
-        name = "" if raw is None else str(raw).strip()
-        name = name or f"col_{position}"
-        seen[name] = seen.get(name, 0) + 1
-        out.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+    """Blank headers become `col_N`, repeated ones `name_2`, `name_3`.
+
+    Names that differ only in case clash. A name given in the file is never taken by a made-up one.
+    """
+    given = ["" if raw is None else str(raw).strip() for raw in names]
+    reserved, out = {name.lower() for name in given if name}, []
+    for place, name in enumerate(given, start=1):
+        fresh = name and all(name.lower() != other.lower() for other in out)
+        if not fresh:
+            stem = name or f"col_{place}"
+            made_up = chain([] if name else [stem], (f"{stem}_{k}" for k in count(2)))
+            name = next(c for c in made_up if c.lower() not in reserved)
+            reserved.add(name.lower())
+        out.append(name)
     return out
 
 
@@ -48,30 +59,49 @@ def read_delimited(
     types: dict[str, str] | None = None,
     infer: bool = False,
     columns: list[str] | None = None,
+    multiline: bool = False,
+    odd_rows: str | None = None,
     **files,
 ) -> DataFrame:
     """Delimited text with quote `"` and escape `\\`.
 
     Columns are text unless pinned in ``types`` or, with ``infer``, inferred by one extra pass;
-    pinned columns keep leading zeros. ``columns`` names the file's columns, which saves reading
-    the header first.
+    pinned columns keep leading zeros. Every file's columns are taken by the names in its own
+    header; one that a file lacks is null there. ``columns`` gives the columns of all files by
+    position, which saves reading the headers first.
+
+    ``multiline``: cells in quotes may hold line breaks; a file is then read by one task.
+    ``odd_rows`` names a column for the raw text of rows with more or fewer cells than the header
+    has, else null. Without it, missing cells are null and cells beyond the header are left out.
     """
     encoding = CHARSETS.get(charset.lower())
     if encoding is None:
         raise ValueError(f"charset must be one of {sorted(CHARSETS)}")
-    if encoding != "UTF-8":
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    options = {"sep": delimiter, "quote": '"', "escape": "\\", "encoding": encoding, **file_options(**files)}
-    if columns is None:
-        raw = spark.read.options(**options, header="false", inferSchema="false").csv(path)
-        first = raw.first()
+    # Spark reads ISO-8859-1; the characters where windows-1252 differs are put right afterwards
+    latin = encoding != "UTF-8"
+    options = {"sep": delimiter, "quote": '"', "escape": "\\", "encoding": "ISO-8859-1" if latin else encoding, **file_options(**files)}
+    if multiline:
+        options["multiLine"] = "true"
+
+    def load(paths: str | list[str], names: list[str]) -> DataFrame:
+        ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*names, *([odd_rows] if odd_rows else [])])
+        # enforceSchema: header texts may differ from the cleaned names
+        reader = spark.read.options(**options, header=str(header).lower(), enforceSchema="true").schema(ddl)
+        loaded = (reader.option("columnNameOfCorruptRecord", odd_rows) if odd_rows else reader).csv(paths)
+        return loaded.select(*[_windows_1252(c) for c in loaded.columns]) if latin else loaded
+
+    if columns is not None:
+        df = load(path, columns)
+    elif header:
+        by_header = _headers(spark, path, options)
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [load(paths, unique_headers(first)) for first, paths in by_header])
+        if odd_rows:  # last, whatever the files
+            df = df.select(*[ref(c) for c in df.columns if c != odd_rows], ref(odd_rows))
+    else:
+        first = spark.read.options(**options, header="false", inferSchema="false").csv(path).first()
         if first is None:
             raise ValueError("the file has no rows")
-        columns = unique_headers(first) if header else [f"col_{i + 1}" for i in range(len(first))]
-    ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
-    # enforceSchema: header texts may differ from the cleaned names
-    reader = spark.read.options(**options, header=str(header).lower(), enforceSchema="true").schema(ddl)
-    df = reader.csv(path)
+        df = load(path, [f"col_{i + 1}" for i in range(len(first))])
     pinned = {resolve(df, name): logical for name, logical in (types or {}).items()}
     if infer:
         from ..plans.profile import infer_types
@@ -80,6 +110,34 @@ def read_delimited(
     return adapter(df, [ColumnSpec(c, pinned.get(c, "string")) for c in df.columns])
 
 
+def _windows_1252(name: str) -> Column:
+    """A column read as ISO-8859-1 with windows-1252's own characters."""
+    codes = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+    return F.translate(ref(name), "".join(map(chr, codes)), bytes(codes).decode("cp1252")).alias(name)
+
+
+def _headers(spark: SparkSession, path: str | list[str], options: dict[str, str]) -> list[tuple[list[str], list[str]]]:
+    """The different headers of the files at a path, each with its files; one pass, one line per file comes back."""
+    chosen = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup", "modifiedAfter", "encoding")}
+    lines = spark.read.options(**chosen).text(path)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+
+    def firsts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        before = None
+        for batch in batches:
+            if len(batch):
+                new = (batch["file"] != batch["file"].shift(fill_value=before)) & (batch["start"] == 0)
+                before = batch["file"].iloc[-1]
+                yield batch.loc[new, ["file", "value"]]
+
+    found: dict[str, list[str]] = {}
+    for file, line in sorted(map(tuple, lines.mapInPandas(firsts, "file string, value string").collect())):
+        found.setdefault(line, []).append(unquote(file))
+    if not found:
+        raise ValueError("the files have no rows")
+    return [(next(csv.reader([line], delimiter=options["sep"], escapechar=options["escape"])), files) for line, files in found.items()]
+
+
 def read_table(spark: SparkSession, dataset: str, fmt: str | None = None) -> DataFrame:
     """A dataset by id: a path with its format (by ending, else Parquet) or a catalog table name."""
     if fmt is None and "/" not in dataset:

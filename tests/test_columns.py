@@ -63,6 +63,26 @@ def test_leading_zero_code_stays_text(spark):
 
 def test_unique_headers():
     assert readers.unique_headers(["a", "", "a", None, " a "]) == ["a", "col_2", "a_2", "col_4", "a_3"]
+    # a made-up name never takes a given one, whatever its place or case
+    assert readers.unique_headers(["a", "a", "a_2"]) == ["a", "a_3", "a_2"]
+    assert readers.unique_headers(["a", "A", "col_4", ""]) == ["a", "A_2", "col_4", "col_4_2"]
+
+
+def test_odd_rows_and_header_names(spark):
+    path = scratch_path(spark, "odd")
+    spark.createDataFrame([("id,x",), ("1,a",), ("2",), ("3,c,more",)], "v string").coalesce(1).write.text(path)
+    spark.createDataFrame([("x,id",), ("b,4",)], "v string").coalesce(1).write.mode("append").text(path)
+    df = readers.read_delimited(spark, path, odd_rows="odd", types={"id": "integer"})
+    assert set(df.columns) == {"id", "x", "odd"} and df.columns[-1] == "odd"
+    assert values(df, "id", "x", "odd") == [(1, "a", None), (2, None, "2"), (3, "c", "3,c,more"), (4, "b", None)]
+
+
+def test_windows_1252_without_a_session_option(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_bytes("name;sign\n€uro;“é”\n".encode("cp1252"))
+    before = spark.conf.get("spark.sql.legacy.javaCharsets", None)
+    assert values(readers.read_delimited(spark, str(path), ";", charset="windows-1252")) == [("€uro", "“é”")]
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", None) == before
 
 
 def test_source_options_and_latest_file(spark):
