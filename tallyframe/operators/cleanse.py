@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, key_text
-from ..types import column_type, ref, resolve
+from ..types import column_type, number_text, ref, resolve
 
 # Texts that stand for a missing value.
 MISSING_TOKENS = ("", "-", "--", "n/a", "na", "nan", "none", "null", "#n/a")
@@ -59,7 +59,7 @@ def clean_number(c: Column) -> Column:
     negative = F.regexp_like(text, F.lit(r"^\(.*\)$"))
     # a minus sign may stand before or after the currency sign
     digits = F.regexp_replace(text, r"[$€£¥,()\s]", "")
-    number = digits.try_cast("double")
+    number = number_text(digits)
     return F.when(negative, -number).otherwise(number)
 
 

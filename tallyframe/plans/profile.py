@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..functions.text import is_blank
 from ..operators.cleanse import parse_date
 from ..operators.shape import SERIAL_RANGE
-from ..types import logical_type, ref
+from ..types import logical_type, number_text, ref
 
 # What column names suggest.
 DATE_NAME = r"(?i)(date|dt|timestamp|time)"
@@ -28,14 +28,13 @@ HEADER_LABEL = (
     r"population|support|matched|variance|note|class|period|profit|disposition|meaning|groups)\b"
 )
 SAMPLES = 5
-KEY_LIMIT = 12
 KEY_MINIMUM = 0.55
 DATE_SHARE = 0.6
 
 
 def as_number(c: Column) -> Column:
     """Number of a text with thousands separators, else null."""
-    return F.replace(F.trim(c.cast("string")), F.lit(","), F.lit("")).try_cast("double")
+    return number_text(F.replace(F.trim(c.cast("string")), F.lit(","), F.lit("")))
 
 
 def long_form(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -181,16 +180,16 @@ def key_score(name: Column, non_empty: Column, distinct: Column, rows: Column) -
     return F.when(looks_like_key & (rows > 0), F.least(F.lit(1.0), score)).otherwise(F.lit(0.0))
 
 
-def key_candidates(profile: DataFrame, rows: Column | int) -> DataFrame:
-    """Likely identifiers of a profiled table, the best first."""
+def key_candidates(profile: DataFrame, rows: Column | int, limit: int | None = None) -> DataFrame:
+    """Likely identifiers of a profiled table, the best first; all of them, or so many as ``limit``."""
     rows = F.lit(rows) if isinstance(rows, int) else rows
     score = F.round(key_score(F.col("name"), F.col("nonEmptyCount"), F.col("distinctCount"), rows), 3)
-    return (
+    found = (
         profile.select(F.col("name").alias("column"), score.alias("score"), "nonEmptyCount", "distinctCount")
         .filter(F.col("score") >= KEY_MINIMUM)
         .orderBy(F.desc("score"), "column")
-        .limit(KEY_LIMIT)
     )
+    return found if limit is None else found.limit(limit)
 
 
 def embedded_headers(df: DataFrame, order: str) -> DataFrame:

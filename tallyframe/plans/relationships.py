@@ -17,7 +17,6 @@ from ..functions.text import key_text, regex_extract
 from ..session import cut_lineage
 from .profile import IDENTIFIER_NAME, KEY_MINIMUM, KEY_NAME, MEASURE_NAME, key_score, long_form
 
-PAIR_LIMIT = 8
 
 
 def _spellings() -> dict[str, Column]:
@@ -130,10 +129,10 @@ def join_candidates(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def review_split(candidates: DataFrame) -> DataFrame:
+def review_split(candidates: DataFrame, limit: int | None = None) -> DataFrame:
     """Candidates with a `use`: ``suggested`` (safe) or ``review``; others are dropped.
 
-    The best eight of each kind per pair of tables.
+    ``limit``: only the best so many of each kind per pair of tables.
     """
     l, r = F.col("leftColumn"), F.col("rightColumn")
     low = F.least("overlapRatioLeft", "overlapRatioRight")
@@ -154,9 +153,10 @@ def review_split(candidates: DataFrame) -> DataFrame:
         & (left_id | right_id | _matches(l, KEY_NAME) | _matches(r, KEY_NAME))
     )
     marked = candidates.withColumn("use", F.when(safe, "suggested").when(review, "review")).filter("use is not null")
-    best = W.partitionBy("leftSource", "rightSource", "use").orderBy(low.desc(), F.desc("overlapCount"), "leftColumn", "rightColumn")
-    kept = marked.withColumn("__rank", F.row_number().over(best)).filter(F.col("__rank") <= PAIR_LIMIT)
-    return kept.drop("__rank", "__left_prefixed", "__right_prefixed")
+    if limit is not None:
+        best = W.partitionBy("leftSource", "rightSource", "use").orderBy(low.desc(), F.desc("overlapCount"), "leftColumn", "rightColumn")
+        marked = marked.withColumn("__rank", F.row_number().over(best)).filter(F.col("__rank") <= limit).drop("__rank")
+    return marked.drop("__left_prefixed", "__right_prefixed")
 
 
 def derived_key_hints(candidates: DataFrame) -> DataFrame:

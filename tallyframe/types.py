@@ -18,6 +18,16 @@ LOGICAL_TYPES = {
 MONEY = "decimal(38,6)"
 
 
+# Fixed value: how a number is written.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def number_text(column: Column) -> Column:
+    """Double of a text that is a number as a whole; '12d', 'NaN' and the like are none."""
+    text = column.cast("string")
+    return F.when(F.regexp_like(text, F.lit(NUMBER)), text.try_cast("double"))
+
+
 def spark_type(logical: str) -> str:
     if logical == "money":
         return MONEY
@@ -31,6 +41,9 @@ def cast_to(column: Column, logical: str) -> Column:
     if logical == "integer":
         # text such as '12.7' is no bigint: go through decimal, which truncates
         return F.coalesce(column.try_cast("bigint"), column.try_cast(MONEY).try_cast("bigint"))
+    if logical == "number":
+        # the test is folded away for columns that aren't text
+        return F.when(F.typeof(column) == "string", number_text(column)).otherwise(column.try_cast("double"))
     return column.try_cast(spark_type(logical))
 
 
