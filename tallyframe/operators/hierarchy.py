@@ -89,11 +89,11 @@ def _finish(agg: Agg, p: dict[str, Column]) -> Column:
     return F.array_join(values, agg.delimiter)
 
 
-def hierarchy(df: DataFrame, id_field: str, parent_field: str, aggs: list[Agg], max_depth: int = 100_000) -> DataFrame:
+def hierarchy(df: DataFrame, id_field: str, parent_field: str, aggs: list[Agg]) -> DataFrame:
     """Every row with aggregates over its chain; path texts run from the row up to the root.
 
-    A blank parent is a root, an unknown parent ends the chain, ids must be unique, and a chain
-    longer than ``max_depth`` (a cycle) raises.
+    A blank parent is a root, an unknown parent ends the chain, ids must be unique, and a cycle
+    raises: a chain has no more rows than the table, which bounds the rounds.
     """
     id_field, parent_field = resolve(df, id_field), resolve(df, parent_field)
     aggs = [Agg(a.calc, resolve(df, a.field) if a.field else None, a.out, a.delimiter) for a in aggs]
@@ -115,7 +115,7 @@ def hierarchy(df: DataFrame, id_field: str, parent_field: str, aggs: list[Agg],
     if twice:
         raise ValueError(f"ids are not unique, for example {[r[0] for r in twice]}")
 
-    for _ in range(math.ceil(math.log2(max_depth)) + 1):
+    for _ in range(math.ceil(math.log2(max(2, state.count()))) + 1):
         climbing = state.filter("__up is not null")
         if climbing.isEmpty():
             break

@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..types import ref, resolve
-from .keys import check_sorts, sort_columns
 from .semistructured import json_flatten
+from .windows import window
 
 PLACEHOLDER = re.compile(r"\{\{\s*(.+?)\s*\}\}")
-# Seconds per rate-limit unit.
+# Methods of a call, and seconds per rate-limit unit.
+METHODS = ("GET", "POST", "PUT", "PATCH", "DELETE")
 RATE_UNITS = {"SECOND": 1, "MINUTE": 60, "HOUR": 3600, "DAY": 86400}
 
 
@@ -38,29 +39,22 @@ def infer(
     df: DataFrame,
     template: str,
     scorer: Callable[[pd.Series], pd.Series],
-    row_limit: int | None = 1000,
+    row_limit: int | None = None,
     order: list[tuple[str, str]] = (),
     out: str = "AI Answer",
 ) -> DataFrame:
-    """One answer per row. Only the first ``row_limit`` rows by ``order`` (unique columns) are
-    scored, the others get null; None scores all."""
+    """One answer per row. With ``row_limit``, only the first rows by ``order`` are scored and the
+    others get null; rows tied on ``order`` come in the order of the remaining columns."""
     answer = F.pandas_udf(scorer, "string")
     prompted = df.withColumn("__prompt", render(df, template))
     if row_limit is None:
         return prompted.withColumn(out, answer("__prompt")).drop("__prompt")
     if not order:
         raise ValueError("a row limit needs an order")
-    sorts = check_sorts(df, list(order))
-    names = [n for n, _ in sorts]
-    first = df.select(*[ref(n) for n in names]).orderBy(*sort_columns(sorts)).limit(row_limit)
-    first = first.select(*[ref(n).alias(f"__o{i}") for i, n in enumerate(names)], F.lit(True).alias("__in"))
-    condition = F.lit(True)
-    for i, n in enumerate(names):
-        condition = condition & prompted[f"`{n}`"].eqNullSafe(first[f"__o{i}"])
-    marked = prompted.join(first, condition, "left").drop(*[f"__o{i}" for i in range(len(names))])
-    scored = marked.filter(ref("__in")).withColumn(out, answer("__prompt"))
-    rest = marked.filter(ref("__in").isNull()).withColumn(out, F.lit(None).cast("string"))
-    return scored.unionByName(rest).drop("__prompt", "__in")
+    numbered = window(prompted, "__rn", "ROW_NUM", sorts=list(order))
+    scored = numbered.filter(ref("__rn") <= row_limit).withColumn(out, answer("__prompt"))
+    rest = numbered.filter(ref("__rn") > row_limit).withColumn(out, F.lit(None).cast("string"))
+    return scored.unionByName(rest).drop("__prompt", "__rn")
 
 
 def infer_json(df: DataFrame, template: str, scorer, schema: str, **options) -> DataFrame:
@@ -101,15 +95,22 @@ def call_api(
     rate: tuple[int, str] | None = None,
     result: str = "RAW_STRING",
     schema: str | None = None,
+    tasks: int = 8,
 ) -> DataFrame:
     """One call per row; a failure comes back as status and text of that row.
 
-    ``rate`` = (calls, unit) holds per task. ``result`` JSON flattens the answer by ``schema``.
+    ``rate`` = (calls, unit) holds for the whole call: the rows are dealt to ``tasks`` tasks, each of
+    which keeps to its part of it. ``result`` JSON flattens the answer by ``schema``. Save the
+    result before using it twice, for every action calls again.
     """
+    if method.upper() not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
     if result not in ("RAW_STRING", "JSON"):
         raise ValueError("result must be RAW_STRING or JSON")
-    pause = RATE_UNITS[rate[1]] / rate[0] if rate else 0.0
+    pause = tasks * RATE_UNITS[rate[1]] / rate[0] if rate else 0.0
     requests = build_requests(df, url, method, body)
+    if rate:
+        requests = requests.repartition(tasks)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -14,18 +14,18 @@ from .shape import reject_duplicates
 PIVOT_LIMIT = 10_000
 
 
-def pivot(df: DataFrame, pivot_field: str, value_field: str, calc: str = "SUM", values: list | None = None, delimiter: str = ", ", sorts: tuple = ()) -> DataFrame:
+def pivot(df: DataFrame, pivot_field: str, value_field: str, calc: str = "SUM", values: list | None = None, delimiter: str = ", ", sorts: tuple = (), limit: int = PIVOT_LIMIT) -> DataFrame:
     """One row per combination of all other columns, one column per pivot value.
 
     Cells are aggregated first (see ``summarize``), so the pivot itself moves one row per cell.
-    Without ``values`` one extra pass finds them. ``ANY`` takes the smallest value.
+    Without ``values`` one extra pass finds them; more than ``limit``, each a column, raise. ``ANY`` takes the smallest value.
     """
     pivot_field, value_field = resolve(df, pivot_field), resolve(df, value_field)
     keys = [c for c in df.columns if c not in (pivot_field, value_field)]
     if values is None:
-        found = df.select(ref(pivot_field)).distinct().limit(PIVOT_LIMIT + 1).collect()
-        if len(found) > PIVOT_LIMIT:
-            raise ValueError(f"more than {PIVOT_LIMIT} pivot values")
+        found = df.select(ref(pivot_field)).distinct().limit(limit + 1).collect()
+        if len(found) > limit:
+            raise ValueError(f"more than {limit} pivot values")
         values = sorted([r[0] for r in found if r[0] is not None], key=lambda v: (str(type(v)), v))
         values += [None] if any(r[0] is None for r in found) else []
     names = ["null" if v is None else str(v) for v in values]

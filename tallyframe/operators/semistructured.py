@@ -77,19 +77,20 @@ def xml_select(df: DataFrame, field: str, path: str, out: str | None = None, sch
     return df.select(*[ref(c) for c in rest], F.explode(found).alias(out))
 
 
-def xml_schema(df: DataFrame, field: str) -> str:
-    """Schema read off one document; give an explicit schema when documents differ."""
+def xml_schema(df: DataFrame, field: str) -> T.StructType:
+    """Schema that all documents fit: one pass, in which tasks merge the elements they meet."""
     field = resolve(df, field)
-    row = df.select(ref(field)).filter(ref(field).isNotNull()).first()
-    if row is None:
+    texts = df.select(ref(field)).filter(ref(field).isNotNull()).rdd.map(lambda row: row[0])
+    schema = df.sparkSession.read.xml(texts, rowTag="ROW").schema
+    if not schema.fields:
         raise ValueError("no document to read the schema from")
-    return df.sparkSession.range(1).select(F.schema_of_xml(F.lit(row[0]))).first()[0]
+    return schema
 
 
 def xml_extract(df: DataFrame, field: str, schema: str | None = None, unwrap: str | None = None, keep_input: bool = False) -> DataFrame:
     """Children of an XML document as columns; ``unwrap`` goes into that child first."""
     field = resolve(df, field)
-    struct = T.DataType.fromDDL(schema or xml_schema(df, field))
+    struct = T.DataType.fromDDL(schema) if schema else xml_schema(df, field)
     parsed = F.from_xml(ref(field), struct.simpleString())
     if unwrap:
         parsed, struct = parsed.getField(unwrap), struct[unwrap].dataType
@@ -100,7 +101,7 @@ def xml_extract(df: DataFrame, field: str, schema: str | None = None, unwrap: st
 def xml_to_json(df: DataFrame, field: str, out: str | None = None, schema: str | None = None) -> DataFrame:
     """XML text as JSON text."""
     field = resolve(df, field)
-    struct = T.DataType.fromDDL(schema or xml_schema(df, field))
+    struct = T.DataType.fromDDL(schema) if schema else xml_schema(df, field)
     return df.withColumn(out or field, F.to_json(F.from_xml(ref(field), struct.simpleString())))
 
 

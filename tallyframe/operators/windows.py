@@ -63,6 +63,8 @@ def window(
         raise ValueError(f"{calc} needs a sort")
     if field is None and calc in ("LEAD", "LAG", "FILL_DOWN", "CUM_SUM"):
         raise ValueError(f"{calc} needs a field")
+    if calc in ("LEAD", "LAG") and offset < 1:
+        raise ValueError("offset must be positive")
     if calc == "NTILE" and (ntile is None or ntile < 1):
         raise ValueError("NTILE needs a positive ntile")
     if split is None:
@@ -86,9 +88,9 @@ def _plain(df, calc, field, sorts, partitions, offset, back_fill, ntile) -> Colu
             return F.first(ref(field), ignorenulls=True).over(onward)
         return F.last(ref(field), ignorenulls=True).over(so_far)
     if calc == "ROW_NUM":
-        return F.row_number().over(order)
+        return F.row_number().over(order).cast("bigint")
     if calc == "RANK":
-        return F.rank().over(by.orderBy(*sort_columns(sorts)))
+        return F.rank().over(by.orderBy(*sort_columns(sorts))).cast("bigint")
     if calc == "NTILE":
         return F.ntile(ntile).over(order)
     return F.sum(ref(field)).over(so_far)
@@ -185,8 +187,6 @@ def _split_rank(df, out, sorts, partitions) -> DataFrame:
 
 def _split_neighbour(df, out, calc, field, sorts, partitions, offset) -> DataFrame:
     """Lead and lag on blocks of consecutive row numbers; border rows are copied next door."""
-    if offset < 1:
-        raise ValueError("offset must be positive")
     block = max(BLOCK_ROWS, offset)
     numbered = _split(df, "__rn", "ROW_NUM", None, sorts, partitions, 1, False, None)
     position = (ref("__rn") - 1) % block
