@@ -15,6 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..types import column_type, ref, resolve
 from .shape import reject_duplicates
 
@@ -22,6 +23,10 @@ EQUALITY, THETA, TEXT = ("eq",), ("ne", "gt", "ge", "lt", "le"), ("contains", "i
 COMPARABLE = {"integer": "number", "datetime": "date"}
 # Leading characters of a searched text that are looked up as a key.
 PROBE = 8
+# Exponent of the narrowest bin of an interval join.
+MIN_LEVEL = -20
+# Rows of a small table that is sent to every task.
+EXPAND_BROADCAST_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -83,6 +88,44 @@ class _Sides:
         whole, part = (l, r) if condition.op == "contains" else (r, l)
         return F.contains(whole.cast("string"), part.cast("string")) & (F.trim(part.cast("string")) != "")
 
+    def interval(self, conditions: list[On]) -> tuple[str, str, str, str] | None:
+        """(point side, point, low, high) when one column has to lie between two of the other side."""
+        def ordered(frame: DataFrame, name: str) -> bool:
+            return column_type(frame, name) in ("integer", "number", "date", "datetime")
+
+        for side, up, down in (("left", ("ge", "gt"), ("le", "lt")), ("right", ("le", "lt"), ("ge", "gt"))):
+            for low in conditions:
+                for high in conditions:
+                    point, other = (low.left, low.right) if side == "left" else (low.right, low.left)
+                    same, bound = (high.left, high.right) if side == "left" else (high.right, high.left)
+                    if low.op in up and high.op in down and point == same and all(ordered(self.left, c.left) and ordered(self.right, c.right) for c in (low, high)):
+                        return side, point, other, bound
+        return None
+
+    def binned(self, conditions: list[On], left: DataFrame, right: DataFrame) -> DataFrame:
+        """Inner join on an interval as an equality join.
+
+        An interval lies in one or two bins of the width that fits its length, a power of two; a
+        point looks in its bin of every width that occurs (a few dozen at most).
+        """
+        side, point, low, high = self.interval(conditions)
+        points, intervals = (left, right) if side == "left" else (right, left)
+        number = lambda df, name: _as_number(df, name, F.col(name)).cast("double")
+        low, high = number(intervals, low), number(intervals, high)
+        length = F.when(high >= low, high - low)
+        level = F.when(length > 0, F.ceil(F.log2(length)).cast("int") + 1).otherwise(F.lit(MIN_LEVEL))
+        intervals = intervals.withColumn("__level", F.when(length.isNotNull(), F.greatest(level, F.lit(MIN_LEVEL)))).filter("__level IS NOT NULL")
+        levels = sorted(r[0] for r in intervals.select("__level").distinct().collect())
+        width = lambda c: F.pow(F.lit(2.0), c)
+        bins = F.array_distinct(F.array(F.floor(low / width(F.col("__level"))), F.floor(high / width(F.col("__level")))))
+        intervals = intervals.withColumn("__bin", F.explode(bins))
+        at = number(points, point)
+        places = F.array(*[F.struct(F.lit(n).alias("__level"), F.floor(at / 2.0**n).alias("__bin")) for n in levels]) if levels else F.array().cast("array<struct<__level:int,__bin:bigint>>")
+        points = points.withColumn("__place", F.explode(places)).select("*", "__place.*").drop("__place")
+        left, right = (points, intervals) if side == "left" else (intervals, points)
+        joined = left.join(right, (left["__level"] == right["__level"]) & (left["__bin"] == right["__bin"]) & self.all_of(conditions))
+        return joined.drop("__level", "__bin")
+
     def all_of(self, conditions: list[On]) -> Column:
         return reduce(lambda a, b: a & b, [self.test(c) for c in conditions])
 
@@ -109,12 +152,20 @@ class _Sides:
         return widened, (F.col(other).cast("string") == F.col(partner)) & condition
 
     def inner(self, conditions: list[On]) -> DataFrame:
+        if all(c.op in THETA for c in conditions) and self.interval(conditions):
+            return self.binned(conditions, self.left, self.right)
         right, condition = self.prepared(conditions, "right")
         return self.left.join(right, condition, "inner").drop("__lv")
 
     def unmatched(self, branches: list[list[On]], side: str) -> DataFrame:
         out = self.left if side == "left" else self.right
         for branch in branches:
+            if all(c.op in THETA for c in branch) and self.interval(branch):
+                # fixed row numbers, so that the rows found can be told from the others
+                out = cut_lineage(out.withColumn("__row", F.monotonically_increasing_id()))
+                found = self.binned(branch, *((out, self.right) if side == "left" else (self.left, out))).select("__row").distinct()
+                out = out.join(found, "__row", "left_anti").drop("__row")
+                continue
             other, condition = self.prepared(branch, "right" if side == "left" else "left")
             out = out.join(other, condition, "left_anti")
         return out
@@ -159,7 +210,8 @@ def blend(left: DataFrame, right: DataFrame, on: list[On], how: str = "inner", j
         raise ValueError("how must be inner, left, right or full")
     sides = _Sides(left, right, on, null_safe)
     branches = _branches(sides, joiner)
-    native = len(branches) == 1 and (any(c.op == "eq" for c in sides.on) or all(c.op in THETA for c in sides.on))
+    theta = all(c.op in THETA for c in sides.on) and not sides.interval(sides.on)
+    native = len(branches) == 1 and (any(c.op == "eq" for c in sides.on) or theta)
     if native:
         joined = sides.left.join(sides.right, sides.all_of(sides.on), how)
     else:
@@ -186,6 +238,10 @@ def blend_forks(left: DataFrame, right: DataFrame, on: list[On], how: str = "inn
 def semi(left: DataFrame, right: DataFrame, on: list[On], null_safe: bool = False) -> DataFrame:
     """Left rows that have a partner."""
     sides = _Sides(left, right, on, null_safe)
+    if all(c.op in THETA for c in sides.on) and sides.interval(sides.on):
+        numbered = cut_lineage(sides.left.withColumn("__row", F.monotonically_increasing_id()))
+        found = sides.binned(sides.on, numbered, sides.right).select("__row").distinct()
+        return numbered.join(found, "__row", "left_semi").drop("__row").toDF(*left.columns)
     other, condition = sides.prepared(sides.on, "right")
     return sides.left.join(other, condition, "left_semi").toDF(*left.columns)
 
@@ -237,18 +293,21 @@ def lookup(df: DataFrame, reference: DataFrame, on: list[On], columns: list[str]
     return joined.select(*[ref(c) for c in df.columns], *added, *extra)
 
 
-def expand(main: DataFrame, small: DataFrame, max_small_rows: int = 10_000) -> DataFrame:
+def expand(main: DataFrame, small: DataFrame, max_small_rows: int | None = None) -> DataFrame:
     """Every main row with every row of a small table; an empty small table gives no rows.
 
-    The small table's rows are counted first and must be within the limit.
+    All combinations are what this operator is for; a caller's ``max_small_rows`` guards against
+    them. The small table is broadcast when it counts ``EXPAND_BROADCAST_ROWS`` rows at most.
     """
-    if small.limit(max_small_rows + 1).count() > max_small_rows:
+    most = max(EXPAND_BROADCAST_ROWS, max_small_rows or 0)
+    rows = small.limit(most + 1).count()
+    if max_small_rows is not None and rows > max_small_rows:
         raise ValueError(f"the small side has more than {max_small_rows} rows")
-    names = output_names(main.columns, small.columns)
-    return main.crossJoin(F.broadcast(small.toDF(*names)))
+    named = small.toDF(*output_names(main.columns, small.columns))
+    return main.crossJoin(F.broadcast(named) if rows <= EXPAND_BROADCAST_ROWS else named)
 
 
-def scaffold(first: DataFrame, second: DataFrame, max_small_rows: int = 10_000) -> DataFrame:
+def scaffold(first: DataFrame, second: DataFrame, max_small_rows: int | None = None) -> DataFrame:
     """All combinations of the distinct rows of two key tables, the smaller one second."""
     return expand(first.distinct(), second.distinct(), max_small_rows)
 
@@ -278,19 +337,18 @@ def tolerance_join(
     buckets, residual = [], []
     if amount:
         lname, rname, tolerance = amount
-        width = tolerance if tolerance > 0 else 1.0
-        buckets.append((ref(resolve(left, lname)).cast("double") / width, ref(resolve(right, rname)).cast("double") / width))
+        # whole millionths, so that the bucket and the test agree on every limit
+        width = max(1, round(tolerance * 10**6))
+        buckets.append(tuple(_whole(_millionths(ref(name)), width) for name in (resolve(left, lname), resolve(right, rname))))
         # amounts are compared to the sixth decimal, so that 0.01 means a cent
         residual.append(lambda l, r: F.abs(l(lname).cast("decimal(38,6)") - r(rname).cast("decimal(38,6)")) <= F.lit(str(tolerance)).cast("decimal(38,6)"))
     if date:
         ldate, rdate, days = date
-        width = days + 1
-        buckets.append((F.unix_date(ref(resolve(left, ldate)).cast("date")) / width, F.unix_date(ref(resolve(right, rdate)).cast("date")) / width))
+        buckets.append(tuple(_whole(F.unix_date(ref(name).cast("date")).cast("bigint"), days + 1) for name in (resolve(left, ldate), resolve(right, rdate))))
         residual.append(lambda l, r: F.abs(F.datediff(l(ldate).cast("date"), r(rdate).cast("date"))) <= days)
     for i, (lbucket, rbucket) in enumerate(buckets):
-        left = left.withColumn(f"__b{i}", F.floor(lbucket))
-        near = F.floor(rbucket)
-        right = right.withColumn(f"__b{i}", F.explode(F.array(near - 1, near, near + 1)))
+        left = left.withColumn(f"__b{i}", lbucket)
+        right = right.withColumn(f"__b{i}", F.explode(F.array(rbucket - 1, rbucket, rbucket + 1)))
         on.append(On(f"__b{i}", "eq", f"__b{i}"))
     sides = _Sides(left, right, on, False)
     l = lambda name: F.col(f"__l{sides.left_names.index(resolve(left, name))}")
@@ -300,6 +358,15 @@ def tolerance_join(
     return joined.drop(*[f"__b{i}" for i in range(len(buckets))])
 
 
+def _millionths(column: Column) -> Column:
+    return (column.cast("decimal(38,6)") * 10**6).cast("decimal(38,0)")
+
+
+def _whole(units: Column, width: int) -> Column:
+    """Number of the interval of so many units that a whole number lies in."""
+    return ((units - F.pmod(units, F.lit(width))) / F.lit(width)).cast("bigint")
+
+
 def nearest(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], value: tuple[str, str], direction: str = "nearest") -> DataFrame:
     """Every left row with the one right row of its key whose value is closest (earlier on a tie).
 

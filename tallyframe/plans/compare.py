@@ -13,10 +13,12 @@ from ..types import ref, resolve
 
 
 def compare_tables(base: DataFrame, new: DataFrame, keys: list[str], measures: list[str] = (), texts: list[str] = (), tolerance: float = 0.01) -> DataFrame:
-    """One row per key: equal, differs, only in base or only in new, with what differs.
+    """One row per key: equal, differs, repeated key, only in base or only in new, with what differs.
 
     Keys are compared trimmed and without regard to case, texts trimmed, measures within the
-    tolerance. Rows of one key are added up, so the row count is compared as well.
+    tolerance. Where a key repeats, the row counts, the sums of the measures and the texts, each value as
+    often as it occurs, are compared; when these agree but measures are given, the single rows may
+    still differ, and the key is reported as ``repeated key``.
     """
 
     def grouped(df: DataFrame, s: str) -> DataFrame:
@@ -25,7 +27,9 @@ def compare_tables(base: DataFrame, new: DataFrame, keys: list[str], measures: l
             aggs.append(F.sum(ref(resolve(df, m)).cast("double")).alias(f"__m{i}_{s}"))
         for i, t in enumerate(texts):
             text = F.trim(ref(resolve(df, t)).cast("string"))
-            aggs.append(F.struct(F.min(text).alias("low"), F.max(text).alias("high")).alias(f"__t{i}_{s}"))
+            # sums of two hashes don't depend on the order and count every value as often as it occurs
+            sums = [F.sum(F.xxhash64(text, F.lit(seed)).cast("decimal(38,0)")) for seed in (1, 2)]
+            aggs.append(F.struct(*sums, F.count(text)).alias(f"__t{i}_{s}"))
         named = [key_text(ref(resolve(df, k))).alias(f"__k{i}_{s}") for i, k in enumerate(keys)]
         return df.groupBy(*named).agg(*aggs)
 
@@ -43,6 +47,7 @@ def compare_tables(base: DataFrame, new: DataFrame, keys: list[str], measures: l
         F.when(F.col("__n_b").isNull(), "only in base")
         .when(F.col("__n_a").isNull(), "only in new")
         .when(F.size(differing) > 0, "differs")
+        .when((F.col("__n_a") > 1) & F.lit(bool(measures)), "repeated key")
         .otherwise("equal")
     )
     measured = []

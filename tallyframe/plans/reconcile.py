@@ -1,6 +1,6 @@
 """Two-sided reconciliation: one-to-one matching within tolerances, classification, totals.
 
-Lines equal in keys, business day and cents form a cell with a count. Matching runs between cells:
+Lines equal in keys, business day and amount form a cell with a count. Matching runs between cells:
 a cell has few neighbours within the tolerances however many lines it holds, so no step pairs up
 all lines of a busy key. Closest cells match first, each taking as many lines as both still have;
 lines then pair by their number within the cell.
@@ -31,6 +31,8 @@ TYPES = {
     "balance sheet": {"date_tolerance": 3, "keys": ("account", "contract", "loan", "asset", "support id", "period")},
 }
 AMOUNT_PROPOSAL = 0.01
+# Amounts and tolerances are compared in whole millionths.
+UNITS = 1_000_000
 MATERIALITY_PROPOSAL = 10_000.0
 SUPERVISOR_AMOUNT, CONTROLLER_AMOUNT, CONTROLLER_TOTAL = 10_000, 50_000, 100_000
 SUPERVISOR_DAYS, CONTROLLER_DAYS = 60, 90
@@ -75,64 +77,65 @@ def business_index(c: Column, holidays: list[dt.date] = ()) -> Column:
     return index - F.size(F.filter(days, lambda h: h <= c.cast("date")))
 
 
-def _cents(c: Column) -> Column:
-    return F.round(c.cast("decimal(38,6)") * 100, 0).cast("bigint")
+def _units(c: Column) -> Column:
+    """Amount in whole millionths."""
+    return (c.cast("decimal(38,6)") * UNITS).cast("bigint")
 
 
 def _lines(df: DataFrame, side: Side, negate: bool, holidays) -> DataFrame:
-    """Key columns k0, k1, ..., business day, cents and id of all lines that can match.
+    """Key columns k0, k1, ..., business day, units and id of all lines that can match.
 
     A line without a date or amount, or with a null key, matches nothing.
     """
-    cents = _cents(ref(resolve(df, side.amount)))
+    units = _units(ref(resolve(df, side.amount)))
     keys = [key_text(ref(resolve(df, k))).alias(f"k{i}") for i, k in enumerate(side.keys)]
     lines = df.select(
         *keys,
         business_index(ref(resolve(df, side.date)), holidays).alias("day"),
-        (-cents if negate else cents).alias("cents"),
+        (-units if negate else units).alias("units"),
         ref(resolve(df, side.id)).alias("id"),
     )
     return lines.dropna(subset=[c for c in lines.columns if c != "id"])
 
 
-def _neighbours(a: DataFrame, b: DataFrame, keys: list[str], cents: int, days: int) -> DataFrame:
+def _neighbours(a: DataFrame, b: DataFrame, keys: list[str], units: int, days: int) -> DataFrame:
     """Pairs of cells with lines left that lie within both tolerances."""
-    width = cents + 1
+    width = units + 1
     shifted = F.explode(F.sequence(F.col("a_day") - days, F.col("a_day") + days)).alias("b_day")
-    left = a.select("*", shifted).withColumn("bucket", F.floor(F.col("a_cents") / width))
-    near = F.floor(F.col("b_cents") / width)
-    right = b.withColumn("bucket", F.explode(F.array(near - 1, near, near + 1)) if cents else near)
+    left = a.select("*", shifted).withColumn("bucket", F.floor(F.col("a_units") / width))
+    near = F.floor(F.col("b_units") / width)
+    right = b.withColumn("bucket", F.explode(F.array(near - 1, near, near + 1)) if units else near)
     joined = left.join(right, [*keys, "b_day", "bucket"])
-    return joined.filter(F.abs(F.col("a_cents") - F.col("b_cents")) <= cents).drop("bucket")
+    return joined.filter(F.abs(F.col("a_units") - F.col("b_units")) <= units).drop("bucket")
 
 
-def _link_cells(a: DataFrame, b: DataFrame, keys: list[str], cents: int, days: int) -> tuple[DataFrame, int]:
+def _link_cells(a: DataFrame, b: DataFrame, keys: list[str], units: int, days: int) -> tuple[DataFrame, int]:
     """How many lines of which cells match: closest cells first, until nothing is left to match.
 
     Rows: both cells, the first used line number of either cell, the number of lines. Also the size
     of the largest cell.
     """
-    link = [*keys, "a_day", "a_cents", "b_day", "b_cents"]
+    link = [*keys, "a_day", "a_units", "b_day", "b_units"]
     zero = F.lit(0).cast("bigint")
     # equal cells first: one row per cell with the lines of either side
     sides = [
-        cells.select(*keys, "day", "cents", *[(F.col("n") if s == t else zero).alias(f"{t}_n") for t in ("a", "b")])
+        cells.select(*keys, "day", "units", *[(F.col("n") if s == t else zero).alias(f"{t}_n") for t in ("a", "b")])
         for s, cells in (("a", a), ("b", b))
     ]
-    both = sides[0].unionByName(sides[1]).groupBy(*keys, "day", "cents").agg(F.sum("a_n").alias("a_n"), F.sum("b_n").alias("b_n"))
+    both = sides[0].unionByName(sides[1]).groupBy(*keys, "day", "units").agg(F.sum("a_n").alias("a_n"), F.sum("b_n").alias("b_n"))
     both = cut_lineage(both.withColumn("m", F.least("a_n", "b_n")))
     largest = both.agg(F.max(F.greatest("a_n", "b_n"))).first()[0] or 0
     same = both.filter("m > 0")
     for s in ("a", "b"):
-        same = same.withColumn(f"{s}_day", F.col("day")).withColumn(f"{s}_cents", F.col("cents")).withColumn(f"{s}_from", zero)
+        same = same.withColumn(f"{s}_day", F.col("day")).withColumn(f"{s}_units", F.col("units")).withColumn(f"{s}_from", zero)
     links = [same.select(*link, "a_from", "b_from", "m")]
-    if not cents and not days:
+    if not units and not days:
         return links[0], largest
     rest = [
         both.filter(f"{s}_n > m").select(
             *keys,
             F.col("day").alias(f"{s}_day"),
-            F.col("cents").alias(f"{s}_cents"),
+            F.col("units").alias(f"{s}_units"),
             (F.col(f"{s}_n") - F.col("m")).alias(f"{s}_left"),
             F.col("m").alias(f"{s}_used"),
         )
@@ -140,11 +143,11 @@ def _link_cells(a: DataFrame, b: DataFrame, keys: list[str], cents: int, days: i
     ]
     rank = F.struct(
         F.abs(F.col("a_day") - F.col("b_day")).alias("gap"),
-        F.abs(F.col("a_cents") - F.col("b_cents")).alias("diff"),
-        "a_day", "a_cents", "b_day", "b_cents",
+        F.abs(F.col("a_units") - F.col("b_units")).alias("diff"),
+        "a_day", "a_units", "b_day", "b_units",
     )
-    by_a, by_b = W.partitionBy(*keys, "a_day", "a_cents"), W.partitionBy(*keys, "b_day", "b_cents")
-    live = _neighbours(*rest, keys, cents, days).withColumn("rank", rank)
+    by_a, by_b = W.partitionBy(*keys, "a_day", "a_units"), W.partitionBy(*keys, "b_day", "b_units")
+    live = _neighbours(*rest, keys, units, days).withColumn("rank", rank)
     while True:
         chosen = (
             live.withColumn("mutual", F.col("rank") == F.min("rank").over(by_a))
@@ -178,15 +181,15 @@ def match_lines(a: DataFrame, b: DataFrame, a_side: Side, b_side: Side, settings
         raise ValueError("both sides need the same number of keys")
     keys = [f"k{i}" for i in range(len(a_side.keys))]
     sides = [_lines(df, side, neg, holidays) for df, side, neg in ((a, a_side, False), (b, b_side, negate_b))]
-    cells = [lines.groupBy(*keys, "day", "cents").agg(F.count(F.lit(1)).alias("n")) for lines in sides]
-    tolerance = int(round(settings.amount_tolerance * 100))
+    cells = [lines.groupBy(*keys, "day", "units").agg(F.count(F.lit(1)).alias("n")) for lines in sides]
+    tolerance = round(settings.amount_tolerance * UNITS)
     links, largest = _link_cells(*cells, keys, tolerance, settings.date_tolerance)
-    link = [*keys, "a_day", "a_cents", "b_day", "b_cents"]
+    link = [*keys, "a_day", "a_units", "b_day", "b_units"]
 
     def placed(lines: DataFrame, s: str) -> DataFrame:
-        numbered = window(lines, "rn", "ROW_NUM", sorts=[("id", "asc")], partitions=[*keys, "day", "cents"], split=largest > MAX_GROUP_ROWS)
-        named = numbered.select(*keys, F.col("day").alias(f"{s}_day"), F.col("cents").alias(f"{s}_cents"), F.col("id").alias(f"{s}_id"), "rn")
-        joined = named.join(links, [*keys, f"{s}_day", f"{s}_cents"])
+        numbered = window(lines, "rn", "ROW_NUM", sorts=[("id", "asc")], partitions=[*keys, "day", "units"], split=largest > MAX_GROUP_ROWS)
+        named = numbered.select(*keys, F.col("day").alias(f"{s}_day"), F.col("units").alias(f"{s}_units"), F.col("id").alias(f"{s}_id"), "rn")
+        joined = named.join(links, [*keys, f"{s}_day", f"{s}_units"])
         slot = F.col("rn") - 1 - F.col(f"{s}_from")
         return joined.withColumn("slot", slot).filter("slot >= 0 and slot < m").select(*link, "slot", f"{s}_id")
 
@@ -195,7 +198,7 @@ def match_lines(a: DataFrame, b: DataFrame, a_side: Side, b_side: Side, settings
         "a_id",
         "b_id",
         F.abs(F.col("a_day") - F.col("b_day")).alias("day_gap"),
-        ((F.col("a_cents") - F.col("b_cents")) / 100).alias("amount_diff"),
+        ((F.col("a_units") - F.col("b_units")) / UNITS).alias("amount_diff"),
     )
 
 
@@ -326,18 +329,18 @@ def recon_summary(items: DataFrame) -> DataFrame:
         F.coalesce(F.sum(lines), F.lit(0)).alias("lines"),
     )
     rate = F.coalesce(F.try_divide(F.lit(200.0) * F.col("matched_count"), F.col("lines")), F.lit(0.0))
-    cents = lambda c: F.round(c, 2)
+    units = lambda c: F.round(c, 2)
     return totals.select(
-        cents(F.col("side_a_balance")).alias("side_a_balance"),
-        cents(F.col("side_b_balance")).alias("side_b_balance"),
-        cents(F.col("side_a_balance") + F.col("to_a")).alias("side_a_adjusted"),
-        cents(F.col("side_b_balance") + F.col("to_b")).alias("side_b_adjusted"),
-        cents(F.col("side_a_balance") + F.col("to_a") - F.col("side_b_balance") - F.col("to_b")).alias("unexplained_difference"),
+        units(F.col("side_a_balance")).alias("side_a_balance"),
+        units(F.col("side_b_balance")).alias("side_b_balance"),
+        units(F.col("side_a_balance") + F.col("to_a")).alias("side_a_adjusted"),
+        units(F.col("side_b_balance") + F.col("to_b")).alias("side_b_adjusted"),
+        units(F.col("side_a_balance") + F.col("to_a") - F.col("side_b_balance") - F.col("to_b")).alias("unexplained_difference"),
         "matched_count",
         F.round(rate, 2).alias("match_rate"),
         F.when(rate >= GREEN_RATE, "green").when(rate >= AMBER_RATE, "amber").otherwise("red").alias("match_rate_status"),
         "items_needing_action",
-        cents(F.col("total_reconciling")).alias("total_reconciling"),
+        units(F.col("total_reconciling")).alias("total_reconciling"),
     )
 
 
