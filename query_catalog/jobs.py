@@ -51,7 +51,7 @@ def infer(t):
 
 @query("""SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY n_chars DESC, doc_id) <= 1000 THEN CASE WHEN contains(text, 'the') THEN 'english' ELSE 'other' END END AS "AI Answer" FROM documents""")
 def infer_default_row_limit(t):
-    df = inf.infer(t.documents.select("doc_id", "n_chars", "text"), "{{text}}", keyword_answer, order=[("n_chars", "dsc"), ("doc_id", "asc")])
+    df = inf.infer(t.documents.select("doc_id", "n_chars", "text"), "{{text}}", keyword_answer, row_limit=1000, order=[("n_chars", "dsc"), ("doc_id", "asc")])
     return df.select("doc_id", "AI Answer")
 
 
@@ -464,4 +464,4 @@ def quarterly_history(t):
     filled = joins.blend(grid, best.select("l_suppkey", "q", "l_extendedprice"), [On("l_suppkey", "eq", "l_suppkey"), On("q", "eq", "q")], "left")
     filled = filled.select("l_suppkey", "q", F.coalesce("l_extendedprice", F.lit(0.0)).alias("price"))
     filled = window(filled, "previous", "LAG", "price", [("q", "asc")], ["l_suppkey"])
-    return window(filled, "recency", "RANK", sorts=[("q", "dsc")], partitions=["l_suppkey"]).withColumn("recency", C("recency").cast("bigint"))
+    return window(filled, "recency", "RANK", sorts=[("q", "dsc")], partitions=["l_suppkey"])

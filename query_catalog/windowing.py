@@ -26,7 +26,7 @@ def window_ordered(t):
     step = partial(window, sorts=ORDER, partitions=["user_id"])
     df = step(df, "prev", "LAG", "value")
     df = step(df, "next2", "LEAD", "value", offset=2)
-    df = step(df, "rn", "ROW_NUM").withColumn("rn", F.col("rn").cast("bigint"))
+    df = step(df, "rn", "ROW_NUM")
     df = step(df, "running", "CUM_SUM", "value")
     return df.select("event_id", "prev", "next2", "rn", F.round("running", 2).alias("running"))
 
@@ -44,7 +44,7 @@ CAST(ntile(3) OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS
 def window_rank_ntile(t):
     df = window(t.orders, "r", "RANK", sorts=[("o_orderpriority", "dsc")], partitions=["o_custkey"])
     df = window(df, "tile", "NTILE", sorts=[("o_totalprice", "asc"), ("o_orderkey", "asc")], partitions=["o_custkey"], ntile=3)
-    return df.select("o_orderkey", F.col("r").cast("bigint").alias("r"), "tile")
+    return df.select("o_orderkey", "r", "tile")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, row_number() OVER o AS rn, round(sum(l_quantity) OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING), 2) AS running

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -203,7 +204,7 @@ def test_hierarchy_depth_cycles_and_orphans(rows):
     assert got[299] == (300, 300.0) and got[0] == (1, 1.0) and got[1000] == (1, 5.0)
     assert out.filter("id = 3").first()["path"] == "3>2>1>0"
     with pytest.raises(ValueError, match="does not end"):
-        hierarchy(rows([(1, 2), (2, 3), (3, 1)], "id int, up int"), "id", "up", [Agg("COUNT", None, "n")], max_depth=16)
+        hierarchy(rows([(1, 2), (2, 3), (3, 1)], "id int, up int"), "id", "up", [Agg("COUNT", None, "n")])
     with pytest.raises(ValueError, match="not unique"):
         hierarchy(rows([(1, 2), (1, None)], "id int, up int"), "id", "up", [Agg("COUNT", None, "n")])
 
@@ -403,3 +404,74 @@ def test_tolerances_include_their_limit(rows):
     assert values(joins.tolerance_join(left, right, date=("d", "e", 3)), "i", "j") == [(1, 7), (1, 8), (2, 7), (2, 8)]
     assert values(joins.tolerance_join(left, right, amount=("a", "b", 0.01), date=("d", "e", 3)), "i", "j") == [(1, 7)]
     assert joins.tolerance_join(left, right, amount=("a", "b", 0)).count() == 0
+
+
+def test_tolerance_join_on_every_cent(rows):
+    grid = [(c, c / 100) for c in range(-300, 2000)]
+    left, right = rows(grid, "i int, a double"), rows(grid, "j int, b double")
+    got = values(joins.tolerance_join(left, right, amount=("a", "b", 0.01)), "i", "j")
+    assert got == sorted([(i, j) for i, _ in grid for j in (i - 1, i, i + 1) if -300 <= j < 2000], key=repr)
+
+
+def test_interval_join_against_brute_force(rows):
+    draws = np.random.default_rng(2)
+    points = [(i, None if i % 17 == 0 else float(np.round(draws.normal(0, 100), 1))) for i in range(200)]
+    spans = [(j, float(a), None if j % 13 == 0 else float(a + w)) for j, (a, w) in enumerate(zip(np.round(draws.normal(0, 100, 80), 1), np.round(np.exp(draws.normal(0, 3, 80)) - 1, 1)))]
+    left, right = rows(points, "i int, x double"), rows(spans, "j int, lo double, hi double")
+    on = [On("x", "ge", "lo"), On("x", "le", "hi")]
+    want = sorted([(i, j) for i, x in points for j, lo, hi in spans if x is not None and hi is not None and lo <= x <= hi], key=repr)
+    joined = joins.blend(left, right, on)
+    assert values(joined, "i", "j") == want
+    plan = joined._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    inner, left_only, right_only = joins.blend_forks(left, right, on)
+    assert {r[0] for r in values(left_only, "i")} == ({i for i, _ in points} - {i for i, _ in want})
+    assert {r[0] for r in values(right_only, "j")} == ({j for j, *_ in spans} - {j for _, j in want})
+    assert {r[0] for r in values(joins.semi(left, right, on), "i")} == {i for i, _ in want}
+    turned = [On("lo", "le", "x"), On("hi", "ge", "x")]
+    assert values(joins.blend(right, left, turned), "i", "j") == want
+
+
+def test_forms_of_a_window_agree(rows):
+    df = rows([(k % 3, i, float(i % 4)) for i, k in enumerate(range(60))], "k int, i int, v double")
+    for calc, field in (("ROW_NUM", None), ("RANK", None), ("NTILE", None), ("LAG", "v"), ("LEAD", "v"), ("CUM_SUM", "v"), ("FILL_DOWN", "v")):
+        forms = [window(df, "w", calc, field, sorts=[("v", "asc")], partitions=["k"], ntile=4, split=split) for split in (False, True)]
+        assert forms[0].schema["w"].dataType == forms[1].schema["w"].dataType, calc
+        assert values(forms[0], "i", "w") == values(forms[1], "i", "w"), calc
+    for split in (False, True):
+        with pytest.raises(ValueError):
+            window(df, "w", "LAG", "v", sorts=[("v", "asc")], partitions=["k"], offset=0, split=split)
+
+
+def test_expand_beyond_the_broadcast_limit(rows, monkeypatch):
+    main, small = rows([(1,), (2,)], "a int"), rows([(i,) for i in range(7)], "b int")
+    want = values(joins.expand(main, small), "a", "b")
+    monkeypatch.setattr(joins, "EXPAND_BROADCAST_ROWS", 3)
+    beyond = joins.expand(main, small)
+    assert values(beyond, "a", "b") == want and beyond.schema == joins.expand(main, small).schema
+
+
+def test_infer_scores_every_row_once(rows):
+    df = rows([(i, i % 2) for i in range(12)], "i int, k int")
+    out = inf.infer(df, "{{i}}", lambda s: s, row_limit=5, order=[("k", "asc")])
+    assert values(out, "i", "AI Answer") == sorted([(i, str(i) if i % 2 == 0 and i < 10 else None) for i in range(12)], key=repr)
+    assert inf.infer(df, "{{i}}", lambda s: s).filter("`AI Answer` IS NULL").count() == 0
+    with pytest.raises(ValueError):
+        inf.call_api(df, "http://x", lambda *a: (200, ""), method="FETCH")
+
+
+def test_repeated_keys_are_not_called_equal(rows):
+    base = rows([("a", 5.0, "x"), ("a", 7.0, "y"), ("b", 1.0, "a"), ("b", 1.0, "b"), ("b", 1.0, "d"), ("c", 1.0, "z")], "k string, v double, t string")
+    new = rows([("a", 6.0, "y"), ("a", 6.0, "x"), ("b", 1.0, "a"), ("b", 1.0, "c"), ("b", 1.0, "d"), ("c", 1.0, "z")], "k string, v double, t string")
+    got = {r.k: r.status for r in compare.compare_tables(base, new, ["k"], ["v"], ["t"]).collect()}
+    assert got == {"A": "repeated key", "B": "differs", "C": "equal"}
+    assert {r.k: r.status for r in compare.compare_tables(base, base, ["k"], [], ["t"]).collect()} == {"A": "equal", "B": "equal", "C": "equal"}
+
+
+def test_reconcile_below_a_cent(rows):
+    day = dt.date(2024, 1, 2)
+    a = rows([(1, day, 10.005), (2, day, 20.004)], "i int, d date, v double")
+    b = rows([(7, day, 10.0249), (8, day, 20.009)], "i int, d date, v double")
+    side = rec.Side("i", "d", "v")
+    pairs = lambda tolerance: values(rec.match_lines(a, b, side, side, rec.Settings(tolerance, 0, 1.0)), "a_id", "b_id")
+    assert pairs(0.01) == [(2, 8)] and pairs(0.005) == [(2, 8)] and pairs(0.0199) == [(1, 7), (2, 8)] and pairs(0.004) == []
