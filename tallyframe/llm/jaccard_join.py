@@ -67,8 +67,8 @@ def _cell(hashes: np.ndarray, row: int) -> np.ndarray:
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
-    """Token bitmap of at least four bits a token, a power of two wide, as 64-bit words."""
-    width = 1 << max(6, (4 * len(hashes) - 1).bit_length())
+    """Token bitmap of at least two bits a token, a power of two wide, as 64-bit words."""
+    width = 1 << max(6, (2 * len(hashes) - 1).bit_length())
     bits = np.zeros(width, dtype=np.uint8)
     bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").view("<u8")
@@ -219,7 +219,7 @@ def _shared(posted: DataFrame) -> DataFrame:
         goes_on, pivot = False, 0
 
         def out(rows: list[np.ndarray], pivots: np.ndarray, keep: np.ndarray):
-            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (rows[0], rows[2], rows[3], pivots)], ["key", "level", "cls", "pivot"])
+            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (rows[0], rows[2], rows[3], pivots, rows[1] >= 0)], ["key", "level", "cls", "pivot", "dealt"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -244,13 +244,13 @@ def _shared(posted: DataFrame) -> DataFrame:
             keep = np.array([goes_on or wait[1][0] >= 0])
             yield out(wait, np.array([pivot]), keep)
 
-    return dealt.mapInArrow(run, "key long, level int, cls long, pivot long")
+    return dealt.mapInArrow(run, "key long, level int, cls long, pivot long, dealt boolean")
 
 
 def _stars(shared: DataFrame) -> DataFrame:
     """Pairs to compare first: each class with its level's pivot, and pivots of one bucket's parts with the least of them."""
     own = shared.filter("cls <> pivot").selectExpr("pivot AS a", "cls AS b")
-    heads = shared.filter("cls = pivot").select("key", "level", "cls")
+    heads = shared.filter("dealt AND cls = pivot").select("key", "level", "cls")
     least = heads.groupBy("key", "level").agg(F.min("cls").alias("a"), F.count("*").alias("parts")).filter("parts > 1")
     across = heads.join(least, ["key", "level"]).filter("cls <> a").selectExpr("a", "cls AS b")
     return own.unionByName(across).distinct()
@@ -277,11 +277,11 @@ def _pruned(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
 
 def _tree_pairs(unit: dict[str, np.ndarray], best_only: bool) -> np.ndarray:
-    """(a, b) of a unit's pairs of different components that its signature tree leaves possible."""
+    """(most, x, y, a, b): a unit's pairs of different components x, y that its signature tree leaves possible."""
     at, halves = unit["at"][0], unit["first"][0] != unit["second"][0]
     comp, level = unit["comp"], unit["level"]
     if len(comp) < 2 or (comp == comp[0]).all() or not (level == at).any():
-        return np.empty((0, 2), np.int64)
+        return np.empty((0, 5), np.int64)
     order = np.lexsort((unit["cls"], unit["n"]))
     cls, comp, level, part = (unit[c][order] for c in ("cls", "comp", "level", "part"))
     words = [np.frombuffer(unit["bits"][i], dtype="<u8") for i in order]
@@ -298,7 +298,7 @@ def _tree_pairs(unit: dict[str, np.ndarray], best_only: bool) -> np.ndarray:
             found = np.concatenate((found, pairs))
             if best_only:
                 found = _best(found)
-    return found[:, 3:]
+    return found
 
 
 def _best(pairs: np.ndarray) -> np.ndarray:
@@ -322,6 +322,16 @@ def _treed(members: DataFrame, best_only: bool) -> DataFrame:
         import pyarrow as pa
 
         held: list[dict[str, np.ndarray]] = []
+
+        def joined() -> np.ndarray:
+            whole = {c: np.concatenate([h[c] for h in held]) for c in names}
+            held.clear()
+            return _tree_pairs(whole, best_only)
+
+        def out(found: list[np.ndarray]):
+            columns = np.concatenate([np.empty((0, 5), np.int64), *found]).T
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["most", "x", "y", "a", "b"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -330,51 +340,64 @@ def _treed(members: DataFrame, best_only: bool) -> DataFrame:
             for c in unit:
                 new[1:] |= rows[c][1:] != rows[c][:-1]
             new[0] = bool(held) and any(held[-1][c][-1] != rows[c][0] for c in unit)
-            cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
-            out = []
-            for low, high in zip(cuts, cuts[1:], strict=False):
-                if new[low] and held:  # the unit of the batch before ends here
-                    out.append(_tree_pairs({c: np.concatenate([h[c] for h in held]) for c in names}, best_only))
-                    held = []
+            starts = np.flatnonzero(new).tolist()
+            found = []
+            for low, high in zip([0, *starts], [*starts, batch.num_rows], strict=True):
                 if high > low:
-                    part = {c: x[low:high] for c, x in rows.items()}
-                    if high < batch.num_rows and not held:
-                        out.append(_tree_pairs(part, best_only))
-                    elif high < batch.num_rows:
-                        held.append(part)
-                        out.append(_tree_pairs({c: np.concatenate([h[c] for h in held]) for c in names}, best_only))
-                        held = []
-                    else:
-                        held.append(part)
-            pairs = np.concatenate(out) if out else np.empty((0, 2), np.int64)
-            if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                    held.append({c: x[low:high] for c, x in rows.items()})
+                if high < batch.num_rows and held:  # the next row opens another unit
+                    found.append(joined())
+            yield out(found)
         if held:
-            pairs = _tree_pairs({c: np.concatenate([h[c] for h in held]) for c in names}, best_only)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            yield out([joined()])
 
-    units = members.select("*", F.explode(F.array(F.col("level") - 1, F.col("level"))).alias("at"))
-    units = units.select("*", F.explode(F.expr("sequence(0L, parts - 1)")).alias("other"))
+    own = F.when(F.col("parts").isNotNull(), F.struct(F.col("level").alias("at"), "parts"))
+    below = F.when(F.col("parts_below").isNotNull(), F.struct((F.col("level") - 1).alias("at"), F.col("parts_below").alias("parts")))
+    units = members.withColumn("unit", F.explode(F.array_compact(F.array(own, below)))).drop("parts", "parts_below")
+    units = units.select("*", "unit.at", F.pmod("cls", F.col("unit.parts")).cast("int").alias("part"), F.explode(F.expr("sequence(0, unit.parts - 1)")).alias("other"))
     units = units.select("*", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"))
     dealt = units.select(*names).repartition(*unit).sortWithinPartitions(*unit)
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    pairs = dealt.mapInArrow(run, "most long, x long, y long, a long, b long")
+    if best_only:
+        return pairs.groupBy("x", "y").agg(F.max(F.struct("most", "a", "b")).alias("best")).select("best.a", "best.b")
+    return pairs.select("a", "b").distinct()
 
 
 def _members(shared: DataFrame, comps: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Postings in buckets that span several components, of equal buckets one.
+    """Postings in the units (two neighbouring size levels of a bucket) that span several components.
 
-    A bucket of two needs no tree: on one size level the pair has been compared, and more than one
-    level apart it can't be a link.
+    Of units with the same members one is kept. Two classes of one level have been compared, so they
+    need no unit.
     """
-    named = staged(shared.join(comps, F.col("cls") == F.col("node"), "left").selectExpr("key", "level", "cls", "coalesce(component, cls) AS comp"), "buckets")
-    spans = named.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"), (F.max("level") - F.min("level")).alias("levels"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("xor")
+    named = shared.join(comps, F.col("cls") == F.col("node"), "left")
+    named = named.select("key", "level", "cls", F.coalesce("component", "cls").alias("comp"), F.xxhash64("key", "level").alias("place"))
+    named = staged(named, "buckets")
+    number = lambda c: c.cast("decimal(38,0)")
+    by_level = named.groupBy("key", "level").agg(
+        F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum(number(F.xxhash64("cls"))).alias("sum"), F.sum(number(F.xxhash64("cls", F.lit(1)))).alias("sum2")
+    )
+    by_level = staged(by_level, "bucket-levels")
+    above = by_level.select("key", (F.col("level") - 1).alias("level"), *[F.col(c).alias(f"{c}_up") for c in ("size", "low", "high", "sum", "sum2")])
+    both = by_level.join(above, ["key", "level"], "left")
+    enough = F.col("size_up").isNotNull() | (F.col("size") > 2)
+    spans = F.least("low", "low_up") != F.greatest("high", "high_up")
+    plus = lambda c: F.col(c) + F.coalesce(f"{c}_up", F.lit(0))
+    units = both.filter(enough & spans).select(
+        "key", "level", F.col("size"), F.coalesce("size_up", F.lit(0)).alias("size_up"), plus("size").alias("all"), plus("sum").alias("s1"), plus("sum2").alias("s2")
+    )
+    # the largest key's unit stands for those with the same members on both levels
+    kept = units.groupBy("all", "s1", "s2", "size").agg(F.max(F.struct("key", "level", "size_up")).alias("u")).select("u.*", "size", "all")
+    # a unit is found by the members of its lower and of its upper level, with the number of its parts
+    parts = F.ceil(F.col("all") / BLOCK).cast("int")
+    none = F.lit(None).cast("int")
+    lower = kept.select("key", "level", "size", parts.alias("parts"), none.alias("parts_below"))
+    upper = kept.filter("size_up > 0").select("key", (F.col("level") + 1).alias("level"), F.col("size_up").alias("size"), none.alias("parts"), parts.alias("parts_below"))
+    places = lower.unionByName(upper).groupBy(F.xxhash64("key", "level").alias("place")).agg(
+        F.max("size").alias("size"), F.max("parts").alias("parts"), F.max("parts_below").alias("parts_below")
     )
-    keys = spans.filter("low <> high AND (size > 2 OR levels = 1)").groupBy("size", "sum", "xor").agg(F.min("key").alias("key"))
-    keys = staged(keys.select("key", "size"), "bucket-keys")
-    kept = join_groups(named, keys, "key", "size", named.count()).filter("size IS NOT NULL")
-    parts = F.ceil(F.col("size") / BLOCK).cast("long")
-    return kept.withColumn("parts", parts).withColumn("part", F.pmod("cls", F.col("parts"))).join(bitmaps, "cls")
+    places = staged(places, "bucket-units")
+    found = join_groups(named, places, "place", "size", named.count()).filter("size IS NOT NULL")
+    return found.select("key", "level", "cls", "comp", "parts", "parts_below").join(bitmaps, "cls")
 
 
 # --- the join -----------------------------------------------------------------------------------
