@@ -119,7 +119,8 @@ def _windows_1252(name: str) -> Column:
 def _headers(spark: SparkSession, path: str | list[str], options: dict[str, str]) -> list[tuple[list[str], list[str]]]:
     """The different headers of the files at a path, each with its files; one pass, one line per file comes back."""
     chosen = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup", "modifiedAfter", "encoding")}
-    lines = spark.read.options(**chosen).text(path)
+    # whole lines in the file's own encoding: no separator or quote that could occur
+    lines = spark.read.options(**chosen, sep="\x01", quote="", header="false").schema("value string").csv(path)
     lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
 
     def firsts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,6 +133,8 @@ def _headers(spark: SparkSession, path: str | list[str], options: dict[str, str]
 
     found: dict[str, list[str]] = {}
     for file, line in sorted(map(tuple, lines.mapInPandas(firsts, "file string, value string").collect())):
+        if options["encoding"] == "ISO-8859-1":
+            line = line.encode("latin-1").decode("cp1252", "replace")
         found.setdefault(line, []).append(unquote(file))
     if not found:
         raise ValueError("the files have no rows")
