@@ -3,6 +3,7 @@ import cases
 import corpus_pipeline
 import public_tokenizers
 import test_decontaminate
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyframe.llm import lang_id
@@ -27,7 +28,7 @@ def test_stages_against_brute_force(spark, tmp_path):
         ids = {r.doc_id for r in after}
         assert len(ids) == len(after)
         if name == "language_id":
-            model = lang_id.fit(spark.createDataFrame(before, docs.schema).filter(~lang_id.held_out("doc_id")), "text", "lang", docs["doc_id"])
+            model = lang_id.fit(spark.createDataFrame(before, docs.schema).filter(~lang_id.held_out("doc_id")), "text", "lang", F.col("doc_id"))
             want = {r.doc_id for r in before if model.predict(r.text)[0] != "und" and model.predict(r.text)[1] >= 0.5}
         elif name == "exact_dedup":
             want = set({(r.text or "").translate(cases.LOWER): r.doc_id for r in sorted(before, key=lambda r: r.doc_id)}.values())
