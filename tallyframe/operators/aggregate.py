@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from ..types import ref, resolve
 from .keys import attach, check_sorts, order_key, sort_columns, with_tiebreak
 
+# Names of the calculations, and of those that a source can do itself.
 CALCS = ("SUM", "COUNT", "NUNIQUE", "MIN", "MAX", "AVG", "MEDIAN", "MODE", "FIRST", "LAST", "STDDEV", "VAR", "JOIN_STR", "JOIN_STR_DISTINCT")
 PUSHDOWN_CALCS = ("SUM", "COUNT", "NUNIQUE", "MIN", "MAX", "AVG")
 
@@ -65,8 +66,10 @@ def exact_median(df: DataFrame, keys: list[str], field: str, out: str) -> DataFr
 
     An approximate sketch brackets the middle of each group; a second pass counts what lies below
     the bracket and the distinct values inside it (a thousandth of the group or a few ties), and
-    only those are ordered.
+    only those are ordered, by several tasks where a group is large.
     """
+    from .windows import window
+
     accuracy, margin = 10_000, 0.0005
     values = df.select(*[ref(k) for k in keys], ref(field).cast("double").alias("__v")).filter("__v is not null")
     if not keys:
@@ -82,8 +85,8 @@ def exact_median(df: DataFrame, keys: list[str], field: str, out: str) -> DataFr
         near.groupBy(*[ref(k) for k in by], inside.alias("__m"))
         .agg(F.count(F.lit(1)).alias("__c"), F.max("__n").alias("__n"))
     )
-    upto = W.partitionBy(*[ref(k) for k in by]).orderBy(ref("__m").asc_nulls_first()).rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counts.withColumn("__upto", F.sum("__c").over(upto))
+    # a running count that is split over tasks for the whole table and for large groups
+    ranked = window(cut_lineage(counts), "__upto", "CUM_SUM", "__c", sorts=[("__m", "asc")], partitions=keys)
     low = F.floor((ref("__n") + 1) / 2)
     high = F.floor(ref("__n") / 2) + 1
     return ranked.groupBy(*[ref(k) for k in keys]).agg(

@@ -21,7 +21,7 @@ from .shape import reject_duplicates
 
 EQUALITY, THETA, TEXT = ("eq",), ("ne", "gt", "ge", "lt", "le"), ("contains", "is_part_of")
 COMPARABLE = {"integer": "number", "datetime": "date"}
-# Leading characters of a searched text that are looked up as a key.
+# Characters of the piece of a searched text that is looked up as a key.
 PROBE = 8
 # Exponent of the narrowest bin of an interval join.
 MIN_LEVEL = -20
@@ -254,19 +254,29 @@ def anti(left: DataFrame, right: DataFrame, on: list[On], null_safe: bool = Fals
 def contained_pairs(wholes: DataFrame, parts: DataFrame) -> DataFrame:
     """Distinct (whole, part) text pairs where the part occurs in the whole.
 
-    A part is looked up by its first characters among all substrings of that length, so work grows
-    with the texts' length, not with the number of pairs.
+    All substrings of ``PROBE`` characters of the wholes are counted, and a part is looked up by the
+    one of its own that fewest wholes have; a shorter part by itself. So texts that all begin alike
+    are told apart by what they differ in, and candidates grow with the rarest piece's wholes.
     """
     wholes = wholes.select(F.col(f"`{wholes.columns[0]}`").cast("string").alias("whole")).distinct()
     parts = parts.select(F.col(f"`{parts.columns[0]}`").cast("string").alias("part")).filter(F.trim("part") != "").distinct()
-    probes = parts.withColumn("size", F.least(F.length("part"), F.lit(PROBE))).withColumn("probe", F.expr("left(part, size)"))
+    sized = parts.withColumn("size", F.least(F.length("part"), F.lit(PROBE)))
     # at most PROBE different sizes
-    sizes = sorted(r[0] for r in probes.select("size").distinct().collect())
+    sizes = sorted(r[0] for r in sized.select("size").distinct().collect())
     if not sizes:
         return wholes.join(parts, F.lit(False))
-    pieces = F.flatten(F.array(*[_substrings("whole", n) for n in sizes]))
-    spread = wholes.select("whole", F.explode(F.array_distinct(pieces)).alias("probe"))
-    return spread.join(probes, "probe").filter(F.contains("whole", "part")).select("whole", "part")
+
+    def pieces(df: DataFrame, text: str, size: int) -> DataFrame:
+        return df.select(text, F.explode(F.array_distinct(_substrings(text, size))).alias("probe"))
+
+    spread = reduce(DataFrame.unionByName, [pieces(wholes, "whole", n) for n in sizes])
+    asked = reduce(DataFrame.unionByName, [pieces(sized.filter(F.col("size") == n), "part", n) for n in sizes])
+    spread = cut_lineage(spread.join(asked.select("probe").distinct(), "probe", "left_semi"))
+    counts = spread.groupBy("probe").agg(F.count(F.lit(1)).alias("n"))
+    # a piece that no whole has rules its part out
+    rarest = asked.join(counts, "probe", "left").groupBy("part").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "probe")).alias("r"))
+    chosen = rarest.filter("r.n > 0").select("part", "r.probe")
+    return spread.join(chosen, "probe").filter(F.contains("whole", "part")).select("whole", "part")
 
 
 def _substrings(name: str, size: int) -> Column:

@@ -475,3 +475,11 @@ def test_reconcile_below_a_cent(rows):
     side = rec.Side("i", "d", "v")
     pairs = lambda tolerance: values(rec.match_lines(a, b, side, side, rec.Settings(tolerance, 0, 1.0)), "a_id", "b_id")
     assert pairs(0.01) == [(2, 8)] and pairs(0.005) == [(2, 8)] and pairs(0.0199) == [(1, 7), (2, 8)] and pairs(0.004) == []
+
+
+def test_containment_with_one_shared_beginning(rows):
+    texts = [f"invoice {i:05d} of the year" for i in range(400)]
+    left, right = rows([(t,) for t in texts] + [("short x",), (None,)], "w string"), rows([(f"invoice {i:05d}",) for i in range(0, 400, 2)] + [("x",), (" ",), ("t x",), (None,)], "p string")
+    got = joins.contained_pairs(left, right)
+    want = {(w, p) for w in [*texts, "short x"] for p in [f"invoice {i:05d}" for i in range(0, 400, 2)] + ["x", "t x"] if p in w}
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
