@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators import cleanse, infer as inf, joins, semistructured as semi
+from tallyframe.functions.predicates import Rule, flag, rule_column
+from tallyframe.operators import cleanse, filters, infer as inf, joins, semistructured as semi
+from tallyframe.operators.aggregate import Agg
+from tallyframe.operators.hierarchy import hierarchy
 from tallyframe.operators.joins import On
 from tallyframe.plans import compare, reconcile as rec
 from tallyframe.plans.reconcile import Settings, Side
@@ -118,3 +121,45 @@ def read_delimited_by_name(t):
     t.orders.filter("o_orderkey % 2 = 1").select(C("o_orderkey").alias("id"), note, C("o_totalprice").alias("price")).write.options(**options).csv(path)
     t.orders.filter("o_orderkey % 2 = 0").select(note, C("o_orderkey").alias("id")).write.mode("append").options(**options).csv(path)
     return readers.read_delimited(t.spark, path, multiline=True, types={"id": "integer", "price": "number"}).select("id", "note", "price")
+
+
+AS_OF = "DATE '1995-03-31'"
+
+
+@query(f"""SELECT o_orderkey FROM (SELECT o_orderkey, o_orderdate::DATE AS d FROM orders) WHERE d = {AS_OF} - 1 OR d = {AS_OF} + 1 OR d = {AS_OF} - 7
+OR d = {AS_OF} - INTERVAL 1 MONTH OR d = {AS_OF} + INTERVAL 1 MONTH OR d = {AS_OF} - INTERVAL 1 YEAR OR d = {AS_OF} + INTERVAL 1 YEAR
+OR d < {AS_OF} - INTERVAL 2 YEAR AND d >= {AS_OF} - INTERVAL 30 MONTH OR d > {AS_OF} + INTERVAL 1 YEAR AND d < {AS_OF} + INTERVAL 14 MONTH""")
+def filter_named_dates(t):
+    """Named and counted relative dates as points, at the end of a long month."""
+    named = ["TOMORROW", "THE_LAST_WEEK", "THE_LAST_MONTH", "THE_NEXT_MONTH", "THE_LAST_YEAR", "THE_NEXT_YEAR"]
+    rules = [Rule("d", "IS", date_operator="YESTERDAY"), *[Rule("d", "IS", date_operator=n, connector="OR") for n in named]]
+    rules += [
+        Rule("d", "IS_BEFORE", "2", date_operator="_YEARS_AGO", connector="OR"),
+        Rule("d", "IS_ON_OR_AFTER", "30", date_operator="_MONTHS_AGO"),
+        Rule("d", "IS_AFTER", "1", date_operator="_YEARS_FROM_NOW", connector="OR"),
+        Rule("d", "IS_BEFORE", "14", date_operator="_MONTHS_FROM_NOW"),
+    ]
+    return filters.filter_rules(t.orders.select("o_orderkey", C("o_orderdate").cast("date").alias("d")), rules, as_of="1995-03-31").select("o_orderkey")
+
+
+@query("""WITH e AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE c_name END AS name, CASE WHEN c_custkey % 3 > 0 THEN c_acctbal > 0 END AS rich FROM customer)
+SELECT c_custkey, CASE WHEN name IS NOT NULL AND trim(name) <> '' THEN 1 ELSE 0 END AS filled, CASE WHEN rich IS NOT TRUE THEN 1 ELSE 0 END AS not_true, CASE WHEN rich IS FALSE THEN 1 ELSE 0 END AS is_false FROM e
+WHERE name IS NOT NULL AND trim(name) <> '' OR coalesce(NOT rich, true)""")
+def filter_negated_tests(t):
+    k = C("c_custkey")
+    df = t.customer.select("c_custkey", F.when(k % 4 == 1, "").when(k % 4 > 1, C("c_name")).alias("name"), F.when(k % 3 > 0, C("c_acctbal") > 0).alias("rich"))
+    kept = filters.filter_rules(df, [Rule("name", "NOT IS_EMPTY"), Rule("rich", "IS NOT TRUE", connector="OR")])
+    test = lambda name, op: flag(rule_column(df, Rule(name, op)))
+    return kept.select("c_custkey", test("name", "NOT IS_EMPTY").alias("filled"), test("rich", "IS NOT TRUE").alias("not_true"), test("rich", "IS FALSE").alias("is_false"))
+
+
+@query("""WITH RECURSIVE c AS (SELECT c_custkey AS id, CASE WHEN c_custkey > 0 THEN c_custkey // 10 END AS parent, c_acctbal, c_mktsegment FROM customer),
+chain AS (SELECT id AS start, id, parent, c_acctbal, c_mktsegment, 0 AS depth FROM c
+UNION ALL SELECT chain.start, c.id, c.parent, c.c_acctbal, c.c_mktsegment, depth + 1 FROM chain JOIN c ON chain.parent = c.id),
+first AS (SELECT start, c_mktsegment, min(depth) AS d FROM chain GROUP BY 1, 2)
+SELECT v.start AS id, v.spread, f.segments FROM (SELECT start, round(var_samp(c_acctbal), 2) AS spread FROM chain GROUP BY 1) v
+JOIN (SELECT start, string_agg(c_mktsegment, '/' ORDER BY d) AS segments FROM first GROUP BY 1) f USING (start)""")
+def hierarchy_spread(t):
+    df = t.customer.select(C("c_custkey").alias("id"), F.when(C("c_custkey") > 0, F.floor(C("c_custkey") / 10)).alias("parent"), "c_acctbal", "c_mktsegment")
+    out = hierarchy(df, "id", "parent", [Agg("VAR", "c_acctbal", "spread"), Agg("JOIN_STR_DISTINCT", "c_mktsegment", "segments", delimiter="/")])
+    return out.select("id", F.round("spread", 2).alias("spread"), "segments")
