@@ -97,6 +97,14 @@ def shingle_sets(texts: Sequence[str], width: int = 5) -> Iterator[np.ndarray]:
         yield np.unique(window_hashes(words, width))
 
 
+def sequence_class(words: np.ndarray) -> int:
+    """A number that texts of the same words in the same order share (64 bits, signed)."""
+    with np.errstate(over="ignore"):
+        at = mixed(np.arange(1, len(words) + 1, dtype=np.uint64)) | np.uint64(1)
+        both = np.array([(words * at).sum(dtype=np.uint64) + np.uint64(len(words))], dtype=np.uint64)
+    return int(mixed(both).view(np.int64)[0])
+
+
 def set_class(hashes: np.ndarray) -> int:
     """A number that equal sets share (64 bits, signed)."""
     with np.errstate(over="ignore"):
