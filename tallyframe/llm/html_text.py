@@ -56,9 +56,11 @@ SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.15, 0.25
 MOST_LINKS = 0.4
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.DOTALL)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)|[^<]+|<", re.DOTALL)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN_ATTRIBUTE = re.compile(r"""(?:^|\s)hidden(?:\s|=|$|/)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
+# a slash at the end of a tag, but not of an unquoted value
+_CLOSED = re.compile(r"""(?:^|[\s"'])/\s*$""")
 _SPACES = re.compile(r"\s+")
 BREAK = "\n"
 
@@ -129,7 +131,7 @@ def blocks(page: str) -> list[Block]:
                 articles -= article
                 links -= other == "a"
                 headings -= other in HEADINGS
-        elif name not in VOID and not m[3].rstrip().endswith("/"):
+        elif name not in VOID and not _CLOSED.search(m[3]):
             if name in HIDDEN and name in ("script", "style", "noscript", "textarea", "title", "iframe", "template"):
                 end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, m.end())
                 skip_to = end.end() if end else len(page)

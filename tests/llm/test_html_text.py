@@ -73,3 +73,9 @@ def test_table(spark):
     assert sorted(((r.page_id or 0, r.url or "", r.n_chars) for r in got)) == sorted([(1, "u", len(PARA)), (1, "", len(PARA)), (0, "v", 0), (2, "w", 0), (3, "z", 301 * 0 + 300 * len(PARA) + 299)])
     assert all(r.n_chars == len(r.text) for r in got)
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_odd_attributes():
+    assert text(f"<article><p data-x=it's title='a > b'>{PARA}</p><p class=\"x>{MORE}</p></article>") == f"{PARA}\n{MORE}"
+    assert text(f"<article><a name='top'/><p>{PARA} <a href=http://x.example/a/>link</a></p></article>") == f"{PARA} link"
+    assert text("<article>" + "<p a=\"" * 3000 + f"><p>{PARA}</p></article>") .endswith(PARA)
