@@ -72,7 +72,7 @@ def profile_table(df: DataFrame, approximate: bool = False) -> DataFrame:
     """One row per column: name, dataType, sampleValues, nonEmptyCount, distinctCount.
 
     Samples are the smallest values as text. ``approximate`` estimates distinct counts in the one
-    pass that counts, without shuffling the values.
+    pass that counts and finds the samples in a few more, so no values are shuffled.
     """
     counts = []
     for i, c in enumerate(df.columns):
@@ -96,17 +96,18 @@ def profile_table(df: DataFrame, approximate: bool = False) -> DataFrame:
         .when(F.col("fractions") > 0, "number")
         .otherwise("integer")
     )
-    values = long_form(df).distinct()
-    smallest = W.partitionBy("name").orderBy("value")
-    samples = (
-        values.withColumn("rank", F.row_number().over(smallest))
-        .filter(F.col("rank") <= SAMPLES)
-        .groupBy("name")
-        .agg(F.sort_array(F.collect_list("value")).alias("sampleValues"))
-    )
     if approximate:
+        samples = _smallest_values(df)
         distinct = columns.select("name", F.col("estimate").alias("distinctCount"))
     else:
+        values = long_form(df).distinct()
+        smallest = W.partitionBy("name").orderBy("value")
+        samples = (
+            values.withColumn("rank", F.row_number().over(smallest))
+            .filter(F.col("rank") <= SAMPLES)
+            .groupBy("name")
+            .agg(F.sort_array(F.collect_list("value")).alias("sampleValues"))
+        )
         distinct = values.groupBy("name").agg(F.count(F.lit(1)).alias("distinctCount"))
     return (
         columns.withColumn("dataType", inferred)
@@ -123,6 +124,22 @@ def profile_table(df: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
+def _smallest_values(df: DataFrame) -> DataFrame:
+    """(name, sampleValues): each pass takes every column's smallest value above the one before."""
+    values = {c: F.when(~is_blank(ref(c)), F.trim(ref(c).cast("string"))) for c in df.columns}
+    found: dict[str, list[str]] = {c: [] for c in df.columns}
+    for _ in range(SAMPLES):
+        open_columns = [c for c, known in found.items() if known or not any(found.values())]
+        mins = [F.min(F.when(values[c] > F.lit(found[c][-1]), values[c]) if found[c] else values[c]) for c in open_columns]
+        row = df.agg(*mins).first() if mins else ()
+        for c, value in zip(open_columns, row):
+            if value is not None:
+                found[c].append(value)
+        if all(value is None for value in row):
+            break
+    return df.sparkSession.createDataFrame([(c, known) for c, known in found.items()], "name string, sampleValues array<string>")
+
+
 def expected_schema(profile: DataFrame, dates: DataFrame) -> DataFrame:
     """Adapter contract proposed from a profile and its date candidates."""
     found = dates.select(F.col("column").alias("name"), "expectedDataType")
