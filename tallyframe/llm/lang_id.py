@@ -46,14 +46,22 @@ WORD_PATTERN = r"\p{L}+"
 
 
 def sample(labelled: DataFrame, label: str, key: Column, rows: int) -> DataFrame:
-    """Of each label the rows with the lowest hash of ``key``; a task first keeps its own lowest."""
+    """Of each label the rows with the lowest hash of ``key``.
+
+    First the hash that bounds each label's sample is found, from labels and hashes alone; whole
+    rows then pass or don't where they are. There are as many bounds as labels, so they are
+    broadcast. Rows that tie with a bound are cut to the number by a last ranking.
+    """
     hashed = labelled.withColumn("__hash", F.xxhash64(key))
+    # salted first, so that a label in most rows isn't ordered by one task
+    light = hashed.select(label, "__hash").withColumn("__task", F.pmod("__hash", F.lit(64)))
     per_task = Window.partitionBy(label, "__task").orderBy("__hash")
     per_label = Window.partitionBy(label).orderBy("__hash")
-    # salted first, so that a label in most rows isn't ordered by one task
-    cut = hashed.withColumn("__task", F.pmod("__hash", F.lit(64))).withColumn("__n", F.row_number().over(per_task)).filter(F.col("__n") <= rows)
-    cut = cut.withColumn("__n", F.row_number().over(per_label)).filter(F.col("__n") <= rows)
-    return cut.drop("__hash", "__task", "__n")
+    least = light.withColumn("__n", F.row_number().over(per_task)).filter(F.col("__n") <= rows)
+    least = least.withColumn("__n", F.row_number().over(per_label)).filter(F.col("__n") <= rows)
+    bounds = staged(least.groupBy(label).agg(F.max("__hash").alias("__most")), "label-bounds")
+    near = hashed.join(F.broadcast(bounds), label).filter("__hash <= __most")
+    return near.withColumn("__n", F.row_number().over(per_label)).filter(F.col("__n") <= rows).drop("__hash", "__most", "__n")
 
 
 class Model:
