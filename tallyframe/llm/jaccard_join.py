@@ -204,7 +204,10 @@ def _posted(light: DataFrame, width: int, counts: np.ndarray) -> DataFrame:
 
 
 def _shared(posted: DataFrame) -> DataFrame:
-    """Postings of shingles that more than one class has, each with the first class of its size level."""
+    """Postings of shingles that more than one class has, each with the first class of its size level.
+
+    The first of a level also gets the first of the level below it in the bucket, if that is the next one.
+    """
     level = F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int").alias("level")
     rare = posted.select(F.explode("rare").alias("key"), F.lit(-1).alias("salt"), level, "cls")
     frequent = posted.select(F.explode("frequent").alias("key"), F.pmod("cls", F.lit(SALTS)).cast("int").alias("salt"), level, "cls")
@@ -216,10 +219,12 @@ def _shared(posted: DataFrame) -> DataFrame:
         names = ("key", "salt", "level", "cls")
         # the last row of a batch waits for the next one, which tells whether its bucket goes on
         wait: list[np.ndarray] | None = None
-        goes_on, pivot = False, 0
+        goes_on, pivot, first_below = False, 0, (0, False)
 
-        def out(rows: list[np.ndarray], pivots: np.ndarray, keep: np.ndarray):
-            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (rows[0], rows[2], rows[3], pivots, rows[1] >= 0)], ["key", "level", "cls", "pivot", "dealt"])
+        def out(rows: list[np.ndarray], pivots: np.ndarray, below: np.ndarray, has_below: np.ndarray, keep: np.ndarray):
+            columns = [pa.array(x[keep]) for x in (rows[0], rows[2], rows[3], pivots, rows[1] >= 0)]
+            columns.append(pa.array(below[keep], mask=~has_below[keep]))
+            return pa.RecordBatch.from_arrays(columns, ["key", "level", "cls", "pivot", "dealt", "below"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -234,26 +239,29 @@ def _shared(posted: DataFrame) -> DataFrame:
             leads = opens | np.concatenate(([wait is None], level[1:] != level[:-1]))
             at = np.maximum.accumulate(np.where(leads, np.arange(len(key)), -1))
             pivots = np.where(at >= 0, cls[np.maximum(at, 0)], pivot)
+            has_below = np.concatenate(([first_below[1]], leads[1:] & ~opens[1:] & (level[1:] - level[:-1] == 1)))
+            below = np.concatenate(([first_below[0]], pivots[:-1]))
             last = len(key) - 1
             alone = opens[:-1] & opens[1:] & (salt[:-1] < 0)
             if last:
-                yield out([r[:-1] for r in rows], pivots[:-1], ~alone)
+                yield out([r[:-1] for r in rows], pivots[:-1], below[:-1], has_below[:-1], ~alone)
             wait, goes_on, pivot = [r[last:] for r in rows], not opens[last], int(pivots[last])
-            # keep the pivot of a level that goes on in the next batch
+            first_below = int(below[last]), bool(has_below[last])
         if wait is not None:
             keep = np.array([goes_on or wait[1][0] >= 0])
-            yield out(wait, np.array([pivot]), keep)
+            yield out(wait, np.array([pivot]), np.array([first_below[0]]), np.array([first_below[1]]), keep)
 
-    return dealt.mapInArrow(run, "key long, level int, cls long, pivot long, dealt boolean")
+    return dealt.mapInArrow(run, "key long, level int, cls long, pivot long, dealt boolean, below long")
 
 
 def _stars(shared: DataFrame) -> DataFrame:
-    """Pairs to compare first: each class with its level's pivot, and pivots of one bucket's parts with the least of them."""
+    """Pairs to compare first: each class with its level's pivot, pivots of neighbouring levels, and pivots of one bucket's parts with the least of them."""
     own = shared.filter("cls <> pivot").selectExpr("pivot AS a", "cls AS b")
     heads = shared.filter("dealt AND cls = pivot").select("key", "level", "cls")
     least = heads.groupBy("key", "level").agg(F.min("cls").alias("a"), F.count("*").alias("parts")).filter("parts > 1")
     across = heads.join(least, ["key", "level"]).filter("cls <> a").selectExpr("a", "cls AS b")
-    return own.unionByName(across).distinct()
+    beside = shared.filter("below IS NOT NULL").selectExpr("below AS a", "cls AS b")
+    return own.unionByName(across).unionByName(beside).distinct()
 
 
 def _pruned(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -329,8 +337,8 @@ def _treed(members: DataFrame, best_only: bool) -> DataFrame:
             return _tree_pairs(whole, best_only)
 
         def out(found: list[np.ndarray]):
-            columns = np.concatenate([np.empty((0, 5), np.int64), *found]).T
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["most", "x", "y", "a", "b"])
+            columns = np.concatenate([np.empty((0, 5), np.int64), *found]).T[3:]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -357,31 +365,32 @@ def _treed(members: DataFrame, best_only: bool) -> DataFrame:
     units = units.select("*", "unit.at", F.pmod("cls", F.col("unit.parts")).cast("int").alias("part"), F.explode(F.expr("sequence(0, unit.parts - 1)")).alias("other"))
     units = units.select("*", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"))
     dealt = units.select(*names).repartition(*unit).sortWithinPartitions(*unit)
-    pairs = dealt.mapInArrow(run, "most long, x long, y long, a long, b long")
-    if best_only:
-        return pairs.groupBy("x", "y").agg(F.max(F.struct("most", "a", "b")).alias("best")).select("best.a", "best.b")
-    return pairs.select("a", "b").distinct()
+    pairs = dealt.mapInArrow(run, "a long, b long")
+    return pairs.distinct()
 
 
-def _members(shared: DataFrame, comps: DataFrame, bitmaps: DataFrame) -> DataFrame:
+def _members(shared: DataFrame, comps: DataFrame, bitmaps: DataFrame, again: bool) -> DataFrame:
     """Postings in the units (two neighbouring size levels of a bucket) that span several components.
 
-    Of units with the same members one is kept. Two classes of one level have been compared, so they
-    need no unit.
+    Of units with the same members one is kept. Two classes of a bucket that wasn't dealt out have been
+    compared, so they need no unit. ``again``: every unit's best pairs have been compared, so only units
+    with two members of larger components can hold others.
     """
     named = shared.join(comps, F.col("cls") == F.col("node"), "left")
-    named = named.select("key", "level", "cls", F.coalesce("component", "cls").alias("comp"), F.xxhash64("key", "level").alias("place"))
+    named = named.select("key", "level", "cls", F.coalesce("component", "cls").alias("comp"), F.col("component").isNotNull().cast("int").alias("linked"), "dealt", F.xxhash64("key", "level").alias("place"))
     named = staged(named, "buckets")
     number = lambda c: c.cast("decimal(38,0)")
     by_level = named.groupBy("key", "level").agg(
-        F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum(number(F.xxhash64("cls"))).alias("sum"), F.sum(number(F.xxhash64("cls", F.lit(1)))).alias("sum2")
+        F.count("*").alias("size"), F.sum("linked").alias("linked"), F.max("dealt").alias("dealt"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum(number(F.xxhash64("cls"))).alias("sum"), F.sum(number(F.xxhash64("cls", F.lit(1)))).alias("sum2")
     )
     by_level = staged(by_level, "bucket-levels")
-    above = by_level.select("key", (F.col("level") - 1).alias("level"), *[F.col(c).alias(f"{c}_up") for c in ("size", "low", "high", "sum", "sum2")])
+    above = by_level.select("key", (F.col("level") - 1).alias("level"), *[F.col(c).alias(f"{c}_up") for c in ("size", "linked", "dealt", "low", "high", "sum", "sum2")])
     both = by_level.join(above, ["key", "level"], "left")
-    enough = F.col("size_up").isNotNull() | (F.col("size") > 2)
-    spans = F.least("low", "low_up") != F.greatest("high", "high_up")
     plus = lambda c: F.col(c) + F.coalesce(f"{c}_up", F.lit(0))
+    enough = (plus("size") > 2) | (F.col("size_up").isNotNull() & F.col("dealt"))
+    if again:
+        enough = enough & (plus("linked") > 1)
+    spans = F.least("low", "low_up") != F.greatest("high", "high_up")
     units = both.filter(enough & spans).select(
         "key", "level", F.col("size"), F.coalesce("size_up", F.lit(0)).alias("size_up"), plus("size").alias("all"), plus("sum").alias("s1"), plus("sum2").alias("s2")
     )
@@ -439,7 +448,7 @@ def similar_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     links = staged(_verified(_pruned(_stars(shared), bitmaps), light, posted, width), "links")
     comps = components(links)
     for best_only in (True, False):
-        members = _members(shared, comps, bitmaps)
+        members = _members(shared, comps, bitmaps, again=not best_only)
         more = staged(_verified(_treed(members, best_only), light, posted, width), "links")
         links = links.unionByName(more)
         comps = components(links)
