@@ -37,7 +37,7 @@ from .common import components, join_groups, possible_rows, staged, without_rows
 from .shingles import set_class, shingle_sets
 
 #: Counters of each of the sketch's two rows, and how many of them travel in one row.
-SKETCH = 1 << 18
+SKETCH = 1 << 20
 SKETCH_PART = 1 << 12
 #: Buckets of a frequent shingle are dealt out over so many parts.
 SALTS = 32
@@ -55,7 +55,7 @@ class Order:
         self.counts = counts
         load = counts[0].sum() / SKETCH
         # counters of rare shingles scatter around the load like a Poisson variable
-        self.limit = int(load + 8 * load**0.5 + 64)
+        self.limit = int(load + 5 * load**0.5 + 32)
 
     def level(self, hashes: np.ndarray) -> np.ndarray:
         found = np.minimum(self.counts[0][_cell(hashes, 0)], self.counts[1][_cell(hashes, 1)]).astype(np.int64)
