@@ -2,11 +2,11 @@
 
 Texts become words (runs of letters and digits, lower-cased), words become hashes. A seed is a window
 of ``SPAN`` words under a fixed mask that ignores some positions, so a substituted word at an ignored
-position doesn't hide a hit; two masks ignore different ones. Window hashes of the documents are
-joined with those of the benchmark. Around every hit both texts are laid side by side at the hit's
-offset, and the overlap is the stretch with the best balance of equal words (+1) against substituted
-ones (-4): at least four in five words of it are equal. An overlap of ``LEAST_WORDS`` words, or of a
-whole shorter item, counts.
+position doesn't hide a hit. The masks are chosen together: wherever the substituted words stand, an
+overlap has a hit. Window hashes of the documents are joined with those of the benchmark. Around every
+hit both texts are laid side by side at the hit's offset. An overlap has ``LEAST_WORDS`` words, or those
+of a whole shorter item, and four in five of them are equal; of several, the one with the best balance
+of equal words (+1) against substituted ones (-4) is given.
 
 The benchmark side is broadcast while it has at most ``BROADCAST_ROWS`` windows. Beyond that a bitmap
 of its hashes, of bounded size, is broadcast to keep the other windows out of the shuffle. Hits become
@@ -27,8 +27,17 @@ from pyspark.sql import functions as F
 from .common import bitmaps, cells, filter_bits, possible_rows, staged, with_filter_hit, without_rows
 
 SPAN = 12
-#: Positions that each mask looks at.
-MASKS = ((0, 1, 3, 4, 6, 8, 10, 11), (0, 2, 3, 5, 7, 8, 9, 11))
+#: Positions that each mask looks at. For every choice of up to a fifth of 12 to 25 words as substituted, one of the
+#: masks fits in somewhere; a longer overlap has a half, and so a part of 13 to 25 words, with four in five equal.
+MASKS = (
+    (0, 1, 3, 5, 10, 11),
+    (0, 4, 6, 7, 8, 11),
+    (0, 1, 2, 3, 6, 7),
+    (2, 5, 7, 9, 10, 11),
+    (1, 2, 3, 4, 8, 9),
+    (0, 2, 4, 5, 8, 10),
+    (1, 3, 4, 5, 6, 7),
+)
 LEAST_WORDS = 13
 #: A substituted word costs as much as so many equal ones: four in five must be equal.
 COST = 4
@@ -58,19 +67,23 @@ def windows(rows: DataFrame, key: str, words: str, span: int, masks: list[tuple[
     return placed.select(key, F.floor(F.col("place") / len(masks)).cast("int").alias("at"), "hash")
 
 
-def best_stretch(same: str) -> Column:
-    """(first, words, equal) of the stretch of booleans ``same`` with the best balance."""
-    state = "struct(0 AS i, 0 AS from, 0 AS sum, 0 AS eq, 0 AS best, 0 AS first, 0 AS words, 0 AS equal)"
-    # a running sum that has fallen to zero starts again behind the place
-    step = f"""(s, e) -> struct(
-        s.i + 1 AS i,
-        IF(s.sum + IF(e, 1, -{COST}) <= 0, s.i + 1, s.from) AS from,
-        greatest(0, s.sum + IF(e, 1, -{COST})) AS sum,
-        IF(s.sum + IF(e, 1, -{COST}) <= 0, 0, s.eq + IF(e, 1, 0)) AS eq,
-        greatest(s.best, s.sum + IF(e, 1, -{COST})) AS best,
-        IF(s.sum + IF(e, 1, -{COST}) > s.best, s.from, s.first) AS first,
-        IF(s.sum + IF(e, 1, -{COST}) > s.best, s.i + 1 - s.from, s.words) AS words,
-        IF(s.sum + IF(e, 1, -{COST}) > s.best, s.eq + IF(e, 1, 0), s.equal) AS equal)"""
+def best_stretch(same: str, least: str) -> Column:
+    """(first, words, equal) of the stretch of ``least`` booleans ``same`` or more with the best balance; no words where it is negative."""
+    state = "struct(0 AS i, 0L AS bits, 0 AS sum, 0 AS from, 0 AS eq, -1 AS best, 0 AS first, 0 AS words, 0 AS equal)"
+    # the last ``least`` booleans are bits; the best stretch up to a place is these alone or continues the best one up to the place before
+    seen = f"struct(s.i + 1 AS i, (shiftleft(s.bits, 1) & (shiftleft(1L, {least}) - 1L)) | IF(e, 1L, 0L) AS bits)"
+    alone = f"5 * bit_count(t.bits) - {COST} * {least}"
+    starts = f"t.i <= {least} OR {alone} >= s.sum + IF(e, 1, -{COST})"
+    here = f"""struct(
+        IF({starts}, {alone}, s.sum + IF(e, 1, -{COST})) AS sum,
+        IF({starts}, t.i - {least}, s.from) AS from,
+        IF({starts}, bit_count(t.bits), s.eq + IF(e, 1, 0)) AS eq)"""
+    step = f"""(s, e) -> transform(array({seen}), t -> transform(array({here}), u -> struct(
+        t.i AS i, t.bits AS bits, u.sum AS sum, u.from AS from, u.eq AS eq,
+        IF(t.i >= {least} AND u.sum > s.best, u.sum, s.best) AS best,
+        IF(t.i >= {least} AND u.sum > s.best, u.from, s.first) AS first,
+        IF(t.i >= {least} AND u.sum > s.best, t.i - u.from, s.words) AS words,
+        IF(t.i >= {least} AND u.sum > s.best, u.eq, s.equal) AS equal))[0])[0]"""
     return F.expr(f"aggregate({same}, {state}, {step}, s -> struct(s.first AS first, s.words AS words, s.equal AS equal))")
 
 
@@ -107,9 +120,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", t
     laid = laid.withColumn("doc_from", F.greatest("shift", F.lit(0))).withColumn("item_from", F.greatest(-F.col("shift"), F.lit(0)))
     reach = F.greatest(F.lit(0), F.least(F.size("words") - F.col("doc_from"), F.size("item_words") - F.col("item_from")))
     laid = laid.withColumn("same", F.zip_with(F.slice("words", F.col("doc_from") + 1, reach), F.slice("item_words", F.col("item_from") + 1, reach), lambda x, y: x == y))
-    found = laid.select("doc", "item", "doc_from", "item_from", F.size("item_words").alias("item_size"), best_stretch("same").alias("best"))
-    whole = F.least(F.lit(LEAST_WORDS), F.col("item_size"))
-    places = found.filter(F.col("best.words") >= whole).select(
+    laid = laid.withColumn("least", F.least(F.lit(LEAST_WORDS), F.size("item_words")))
+    # most hits are by chance, and so few equal words are no overlap
+    laid = laid.filter("5 * size(filter(same, e -> e)) >= 4 * least")
+    found = laid.select("doc", "item", "doc_from", "item_from", best_stretch("same", "least").alias("best"))
+    places = found.filter("best.words > 0").select(
         "doc",
         "item",
         (F.col("doc_from") + F.col("best.first")).alias("doc_word"),

@@ -1,4 +1,5 @@
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import cases
 import numpy as np
@@ -93,3 +94,40 @@ def test_empty_tables(spark):
 def test_no_python_in_the_plan(spark):
     plan = d.overlaps(cases.docs(spark, ["a b"]), spark.createDataFrame([(1, "x")], "item_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def defined(x, y):
+    """Whether two word lists overlap by the definition: any offset, any stretch of 13 words or a whole shorter item, four in five equal."""
+    least = min(d.LEAST_WORDS, len(y))
+    for s in range(-len(y) + 1, len(x)):
+        low = max(0, -s)
+        sums = np.concatenate(([0], np.cumsum([1 if x[k + s] == y[k] else -d.COST for k in range(low, min(len(y), len(x) - s))])))
+        if any(sums[j] >= sums[: j - least + 1].min() for j in range(least, len(sums))):
+            return True
+    return False
+
+
+def test_short_items_with_substituted_words(spark):
+    """Every item of 13 to 25 words with a fifth substituted, wherever; adjacent ones too. One word more is no overlap of the whole."""
+    draws = np.random.default_rng(2)
+    items, docs = [], []
+    for n in range(13, 26):
+        item = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        at = draws.integers(0, n - 1)
+        for changed in [[0], [n - 1], [n // 2], [at, at + 1], [1, n - 2], *[draws.choice(n, n // 5, replace=False) for _ in range(4)], range(0, n, 4)]:
+            docs.append(" ".join(["before", *(f"o{k}" if k in set(changed) else w for k, w in enumerate(item)), "behind"]))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in d.overlaps(cases.docs(spark, docs), bench).collect()}
+    want = {(i, n) for i, x in enumerate(docs) for n, y in items if f"i{n}w" in x and defined(x.split(), y.split())}
+    assert set(got) == want and len(want) > 100
+    assert all(5 * r.n_equal >= 4 * r.n_words and r.n_words >= d.LEAST_WORDS for r in got.values())
+
+
+def test_masks_fit_every_choice_of_substituted_words():
+    masks = [sum(1 << p for p in m) for m in d.MASKS]
+    for n in range(d.SPAN, 21):
+        free = [m << at for m in masks for at in range(n - d.SPAN + 1)]
+        for changed in combinations(range(n), n // 5):
+            bits = sum(1 << k for k in changed)
+            assert any(not m & bits for m in free), (n, changed)
