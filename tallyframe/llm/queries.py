@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.session import tune
 
-from . import decontaminate, exact_dedup, html_text, jaccard_join, lang_id, packing, passages, secrets, shards, token_counts
+from . import decontaminate, exact_dedup, html_text, jaccard_join, lang_id, line_dedup, packing, passages, secrets, shards, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,6 +89,26 @@ def op7_collinear_passages(spark: SparkSession, folder: str) -> DataFrame:
     return passages.repeated_passages(table(spark, folder, "documents"))
 
 
+@query
+def op11_perfect_hash_lines(spark: SparkSession, folder: str) -> DataFrame:
+    out = line_dedup.drop_repeated_lines(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+ORACLE["op11_perfect_hash_lines"] = r"""
+WITH lines AS (
+    SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+    FROM (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
+), often AS (
+    SELECT k, max(doc_id) AS keeper FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+), marked AS (SELECT doc_id, i, line, coalesce(keeper <> doc_id, false) AS gone FROM lines LEFT JOIN often USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
