@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.session import tune
 
-from . import decontaminate, exact_dedup, html_text, jaccard_join, lang_id, line_dedup, packing, passages, secrets, shards, token_counts, whitening
+from . import decontaminate, exact_dedup, html_text, jaccard_join, lang_id, line_dedup, packing, passages, resample, secrets, shards, token_counts, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -114,6 +114,11 @@ def op12_sturm_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"), components=4)
 
 
+@query
+def op13_segment_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
