@@ -4,18 +4,18 @@ Texts become words (runs of letters and digits, lower-cased), words become hashe
 of ``SPAN`` words under a fixed mask that ignores some positions, so a substituted word at an ignored
 position doesn't hide a hit. The masks are chosen together: wherever the substituted words stand, an
 overlap has a hit. Window hashes of the documents are joined with those of the benchmark. Around every
-hit both texts are laid side by side at the hit's offset. An overlap has ``LEAST_WORDS`` words, or those
-of a whole shorter item, and four in five of them are equal; of several, the one with the best balance
-of equal words (+1) against substituted ones (-4) is given.
+hit both texts are laid side by side at the hit's offset. An overlap has ``LEAST_WORDS`` words or more, or
+those of a whole shorter item, and four in five of them are equal (of an item shorter than a mask, all).
+Of several at one offset, the one with the best balance of equal words (+1) against substituted ones (-4)
+is given, of several offsets the one with more equal words.
 
 The benchmark side is broadcast while it has at most ``BROADCAST_ROWS`` windows. Beyond that a bitmap
 of its hashes, of bounded size, is broadcast to keep the other windows out of the shuffle. Hits become
 distinct (document, item, offset) rows, and only documents with a hit are read again, so a passage in a
 third of all documents costs each of them one row.
 
-Defined cases: null and empty texts and items match nothing; an item shorter than a seed matches
-where all its words stand in order; ties between overlaps go to more equal words, then to the earlier place;
-rows that repeat an id are one document; empty tables give an empty result; other columns, whatever
+Defined cases: null and empty texts and items match nothing; ties go to the stretch that ends first at one
+offset, then to the earlier place; rows that repeat an id are one document; empty tables give an empty result; other columns, whatever
 their names, are ignored, or kept by ``clean``.
 """
 
@@ -58,13 +58,12 @@ def seeds(short: list[int]) -> list[tuple[int, tuple[int, ...]]]:
 def windows(rows: DataFrame, key: str, words: str, span: int, masks: list[tuple[int, ...]]) -> DataFrame:
     """Every window of ``words`` as (key, at, hash): its first word and its hash under each mask.
 
-    The hashes are made inside the array and exploded without it, for a row that carries an array
-    through an explode is copied as often as the array is long.
+    Only the places are exploded: compiled in one stage with the hashes, the array of words is read
+    where it stands and isn't copied from row to row.
     """
-    hashed = ", ".join(f"xxhash64({span * 100 + i}, {', '.join(f'{words}[i + {p}]' for p in mask)})" for i, mask in enumerate(masks))
-    every = f"IF(size({words}) >= {span}, flatten(transform(sequence(0, size({words}) - {span}), i -> array({hashed}))), cast(array() AS array<bigint>))"
-    placed = rows.select(key, F.posexplode(F.expr(every)).alias("place", "hash"))
-    return placed.select(key, F.floor(F.col("place") / len(masks)).cast("int").alias("at"), "hash")
+    places = rows.filter(F.size(words) >= span).select(key, words, F.explode(F.sequence(F.lit(0), F.size(words) - span)).alias("at"))
+    hashes = [F.xxhash64(F.lit(span * 100 + i), *[F.col(words)[F.col("at") + p] for p in mask]) for i, mask in enumerate(masks)]
+    return places.select(key, "at", F.array(*hashes).alias("hashes")).select(key, "at", F.explode("hashes").alias("hash"))
 
 
 def best_stretch(same: str, least: str) -> Column:

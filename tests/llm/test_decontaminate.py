@@ -16,36 +16,35 @@ def split(text):
     return [w for w in regex.split(r"[^\p{L}\p{N}]+", (text or "").lower()) if w]
 
 
-def stretch(same):
-    total = equal = start = best = 0
-    out = (0, 0, 0)
-    for i, e in enumerate(same):
-        value = total + (1 if e else -d.COST)
-        if value > best:
-            best, out = value, (start, i + 1 - start, equal + e)
-        total, equal, start = (0, 0, i + 1) if value <= 0 else (value, equal + e, start)
-    return out
+def stretch(same, least):
+    """(first, words, equal) of the stretch of at least so many places with the best balance, none below zero; by trying all."""
+    sums = np.concatenate(([0], np.cumsum(np.where(same, 1, -d.COST))))
+    found = [(sums[j] - sums[i], -j, i) for j in range(least, len(sums)) for i in range(j - least + 1) if sums[j] >= sums[i]]
+    if not found:
+        return None
+    _, end, start = max(found)
+    return start, -end - start, int(np.sum(same[start:-end]))
 
 
 def brute(docs, items):
-    """The best overlap of every document and item at any offset that the seeds can see."""
+    """The best overlap of every document and item by the stated definition, at any offset."""
     best = {}
     for item, y in items:
         y = split(y)
-        spans = [(d.SPAN, m) for m in d.MASKS] if len(y) >= d.SPAN else [(len(y), tuple(range(len(y))))]
+        least = min(d.LEAST_WORDS, len(y))
+        places = defaultdict(list)
+        for j, w in enumerate(y):
+            places[w].append(j)
         for doc, x in docs:
             x = split(x)
-            shifts = set()
-            for span, mask in spans:
-                where = defaultdict(list)
-                for j in range(len(y) - span + 1):
-                    where[tuple(y[j + p] for p in mask)].append(j)
-                for i in range(len(x) - span + 1):
-                    shifts |= {i - j for j in where.get(tuple(x[i + p] for p in mask), ())} if y else set()
-            for s in shifts:
+            equal_at = Counter(i - j for i, w in enumerate(x) for j in places.get(w, ()))
+            for s, count in equal_at.items():
+                if 5 * count < 4 * least or (len(y) < d.SPAN and count < len(y)):
+                    continue
                 low = max(0, -s)
-                f, n, equal = stretch([x[k + s] == y[k] for k in range(low, min(len(y), len(x) - s))])
-                if n >= min(d.LEAST_WORDS, len(y)):
+                found = stretch(np.array([x[k + s] == y[k] for k in range(low, min(len(y), len(x) - s))]), least)
+                if found:
+                    f, n, equal = found
                     best[doc, item] = max(best.get((doc, item), (0,)), (equal, n, -(low + s + f), -(low + f)))
     return best
 
