@@ -12,16 +12,19 @@ Every link of the defined similarity is found; nothing is capped or sampled:
 4. In each bucket that is left, a signature tree is built: nodes hold the OR of their members' token
    bitmaps, the range of their sizes and the slack of their bitmaps. Dual traversal visits pairs of
    nodes and drops a pair when the largest overlap its members can have is below the smallest
-   that a link needs. First the best pair for each two components is verified, then every pair left.
-5. All pairs are verified on the whole sets.
+   that a link needs. A member without a possible partner in another component leaves the bucket.
+5. Those that stay bring their whole sets. A second tree over bitmaps of the shared shingles, one bit
+   each, gives exact overlaps; the links of a spanning forest leave the bucket, so a bucket never
+   puts out more rows than it has members, however many of its pairs are close.
 
 Buckets of frequent shingles are dealt out by (shingle, salt) at first and by pairs of bounded
 blocks in the trees, so no task gathers one.
 
 Defined cases: null text counts as empty; texts without words have no shingles, link with nothing
 and are their own component; equal texts link whatever their length; a null id never is a
-component's smallest unless all are null; rows that repeat are linked like any equal texts; an empty
-table gives an empty result; other columns are ignored. Sets count as equal when a 64-bit hash is.
+component's smallest unless all are null; rows that repeat are linked like any equal texts, and
+``drop_similar`` leaves exactly one row of a component, whatever its ids; an empty table gives an empty
+result; other columns are ignored. Sets count as equal when a 64-bit hash is.
 """
 
 from __future__ import annotations
@@ -30,10 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, join_groups, possible_rows, staged, without_rows
+from .common import components, join_groups, possible_rows, staged, text_of, without_rows
 from .shingles import set_class, shingle_sets
 
 #: Counters of each of the sketch's two rows, and how many of them travel in one row.
@@ -41,8 +44,11 @@ SKETCH = 1 << 20
 SKETCH_PART = 1 << 12
 #: Buckets of a frequent shingle are dealt out over so many parts.
 SALTS = 32
-#: Members of a block of a large bucket.
+#: Members of a block of a large bucket, and the shingles that they have together at most.
 BLOCK = 2048
+BLOCK_SHINGLES = 1_000_000
+#: Bits of an exact bitmap; more shared shingles fold onto each other and are compared one by one.
+MAX_WIDTH = 1 << 16
 FAN_OUT = 16
 #: Classes a task remembers to have posted.
 SEEN = 500_000
@@ -84,8 +90,10 @@ def folded(words: np.ndarray, count: int) -> np.ndarray:
 class Tree:
     """Levels of nodes over documents in order of size; the last level is the documents themselves."""
 
-    def __init__(self, bits: np.ndarray, sizes: np.ndarray):
-        self.levels = [(bits, sizes, sizes, sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64))]
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray, slack: np.ndarray | None = None):
+        """``slack``: how many tokens of each set its bitmap may hide (else told by the sizes)."""
+        slack = sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64) if slack is None else slack
+        self.levels = [(bits, sizes, sizes, slack)]
         while len(self.levels[0][1]) > 4 * FAN_OUT:
             bits, low, high, slack = self.levels[0]
             at = np.arange(0, len(low), FAN_OUT)
@@ -124,12 +132,17 @@ class Tree:
 # --- passes over the texts ----------------------------------------------------------------------
 
 
+def _digest(id_column: str, text_column: str) -> Column:
+    """A number of 128 bits for an id and a text."""
+    return F.md5(F.concat_ws("\n", F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")), F.col(f"`{id_column}`").isNull().cast("string"), text_of(f"`{text_column}`")).cast("binary"))
+
+
 def _light(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    return docs.select(F.col(id_column).cast("string").alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    return docs.select(F.col(f"`{id_column}`").cast("string").alias("id"), _digest(id_column, text_column).alias("key"), text_of(f"`{text_column}`").alias("text"))
 
 
 def _count(light: DataFrame, width: int) -> DataFrame:
-    """First pass: (id, n, cls) of every document, and each task's part of the sketch."""
+    """First pass: (id, key, n, cls) of every document, and each task's part of the sketch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros((2, SKETCH), dtype=np.uint32)
@@ -149,14 +162,14 @@ def _count(light: DataFrame, width: int) -> DataFrame:
                 held.append(hashes)
                 if len(held) >= 2000:
                     add()
-            yield pd.DataFrame({"id": batch["id"], "n": sizes, "cls": classes, "part": -1, "counts": None})
+            yield pd.DataFrame({"id": batch["id"], "key": batch["key"], "n": sizes, "cls": classes, "part": -1, "counts": None})
         if held:
             add()
         if counts.any():
             parts = counts.reshape(-1, SKETCH_PART)
-            yield pd.DataFrame({"id": None, "n": 0, "cls": 0, "part": range(len(parts)), "counts": [x.tobytes() for x in parts]})
+            yield pd.DataFrame({"id": None, "key": None, "n": 0, "cls": 0, "part": range(len(parts)), "counts": [x.tobytes() for x in parts]})
 
-    return light.mapInPandas(run, "id string, n int, cls long, part int, counts binary")
+    return light.mapInPandas(run, "id string, key string, n int, cls long, part int, counts binary")
 
 
 def _sketch(counted: DataFrame) -> np.ndarray:
@@ -284,61 +297,100 @@ def _pruned(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     return sized.mapInPandas(run, "a long, b long")
 
 
-def _tree_pairs(unit: dict[str, np.ndarray], best_only: bool) -> np.ndarray:
-    """(most, x, y, a, b): a unit's pairs of different components x, y that its signature tree leaves possible."""
-    at, halves = unit["at"][0], unit["first"][0] != unit["second"][0]
-    comp, level = unit["comp"], unit["level"]
-    if len(comp) < 2 or (comp == comp[0]).all() or not (level == at).any():
-        return np.empty((0, 5), np.int64)
+Unit = dict[str, np.ndarray]
+
+
+def _in_order(unit: Unit) -> Unit:
     order = np.lexsort((unit["cls"], unit["n"]))
-    cls, comp, level, part = (unit[c][order] for c in ("cls", "comp", "level", "part"))
-    words = [np.frombuffer(unit["bits"][i], dtype="<u8") for i in order]
-    width = min(map(len, words))
-    found = np.empty((0, 5), np.int64)
-    for i, j, most in Tree(np.stack([folded(x, width) for x in words]), unit["n"][order].astype(np.int64)).pairs():
+    return {c: x[order] for c, x in unit.items()}
+
+
+def _open_pairs(unit: Unit, tree: Tree) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, largest overlap) of the pairs that are this unit's to compare and that its tree leaves possible."""
+    at, halves = unit["at"][0], unit["first"][0] != unit["second"][0]
+    comp, level, part = unit["comp"], unit["level"], unit["part"]
+    for i, j, most in tree.pairs():
         # pairs of the upper level, or of one half of a pair of blocks, have units of their own
         own = (comp[i] != comp[j]) & ((level[i] == at) | (level[j] == at))
         if halves:
             own &= part[i] != part[j]
         if own.any():
-            i, j = i[own], j[own]
-            pairs = np.stack((most[own], np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j]), np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])), axis=1)
-            found = np.concatenate((found, pairs))
-            if best_only:
-                found = _best(found)
-    return found
+            yield i[own], j[own], most[own]
 
 
-def _best(pairs: np.ndarray) -> np.ndarray:
-    """For each two components the pair with the largest possible overlap."""
-    most, low, high, a, b = pairs.T
-    pairs = pairs[np.lexsort((b, a, -most, high, low))]
-    first = np.ones(len(pairs), dtype=bool)
-    first[1:] = (pairs[1:, 1:3] != pairs[:-1, 1:3]).any(axis=1)
-    return pairs[first]
+def _may_link(unit: Unit) -> bool:
+    return len(unit["comp"]) > 1 and bool((unit["comp"] != unit["comp"][0]).any() and (unit["level"] == unit["at"][0]).any())
 
 
-def _treed(members: DataFrame, best_only: bool) -> DataFrame:
-    """Pairs of different components that the buckets' signature trees leave possible.
-
-    A task's unit is a pair of blocks of two neighbouring size levels, so its size is bounded.
+def _partnered(unit: Unit) -> np.ndarray:
+    """Places of the unit's members that may be similar to one of another component, by their bitmaps."""
+    order = np.lexsort((unit["cls"], unit["n"]))
+    ordered = _in_order(unit)
+    words = [np.frombuffer(x, dtype="<u8") for x in ordered["bits"]]
+    width = min(map(len, words))
+    bits, sizes = np.stack([folded(x, width) for x in words]), ordered["n"].astype(np.int64)
+    found = np.zeros(len(order), dtype=bool)
+    for i, j, _ in _open_pairs(ordered, Tree(bits, sizes)):
+        found[i] = found[j] = True
+    return np.sort(order[found])
+
+
+def exact_signatures(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps with one bit for each shingle that two of the sets share, and what folding may hide of each set."""
+    every, place, counts = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    number = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)[place]
+    width = 1 << max(6, int((counts > 1).sum() - 1).bit_length())
+    width = min(width, MAX_WIDTH)
+    bits, slack = np.zeros((len(tokens), width // 64), dtype=np.uint64), np.zeros(len(tokens), dtype=np.int64)
+    for row, own in enumerate(np.split(number, np.cumsum([len(x) for x in tokens])[:-1])):
+        own = own[own >= 0]
+        marks = np.zeros(width, dtype=np.uint8)
+        marks[own & (width - 1)] = 1
+        bits[row] = np.packbits(marks, bitorder="little").view("<u8")
+        slack[row] = len(own) - int(marks.sum())
+    return bits, slack
+
+
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return int((y[at] == x).sum())
+
+
+def _forest(unit: Unit) -> np.ndarray:
+    """(a, b): links that join the unit's components as all of its links would."""
+    ordered = _in_order(unit)
+    tokens = [np.frombuffer(x, dtype=np.uint64) for x in ordered["tokens"]]
+    n, cls = ordered["n"].astype(np.int64), ordered["cls"]
+    bits, slack = exact_signatures(tokens)
+    # without folding the overlaps are exact, and every pair that the tree leaves is a link
+    exact = not slack.any()
+    comp = np.unique(ordered["comp"], return_inverse=True)[1]
+    links = []
+    for i, j, _ in _open_pairs(ordered, Tree(bits, n, slack)):
+        while len(i := i[apart := comp[i] != comp[j]]):
+            j = j[apart]
+            x, y, i, j = int(i[0]), int(j[0]), i[1:], j[1:]
+            if exact or 9 * overlap(tokens[x], tokens[y]) >= 4 * int(n[x] + n[y]):
+                links.append((cls[x], cls[y]))
+                comp[comp == comp[y]] = comp[x]
+    return np.array(links, dtype=np.int64).reshape(-1, 2)
+
+
+def _by_unit(members: DataFrame, names: list[str], joined, schema: str) -> DataFrame:
+    """``joined`` applied to the rows of every unit, which come together in one task and leave as a batch.
+
+    A unit is a pair of blocks of two neighbouring size levels of a bucket, so its size is bounded.
     """
     unit = ["key", "at", "first", "second"]
-    names = [*unit, "cls", "n", "comp", "level", "part", "bits"]
 
     def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        held: list[dict[str, np.ndarray]] = []
+        held: list[Unit] = []
 
-        def joined() -> np.ndarray:
-            whole = {c: np.concatenate([h[c] for h in held]) for c in names}
+        def whole() -> Unit:
+            out = {c: np.concatenate([h[c] for h in held]) for c in names}
             held.clear()
-            return _tree_pairs(whole, best_only)
-
-        def out(found: list[np.ndarray]):
-            columns = np.concatenate([np.empty((0, 5), np.int64), *found]).T[3:]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b"])
+            return out
 
         for batch in batches:
             if not batch.num_rows:
@@ -349,47 +401,75 @@ def _treed(members: DataFrame, best_only: bool) -> DataFrame:
                 new[1:] |= rows[c][1:] != rows[c][:-1]
             new[0] = bool(held) and any(held[-1][c][-1] != rows[c][0] for c in unit)
             starts = np.flatnonzero(new).tolist()
-            found = []
             for low, high in zip([0, *starts], [*starts, batch.num_rows], strict=True):
                 if high > low:
                     held.append({c: x[low:high] for c, x in rows.items()})
                 if high < batch.num_rows and held:  # the next row opens another unit
-                    found.append(joined())
-            yield out(found)
+                    yield from joined(whole())
         if held:
-            yield out([joined()])
+            yield from joined(whole())
+
+    dealt = members.select(*names).repartition(*unit).sortWithinPartitions(*unit)
+    return dealt.mapInArrow(run, schema)
+
+
+_MEMBER = ["key", "at", "first", "second", "cls", "n", "comp", "level", "part"]
+_MEMBER_KINDS = "key long, at int, first int, second int, cls long, n int, comp long, level int, part int"
 
+
+def _units(members: DataFrame) -> DataFrame:
+    """One row for each member and unit."""
     own = F.when(F.col("parts").isNotNull(), F.struct(F.col("level").alias("at"), "parts"))
     below = F.when(F.col("parts_below").isNotNull(), F.struct((F.col("level") - 1).alias("at"), F.col("parts_below").alias("parts")))
     units = members.withColumn("unit", F.explode(F.array_compact(F.array(own, below)))).drop("parts", "parts_below")
     units = units.select("*", "unit.at", F.pmod("cls", F.col("unit.parts")).cast("int").alias("part"), F.explode(F.expr("sequence(0, unit.parts - 1)")).alias("other"))
-    units = units.select("*", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"))
-    dealt = units.select(*names).repartition(*unit).sortWithinPartitions(*unit)
-    pairs = dealt.mapInArrow(run, "a long, b long")
-    return pairs.distinct()
+    return units.select("*", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"))
+
+
+def _candidates(members: DataFrame) -> DataFrame:
+    """The units' members that may link with another component's, by signature trees over bitmaps."""
+
+    def joined(unit: Unit) -> Iterator:
+        import pyarrow as pa
+
+        if _may_link(unit) and len(kept := _partnered(unit)):
+            yield pa.RecordBatch.from_arrays([pa.array(unit[c][kept]) for c in _MEMBER], _MEMBER)
 
+    return _by_unit(_units(members), [*_MEMBER, "bits"], joined, _MEMBER_KINDS)
 
-def _members(shared: DataFrame, comps: DataFrame, bitmaps: DataFrame, again: bool) -> DataFrame:
+
+def _tree_links(candidates: DataFrame, light: DataFrame, posted: DataFrame, width: int) -> DataFrame:
+    """(a, b): the links between components, a spanning forest for every unit, by trees over whole sets."""
+
+    def joined(unit: Unit) -> Iterator:
+        import pyarrow as pa
+
+        if _may_link(unit) and len(found := _forest(unit)):
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    candidates = staged(candidates, "candidates")
+    tokens = _sets(light, posted, candidates.select("cls").distinct(), width)
+    return _by_unit(candidates.join(tokens, "cls"), [*_MEMBER, "tokens"], joined, "a long, b long")
+
+
+def _members(shared: DataFrame, comps: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Postings in the units (two neighbouring size levels of a bucket) that span several components.
 
     Of units with the same members one is kept. Two classes of a bucket that wasn't dealt out have been
-    compared, so they need no unit. ``again``: every unit's best pairs have been compared, so only units
-    with two members of larger components can hold others.
+    compared, so they need no unit.
     """
     named = shared.join(comps, F.col("cls") == F.col("node"), "left")
-    named = named.select("key", "level", "cls", F.coalesce("component", "cls").alias("comp"), F.col("component").isNotNull().cast("int").alias("linked"), "dealt", F.xxhash64("key", "level").alias("place"))
+    named = named.select("key", "level", "cls", F.coalesce("component", "cls").alias("comp"), "dealt", F.xxhash64("key", "level").alias("place"))
     named = staged(named, "buckets")
     number = lambda c: c.cast("decimal(38,0)")
     by_level = named.groupBy("key", "level").agg(
-        F.count("*").alias("size"), F.sum("linked").alias("linked"), F.max("dealt").alias("dealt"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum(number(F.xxhash64("cls"))).alias("sum"), F.sum(number(F.xxhash64("cls", F.lit(1)))).alias("sum2")
+        F.count("*").alias("size"), F.max("dealt").alias("dealt"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum(number(F.xxhash64("cls"))).alias("sum"), F.sum(number(F.xxhash64("cls", F.lit(1)))).alias("sum2")
     )
     by_level = staged(by_level, "bucket-levels")
-    above = by_level.select("key", (F.col("level") - 1).alias("level"), *[F.col(c).alias(f"{c}_up") for c in ("size", "linked", "dealt", "low", "high", "sum", "sum2")])
+    above = by_level.select("key", (F.col("level") - 1).alias("level"), *[F.col(c).alias(f"{c}_up") for c in ("size", "dealt", "low", "high", "sum", "sum2")])
     both = by_level.join(above, ["key", "level"], "left")
     plus = lambda c: F.col(c) + F.coalesce(f"{c}_up", F.lit(0))
     enough = (plus("size") > 2) | (F.col("size_up").isNotNull() & F.col("dealt"))
-    if again:
-        enough = enough & (plus("linked") > 1)
     spans = F.least("low", "low_up") != F.greatest("high", "high_up")
     units = both.filter(enough & spans).select(
         "key", "level", F.col("size"), F.coalesce("size_up", F.lit(0)).alias("size_up"), plus("size").alias("all"), plus("sum").alias("s1"), plus("sum2").alias("s2")
@@ -397,7 +477,9 @@ def _members(shared: DataFrame, comps: DataFrame, bitmaps: DataFrame, again: boo
     # the largest key's unit stands for those with the same members on both levels
     kept = units.groupBy("all", "s1", "s2", "size").agg(F.max(F.struct("key", "level", "size_up")).alias("u")).select("u.*", "size", "all")
     # a unit is found by the members of its lower and of its upper level, with the number of its parts
-    parts = F.ceil(F.col("all") / BLOCK).cast("int")
+    # members of a level have fewer shingles than the next level begins with
+    shingles = F.col("all") * F.pow(F.lit(1.25), F.col("level") + 2)
+    parts = F.ceil(F.greatest(F.col("all") / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
     none = F.lit(None).cast("int")
     lower = kept.select("key", "level", "size", parts.alias("parts"), none.alias("parts_below"))
     upper = kept.filter("size_up > 0").select("key", (F.col("level") + 1).alias("level"), F.col("size_up").alias("size"), none.alias("parts"), parts.alias("parts_below"))
@@ -412,59 +494,83 @@ def _members(shared: DataFrame, comps: DataFrame, bitmaps: DataFrame, again: boo
 # --- the join -----------------------------------------------------------------------------------
 
 
-def _verified(pairs: DataFrame, light: DataFrame, posted: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b) that are links, by their whole sets."""
-    pairs = staged(pairs, "pairs")
-    needed = pairs.selectExpr("explode(array(a, b)) AS cls").distinct()
-    ids = staged(posted.select("cls", "id").join(needed, "cls").groupBy("cls").agg(F.min("id").alias("id")).select("id"), "pair-ids")
+def _sets(light: DataFrame, posted: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(cls, tokens): the sorted sets of the given classes, read again from one text of each."""
+    ids = staged(posted.select("cls", "id").join(classes, "cls").groupBy("cls").agg(F.min("id").alias("id")), "class-ids")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = list(shingle_sets(batch["text"].tolist(), width))
             yield pd.DataFrame({"cls": [set_class(x) for x in found], "tokens": [x.tobytes() for x in found]})
 
+    found = possible_rows(light, "id", ids.select("id"), ids.count()).mapInPandas(sets, "cls long, tokens binary")
+    # other texts pass the filter of ids by chance, and an id can repeat
+    return found.join(ids.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("tokens").alias("tokens"))
+
+
+def _verified(pairs: DataFrame, light: DataFrame, posted: DataFrame, width: int) -> DataFrame:
+    """The pairs (a, b) that are links, by their whole sets."""
+    pairs = staged(pairs, "pairs")
+
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = []
             for x, y in zip(batch["tokens"], batch["others"], strict=True):
                 x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                keep.append(9 * int((y[at] == x).sum()) >= 4 * (len(x) + len(y)))
+                keep.append(9 * overlap(x, y) >= 4 * (len(x) + len(y)))
             yield batch.loc[keep, ["a", "b"]]
 
-    tokens = possible_rows(light, "id", ids, ids.count()).mapInPandas(sets, "cls long, tokens binary")
+    tokens = _sets(light, posted, pairs.selectExpr("explode(array(a, b)) AS cls").distinct(), width)
     first = tokens.selectExpr("cls AS a", "tokens")
     second = tokens.selectExpr("cls AS b", "tokens AS others")
     return pairs.join(first, "a").join(second, "b").mapInPandas(check, "a long, b long")
 
 
-def similar_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5) -> DataFrame:
-    """One row per row of ``docs``: its id, n_shingles and component_id."""
-    light = _light(docs, id_column, text_column)
+def _classed(light: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' sets (id, key, n, cls), and the component of every class that links with another."""
     counted = staged(_count(light, width), "shingle-counts")
     posted = staged(_posted(light, width, _sketch(counted)), "postings")
     bitmaps = posted.groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
     shared = staged(_shared(posted), "shared-postings")
     links = staged(_verified(_pruned(_stars(shared), bitmaps), light, posted, width), "links")
-    comps = components(links)
-    for best_only in (True, False):
-        members = _members(shared, comps, bitmaps, again=not best_only)
-        more = staged(_verified(_treed(members, best_only), light, posted, width), "links")
-        links = links.unionByName(more)
-        comps = components(links)
-
-    rows = counted.filter("part < 0").select(F.col("id").cast(dict(docs.dtypes)[id_column]).alias("id"), "n", "cls")
+    members = _members(shared, components(links), bitmaps)
+    more = staged(_tree_links(_candidates(members), light, posted, width), "links")
+    return counted.filter("part < 0").select("id", "key", "n", "cls"), components(links.unionByName(more))
+
+
+def similar_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5) -> DataFrame:
+    """One row per row of ``docs``: its id, n_shingles and component_id."""
+    rows, comps = _classed(_light(docs, id_column, text_column), width)
+    rows = rows.withColumn("id", F.col("id").cast(dict(docs.dtypes)[id_column]))
     classes = rows.filter("n > 0").groupBy("cls").agg(F.min("id").alias("low"), F.count("*").alias("size"))
     named = classes.join(comps, F.col("cls") == F.col("node"), "left")
     lowest = named.filter("component IS NOT NULL").groupBy("component").agg(F.min("low").alias("lowest"))
     named = staged(named.filter("size > 1 OR component IS NOT NULL").join(lowest, "component", "left").selectExpr("cls", "size", "coalesce(lowest, low) AS component_id"), "classes")
-    out = join_groups(rows, named, "cls", "size", rows.count())
+    out = join_groups(rows.drop("key"), named, "cls", "size", rows.count())
     smallest = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(id_column), F.col("n").cast("long").alias("n_shingles"), smallest.alias("component_id"))
 
 
 def drop_similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5) -> DataFrame:
-    """The rows of ``docs`` with one document of each component, the smallest id; rows that repeat an id share its fate."""
-    found = similar_components(docs, id_column, text_column, width)
-    dropped = found.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("id")).distinct()
-    return without_rows(docs, id_column, staged(dropped, "similar"))
+    """The rows of ``docs`` with one row of each component: the smallest id, a null id last.
+
+    Rows are told apart by a digest of id and text. Of rows that share both, one is left.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows, comps = _classed(_light(docs, id_column, text_column), width)
+    rows = rows.filter("n > 0").withColumn("id", F.col("id").cast(dict(docs.dtypes)[id_column]))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    classes = rows.groupBy("cls").agg(F.min(order).alias("first"), F.count("*").alias("size"))
+    named = classes.join(comps, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls"))
+    first = named.groupBy("component").agg(F.min("first").alias("kept"), F.sum("size").alias("all")).filter("`all` > 1")
+    named = staged(named.join(first, "component").select("cls", "size", F.col("kept.key").alias("kept")), "classes")
+    grouped = staged(join_groups(rows, named, "cls", "size", rows.count()).filter("size IS NOT NULL").select("key", (F.col("key") == F.col("kept")).alias("stays")), "grouped")
+    keyed = docs.select(*columns, _digest(id_column, text_column).alias("__digest"))
+    left = without_rows(keyed, "__digest", staged(grouped.filter("NOT stays").select("key").distinct(), "similar"))
+    twice = staged(grouped.filter("stays").groupBy("key").count().filter("count > 1").select("key"), "repeated")
+    count = twice.count()
+    if not count:
+        return left.drop("__digest")
+    whole = F.struct(*columns)
+    one = possible_rows(left, "__digest", twice, count).join(twice, F.col("__digest") == F.col("key")).groupBy("__digest").agg(F.first(whole).alias("row")).select("row.*")
+    return without_rows(left, "__digest", twice).drop("__digest").unionByName(one)

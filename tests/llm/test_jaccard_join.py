@@ -78,6 +78,48 @@ def test_empty_and_dropping(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted(min(i for i, g in enumerate(groups) if g == k) for k in set(groups))
 
 
+def test_one_row_of_a_component_stays_whatever_its_ids(spark):
+    near = [f"{' '.join(f'w{i}' for i in range(60))} end{k}" for k in range(3)]
+    texts = [*near, near[0], near[0], "another text of seven words stands here", "no", "", "", None]
+    for ids in ([None] * 10, [7] * 10, [None, 4, 4, 4, 4, 4, None, 4, 4, None]):
+        left = jaccard_join.drop_similar(cases.docs(spark, texts, ids)).collect()
+        assert sum("end" in (r.text or "") for r in left) == 1 and len(left) == 6
+        assert {r.doc_id for r in left if "end" in (r.text or "")} <= {ids[1]}
+
+
+@pytest.mark.parametrize("limits", [(2048, 1_000_000, 1 << 16), (16, 1_000_000, 64), (2048, 3000, 1 << 16)])
+def test_close_texts_leave_a_bucket_as_a_forest(spark, monkeypatch, limits):
+    """Texts that are near but seldom similar, with one passage in common: few rows leave the trees."""
+    for name, limit in zip(("BLOCK", "BLOCK_SHINGLES", "MAX_WIDTH"), limits, strict=True):
+        monkeypatch.setattr(jaccard_join, name, limit)
+    draws = np.random.default_rng(8)
+    stem = [f"w{i}" for i in range(60)]
+    texts = [" ".join(w if i < 14 or draws.random() > 0.02 else f"x{draws.integers(9**9)}" for i, w in enumerate(stem)) for _ in range(150)]
+    made = []
+    plain = jaccard_join._tree_links
+
+    def links(*args):
+        made.append(plain(*args))
+        return made[-1]
+
+    monkeypatch.setattr(jaccard_join, "_tree_links", links)
+    check(spark, texts)
+    assert made[0].count() < 3 * len(texts) * (1 if limits[0] > 16 else 10)
+
+
+def test_folded_signatures_bound_the_overlap(monkeypatch):
+    draws = np.random.default_rng(2)
+    sets = [np.unique(draws.choice(400, 90)).astype(np.uint64) for _ in range(12)]
+    for width in (1 << 16, 64):
+        monkeypatch.setattr(jaccard_join, "MAX_WIDTH", width)
+        bits, slack = jaccard_join.exact_signatures(sets)
+        for i, x in enumerate(sets):
+            for j in range(i):
+                real, seen = len(np.intersect1d(x, sets[j])), int(np.bitwise_count(bits[i] & bits[j]).sum())
+                assert jaccard_join.overlap(x, sets[j]) == real <= seen + min(slack[i], slack[j])
+                assert width == 64 or (real == seen and not slack.any())
+
+
 def test_tree_loses_no_pair():
     draws = np.random.default_rng(1)
     sets = []
