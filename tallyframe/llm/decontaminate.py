@@ -144,6 +144,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", t
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that overlap with no item."""
-    dropped = overlaps(docs, benchmark, id_column, text_column, item_column, item_text).select(F.col(id_column).alias("id")).distinct()
-    return without_rows(docs, id_column, staged(dropped, "contaminated"))
+    """The rows of ``docs`` that overlap with no item. A row's own text decides, whatever its id."""
+    digest = F.md5(F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")).cast("binary"))
+    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], digest.alias("__digest"))
+    found = overlaps(keyed.select("__digest", F.col(f"`{text_column}`").alias("text")), benchmark, "__digest", "text", item_column, item_text)
+    return without_rows(keyed, "__digest", staged(found.select("__digest").distinct(), "contaminated")).drop("__digest")

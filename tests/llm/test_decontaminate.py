@@ -82,6 +82,16 @@ def test_against_brute_force(spark, monkeypatch, limit):
     assert {r.doc_id for r in clean.collect()} == set(range(len(docs))) - {doc for doc, _ in want}
 
 
+def test_a_rows_own_text_decides(spark):
+    """Without an id, or with the id of another row."""
+    item = " ".join(VOCABULARY[:40])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    texts = [item, f"so {item}", "another text", None, item, "its own text"]
+    for ids in ([None] * 6, [3] * 6):
+        left = d.clean(cases.docs(spark, texts, ids), bench).collect()
+        assert sorted(map(str, (r.text for r in left))) == ["None", "another text", "its own text"]
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, " ".join(VOCABULARY[:40]))], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
