@@ -25,7 +25,6 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -34,7 +33,9 @@ EVEN_LENGTH = 2048
 #: Tokens after which a group is packed: bounds a task's memory.
 GROUP_TOKENS = 4_000_000
 #: Words whose ids a worker keeps at most.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
+#: Texts of a batch that are Python objects at the same time.
+ROWS_AT_ONCE = 256
 END_OF_TEXT = "<|endoftext|>"
 #: A space that is not alone before a word: such texts are encoded as a whole.
 MORE_SPACE = re.compile(r" (?:\s|$)")
@@ -136,44 +137,60 @@ def pack(lengths: list[int], size: int) -> Iterator[tuple[int, int, int, int, in
                 heapq.heappush(free, (used[s] - size, s))
 
 
+class Group:
+    """The documents that a task packs together: their ids end to end, two bytes each."""
+
+    def __init__(self):
+        self.names: list = []
+        self.lengths: list[int] = []
+        self.ids = bytearray()
+
+    def add(self, name: object, ids: np.ndarray, end: bytes) -> None:
+        self.names.append(name)
+        self.lengths.append(len(ids) + 1)
+        self.ids += ids.tobytes()
+        self.ids += end
+
+    def packed(self, size: int, base: int) -> tuple[list, list[np.ndarray]]:
+        """The pieces' documents, and their start, length, checksum, document's length, sequence and offset."""
+        pieces = np.array(list(pack(self.lengths, size)), dtype=np.int64).reshape(-1, 5)
+        at, start, length, sequence, offset = pieces.T
+        lengths, ids = np.array(self.lengths, dtype=np.int64), np.frombuffer(self.ids, dtype="<u2")
+        first = (np.cumsum(lengths) - lengths)[at] + start
+        sums = np.array([zlib.crc32(ids[i : i + n].astype("<u4")) for i, n in zip(first.tolist(), length.tolist(), strict=True)], dtype=np.int64)
+        return [self.names[i] for i in at.tolist()], [start, length, sums, lengths[at], sequence + base, offset]
+
+
 def pack_documents(
     docs: DataFrame, ranks_file: str, pattern: str, size: int = 1024, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     kind = dict(docs.dtypes)[id_column]
+    columns = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        base, tokens, group, id_type = TaskContext.get().partitionId() << 32, ByteTokens(ranks_file, pattern), Group(), None
+        end = np.array([end_id], dtype="<u2").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        base, tokens = TaskContext.get().partitionId() << 32, ByteTokens(ranks_file, pattern)
-        end = np.array([end_id], dtype="<u2")
-        names: list = []
-        ids: list[np.ndarray] = []
-        held = 0
-
-        def flush() -> pd.DataFrame:
-            nonlocal base
-            pieces = list(pack([len(x) for x in ids], size))
-            out = pd.DataFrame(pieces, columns=["at", "start", "length", "sequence_id", "offset"], dtype="int64")
-            wide = [x.astype("<u4") for x in ids]
-            out["ids_crc32"] = np.array([zlib.crc32(wide[i][s : s + n]) for i, s, n, _, _ in pieces], dtype=np.int64)
-            out["doc_tokens"] = np.array([len(x) for x in ids], dtype=np.int64)[out["at"]]
-            out["id"] = pd.Series(names, dtype=object).iloc[out["at"]].to_numpy()
-            out["sequence_id"] += base
-            base = int(out["sequence_id"].max()) + 1
-            return out[["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
+        def flush():
+            nonlocal base, group
+            names, numbers = group.packed(size, base)
+            base, group = int(numbers[4].max()) + 1, Group()
+            return pa.RecordBatch.from_arrays([pa.array(names, id_type), *map(pa.array, numbers)], columns)
 
         for batch in batches:
-            for name, text in zip(batch["id"].astype(object).where(batch["id"].notna(), None), batch["text"], strict=True):
-                names.append(name)
-                ids.append(np.concatenate([tokens.ids(text or ""), end]))
-                held += len(ids[-1])
-                if held >= GROUP_TOKENS:
-                    yield flush()
-                    names, ids, held = [], [], 0
-        if ids:
+            id_type = batch.schema.field("id").type
+            for low in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(low, ROWS_AT_ONCE)
+                for name, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    group.add(name, tokens.ids(text or ""), end)
+                    if len(group.ids) >= 2 * GROUP_TOKENS:
+                        yield flush()
+        if group.names:
             yield flush()
 
     light = docs.selectExpr(f"`{id_column}` AS id", f"cast(`{text_column}` AS string) AS text")
-    schema = "id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    # a nullable id can't travel as a NumPy integer; a text can
-    text_id = light.selectExpr("cast(id AS string) AS id", "text").mapInPandas(run, schema.format("string"))
-    return text_id.withColumn("id", text_id["id"].cast(kind)).withColumnRenamed("id", id_column)
+    schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    return light.mapInArrow(run, schema).withColumnRenamed("id", id_column)
