@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join side even when that costs one more shuffle afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # long texts: what a Python worker gets at a time is bounded by bytes, not by rows alone
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
