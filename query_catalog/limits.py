@@ -123,6 +123,17 @@ def read_delimited_by_name(t):
     return readers.read_delimited(t.spark, path, multiline=True, types={"id": "integer", "price": "number"}).select("id", "note", "price")
 
 
+@query("""SELECT o_orderkey AS id, o_orderstatus || chr(10) || 'said "' || o_orderpriority || '"' || chr(10) || 'end' AS note, o_totalprice AS price FROM orders""")
+def read_delimited_one_file(t):
+    """A single file, cut into many splits wherever its bytes fall, with line breaks and quotes in cells and in a column's name."""
+    path = scratch_path(t.spark, "one-file")
+    note = F.concat("o_orderstatus", F.lit('\nsaid "'), "o_orderpriority", F.lit('"\nend'))
+    rows = t.orders.select(C("o_orderkey").alias("id"), note.alias("the\nnote"), C("o_totalprice").alias("price"))
+    rows.coalesce(1).write.options(header="true", quoteAll="true", escape="\\").csv(path)
+    df = readers.read_delimited(t.spark, path, multiline=True, types={"id": "integer", "price": "number"})
+    return df.select("id", C("the\nnote").alias("note"), "price")
+
+
 AS_OF = "DATE '1995-03-31'"
 
 

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from functools import reduce
+from io import StringIO
 from itertools import chain, count
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.shape import ColumnSpec, adapter, normalize_keys
 from ..types import ref, resolve
+from . import records
 
 # Character sets by their common names.
 CHARSETS = {"utf-8": "UTF-8", "utf8": "UTF-8", "windows-1252": "windows-1252", "cp1252": "windows-1252"}
@@ -68,9 +69,10 @@ def read_delimited(
     Columns are text unless pinned in ``types`` or, with ``infer``, inferred by one extra pass;
     pinned columns keep leading zeros. Every file's columns are taken by the names in its own
     header; one that a file lacks is null there. ``columns`` gives the columns of all files by
-    position, which saves reading the headers first.
+    position, which saves looking at the files' first lines.
 
-    ``multiline``: cells in quotes may hold line breaks; a file is then read by one task.
+    ``multiline``: cells in quotes may hold line breaks, also in the header. Such files are split over
+    tasks like any others, at the price of two passes over their lines (see ``records``).
     ``odd_rows`` names a column for the raw text of rows with more or fewer cells than the header
     has, else null. Without it, missing cells are null and cells beyond the header are left out.
     """
@@ -80,28 +82,32 @@ def read_delimited(
     # Spark reads ISO-8859-1; the characters where windows-1252 differs are put right afterwards
     latin = encoding != "UTF-8"
     options = {"sep": delimiter, "quote": '"', "escape": "\\", "encoding": "ISO-8859-1" if latin else encoding, **file_options(**files)}
-    if multiline:
-        options["multiLine"] = "true"
+    code = "latin-1" if latin else "utf-8"
 
     def load(paths: str | list[str], names: list[str]) -> DataFrame:
         ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*names, *([odd_rows] if odd_rows else [])])
-        # enforceSchema: header texts may differ from the cleaned names
-        reader = spark.read.options(**options, header=str(header).lower(), enforceSchema="true").schema(ddl)
-        loaded = (reader.option("columnNameOfCorruptRecord", odd_rows) if odd_rows else reader).csv(paths)
+        extra = {"columnNameOfCorruptRecord": odd_rows} if odd_rows else {}
+        if multiline:
+            rows = records.records(spark, paths, options, delimiter, code)
+            cells = {k: options[k] for k in ("sep", "quote", "escape")}
+            loaded = records.parsed(rows.filter("NOT first") if header else rows, F.col("record"), ddl, {**cells, **extra})
+        else:
+            # enforceSchema: header texts may differ from the cleaned names
+            loaded = spark.read.options(**options, **extra, header=str(header).lower(), enforceSchema="true").schema(ddl).csv(paths)
         return loaded.select(*[_windows_1252(c) for c in loaded.columns]) if latin else loaded
 
     if columns is not None:
         df = load(path, columns)
     elif header:
-        by_header = _headers(spark, path, options)
+        by_header = _headers(spark, path, options, multiline)
         df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [load(paths, unique_headers(first)) for first, paths in by_header])
         if odd_rows:  # last, whatever the files
             df = df.select(*[ref(c) for c in df.columns if c != odd_rows], ref(odd_rows))
     else:
-        first = spark.read.options(**options, header="false", inferSchema="false").csv(path).first()
+        first = next((record for _, record in records.first_records(spark, path, options, delimiter, code)), None)
         if first is None:
             raise ValueError("the file has no rows")
-        df = load(path, [f"col_{i + 1}" for i in range(len(first))])
+        df = load(path, [f"col_{i + 1}" for i in range(len(_cells(first, delimiter, multiline)))])
     pinned = {resolve(df, name): logical for name, logical in (types or {}).items()}
     if infer:
         from ..plans.profile import infer_types
@@ -116,29 +122,21 @@ def _windows_1252(name: str) -> Column:
     return F.translate(ref(name), "".join(map(chr, codes)), bytes(codes).decode("cp1252")).alias(name)
 
 
-def _headers(spark: SparkSession, path: str | list[str], options: dict[str, str]) -> list[tuple[list[str], list[str]]]:
-    """The different headers of the files at a path, each with its files; one pass, one line per file comes back."""
-    chosen = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup", "modifiedAfter", "encoding")}
-    # whole lines in the file's own encoding: no separator or quote that could occur
-    lines = spark.read.options(**chosen, sep="\x01", quote="", header="false").schema("value string").csv(path)
-    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+def _cells(record: str, delimiter: str, multiline: bool) -> list[str]:
+    """A record's cells; without line breaks in cells, its first line's."""
+    text = record if multiline else record.split("\n", 1)[0].removesuffix("\r")
+    return next(csv.reader(StringIO(text, newline=""), delimiter=delimiter, escapechar="\\"))
 
-    def firsts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        before = None
-        for batch in batches:
-            if len(batch):
-                new = (batch["file"] != batch["file"].shift(fill_value=before)) & (batch["start"] == 0)
-                before = batch["file"].iloc[-1]
-                yield batch.loc[new, ["file", "value"]]
 
+def _headers(spark: SparkSession, path: str | list[str], options: dict[str, str], multiline: bool) -> list[tuple[list[str], list[str]]]:
+    """The different headers of the files at a path, each with its files."""
+    latin = options["encoding"] == "ISO-8859-1"
     found: dict[str, list[str]] = {}
-    for file, line in sorted(map(tuple, lines.mapInPandas(firsts, "file string, value string").collect())):
-        if options["encoding"] == "ISO-8859-1":
-            line = line.encode("latin-1").decode("cp1252", "replace")
-        found.setdefault(line, []).append(unquote(file))
+    for file, record in records.first_records(spark, path, options, options["sep"], "cp1252" if latin else "utf-8"):
+        found.setdefault(record if multiline else record.split("\n", 1)[0], []).append(unquote(file))
     if not found:
         raise ValueError("the files have no rows")
-    return [(next(csv.reader([line], delimiter=options["sep"], escapechar=options["escape"])), files) for line, files in found.items()]
+    return [(_cells(record, options["sep"], multiline), files) for record, files in found.items()]
 
 
 def read_table(spark: SparkSession, dataset: str, fmt: str | None = None) -> DataFrame:
