@@ -123,6 +123,32 @@ def read_delimited_by_name(t):
     return readers.read_delimited(t.spark, path, multiline=True, types={"id": "integer", "price": "number"}).select("id", "note", "price")
 
 
+@query("""SELECT s_suppkey, r_name, lo FROM supplier, (SELECT r_name, CASE WHEN r_regionkey = 0 THEN '-Infinity'::DOUBLE ELSE r_regionkey * 2500.0 END AS lo,
+CASE WHEN r_regionkey = 3 THEN 'Infinity'::DOUBLE ELSE r_regionkey * 2500.0 + 1000 END AS hi FROM region) WHERE s_acctbal >= lo AND s_acctbal < hi""")
+def blend_interval_open(t):
+    """Limits of which one has no lower and one no upper end."""
+    low, high = C("r_regionkey") * 2500.0, C("r_regionkey") * 2500.0 + 1000
+    limits = t.region.select(
+        "r_name", F.when(C("r_regionkey") == 0, float("-inf")).otherwise(low).alias("lo"), F.when(C("r_regionkey") == 3, float("inf")).otherwise(high).alias("hi")
+    )
+    return joins.blend(t.supplier, limits, [On("s_acctbal", "ge", "lo"), On("s_acctbal", "lt", "hi")]).select("s_suppkey", "r_name", "lo")
+
+
+@query("""SELECT s_suppkey, c_custkey FROM supplier, customer WHERE s_acctbal > c_acctbal + 9000 AND s_nationkey < c_nationkey""")
+def blend_two_inequalities(t):
+    """Two inequalities on different columns."""
+    richer = t.customer.select("c_custkey", "c_nationkey", (C("c_acctbal") + 9000).alias("limit"))
+    joined = joins.blend(t.supplier, richer, [On("s_acctbal", "gt", "limit"), On("s_nationkey", "lt", "c_nationkey")])
+    return joined.select("s_suppkey", "c_custkey")
+
+
+@query("""SELECT o_orderkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.value * 600 > o.o_totalprice AND e.user_id > o.o_custkey)""")
+def blend_two_inequalities_unmatched(t):
+    """Rows that no row of the other table exceeds in both columns."""
+    events = t.events.select((C("value") * 600).alias("limit"), "user_id")
+    return joins.anti(t.orders.select("o_orderkey", "o_totalprice", "o_custkey"), events, [On("o_totalprice", "lt", "limit"), On("o_custkey", "lt", "user_id")]).select("o_orderkey")
+
+
 @query("""SELECT o_orderkey AS id, o_orderstatus || chr(10) || 'said "' || o_orderpriority || '"' || chr(10) || 'end' AS note, o_totalprice AS price FROM orders""")
 def read_delimited_one_file(t):
     """A single file, cut into many splits wherever its bytes fall, with line breaks and quotes in cells and in a column's name."""

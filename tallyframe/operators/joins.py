@@ -1,7 +1,7 @@
 """Two-table joins with the unmatched rows of each side, naming of clashing columns, text
 containment, tolerance and nearest joins.
 
-Joins carry no broadcast hints: Spark broadcasts a side only below its size threshold. A join of
+Joins of tables carry no broadcast hints: Spark broadcasts a side only below its size threshold. A join of
 alternatives (OR) becomes one equality join per alternative, each leaving out pairs an earlier one
 already gave, because Spark would otherwise compare every pair of rows.
 """
@@ -23,8 +23,14 @@ EQUALITY, THETA, TEXT = ("eq",), ("ne", "gt", "ge", "lt", "le"), ("contains", "i
 COMPARABLE = {"integer": "number", "datetime": "date"}
 # Characters of the piece of a searched text that is looked up as a key.
 PROBE = 8
-# Exponent of the narrowest bin of an interval join.
-MIN_LEVEL = -20
+# Exponents of the narrowest and the widest bin of an interval join; a longer interval meets every point.
+MIN_LEVEL, MAX_LEVEL = -20, 1000
+# Bins are numbered up to here; what lies beyond is in the last one.
+MOST_BINS = 2.0**62
+# Rows of a block of an inequality join, as long as the number of blocks allows it.
+INEQUALITY_ROWS, INEQUALITY_BLOCKS = 1000, 4096
+# Whole numbers up to here are exact as doubles.
+EXACT = 2.0**53
 # Rows of a small table that is sent to every task.
 EXPAND_BROADCAST_ROWS = 10_000
 
@@ -88,44 +94,120 @@ class _Sides:
         whole, part = (l, r) if condition.op == "contains" else (r, l)
         return F.contains(whole.cast("string"), part.cast("string")) & (F.trim(part.cast("string")) != "")
 
+    def ordered(self, condition: On) -> bool:
+        kinds = ("integer", "number", "date", "datetime")
+        return column_type(self.left, condition.left) in kinds and column_type(self.right, condition.right) in kinds
+
     def interval(self, conditions: list[On]) -> tuple[str, str, str, str] | None:
         """(point side, point, low, high) when one column has to lie between two of the other side."""
-        def ordered(frame: DataFrame, name: str) -> bool:
-            return column_type(frame, name) in ("integer", "number", "date", "datetime")
-
         for side, up, down in (("left", ("ge", "gt"), ("le", "lt")), ("right", ("le", "lt"), ("ge", "gt"))):
             for low in conditions:
                 for high in conditions:
                     point, other = (low.left, low.right) if side == "left" else (low.right, low.left)
                     same, bound = (high.left, high.right) if side == "left" else (high.right, high.left)
-                    if low.op in up and high.op in down and point == same and all(ordered(self.left, c.left) and ordered(self.right, c.right) for c in (low, high)):
+                    if low.op in up and high.op in down and point == same and self.ordered(low) and self.ordered(high):
                         return side, point, other, bound
         return None
 
+    def inequalities(self, conditions: list[On]) -> list[On]:
+        """The first two inequalities between ordered columns, if there are two."""
+        found = [c for c in conditions if c.op in ("gt", "ge", "lt", "le") and self.ordered(c)]
+        return found[:2] if len(found) > 1 else []
+
+    def without_equality(self, conditions: list[On]):
+        """The way to join on inequalities alone without comparing all rows, if there is one."""
+        if any(c.op not in THETA for c in conditions):
+            return None
+        return self.binned if self.interval(conditions) else self.dominated if self.inequalities(conditions) else None
+
     def binned(self, conditions: list[On], left: DataFrame, right: DataFrame) -> DataFrame:
         """Inner join on an interval as an equality join.
 
         An interval lies in one or two bins of the width that fits its length, a power of two; a
-        point looks in its bin of every width that occurs (a few dozen at most).
+        point looks in its bin of every width that occurs (a few dozen at most). An interval without
+        an end, which most points on its other side lie in, is copied to every part of the points.
         """
         side, point, low, high = self.interval(conditions)
         points, intervals = (left, right) if side == "left" else (right, left)
-        number = lambda df, name: _as_number(df, name, F.col(name)).cast("double")
+        number = _comparable
         low, high = number(intervals, low), number(intervals, high)
         length = F.when(high >= low, high - low)
-        level = F.when(length > 0, F.ceil(F.log2(length)).cast("int") + 1).otherwise(F.lit(MIN_LEVEL))
+        endless = F.isnan(length) | (length >= 2.0 ** (MAX_LEVEL - 1))
+        level = F.when(endless, F.lit(MAX_LEVEL)).when(length > 0, F.ceil(F.log2(length)).cast("int") + 1).otherwise(F.lit(MIN_LEVEL))
         intervals = intervals.withColumn("__level", F.when(length.isNotNull(), F.greatest(level, F.lit(MIN_LEVEL)))).filter("__level IS NOT NULL")
         levels = sorted(r[0] for r in intervals.select("__level").distinct().collect())
-        width = lambda c: F.pow(F.lit(2.0), c)
-        bins = F.array_distinct(F.array(F.floor(low / width(F.col("__level"))), F.floor(high / width(F.col("__level")))))
+        # numbers beyond the last bin share it, on both sides
+        place = lambda c: F.floor(F.greatest(F.least(c, F.lit(MOST_BINS)), F.lit(-MOST_BINS)))
+        width = F.pow(F.lit(2.0), F.when(F.col("__level") < MAX_LEVEL, F.col("__level")).otherwise(0))
+        parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bins = F.when(F.col("__level") < MAX_LEVEL, F.array_distinct(F.array(place(low / width), place(high / width)))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
         intervals = intervals.withColumn("__bin", F.explode(bins))
         at = number(points, point)
-        places = F.array(*[F.struct(F.lit(n).alias("__level"), F.floor(at / 2.0**n).alias("__bin")) for n in levels]) if levels else F.array().cast("array<struct<__level:int,__bin:bigint>>")
-        points = points.withColumn("__place", F.explode(places)).select("*", "__place.*").drop("__place")
+        spread = F.pmod(F.xxhash64(*points.columns), F.lit(parts))
+        places = [F.struct(F.lit(n).alias("__level"), (place(at / 2.0**n) if n < MAX_LEVEL else spread).alias("__bin")) for n in levels]
+        points = points.withColumn("__place", F.explode(F.array(*places) if places else F.array().cast("array<struct<__level:int,__bin:bigint>>"))).select("*", "__place.*").drop("__place")
         left, right = (points, intervals) if side == "left" else (intervals, points)
         joined = left.join(right, (left["__level"] == right["__level"]) & (left["__bin"] == right["__bin"]) & self.all_of(conditions))
         return joined.drop("__level", "__bin")
 
+    def dominated(self, conditions: list[On], left: DataFrame, right: DataFrame) -> DataFrame:
+        """Inner join on two inequalities (and whatever else) as an equality join.
+
+        Both are turned into left < right. The values of each are cut into blocks at quantiles of both
+        tables, and every quantile is a block of its own. Along the first, a tree of halves over the
+        blocks brings each pair of different blocks together once, in the node where the left row is in
+        the lower and the right row in the upper half; rows of one block meet in it. In a node, a left
+        row goes to the blocks of the second that right rows of this node are in, its own and those
+        above, where every pair fits. So rows are copied with the logarithm of the number of blocks, or
+        where they give results; all conditions are tested at the end.
+        """
+        tests = self.inequalities(conditions)
+        lower, upper, blocks, exact = left, right, [], []
+        for i, test in enumerate(tests):
+            up = test.op in ("lt", "le")
+            lower = lower.withColumn(f"__v{i}", _sortable(lower, test.left, up))
+            upper = upper.withColumn(f"__v{i}", _sortable(upper, test.right, up))
+            exact.append(all(str(dict(df.dtypes)[n]).split("(")[0] != "decimal" for df, n in ((left, test.left), (right, test.right))))
+        known = "__v0 IS NOT NULL AND __v1 IS NOT NULL"
+        lower, upper = cut_lineage(lower.filter(known)), cut_lineage(upper.filter(known))
+        values = lower.select("__v0", "__v1").unionByName(upper.select("__v0", "__v1"))
+        count = max(1, min(INEQUALITY_BLOCKS, values.count() // INEQUALITY_ROWS))
+        steps = [k / count for k in range(1, count)]
+        for i in range(2):
+            found = values.approxQuantile(f"__v{i}", steps, 0.25 / count) if steps else []
+            blocks.append(sorted(set(found)))
+        depth = [(2 * len(b) + 1).bit_length() for b in blocks]
+        lower = lower.withColumns({f"__b{i}": _block(F.col(f"__v{i}"), blocks[i]) for i in range(2)})
+        upper = upper.withColumns({f"__b{i}": _block(F.col(f"__v{i}"), blocks[i]) for i in range(2)})
+
+        def alone(i: int) -> Column:
+            """Whether no two rows of the block can fit: it is one value, and the test is strict."""
+            if tests[i].op in ("le", "ge") or not exact[i]:
+                return F.lit(False)
+            return (F.col(f"__b{i}") % 2 == 1) & (F.abs(F.col(f"__v{i}")) < EXACT)
+
+        def nodes(half: int) -> Column:
+            at = F.col("__b0")
+            every = [F.when(~alone(0), F.struct(F.lit(0).alias("level"), at.alias("node")))]
+            every += [F.when(F.shiftright(at, n - 1).bitwiseAND(F.lit(1)) == half, F.struct(F.lit(n).alias("level"), F.shiftright(at, n).alias("node"))) for n in range(1, depth[0] + 1)]
+            return F.explode(F.array_compact(F.array(*every)))
+
+        # a node that holds few blocks has coarser blocks of the second value
+        part = F.expr(f"shiftright(__b1, greatest(0, {depth[1]} - __at.level))")
+        lower = lower.withColumn("__at", nodes(0)).withColumn("__own", part)
+        upper = upper.withColumn("__at", nodes(1)).withColumn("__part", part)
+        held = upper.groupBy("__at").agg(F.collect_set("__part").alias("__parts"))
+        # as many numbers as blocks for each level of the tree
+        lower = lower.join(F.broadcast(held), "__at")
+        fine = F.lit(depth[1]) <= F.col("__at.level")
+        above = lambda p, own, skip: (p > own) | ((p == own) & ~skip)
+        lower = lower.withColumn("__skip", fine & alone(1)).withColumn("__part", F.explode(F.filter("__parts", lambda p: above(p, F.col("__own"), F.col("__skip")))))
+        extra = ["__v0", "__v1", "__b0", "__b1"]
+        lower, upper = lower.drop(*extra, "__own", "__parts", "__skip"), upper.drop(*extra)
+        lower, upper = (df.select("*", F.col("__at.level").alias("__level"), F.col("__at.node").alias("__node")).drop("__at") for df in (lower, upper))
+        meet = (lower["__level"] == upper["__level"]) & (lower["__node"] == upper["__node"]) & (lower["__part"] == upper["__part"])
+        return lower.join(upper, meet & self.all_of(conditions)).drop("__level", "__node", "__part")
+
     def all_of(self, conditions: list[On]) -> Column:
         return reduce(lambda a, b: a & b, [self.test(c) for c in conditions])
 
@@ -152,18 +234,18 @@ class _Sides:
         return widened, (F.col(other).cast("string") == F.col(partner)) & condition
 
     def inner(self, conditions: list[On]) -> DataFrame:
-        if all(c.op in THETA for c in conditions) and self.interval(conditions):
-            return self.binned(conditions, self.left, self.right)
+        if way := self.without_equality(conditions):
+            return way(conditions, self.left, self.right)
         right, condition = self.prepared(conditions, "right")
         return self.left.join(right, condition, "inner").drop("__lv")
 
     def unmatched(self, branches: list[list[On]], side: str) -> DataFrame:
         out = self.left if side == "left" else self.right
         for branch in branches:
-            if all(c.op in THETA for c in branch) and self.interval(branch):
+            if way := self.without_equality(branch):
                 # fixed row numbers, so that the rows found can be told from the others
                 out = cut_lineage(out.withColumn("__row", F.monotonically_increasing_id()))
-                found = self.binned(branch, *((out, self.right) if side == "left" else (self.left, out))).select("__row").distinct()
+                found = way(branch, *((out, self.right) if side == "left" else (self.left, out))).select("__row").distinct()
                 out = out.join(found, "__row", "left_anti").drop("__row")
                 continue
             other, condition = self.prepared(branch, "right" if side == "left" else "left")
@@ -210,7 +292,7 @@ def blend(left: DataFrame, right: DataFrame, on: list[On], how: str = "inner", j
         raise ValueError("how must be inner, left, right or full")
     sides = _Sides(left, right, on, null_safe)
     branches = _branches(sides, joiner)
-    theta = all(c.op in THETA for c in sides.on) and not sides.interval(sides.on)
+    theta = all(c.op in THETA for c in sides.on) and not sides.without_equality(sides.on)
     native = len(branches) == 1 and (any(c.op == "eq" for c in sides.on) or theta)
     if native:
         joined = sides.left.join(sides.right, sides.all_of(sides.on), how)
@@ -238,9 +320,9 @@ def blend_forks(left: DataFrame, right: DataFrame, on: list[On], how: str = "inn
 def semi(left: DataFrame, right: DataFrame, on: list[On], null_safe: bool = False) -> DataFrame:
     """Left rows that have a partner."""
     sides = _Sides(left, right, on, null_safe)
-    if all(c.op in THETA for c in sides.on) and sides.interval(sides.on):
+    if way := sides.without_equality(sides.on):
         numbered = cut_lineage(sides.left.withColumn("__row", F.monotonically_increasing_id()))
-        found = sides.binned(sides.on, numbered, sides.right).select("__row").distinct()
+        found = way(sides.on, numbered, sides.right).select("__row").distinct()
         return numbered.join(found, "__row", "left_semi").drop("__row").toDF(*left.columns)
     other, condition = sides.prepared(sides.on, "right")
     return sides.left.join(other, condition, "left_semi").toDF(*left.columns)
@@ -428,6 +510,31 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], valu
     )
 
 
+def _comparable(df: DataFrame, name: str) -> Column:
+    """A double in the column's order; dates and times share one scale."""
+    kind, column = column_type(df, name), F.col(name)
+    return (F.unix_micros(column.cast("timestamp")) if kind in ("date", "datetime") else column).cast("double")
+
+
+def _sortable(df: DataFrame, name: str, up: bool) -> Column:
+    """A double in the column's order, or in the opposite one; what is not a number counts as the largest."""
+    number = _comparable(df, name)
+    number = F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number)
+    return number if up else -number
+
+
+def _block(value: Column, bounds: list[float]) -> Column:
+    """Number of the block a value lies in: odd numbers are the bounds themselves, even ones what lies between."""
+    if not bounds:
+        return F.lit(0)
+    size = 1 << len(bounds).bit_length()
+    # beyond the bounds stands what no value is larger than
+    listed = F.expr("array(" + ", ".join([f"double('{b!r}')" for b in bounds] + ["double('NaN')"] * (size - len(bounds))) + ")")
+    steps = F.array(*[F.lit(size >> n) for n in range(1, size.bit_length())])
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(listed, at + step - 1) < value, at + step).otherwise(at))
+    return below * 2 + F.coalesce(F.get(listed, below) == value, F.lit(False)).cast("int")
+
+
 def _as_number(df: DataFrame, name: str, column: Column) -> Column:
     kind = column_type(df, name)
     if kind == "date":

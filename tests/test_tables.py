@@ -432,6 +432,67 @@ def test_interval_join_against_brute_force(rows):
     assert values(joins.blend(right, left, turned), "i", "j") == want
 
 
+def test_open_and_wide_intervals(rows):
+    """Bounds without end, near the ends of what a double holds, and values that are not a number."""
+    inf, nan = float("inf"), float("nan")
+    points = [(i, x) for i, x in enumerate([0.0, -5.0, 1e308, -1e308, inf, -inf, nan, None, 1e300, 3.0, 1e-300])]
+    spans = [(j, *x) for j, x in enumerate([(0.0, inf), (-inf, 0.0), (-inf, inf), (-1e308, 1e308), (0.0, 1e308), (1e300, 1e300), (2.0, 3.0), (5.0, 1.0), (nan, nan), (0.0, nan), (None, inf), (0.0, 1e-300), (inf, inf)])]
+    left, right = rows(points, "i int, x double"), rows(spans, "j int, lo double, hi double")
+    # as Spark compares: what is not a number is the largest, and equal to itself
+    key = lambda v: (v != v, 0.0 if v != v else v)
+    want = sorted([(i, j) for i, x in points for j, lo, hi in spans if None not in (x, lo, hi) and key(lo) <= key(x) <= key(hi)], key=repr)
+    on = [On("x", "ge", "lo"), On("x", "le", "hi")]
+    assert values(joins.blend(left, right, on), "i", "j") == want
+    assert {r[0] for r in values(joins.anti(left, right, on), "i")} == {i for i, _ in points} - {i for i, _ in want}
+    dates = rows([(1, dt.date(2024, 1, 5))], "i int, d date")
+    times = rows([(7, dt.datetime(2024, 1, 4, 12), dt.datetime(9999, 12, 31)), (8, dt.datetime(2024, 1, 5, 1), dt.datetime(2024, 1, 6))], "j int, lo timestamp, hi timestamp")
+    assert values(joins.blend(dates, times, [On("d", "ge", "lo"), On("d", "le", "hi")]), "i", "j") == [(1, 7)]
+
+
+@pytest.mark.parametrize("ops", [("lt", "gt"), ("le", "ge"), ("gt", "le"), ("ge", "lt"), ("lt", "lt")])
+def test_two_inequalities_against_brute_force(rows, monkeypatch, ops):
+    """Ties, a value in a third of all rows, nulls and ends of the scale; plans compare no tables row by row."""
+    monkeypatch.setattr(joins, "INEQUALITY_ROWS", 20)
+    draws = np.random.default_rng(len(ops[0] + ops[1]))
+    inf, nan = float("inf"), float("nan")
+
+    def side(n, first):
+        a = np.where(draws.random(n) < 0.3, 5.0, np.round(draws.normal(0, 10, n), 1)).tolist()
+        b = draws.integers(0, 40, n).tolist()
+        for k, odd in enumerate([None, nan, inf, -inf, 1e308]):
+            a[k] = odd
+        b[7] = None
+        return [(first + i, x, y) for i, (x, y) in enumerate(zip(a, b))]
+
+    lrows, rrows = side(260, 0), side(230, 1000)
+    left, right = rows(lrows, "i int, a double, b bigint"), rows(rrows, "j int, c double, d bigint")
+    key = lambda v: (v != v, 0.0 if v != v else v)
+    test = {"lt": lambda x, y: key(x) < key(y), "le": lambda x, y: key(x) <= key(y), "gt": lambda x, y: key(x) > key(y), "ge": lambda x, y: key(x) >= key(y)}
+    want = sorted([(i, j) for i, a, b in lrows for j, c, d in rrows if None not in (a, b, c, d) and test[ops[0]](a, c) and test[ops[1]](b, d)], key=repr)
+    on = [On("a", ops[0], "c"), On("b", ops[1], "d")]
+    joined = joins.blend(left, right, on)
+    assert values(joined, "i", "j") == want and len(want) > 1000
+    plan = joined._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    _, left_only, right_only = joins.blend_forks(left, right, on)
+    assert {r[0] for r in values(left_only, "i")} == {i for i, *_ in lrows} - {i for i, _ in want}
+    assert {r[0] for r in values(right_only, "j")} == {j for j, *_ in rrows} - {j for _, j in want}
+    assert {r[0] for r in values(joins.semi(left, right, [*on, On("i", "ne", "j")]), "i")} == {i for i, _ in want}
+
+
+def test_inequalities_with_few_results_make_few_candidates(rows, spark):
+    """Rising on the left and falling on the right: copies grow with a logarithm, pairs aren't formed."""
+    n = 20_000
+    left = spark.range(n).selectExpr("id AS i", "id AS a", "id AS b")
+    right = spark.range(n).selectExpr("id AS j", "id AS c", f"{n} - 2 * id AS d")
+    sides = joins._Sides(left, right, [On("a", "lt", "c"), On("b", "lt", "d")], False)
+    found = sides.dominated(sides.on, sides.left, sides.right)
+    want = sum(max(0, (n - x - 1) // 2 - x) if (n - x) % 2 else max(0, (n - x) // 2 - 1 - x) for x in range(n))
+    assert found.count() == want
+    monotone = joins._Sides(left, right.selectExpr("j", "c", "c - 3 AS d"), [On("a", "gt", "c"), On("b", "lt", "d")], False)
+    assert monotone.dominated(monotone.on, monotone.left, monotone.right).count() == 0
+
+
 def test_forms_of_a_window_agree(rows):
     df = rows([(k % 3, i, float(i % 4)) for i, k in enumerate(range(60))], "k int, i int, v double")
     for calc, field in (("ROW_NUM", None), ("RANK", None), ("NTILE", None), ("LAG", "v"), ("LEAD", "v"), ("CUM_SUM", "v"), ("FILL_DOWN", "v")):
