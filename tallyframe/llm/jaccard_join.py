@@ -12,13 +12,14 @@ Every link of the defined similarity is found; nothing is capped or sampled:
 4. In each bucket that is left, a signature tree is built: nodes hold the OR of their members' token
    bitmaps, the range of their sizes and the slack of their bitmaps. Dual traversal visits pairs of
    nodes and drops a pair when the largest overlap its members can have is below the smallest
-   that a link needs. A member without a possible partner in another component leaves the bucket.
-5. Those that stay bring their whole sets. A second tree over bitmaps of the shared shingles, one bit
-   each, gives exact overlaps; the links of a spanning forest leave the bucket, so a bucket never
-   puts out more rows than it has members, however many of its pairs are close.
+   that a link needs. Of the pairs left between components, a spanning forest leaves the bucket, so it
+   never puts out more rows than it has members, however many of its pairs are close.
+5. What the forests hold together is a cluster, and a class is in one cluster at most. There the classes
+   bring their whole sets, once. A second tree over bitmaps of the shared shingles, one bit each, gives
+   exact overlaps; again the links of a spanning forest leave the cluster.
 
-Buckets of frequent shingles are dealt out by (shingle, salt) at first and by pairs of bounded
-blocks in the trees, so no task gathers one.
+Buckets of frequent shingles are dealt out by (shingle, salt) at first and by pairs of bounded blocks of
+neighbouring size levels in the trees, and so are clusters, so no task gathers one.
 
 Defined cases: null text counts as empty; texts without words have no shingles, link with nothing
 and are their own component; equal texts link whatever their length; a null id never is a
@@ -216,12 +217,17 @@ def _posted(light: DataFrame, width: int, counts: np.ndarray) -> DataFrame:
 # --- buckets ------------------------------------------------------------------------------------
 
 
+def _level(size: str) -> Column:
+    """Sizes in one level, or in two neighbouring ones, can be those of similar sets."""
+    return F.floor(F.log(size) / F.log(F.lit(1.25))).cast("int")
+
+
 def _shared(posted: DataFrame) -> DataFrame:
     """Postings of shingles that more than one class has, each with the first class of its size level.
 
     The first of a level also gets the first of the level below it in the bucket, if that is the next one.
     """
-    level = F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int").alias("level")
+    level = _level("n").alias("level")
     rare = posted.select(F.explode("rare").alias("key"), F.lit(-1).alias("salt"), level, "cls")
     frequent = posted.select(F.explode("frequent").alias("key"), F.pmod("cls", F.lit(SALTS)).cast("int").alias("salt"), level, "cls")
     dealt = rare.unionByName(frequent).repartition("key", "salt").sortWithinPartitions("key", "salt", "level", "cls")
@@ -322,17 +328,27 @@ def _may_link(unit: Unit) -> bool:
     return len(unit["comp"]) > 1 and bool((unit["comp"] != unit["comp"][0]).any() and (unit["level"] == unit["at"][0]).any())
 
 
-def _partnered(unit: Unit) -> np.ndarray:
-    """Places of the unit's members that may be similar to one of another component, by their bitmaps."""
-    order = np.lexsort((unit["cls"], unit["n"]))
+def _joining(labels: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]], fits=None) -> list[tuple[int, int]]:
+    """The pairs (of those that fit) that join labels as all of them would."""
+    out = []
+    for i, j in pairs:
+        while len(i := i[apart := labels[i] != labels[j]]):
+            j = j[apart]
+            x, y, i, j = int(i[0]), int(j[0]), i[1:], j[1:]
+            if fits is None or fits(x, y):
+                out.append((x, y))
+                labels[labels == labels[y]] = labels[x]
+    return out
+
+
+def _near_pairs(unit: Unit) -> np.ndarray:
+    """(a, b): pairs of different components that hold together all that may be similar, by their bitmaps."""
     ordered = _in_order(unit)
     words = [np.frombuffer(x, dtype="<u8") for x in ordered["bits"]]
     width = min(map(len, words))
-    bits, sizes = np.stack([folded(x, width) for x in words]), ordered["n"].astype(np.int64)
-    found = np.zeros(len(order), dtype=bool)
-    for i, j, _ in _open_pairs(ordered, Tree(bits, sizes)):
-        found[i] = found[j] = True
-    return np.sort(order[found])
+    tree = Tree(np.stack([folded(x, width) for x in words]), ordered["n"].astype(np.int64))
+    found = _joining(np.arange(len(words)), ((i, j) for i, j, _ in _open_pairs(ordered, tree)))
+    return ordered["cls"][np.array(found, dtype=np.int64).reshape(-1, 2)]
 
 
 def exact_signatures(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -357,40 +373,37 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
-def _forest(unit: Unit) -> np.ndarray:
+def _linked_pairs(unit: Unit) -> np.ndarray:
     """(a, b): links that join the unit's components as all of its links would."""
     ordered = _in_order(unit)
     tokens = [np.frombuffer(x, dtype=np.uint64) for x in ordered["tokens"]]
-    n, cls = ordered["n"].astype(np.int64), ordered["cls"]
+    n = ordered["n"].astype(np.int64)
     bits, slack = exact_signatures(tokens)
     # without folding the overlaps are exact, and every pair that the tree leaves is a link
-    exact = not slack.any()
-    comp = np.unique(ordered["comp"], return_inverse=True)[1]
-    links = []
-    for i, j, _ in _open_pairs(ordered, Tree(bits, n, slack)):
-        while len(i := i[apart := comp[i] != comp[j]]):
-            j = j[apart]
-            x, y, i, j = int(i[0]), int(j[0]), i[1:], j[1:]
-            if exact or 9 * overlap(tokens[x], tokens[y]) >= 4 * int(n[x] + n[y]):
-                links.append((cls[x], cls[y]))
-                comp[comp == comp[y]] = comp[x]
-    return np.array(links, dtype=np.int64).reshape(-1, 2)
+    fits = None if not slack.any() else lambda x, y: 9 * overlap(tokens[x], tokens[y]) >= 4 * int(n[x] + n[y])
+    labels = np.unique(ordered["comp"], return_inverse=True)[1]
+    found = _joining(labels, ((i, j) for i, j, _ in _open_pairs(ordered, Tree(bits, n, slack))), fits)
+    return ordered["cls"][np.array(found, dtype=np.int64).reshape(-1, 2)]
 
 
-def _by_unit(members: DataFrame, names: list[str], joined, schema: str) -> DataFrame:
-    """``joined`` applied to the rows of every unit, which come together in one task and leave as a batch.
+def _by_unit(members: DataFrame, content: str, pairs) -> DataFrame:
+    """(a, b): what ``pairs`` finds in the units, each of which comes together in one task.
 
     A unit is a pair of blocks of two neighbouring size levels of a bucket, so its size is bounded.
     """
     unit = ["key", "at", "first", "second"]
+    names = [*unit, "cls", "n", "comp", "level", "part", content]
 
     def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
         held: list[Unit] = []
 
-        def whole() -> Unit:
-            out = {c: np.concatenate([h[c] for h in held]) for c in names}
+        def found() -> Iterator:
+            whole = {c: np.concatenate([h[c] for h in held]) for c in names}
             held.clear()
-            return out
+            if _may_link(whole) and len(out := pairs(whole)):
+                yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -405,16 +418,12 @@ def _by_unit(members: DataFrame, names: list[str], joined, schema: str) -> DataF
                 if high > low:
                     held.append({c: x[low:high] for c, x in rows.items()})
                 if high < batch.num_rows and held:  # the next row opens another unit
-                    yield from joined(whole())
+                    yield from found()
         if held:
-            yield from joined(whole())
-
-    dealt = members.select(*names).repartition(*unit).sortWithinPartitions(*unit)
-    return dealt.mapInArrow(run, schema)
-
+            yield from found()
 
-_MEMBER = ["key", "at", "first", "second", "cls", "n", "comp", "level", "part"]
-_MEMBER_KINDS = "key long, at int, first int, second int, cls long, n int, comp long, level int, part int"
+    dealt = _units(members).select(*names).repartition(*unit).sortWithinPartitions(*unit)
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def _units(members: DataFrame) -> DataFrame:
@@ -426,37 +435,11 @@ def _units(members: DataFrame) -> DataFrame:
     return units.select("*", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"))
 
 
-def _candidates(members: DataFrame) -> DataFrame:
-    """The units' members that may link with another component's, by signature trees over bitmaps."""
-
-    def joined(unit: Unit) -> Iterator:
-        import pyarrow as pa
-
-        if _may_link(unit) and len(kept := _partnered(unit)):
-            yield pa.RecordBatch.from_arrays([pa.array(unit[c][kept]) for c in _MEMBER], _MEMBER)
-
-    return _by_unit(_units(members), [*_MEMBER, "bits"], joined, _MEMBER_KINDS)
-
-
-def _tree_links(candidates: DataFrame, light: DataFrame, posted: DataFrame, width: int) -> DataFrame:
-    """(a, b): the links between components, a spanning forest for every unit, by trees over whole sets."""
-
-    def joined(unit: Unit) -> Iterator:
-        import pyarrow as pa
-
-        if _may_link(unit) and len(found := _forest(unit)):
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
-
-    candidates = staged(candidates, "candidates")
-    tokens = _sets(light, posted, candidates.select("cls").distinct(), width)
-    return _by_unit(candidates.join(tokens, "cls"), [*_MEMBER, "tokens"], joined, "a long, b long")
-
-
-def _members(shared: DataFrame, comps: DataFrame, bitmaps: DataFrame) -> DataFrame:
+def _members(shared: DataFrame, comps: DataFrame, contents: DataFrame, compared: bool) -> DataFrame:
     """Postings in the units (two neighbouring size levels of a bucket) that span several components.
 
-    Of units with the same members one is kept. Two classes of a bucket that wasn't dealt out have been
-    compared, so they need no unit.
+    Of units with the same members one is kept. ``compared``: two classes of a bucket that wasn't dealt
+    out have been, so they need no unit.
     """
     named = shared.join(comps, F.col("cls") == F.col("node"), "left")
     named = named.select("key", "level", "cls", F.coalesce("component", "cls").alias("comp"), "dealt", F.xxhash64("key", "level").alias("place"))
@@ -469,7 +452,7 @@ def _members(shared: DataFrame, comps: DataFrame, bitmaps: DataFrame) -> DataFra
     above = by_level.select("key", (F.col("level") - 1).alias("level"), *[F.col(c).alias(f"{c}_up") for c in ("size", "dealt", "low", "high", "sum", "sum2")])
     both = by_level.join(above, ["key", "level"], "left")
     plus = lambda c: F.col(c) + F.coalesce(f"{c}_up", F.lit(0))
-    enough = (plus("size") > 2) | (F.col("size_up").isNotNull() & F.col("dealt"))
+    enough = (plus("size") > 2) | (F.col("size_up").isNotNull() & F.col("dealt")) if compared else plus("size") > 1
     spans = F.least("low", "low_up") != F.greatest("high", "high_up")
     units = both.filter(enough & spans).select(
         "key", "level", F.col("size"), F.coalesce("size_up", F.lit(0)).alias("size_up"), plus("size").alias("all"), plus("sum").alias("s1"), plus("sum2").alias("s2")
@@ -488,7 +471,7 @@ def _members(shared: DataFrame, comps: DataFrame, bitmaps: DataFrame) -> DataFra
     )
     places = staged(places, "bucket-units")
     found = join_groups(named, places, "place", "size", named.count()).filter("size IS NOT NULL")
-    return found.select("key", "level", "cls", "comp", "parts", "parts_below").join(bitmaps, "cls")
+    return found.select("key", "level", "cls", "comp", "parts", "parts_below").join(contents, "cls")
 
 
 # --- the join -----------------------------------------------------------------------------------
@@ -533,8 +516,13 @@ def _classed(light: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     bitmaps = posted.groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
     shared = staged(_shared(posted), "shared-postings")
     links = staged(_verified(_pruned(_stars(shared), bitmaps), light, posted, width), "links")
-    members = _members(shared, components(links), bitmaps)
-    more = staged(_tree_links(_candidates(members), light, posted, width), "links")
+    comps = components(links)
+    near = _by_unit(_members(shared, comps, bitmaps, compared=True), "bits", _near_pairs)
+    clusters = staged(components(near).selectExpr("component AS key", "node AS cls"), "clusters")
+    sizes = clusters.join(bitmaps.select("cls", "n"), "cls")
+    levelled = sizes.select("key", _level("n").alias("level"), "cls", F.lit(True).alias("dealt"))
+    sets = _sets(light, posted, clusters.select("cls"), width).withColumn("n", (F.octet_length("tokens") / 8).cast("int"))
+    more = staged(_by_unit(_members(levelled, comps, sets, compared=False), "tokens", _linked_pairs), "links")
     return counted.filter("part < 0").select("id", "key", "n", "cls"), components(links.unionByName(more))
 
 

@@ -96,15 +96,16 @@ def test_close_texts_leave_a_bucket_as_a_forest(spark, monkeypatch, limits):
     stem = [f"w{i}" for i in range(60)]
     texts = [" ".join(w if i < 14 or draws.random() > 0.02 else f"x{draws.integers(9**9)}" for i, w in enumerate(stem)) for _ in range(150)]
     made = []
-    plain = jaccard_join._tree_links
+    plain = jaccard_join._by_unit
 
-    def links(*args):
+    def pairs(*args):
         made.append(plain(*args))
         return made[-1]
 
-    monkeypatch.setattr(jaccard_join, "_tree_links", links)
+    monkeypatch.setattr(jaccard_join, "_by_unit", pairs)
     check(spark, texts)
-    assert made[0].count() < 3 * len(texts) * (1 if limits[0] > 16 else 10)
+    # the second trees hold every class once, for each block and neighbouring level
+    assert made[1].count() < 3 * len(texts) * (1 if limits[0] > 16 else 10)
 
 
 def test_folded_signatures_bound_the_overlap(monkeypatch):
