@@ -3,15 +3,21 @@
 Lines equal in keys, business day and amount form a cell with a count. Matching runs between cells:
 a cell has few neighbours within the tolerances however many lines it holds, so no step pairs up
 all lines of a busy key. Closest cells match first, each taking as many lines as both still have;
-lines then pair by their number within the cell.
+lines then pair by their number within the cell. Which cells match is settled in blocks of neighbouring
+amounts: a block walks through its pairs in their order as far as no pair of another block can come
+first. A chain of pairs that wait for each other takes a round for each block it runs through.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+import re
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,8 +37,11 @@ TYPES = {
     "balance sheet": {"date_tolerance": 3, "keys": ("account", "contract", "loan", "asset", "support id", "period")},
 }
 AMOUNT_PROPOSAL = 0.01
-# Amounts and tolerances are compared in whole millionths.
+# Amounts and tolerances are compared in whole millionths; up to this amount they fit in 64 bits.
 UNITS = 1_000_000
+LONG_AMOUNT = 9e12
+# Candidate pairs of cells that a block settles.
+BLOCK_PAIRS = 50_000
 MATERIALITY_PROPOSAL = 10_000.0
 SUPERVISOR_AMOUNT, CONTROLLER_AMOUNT, CONTROLLER_TOTAL = 10_000, 50_000, 100_000
 SUPERVISOR_DAYS, CONTROLLER_DAYS = 60, 90
@@ -50,7 +59,10 @@ class Settings:
 
 @dataclass(frozen=True)
 class Side:
-    """Column names of one side. ``id`` is unique; ``keys`` pair up with the other side's by position."""
+    """Column names of one side. ``id`` is unique; ``keys`` pair up with the other side's by position.
+
+    ``currency`` and ``foreign`` (the amount in that currency) find lines that differ by the rate only.
+    """
 
     id: str
     date: str
@@ -60,6 +72,19 @@ class Side:
     counterparty: str | None = None
     account: str | None = None
     description: str | None = None
+    currency: str | None = None
+    foreign: str | None = None
+
+
+def matching_keys(kind: str, a_columns: list[str], b_columns: list[str]) -> list[tuple[str, str]]:
+    """The columns of either side that a reconciliation type matches on, as far as both sides have them.
+
+    Names are compared without case, blanks, ``_``, ``#`` and words such as number.
+    """
+    plain = lambda name: "".join(w for w in re.split(r"[^a-z]+", name.lower()) if w not in ("", "number", "no", "id"))
+    wanted = [plain(k) for k in TYPES[kind]["keys"]]
+    sides = [{plain(c): c for c in reversed(columns)} for columns in (a_columns, b_columns)]
+    return [(sides[0][k], sides[1][k]) for k in wanted if k in sides[0] and k in sides[1]]
 
 
 def proposed_settings(kind: str) -> Settings:
@@ -77,17 +102,23 @@ def business_index(c: Column, holidays: list[dt.date] = ()) -> Column:
     return index - F.size(F.filter(days, lambda h: h <= c.cast("date")))
 
 
-def _units(c: Column) -> Column:
+def _units(c: Column, wide: bool) -> Column:
     """Amount in whole millionths."""
-    return (c.cast("decimal(38,6)") * UNITS).cast("bigint")
+    return (c.cast("decimal(38,6)") * UNITS).cast("decimal(38,0)" if wide else "bigint")
+
+
+def _wide(df: DataFrame, side: Side) -> bool:
+    """Whether an amount needs more than 64 bits."""
+    most = df.agg(F.max(F.abs(ref(resolve(df, side.amount)).cast("double")))).first()[0]
+    return most is not None and most > LONG_AMOUNT
 
 
-def _lines(df: DataFrame, side: Side, negate: bool, holidays) -> DataFrame:
+def _lines(df: DataFrame, side: Side, negate: bool, holidays, wide: bool) -> DataFrame:
     """Key columns k0, k1, ..., business day, units and id of all lines that can match.
 
     A line without a date or amount, or with a null key, matches nothing.
     """
-    units = _units(ref(resolve(df, side.amount)))
+    units = _units(ref(resolve(df, side.amount)), wide)
     keys = [key_text(ref(resolve(df, k))).alias(f"k{i}") for i, k in enumerate(side.keys)]
     lines = df.select(
         *keys,
@@ -141,36 +172,61 @@ def _link_cells(a: DataFrame, b: DataFrame, keys: list[str], units: int, days: i
         )
         for s in ("a", "b")
     ]
-    rank = F.struct(
-        F.abs(F.col("a_day") - F.col("b_day")).alias("gap"),
-        F.abs(F.col("a_units") - F.col("b_units")).alias("diff"),
-        "a_day", "a_units", "b_day", "b_units",
-    )
+    cell = lambda s: F.to_json(F.struct(*keys, f"{s}_day", f"{s}_units"))
+    order = [F.abs(F.col("a_day") - F.col("b_day")), F.abs(F.col("a_units") - F.col("b_units")), *[F.col(c) for c in ("a_day", "a_units", "b_day", "b_units")]]
+    rank = F.struct(*[c.alias(f"r{i}") for i, c in enumerate(order)])
     by_a, by_b = W.partitionBy(*keys, "a_day", "a_units"), W.partitionBy(*keys, "b_day", "b_units")
-    live = _neighbours(*rest, keys, units, days).withColumn("rank", rank)
-    while True:
-        chosen = (
-            live.withColumn("mutual", F.col("rank") == F.min("rank").over(by_a))
-            .withColumn("mutual", F.col("mutual") & (F.col("rank") == F.min("rank").over(by_b)))
-            .withColumn("m", F.when(F.col("mutual"), F.least("a_left", "b_left")).otherwise(zero))
-            .withColumn("b_take", F.sum("m").over(by_b))
-            .withColumn("a_take", F.sum("m").over(by_a))
-        )
-        chosen = cut_lineage(chosen)
-        links.append(chosen.filter("mutual").select(*link, F.col("a_used").alias("a_from"), F.col("b_used").alias("b_from"), "m"))
-        live = (
-            chosen.withColumn("a_left", F.col("a_left") - F.col("a_take"))
-            .withColumn("b_left", F.col("b_left") - F.col("b_take"))
-            .withColumn("a_used", F.col("a_used") + F.col("a_take"))
-            .withColumn("b_used", F.col("b_used") + F.col("b_take"))
-            .filter("a_left > 0 and b_left > 0")
-            .drop("mutual", "m", "a_take", "b_take")
-        )
-        if live.isEmpty():
-            break
+    live = cut_lineage(_neighbours(*rest, keys, units, days))
+    while count := live.count():
+        whole = live.withColumn("b_pairs", F.count(F.lit(1)).over(by_b)).withColumn("b_first", rank == F.min(rank).over(by_b))
+        # all pairs of a cell of side A are in one block
+        blocks = whole.repartitionByRange(-(-count // BLOCK_PAIRS), *[F.col(c) for c in (*keys, "a_units", "a_day")]).sortWithinPartitions(*order)
+        kinds = ", ".join(f"`{n}` {t}" for n, t in live.dtypes)
+        named = blocks.withColumns({"a_cell": cell("a"), "b_cell": cell("b")})
+        chosen = cut_lineage(named.select(*live.columns, "a_cell", "b_cell", "b_pairs", "b_first").mapInPandas(_settled, f"{kinds}, m long, a_from long, b_from long"))
+        links.append(chosen.filter("m > 0").select(*link, "a_from", "b_from", "m"))
+        taken = chosen.withColumn("a_take", F.sum("m").over(by_a)).withColumn("b_take", F.sum("m").over(by_b))
+        left = taken.filter("a_left > a_take AND b_left > b_take")
+        for s in ("a", "b"):
+            left = left.withColumns({f"{s}_left": F.col(f"{s}_left") - F.col(f"{s}_take"), f"{s}_used": F.col(f"{s}_used") + F.col(f"{s}_take")})
+        live = cut_lineage(left.select(*live.columns))
     return reduce(DataFrame.unionByName, links), largest
 
 
+def _settled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How many lines each pair of a block takes, and from which of either cell, as far as the block can tell.
+
+    Pairs come closest first. One that has to wait makes the later ones of its cells wait. A cell of side B
+    with pairs in other blocks too takes its very first pair only.
+    """
+    parts = [batch for batch in batches if len(batch)]
+    if not parts:
+        return
+    block = pd.concat(parts, ignore_index=True)
+    here = Counter(block["b_cell"])
+    left = {**dict(zip(block["a_cell"], block["a_left"])), **{("b", c): n for c, n in zip(block["b_cell"], block["b_left"])}}
+    used = {**dict(zip(block["a_cell"], block["a_used"])), **{("b", c): n for c, n in zip(block["b_cell"], block["b_used"])}}
+    waits: set = set()
+    found = []
+    for a, b, pairs, first in zip(block["a_cell"], block["b_cell"], block["b_pairs"], block["b_first"]):
+        key = ("b", b)
+        m = start_a = start_b = 0
+        if left[a] and left[key]:
+            shared = here[b] < pairs
+            if a in waits or key in waits or (shared and not first):
+                waits |= {a, key}
+            else:
+                m, start_a, start_b = min(left[a], left[key]), used[a], used[key]
+                for c in (a, key):
+                    left[c], used[c] = left[c] - m, used[c] + m
+                if shared:
+                    waits.add(key)
+        found.append((m, start_a, start_b))
+    out = block.drop(columns=["a_cell", "b_cell", "b_pairs", "b_first"])
+    out[["m", "a_from", "b_from"]] = found
+    yield out
+
+
 def match_lines(a: DataFrame, b: DataFrame, a_side: Side, b_side: Side, settings: Settings, negate_b: bool = False, holidays: list[dt.date] = ()) -> DataFrame:
     """One-to-one pairs of line ids: a_id, b_id, day_gap (business days), amount_diff (A - B).
 
@@ -180,7 +236,8 @@ def match_lines(a: DataFrame, b: DataFrame, a_side: Side, b_side: Side, settings
     if len(a_side.keys) != len(b_side.keys):
         raise ValueError("both sides need the same number of keys")
     keys = [f"k{i}" for i in range(len(a_side.keys))]
-    sides = [_lines(df, side, neg, holidays) for df, side, neg in ((a, a_side, False), (b, b_side, negate_b))]
+    wide = _wide(a, a_side) or _wide(b, b_side)
+    sides = [_lines(df, side, neg, holidays, wide) for df, side, neg in ((a, a_side, False), (b, b_side, negate_b))]
     cells = [lines.groupBy(*keys, "day", "units").agg(F.count(F.lit(1)).alias("n")) for lines in sides]
     tolerance = round(settings.amount_tolerance * UNITS)
     links, largest = _link_cells(*cells, keys, tolerance, settings.date_tolerance)
@@ -219,15 +276,27 @@ def _described(df: DataFrame, side: Side, s: str, negate: bool) -> DataFrame:
 def reconcile(a: DataFrame, b: DataFrame, a_side: Side, b_side: Side, settings: Settings, negate_b: bool = False, holidays: list[dt.date] = ()) -> DataFrame:
     """All lines of both sides: matched pairs as one row, the others on their own.
 
-    Columns: source (Both, Side A, Side B), ids, dates, amounts, descriptions of either side.
+    Columns: source (Both, Side A, Side B), ids, dates, amounts, descriptions of either side, and
+    fx_difference: a pair that agrees in its currency, but not in the amount. Such pairs are sought among
+    the lines that no amount matches, when both sides name a currency and an amount in it.
     """
-    pairs = match_lines(a, b, a_side, b_side, settings, negate_b, holidays)
-    left = _described(a, a_side, "a", False).withColumn("__in_a", F.lit(True)).join(pairs.select(F.col("a_id").alias("__a"), F.col("b_id").alias("__b"), "day_gap", "amount_diff"), F.col("a_id").eqNullSafe(F.col("__a")), "left")
+    pairs = match_lines(a, b, a_side, b_side, settings, negate_b, holidays).withColumn("fx_difference", F.lit(False))
+    if all((a_side.currency, a_side.foreign, b_side.currency, b_side.foreign)):
+        pairs = cut_lineage(pairs)
+        rest, sides = [], []
+        for df, side, name in ((a, a_side, "a_id"), (b, b_side, "b_id")):
+            taken = pairs.select(F.col(name).alias("__taken"))
+            rest.append(df.join(taken, ref(resolve(df, side.id)) == F.col("__taken"), "left_anti"))
+            sides.append(replace(side, amount=side.foreign, keys=[*side.keys, side.currency]))
+        pairs = pairs.unionByName(match_lines(*rest, *sides, settings, negate_b, holidays).withColumn("fx_difference", F.lit(True)))
+    left = _described(a, a_side, "a", False).withColumn("__in_a", F.lit(True)).join(pairs.select(F.col("a_id").alias("__a"), F.col("b_id").alias("__b"), "day_gap", "amount_diff", "fx_difference"), F.col("a_id").eqNullSafe(F.col("__a")), "left")
     right = _described(b, b_side, "b", negate_b)
     joined = left.join(right, F.col("__b") == F.col("b_id"), "full").drop("__a", "__b")
     matched = F.col("day_gap").isNotNull()
     source = F.when(matched, "Both").when(F.col("__in_a"), "Side A").otherwise("Side B")
-    return joined.withColumn("source", source).drop("__in_a")
+    # of a pair that differs by the rate, the difference of the amounts themselves
+    difference = F.when(F.col("fx_difference"), F.col("a_amount") - F.col("b_amount")).otherwise(F.col("amount_diff"))
+    return joined.withColumns({"source": source, "amount_diff": difference, "fx_difference": F.coalesce("fx_difference", F.lit(False))}).drop("__in_a")
 
 
 def classify(
@@ -256,8 +325,10 @@ def classify(
     aging = F.greatest(F.datediff(as_of_date(as_of) if as_of else end, F.coalesce(F.least(a, b), a, b)), F.lit(0))
     material = amount > settings.materiality
     crosses = (inside(a) & (b > end)) | (inside(b) & (a > end))
+    by_rate = F.col("fx_difference") if "fx_difference" in items.columns else off
     status = (
-        F.when(both & (a == b) & ~unverified, "Reconciled")
+        F.when(both & by_rate & ~unverified, "Adjustment needed")
+        .when(both & (a == b) & ~unverified, "Reconciled")
         .when(both & ~unverified & crosses, "Timing - Crosses period")
         .when(both & ~unverified & inside(a) & inside(b), "Timing - Clears in period")
         .when(both & ~unverified, "Reconciled")

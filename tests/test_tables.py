@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 import statistics
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -309,6 +310,40 @@ def test_matching_equals_greedy(rows, seed, cents, days):
     assert sorted((r.a_id, r.b_id) for r in pairs.collect()) == _greedy(a, b, cents, days)
 
 
+@pytest.mark.parametrize("block", [50_000, 40])
+def test_a_chain_of_closer_and_closer_pairs(rows, monkeypatch, block):
+    """Every pair waits for the next one; rounds grow with the blocks it runs through, not with its length."""
+    monkeypatch.setattr(rec, "BLOCK_PAIRS", block)
+    at, a, b = 0, [], []
+    for i in range(160):
+        (a if i % 2 else b).append((i, "p", dt.date(2024, 1, 1), at))
+        at += 1000 - 3 * i
+    frames = [rows([(i, k, d, c / 100) for i, k, d, c in side], "id int, key string, day date, amount double") for side in (a, b)]
+    side, made, plain = Side("id", "day", "amount", ["key"]), [], rec._neighbours
+    cuts = rec.cut_lineage
+    monkeypatch.setattr(rec, "cut_lineage", lambda df: made.append(df) or cuts(df))
+    pairs = rec.match_lines(*frames, side, side, Settings(10, 0, 0))
+    assert sorted((r.a_id, r.b_id) for r in pairs.collect()) == _greedy(a, b, 1000, 0) and plain is rec._neighbours
+    assert len(made) <= (4 if block > 1000 else 4 + 2 * 8)
+
+
+def test_amounts_beyond_64_bits(rows):
+    day = dt.date(2024, 1, 1)
+    amounts = [Decimal("99999999999999.990001"), Decimal("-99999999999999.99"), Decimal("1.00"), Decimal("12345678901234567.89")]
+    a = rows([(i, day, x) for i, x in enumerate(amounts)], "id int, day date, amount decimal(38,6)")
+    b = rows([(i + 10, day, x + Decimal("0.000001") * (i % 2)) for i, x in enumerate(amounts)], "id int, day date, amount decimal(38,6)")
+    side = Side("id", "day", "amount")
+    exact = rec.match_lines(a, b, side, side, Settings(0, 0, 0)).collect()
+    assert sorted((r.a_id, r.b_id) for r in exact) == [(0, 10), (2, 12)]
+    near = rec.match_lines(a, b, side, side, Settings(0.000001, 2, 0)).collect()
+    assert sorted((r.a_id, r.b_id) for r in near) == [(i, i + 10) for i in range(4)]
+
+
+def test_keys_of_a_reconciliation_type():
+    found = rec.matching_keys("intercompany", ["Entity", "Document #", "Currency", "Amount"], ["doc", "ENTITY", "document_number", "amount"])
+    assert found == [("Entity", "ENTITY"), ("Document #", "document_number")]
+
+
 def test_reconcile_edges(rows):
     friday, monday = dt.date(2024, 1, 5), dt.date(2024, 1, 8)
     a = rows([(1, "x", friday, 10.0), (2, None, friday, 5.0), (3, "y", None, 1.0), (4, "z", friday, 60_000.0)], "id int, key string, day date, amount double")
