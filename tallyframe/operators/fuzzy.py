@@ -5,10 +5,16 @@ Similarity is 1 - edit distance / longer length. If two texts are at most `d` ed
 those segments are the join keys. A segment that very many texts share is refined by the rarest
 characters of each text, so no busy key pairs up all its texts. Work is done on distinct texts and
 every candidate is verified.
+
+The keys of a text grow with the cube of its length, so pairs with a text of more than ``LONG``
+characters are found another way: `d` edits change at most `q d` runs of `q` characters, so two such
+texts share one of the `q d + 1` runs of each that are rarest in all texts, at most `d` places apart.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +27,8 @@ BUSY_PAIRS = 100_000
 # At lower thresholds too many edits are allowed to be sure of a shared character pair: single
 # characters serve instead, down to one half.
 PAIR_THRESHOLD = 0.75
+# Characters from which on a text is long, and of the longest runs that are compared.
+LONG, LONGEST_RUN = 40, 4
 
 
 def normalized(c: Column) -> Column:
@@ -104,12 +112,63 @@ def _rare_grams(keyed: DataFrame, other: DataFrame, width: int) -> DataFrame:
     return full.select("key", "text", F.explode(F.concat(rare, F.when(short, F.array(F.lit(""))).otherwise(empty))).alias("gram"))
 
 
+def _longest_run(threshold: float, shortest: int) -> int:
+    """The longest run of which texts of ``shortest`` characters or more have more than edits can change."""
+    per_character = (1 - threshold) / threshold
+    return max((q for q in range(2, LONGEST_RUN + 1) if (1 - q * per_character) * shortest >= q), default=1)
+
+
+def _rare_runs(texts: DataFrame, rarity: DataFrame, runs: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(id, n, run, at): of each text its rarest runs with their places, all places of the last run that counts."""
+    ordered = runs.join(rarity, "run").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("often", "run", "at"))).alias("runs"))
+    n = F.length("text").cast("int")
+    needed = width * _edits(F.floor(n / F.lit(threshold) + 1e-9), threshold) + 1
+    full = texts.join(ordered, "id").select("id", n.alias("n"), "runs", F.get("runs", F.least(needed, F.size("runs")) - 1)["run"].alias("last"), needed.alias("needed"))
+    kept = F.filter("runs", lambda r, i: (i < F.col("needed")) | (r["run"] == F.col("last")))
+    return full.select("id", "n", F.explode(kept).alias("r")).select("id", "n", "r.run", "r.at")
+
+
+def _long_pairs(ltexts: DataFrame, rtexts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (ltext, rtext) that may be similar, one of them longer than ``LONG``."""
+    shortest = int(threshold * LONG)
+    width = _longest_run(threshold, shortest)
+    sides = [cut_lineage(texts.filter(F.length("text") >= shortest).withColumn("id", F.monotonically_increasing_id())) for texts in (ltexts, rtexts)]
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
+    runs = [side.select("id", F.posexplode(pieces).alias("at", "run")) for side in sides]
+    rarity = runs[0].unionByName(runs[1]).groupBy("run").agg(F.count(F.lit(1)).alias("often"))
+    # lengths of similar texts lie in one class or in neighbouring ones
+    step = F.lit(-math.log(threshold - 1e-9)) if threshold < 1 else F.lit(1.0)
+    level = F.floor(F.log("n") / step)
+    rare = [_rare_runs(side, rarity, own, width, threshold) for side, own in zip(sides, runs)]
+    l = rare[0].select(F.col("id").alias("lid"), F.col("n").alias("ln"), "run", F.col("at").alias("lat"), F.explode(F.array(level - 1, level, level + 1)).alias("level"))
+    r = rare[1].select(F.col("id").alias("rid"), F.col("n").alias("rn"), "run", F.col("at").alias("rat"), level.alias("level"))
+    longer = F.greatest("ln", "rn")
+    edits = _edits(longer, threshold)
+    near = (F.abs(F.col("lat") - F.col("rat")) <= edits) & (F.abs(F.col("ln") - F.col("rn")) <= edits) & (longer > LONG)
+    pairs = l.join(r, ["run", "level"]).filter(near).select("lid", "rid").distinct()
+    named = [side.select(F.col("id").alias(f"{s}id"), F.col("text").alias(f"{s}text")) for s, side in zip("lr", sides)]
+    return pairs.join(named[0], "lid").join(named[1], "rid").select("ltext", "rtext")
+
+
 def similar_texts(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """Distinct (ltext, rtext, score) pairs with a score of at least ``threshold``."""
     if not 0.5 < threshold <= 1:
         raise ValueError("threshold must be above 0.5 and at most 1")
+    every = [df.toDF("text").distinct() for df in (left, right)]
+    short = _short_pairs(*[texts.filter(F.length("text") <= LONG) for texts in every], threshold)
+    longer = F.greatest(F.length("ltext"), F.length("rtext"))
+    edits = _edits(longer, threshold)
+    candidates = short.unionByName(_long_pairs(*every, threshold)).filter(F.col("ltext") != F.col("rtext"))
+    # the distance is worked out as far as the edits allow, else it is -1
+    scored = candidates.withColumn("most", edits).withColumn("d", F.expr("levenshtein(ltext, rtext, most)")).filter("d >= 0")
+    ltexts, rtexts = every[0].toDF("ltext"), every[1].toDF("rtext")
+    equal = ltexts.join(rtexts, F.col("ltext") == F.col("rtext")).withColumn("score", F.lit(1.0))
+    return scored.select("ltext", "rtext", (1 - F.col("d") / longer).alias("score")).unionByName(equal)
+
+
+def _short_pairs(ltexts: DataFrame, rtexts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (ltext, rtext) of texts that may be similar, none longer than ``LONG``."""
     width = 2 if threshold >= PAIR_THRESHOLD else 1
-    ltexts, rtexts = left.toDF("text").distinct(), right.toDF("text").distinct()
     # each side's keys serve several joins: computed once
     lkeys = cut_lineage(ltexts.select("text", F.explode(_possible_segments(threshold)).alias("key")))
     rkeys = cut_lineage(rtexts.select("text", F.explode(_own_segments(threshold)).alias("key")))
@@ -127,11 +186,7 @@ def similar_texts(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
         lbusy, rbusy = lkeys.join(busy, "key", "left_semi"), rkeys.join(busy, "key", "left_semi")
         refined = pairs(_rare_grams(lbusy, rbusy, width), _rare_grams(rbusy, lbusy, width), ["key", "gram"])
         found = calm.unionByName(refined)
-    longer = F.greatest(F.length("ltext"), F.length("rtext"))
-    candidates = found.filter(F.col("ltext") != F.col("rtext")).distinct()
-    scored = candidates.withColumn("d", F.levenshtein("ltext", "rtext")).filter(F.col("d") <= _edits(longer, threshold))
-    equal = ltexts.toDF("ltext").join(rtexts.toDF("rtext"), F.col("ltext") == F.col("rtext")).withColumn("score", F.lit(1.0))
-    return scored.select("ltext", "rtext", (1 - F.col("d") / longer).alias("score")).unionByName(equal)
+    return found.distinct()
 
 
 def fuzzy_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str, threshold: float = 0.8, score: str = "Confidence Score") -> DataFrame:

@@ -109,6 +109,30 @@ def test_fuzzy_match_finds_every_pair(rows, monkeypatch, busy, threshold):
     assert got == {(x, y) for x in a for y in b if _distance(x, y) <= int((1 - threshold) * max(len(x), len(y)) + 1e-9)}
 
 
+@pytest.mark.parametrize("threshold", [0.7, 0.8, 0.9, 1])
+def test_fuzzy_match_on_long_texts(rows, threshold):
+    """Around the length from which texts are long, and well beyond it."""
+    random.seed(int(threshold * 10))
+    words = ["".join(random.choice("abcde") for _ in range(random.randint(1, 6))) for _ in range(40)]
+
+    def text(size):
+        return " ".join(random.choice(words) for _ in range(99))[:size]
+
+    def changed(t, share):
+        out = list(t)
+        for _ in range(int(share * len(t))):
+            at = random.randrange(len(out))
+            out[at : at + random.randint(0, 1)] = random.choice(["", "x", "yz"])
+        return "".join(out)
+
+    a = [text(random.choice([30, 36, 39, 40, 41, 44, 60, 120, 160])) for _ in range(26)]
+    b = [changed(t, share) for t in a for share in (0, 0.1, 0.22)][:60] + ["", "ab"]
+    got = {(r.ltext, r.rtext): r.score for r in fuzzy.similar_texts(rows([(x,) for x in a], "a string"), rows([(x,) for x in b], "b string"), threshold).collect()}
+    distances = {(x, y): _distance(x, y) for x in a for y in b if abs(len(x) - len(y)) <= (1 - threshold) * max(len(x), len(y)) + 1}
+    want = {p: 1 - d / max(map(len, p)) for p, d in distances.items() if d <= int((1 - threshold) * max(map(len, p)) + 1e-9)}
+    assert got == pytest.approx(want) and len(want) >= 20
+
+
 def test_fuzzy_match_keeps_both_rows(rows):
     out = fuzzy.fuzzy_match(rows([("ACME, Corp.", 1), ("Zeta", 2)], "name string, n int"), rows([("Acme Corp", 9), ("Acme Korp", 8)], "name string, n int"), "name", "name")
     assert out.columns == ["name", "n", "name (rhs)", "n (rhs)", "Confidence Score"]
