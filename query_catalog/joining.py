@@ -217,3 +217,13 @@ def stack_all(t):
 @query("""SELECT c_custkey AS s_suppkey, c_name AS s_name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier""")
 def stack_by_position(t):
     return sets.stack_by_position([t.customer.select("c_custkey", "c_name", "c_acctbal"), t.supplier.select("s_suppkey", "s_name")], "match", master=2)
+
+
+@query("""SELECT s_suppkey, c_custkey FROM supplier LEFT JOIN (SELECT unnest(r.a) AS s_suppkey, unnest(r.b) AS c_custkey FROM (
+SELECT list_reduce(list({a: [s_suppkey], b: [c_custkey]} ORDER BY abs(s_acctbal - c_acctbal), s_acctbal, c_acctbal, s_suppkey, c_custkey),
+lambda acc, x: CASE WHEN list_has_any(acc.a, x.a) OR list_has_any(acc.b, x.b) THEN acc ELSE {a: list_concat(acc.a, x.a), b: list_concat(acc.b, x.b)} END) AS r
+FROM supplier JOIN customer ON s_nationkey = c_nationkey GROUP BY s_nationkey) g) p USING (s_suppkey)""")
+def nearest_once(t):
+    """Each supplier with the customer of its nation of the closest balance; every customer is taken once, the closest pair first."""
+    suppliers, customers = t.supplier.select("s_suppkey", "s_nationkey", "s_acctbal"), t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
+    return joins.nearest_once(suppliers, customers, [("s_nationkey", "c_nationkey")], ("s_acctbal", "c_acctbal")).select("s_suppkey", "c_custkey")

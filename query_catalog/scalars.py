@@ -234,3 +234,31 @@ def scalar_excel_datetime(t):
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, 5 * ((l_shipdate::DATE - DATE '1970-01-05') // 7) + least(isodow(l_shipdate) - 1, 4) AS bd FROM lineitem""")
 def scalar_business_days(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", d.business_day_index(C("l_shipdate")).alias("bd"))
+
+
+@query("""SELECT o_orderkey, NOT (timezone('America/New_York', timezone('UTC', o_orderdate)) - o_orderdate = INTERVAL '-4 hours') AS winter FROM orders""")
+def scalar_standard_time(t):
+    return t.orders.select("o_orderkey", d.during_standard(C("o_orderdate")).alias("winter"))
+
+
+@query("""SELECT o_orderkey, make_timestamp(year(o_orderdate), month(o_orderdate), day(o_orderdate), o_orderkey % 24, o_orderkey % 60, (o_orderkey % 50)::DOUBLE) AS moment FROM orders""")
+def scalar_datetime(t):
+    """A moment from its six parts."""
+    key, day = C("o_orderkey"), C("o_orderdate")
+    parts = [F.year(day), F.month(day), F.dayofmonth(day), (key % 24).cast("int"), (key % 60).cast("int"), key % 50]
+    return t.orders.select("o_orderkey", F.make_timestamp_ntz(*parts).alias("moment"))
+
+
+# the codes of the five segments, worked out by the rule: first letter, then the classes of the consonants
+@query("""SELECT c_custkey, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'A351' WHEN 'BUILDING' THEN 'B435' WHEN 'FURNITURE' THEN 'F653'
+WHEN 'HOUSEHOLD' THEN 'H243' WHEN 'MACHINERY' THEN 'M256' END AS code FROM customer""")
+def scalar_soundex(t):
+    return t.customer.select("c_custkey", F.soundex("c_mktsegment").alias("code"))
+
+
+@query("""SELECT o_orderkey, current_date - o_orderdate::DATE AS days, true AS past, true AS drawn FROM orders""")
+def scalar_today_and_random(t):
+    """Without a day given, ages count to today; random numbers lie from 0 to below 1."""
+    drawn = F.rand(7)
+    age = F.datediff(d.as_of_date(None), C("o_orderdate").cast("date")).cast("bigint")
+    return t.orders.select("o_orderkey", age.alias("days"), (F.now() > C("o_orderdate")).alias("past"), ((drawn >= 0) & (drawn < 1)).alias("drawn"))

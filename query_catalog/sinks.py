@@ -1,5 +1,6 @@
 """Table outputs: every query writes a table and reads it back."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe.session import scratch_path
@@ -95,3 +96,32 @@ def write_delimited_sorted(t):
     df = t.supplier.select("s_suppkey", F.concat(F.lit('"'), "s_name", F.lit('", a;b')).alias("s_name"))
     writers.write_delimited(df, path, sorts=[("s_name", "dsc")], one_file=True, delimiter=";", charset="windows-1252")
     return readers.read_delimited(t.spark, path, ";", charset="windows-1252", types={"s_suppkey": "integer"})
+
+
+@query("SELECT s_suppkey, s_acctbal, row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) AS place FROM supplier")
+def write_delimited_order(t):
+    """The order of a sorted output: every row with its place in the file."""
+    path = scratch_path(t.spark, "ordered")
+    writers.write_delimited(t.supplier.select("s_suppkey", "s_acctbal"), path, sorts=[("s_acctbal", "dsc"), ("s_suppkey", "asc")], one_file=True)
+    # one file is read in its order, and numbers of a partition follow it
+    lines = t.spark.read.option("header", "true").schema("s_suppkey bigint, s_acctbal double").csv(path).withColumn("line", F.monotonically_increasing_id())
+    return lines.select("s_suppkey", "s_acctbal", F.row_number().over(Window.orderBy("line")).cast("bigint").alias("place"))
+
+
+@query("SELECT n_nationkey, n_name, 'n_regionkey=' || n_regionkey AS folder FROM nation")
+def read_subfolders(t):
+    """All files below a folder whose name fits a pattern, with the folder that each row's file is in."""
+    path = scratch_path(t.spark, "below")
+    writers.write_delimited(t.nation.select("n_nationkey", "n_name", "n_regionkey"), path, by="n_regionkey")
+    rows = t.spark.read.options(header="true", **readers.file_options(pattern="part-*.csv", subfolders=True)).schema("n_nationkey int, n_name string").csv(path)
+    return rows.select("n_nationkey", "n_name", F.element_at(F.split("_metadata.file_path", "/"), -2).alias("folder"))
+
+
+@query("SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 2 = 0")
+def read_latest_file(t):
+    """Of two files in a folder, the one that was written last."""
+    path = scratch_path(t.spark, "latest")
+    suppliers = t.supplier.select("s_suppkey", "s_name")
+    for rest in (1, 0):
+        suppliers.filter(F.col("s_suppkey") % 2 == rest).coalesce(1).write.mode("append").json(path)
+    return t.spark.read.schema(suppliers.schema).json(readers.latest_file(t.spark, path, pattern="*.json"))

@@ -8,15 +8,20 @@ already gave, because Spark would otherwise compare every pair of rows.
 
 from __future__ import annotations
 
+import heapq
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from typing import NamedTuple
 
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from ..types import column_type, ref, resolve
+from ..types import column_type, orderable, ref, resolve
 from .shape import reject_duplicates
 
 EQUALITY, THETA, TEXT = ("eq",), ("ne", "gt", "ge", "lt", "le"), ("contains", "is_part_of")
@@ -29,6 +34,10 @@ MIN_LEVEL, MAX_LEVEL = -20, 1000
 MOST_BINS = 2.0**62
 # Rows of a block of an inequality join, as long as the number of blocks allows it.
 INEQUALITY_ROWS, INEQUALITY_BLOCKS = 1000, 4096
+# Values of a block of the line on which rows are matched once.
+NEAREST_BLOCK = 50_000
+# Amounts below this fit in 18 digits with six decimals.
+SHORT_AMOUNT = 9e11
 # Whole numbers up to here are exact as doubles.
 EXACT = 2.0**53
 # Rows of a small table that is sent to every task.
@@ -431,7 +440,7 @@ def tolerance_join(
         lname, rname, tolerance = amount
         # whole millionths, so that the bucket and the test agree on every limit
         width = max(1, round(tolerance * 10**6))
-        buckets.append(tuple(_whole(_millionths(ref(name)), width) for name in (resolve(left, lname), resolve(right, rname))))
+        buckets.append(tuple(_bucket(ref(name), width) for name in (resolve(left, lname), resolve(right, rname))))
         # amounts are compared to the sixth decimal, so that 0.01 means a cent
         residual.append(lambda l, r: F.abs(l(lname).cast("decimal(38,6)") - r(rname).cast("decimal(38,6)")) <= F.lit(str(tolerance)).cast("decimal(38,6)"))
     if date:
@@ -450,13 +459,20 @@ def tolerance_join(
     return joined.drop(*[f"__b{i}" for i in range(len(buckets))])
 
 
-def _millionths(column: Column) -> Column:
-    return (column.cast("decimal(38,6)") * 10**6).cast("decimal(38,0)")
+def _bucket(amount: Column, width: int) -> Column:
+    """Number of the interval of so many millionths that an amount lies in; decimals only where 64 bits don't hold it."""
+    exact = amount.cast("decimal(38,6)")
+    fits = F.abs(amount.cast("double")) < SHORT_AMOUNT
+    short = _whole((F.when(fits, exact).cast("decimal(18,6)") * 10**6).cast("bigint"), width)
+    units = (exact * 10**6).cast("decimal(38,0)")
+    wide = ((units - F.pmod(units, F.lit(width))) / F.lit(width)).cast("bigint")
+    return F.when(fits, short).otherwise(wide)
 
 
 def _whole(units: Column, width: int) -> Column:
     """Number of the interval of so many units that a whole number lies in."""
-    return ((units - F.pmod(units, F.lit(width))) / F.lit(width)).cast("bigint")
+    low = units - F.pmod(units, F.lit(width).cast("bigint"))
+    return F.call_function("div", low, F.lit(width).cast("bigint"))
 
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], value: tuple[str, str], direction: str = "nearest") -> DataFrame:
@@ -535,6 +551,190 @@ def _block(value: Column, bounds: list[float]) -> Column:
     return below * 2 + F.coalesce(F.get(listed, below) == value, F.lit(False)).cast("int")
 
 
+def nearest_once(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], value: tuple[str, str], direction: str = "nearest") -> DataFrame:
+    """As ``nearest``, but every right row is used once: the closest pair of all matches first.
+
+    Of equally close pairs the one with the earlier left, then the earlier right value comes first; rows
+    of one value count in the order of their other columns. Values with their numbers of rows stand on a
+    line. Blocks of the line, each in one task, match the closest neighbours as far as nothing outside
+    the block can come closer; what is left moves together for the next round.
+    """
+    from .windows import MAX_GROUP_ROWS, window
+
+    if direction not in ("backward", "forward", "nearest"):
+        raise ValueError("direction must be backward, forward or nearest")
+    lkeys, rkeys = [resolve(left, l) for l, _ in keys], [resolve(right, r) for _, r in keys]
+    lvalue, rvalue = resolve(left, value[0]), resolve(right, value[1])
+    spots = [*[f"__k{i}" for i in range(len(keys))], "__at"]
+    sides, counts = [], []
+    for df, own, at, s in ((left, lkeys, lvalue, "l"), (right, rkeys, rvalue, "r")):
+        plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+        where = [*[F.col(f"c{df.columns.index(k)}") for k in own], _comparable(plain, f"c{df.columns.index(at)}")]
+        rows = plain.withColumns(dict(zip(spots, where)))
+        sides.append(cut_lineage(rows))
+        other = "r" if s == "l" else "l"
+        counts.append(sides[-1].dropna(subset=spots).groupBy(*spots).agg(F.count(F.lit(1)).alias(f"{s}_n"), F.lit(0).cast("bigint").alias(f"{other}_n")))
+    cells = counts[0].unionByName(counts[1]).groupBy(*spots).agg(F.sum("l_n").alias("l_n"), F.sum("r_n").alias("r_n"))
+    cells = cut_lineage(cells.withColumn("m", F.least("l_n", "r_n")))
+    largest = cells.agg(F.max(F.greatest("l_n", "r_n"))).first()[0] or 0
+    zero = F.lit(0).cast("bigint")
+    # equal values first; of each value one side is left
+    link = [*spots[:-1], "l_at", "r_at", "l_from", "r_from", "m"]
+    links = [cells.filter("m > 0").withColumns({"l_at": F.col("__at"), "r_at": F.col("__at"), "l_from": zero, "r_from": zero}).select(*link)]
+    live = cells.filter("l_n <> r_n").select(*spots, (F.col("l_n") > F.col("r_n")).alias("left"), F.abs(F.col("l_n") - F.col("r_n")).alias("n"), F.col("m").alias("used"))
+    live, size = cut_lineage(live), NEAREST_BLOCK
+    while live.select("left").distinct().count() == 2:
+        order = [F.col(c) for c in spots]
+        group = (F.to_json(F.struct(*spots[:-1])) if keys else F.lit("")).alias("group")
+        blocks = cut_lineage(live.repartitionByRange(-(-live.count() // size), *order).sortWithinPartitions(*order).select("*", group))
+        # a few numbers for each block
+        ends = {r.block: r for r in blocks.select("group", F.col("__at").alias("at"), "left").mapInPandas(_block_ends, ", ".join(_ENDS)).collect()}
+        kinds = ", ".join(f"`{n}` {t}" for n, t in blocks.dtypes if n != "group")
+        done = cut_lineage(blocks.mapInPandas(_settled_block(ends, direction), f"{kinds}, l_at double, r_at double, l_from long, r_from long, m long"))
+        found, before = done.filter("m IS NOT NULL").select(*link), live
+        live = cut_lineage(done.filter("m IS NULL AND n > 0").select(*live.columns))
+        if found.isEmpty():
+            if before.count() <= size:  # the whole line was one block
+                break
+            size *= 2
+        links.append(found)
+    pairs = cut_lineage(reduce(DataFrame.unionByName, links))
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        """Rows with their number among those of their value."""
+        sorts = [(c, "asc") for c in rows.columns if c not in spots and orderable(rows, c)][:1] or [("__at", "asc")]
+        return window(rows.dropna(subset=spots), "__rn", "ROW_NUM", sorts=sorts, partitions=spots, split=largest > MAX_GROUP_ROWS)
+
+    def whole(rows: DataFrame, s: str) -> Column:
+        return F.struct(*[c for c in rows.columns if c.startswith("c")]).alias(f"{s}_row")
+
+    def placed(s: str, rows: DataFrame) -> DataFrame:
+        named = numbered(rows).select(*spots[:-1], F.col("__at").alias(f"{s}_at"), "__rn", whole(rows, s))
+        slot = F.col("__rn") - 1 - F.col(f"{s}_from")
+        return named.join(pairs, [*spots[:-1], f"{s}_at"]).withColumn("slot", slot).filter("slot >= 0 AND slot < m")
+
+    meet = [*spots[:-1], "l_at", "r_at", "slot"]
+    both = placed("l", sides[0]).join(placed("r", sides[1]).select(*meet, "r_row"), meet)
+    # left rows without a partner: those of a value that no link takes, and those without a value or key
+    taken = pairs.groupBy(*spots[:-1], F.col("l_at").alias("__at")).agg(F.sum("m").alias("__taken"))
+    alone = numbered(sides[0]).join(taken, spots, "left").filter("__taken IS NULL OR __rn > __taken")
+    missing = sides[0].filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spots]))
+    every = both.select("l_row", "r_row")
+    for rows in (alone, missing):
+        every = every.unionByName(rows.select(whole(sides[0], "l"), F.lit(None).cast(both.schema["r_row"].dataType).alias("r_row")))
+    names = output_names(left.columns, right.columns)
+    return every.select(*[F.col(f"l_row.c{i}").alias(c) for i, c in enumerate(left.columns)], *[F.col(f"r_row.c{i}").alias(n) for i, n in enumerate(names)])
+
+
+_ENDS = ["block int", "first_group string", "last_group string", "first_left double", "first_right double", "last_left double", "last_right double"]
+
+
+def _block_ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of a block's first group the first value of either side, of its last group the last one."""
+    first_group = last_group = None
+    first, last = {}, {}
+    for batch in batches:
+        for group, at, left in zip(batch["group"], batch["at"], batch["left"]):
+            if first_group is None:
+                first_group = group
+            if group != last_group:
+                last_group, last = group, {}
+            if group == first_group:
+                first.setdefault(left, at)
+            last[left] = at
+    if first_group is not None:
+        row = (TaskContext.get().partitionId(), first_group, last_group, first.get(True), first.get(False), last.get(True), last.get(False))
+        yield pd.DataFrame([row], columns=[c.split()[0] for c in _ENDS])
+
+
+def _settled_block(ends: dict, direction: str):
+    """Function that adds the links of a block which are settled, whatever the blocks beside it hold."""
+    order = sorted(ends)
+
+    def outside(group: str, block: int, side: bool, before: bool) -> float:
+        """The nearest value of a side of the group in the blocks before or after."""
+        place = order.index(block)
+        for other in reversed(order[:place]) if before else order[place + 1 :]:
+            end = ends[other]
+            near, far = (end.last_group, end.first_group) if before else (end.first_group, end.last_group)
+            found = getattr(end, f"{'last' if before else 'first'}_{'left' if side else 'right'}")
+            if near != group:
+                break
+            if found is not None:
+                return found
+            if far != group:
+                break
+        return -math.inf if before else math.inf
+
+    def line(group: str, block: int, at: list[float], left: list[bool], n: list[int], used: list[int]) -> list[tuple]:
+        size = len(at)
+        before, after = ({s: outside(group, block, s, back) for s in (True, False)} for back in (True, False))
+        previous, following, waits = list(range(-1, size - 1)), list(range(1, size + 1)), [False] * size
+        heap: list[tuple] = []
+
+        def push(i: int, j: int) -> None:
+            # backward: the right row stands before the left one
+            if left[i] != left[j] and (direction == "nearest" or left[j] == (direction == "backward")):
+                l, r = (i, j) if left[i] else (j, i)
+                heapq.heappush(heap, (at[j] - at[i], at[l], at[r], i, j))
+
+        def earlier(i: int, back: bool, distance: float) -> bool:
+            """Whether a partner on the other side of ``i``, out of reach yet, may come before one at this distance."""
+            if direction != "nearest" and left[i] != ((direction == "backward") == back):
+                return False
+            step, j = (previous, previous[i]) if back else (following, following[i])
+            while 0 <= j < size and left[j] == left[i]:
+                if abs(at[i] - at[j]) > distance:
+                    return False
+                j = step[j]
+            partner = at[j] if 0 <= j < size else (before if back else after)[not left[i]]
+            if 0 <= j < size and not waits[j]:
+                return False
+            # of two equally close partners, the pair with the one before comes first
+            return abs(at[i] - partner) <= distance if back else abs(at[i] - partner) < distance
+
+        for i in range(size - 1):
+            push(i, i + 1)
+        out = []
+        while heap:
+            distance, l_at, r_at, i, j = heapq.heappop(heap)
+            if not n[i] or not n[j] or following[i] != j:
+                continue
+            if waits[i] or waits[j] or earlier(i, True, distance) or earlier(j, False, distance):
+                waits[i] = waits[j] = True
+                continue
+            m = min(n[i], n[j])
+            l, r = (i, j) if left[i] else (j, i)
+            out.append((l_at, r_at, used[l], used[r], m, i))
+            for k in (i, j):
+                n[k], used[k] = n[k] - m, used[k] + m
+            a, b = (previous[i] if not n[i] else i), (following[j] if not n[j] else j)
+            if a >= 0:
+                following[a] = b
+            if b < size:
+                previous[b] = a
+            if a >= 0 and b < size:
+                push(a, b)
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [batch for batch in batches if len(batch)]
+        if not parts:
+            return
+        block, number = pd.concat(parts, ignore_index=True), TaskContext.get().partitionId()
+        extra = ["l_at", "r_at", "l_from", "r_from", "m"]
+        for group, rows in block.groupby("group", sort=False):
+            n, used = rows["n"].tolist(), rows["used"].tolist()
+            found = line(group, number, rows["__at"].tolist(), rows["left"].tolist(), n, used)
+            rows = rows.drop(columns=["group"])
+            yield rows.assign(n=n, used=used, **{c: None for c in extra})
+            if found:
+                linked = rows.iloc[[f[5] for f in found]].reset_index(drop=True)
+                yield linked.assign(**{c: [f[k] for f in found] for k, c in enumerate(extra)})
+
+    return run
+
+
 def _as_number(df: DataFrame, name: str, column: Column) -> Column:
     kind = column_type(df, name)
     if kind == "date":

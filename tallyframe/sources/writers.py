@@ -179,10 +179,16 @@ def write_delimited(
         df = df.coalesce(1)
         if sorts and not by:
             df = df.sortWithinPartitions(*sort_columns(check_sorts(df, list(sorts))))
-    if charset.upper() != "UTF-8":
-        df.sparkSession.conf.set("spark.sql.legacy.javaCharsets", "true")
     writer = df.write.mode(mode).options(header="true", sep=delimiter, quote=qualifier, escape=escape, encoding=charset)
-    (writer.partitionBy(by) if by else writer).csv(path)
+    conf, option = df.sparkSession.conf, "spark.sql.legacy.javaCharsets"
+    before = conf.get(option, None)
+    if charset.upper() != "UTF-8":
+        conf.set(option, "true")
+    try:
+        (writer.partitionBy(by) if by else writer).csv(path)
+    finally:  # other reads and writes of the session keep their setting
+        if charset.upper() != "UTF-8":
+            conf.unset(option) if before is None else conf.set(option, before)
 
 
 def write_database(df: DataFrame, url: str, table: str, mode: str = "append", connections: int = 8, batch: int = 10_000, **extra: str) -> None:

@@ -552,6 +552,41 @@ def test_inequalities_with_few_results_make_few_candidates(rows, spark):
     assert monotone.dominated(monotone.on, monotone.left, monotone.right).count() == 0
 
 
+@pytest.mark.parametrize("block", [50_000, 12])
+@pytest.mark.parametrize("direction", ["nearest", "backward", "forward"])
+def test_nearest_once_equals_sequential_greedy(rows, monkeypatch, direction, block):
+    monkeypatch.setattr(joins, "NEAREST_BLOCK", block)
+    random.seed(len(direction))
+    line = lambda i: (i, random.choice("ppq") if i % 19 else None, float(random.randint(0, 120)) if i % 17 else None)
+    a, b = [line(i) for i in range(90)], [line(1000 + i) for i in range(70)]
+    # a chain in which every next pair is closer
+    at = 0.0
+    for i in range(30):
+        (a if i % 2 else b).append((2000 + i, "c", at))
+        at += 200 - 3 * i
+    found = sorted(
+        (abs(x - y), x, y, i, j) for i, k, x in a for j, q, y in b
+        if None not in (k, q, x, y) and k == q and (direction == "nearest" or (y <= x) == (direction == "backward") or x == y)
+    )
+    pairs, used = {}, set()
+    for *_, i, j in found:
+        if i not in pairs and j not in used:
+            pairs[i] = j
+            used.add(j)
+    left, right = rows(a, "id int, k string, x double"), rows(b, "id int, q string, y double")
+    out = joins.nearest_once(left, right, [("k", "q")], ("x", "y"), direction)
+    assert out.columns == ["id", "k", "x", "id (rhs)", "q", "y"] and out.count() == len(a)
+    assert {r[0]: r[3] for r in out.collect() if r[3] is not None} == pairs
+    assert {tuple(r[:3]) for r in out.collect()} == set(a)
+
+
+def test_nearest_once_on_dates_without_keys(rows):
+    days = lambda *n: [(dt.date(2024, 1, i),) for i in n]
+    out = joins.nearest_once(rows(days(5, 5, 9), "d date"), rows(days(6, 20), "e date"), [], ("d", "e"))
+    assert values(out, "d", "e") == sorted([(dt.date(2024, 1, 5), dt.date(2024, 1, 6)), (dt.date(2024, 1, 5), None), (dt.date(2024, 1, 9), dt.date(2024, 1, 20))], key=repr)
+    assert joins.nearest_once(rows(days(5), "d date"), rows([], "e date"), [], ("d", "e")).collect()[0][1] is None
+
+
 def test_forms_of_a_window_agree(rows):
     df = rows([(k % 3, i, float(i % 4)) for i, k in enumerate(range(60))], "k int, i int, v double")
     for calc, field in (("ROW_NUM", None), ("RANK", None), ("NTILE", None), ("LAG", "v"), ("LEAD", "v"), ("CUM_SUM", "v"), ("FILL_DOWN", "v")):
