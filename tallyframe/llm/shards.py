@@ -6,7 +6,7 @@ margins are the partitions' and the blocks' sizes. Every partition then deals it
 order under its counts, the rows are exchanged by block, and every block is permuted again. Blocks
 of a shard follow each other, so a row's slot is its block's first slot plus its place in the block.
 
-The driver sees counts only: partitions times blocks numbers, both bounded (partitions are numbered
+The driver sees counts only and draws partitions times blocks numbers, whatever the rows; both are bounded (partitions are numbered
 modulo ``MAX_GROUPS``). Row contents, their sizes and equal texts have no influence: a third of all
 rows being equal changes nothing. Shard sizes differ by one row at most.
 
@@ -16,6 +16,7 @@ that repeat are dealt one by one; an empty table gives an empty result; other co
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,8 @@ MAX_GROUPS = 4096
 #: Rows of a block that one task orders at the end, as long as the number of blocks allows it.
 BLOCK_ROWS = 200_000
 MAX_BLOCKS_PER_SHARD = 64
+#: Rows up to which NumPy draws hypergeometric numbers.
+LIMIT = 1_000_000_000
 
 
 def even(total: int, parts: int) -> np.ndarray:
@@ -38,13 +41,61 @@ def even(total: int, parts: int) -> np.ndarray:
     return np.array([total // parts + (i < total % parts) for i in range(parts)], dtype=np.int64)
 
 
+def _stirling_error(n: float) -> float:
+    """What Stirling's formula leaves out of log(n!)."""
+    if n < 16:
+        return math.lgamma(n + 1) - (n + 0.5) * math.log(n or 1) + n - (0.5 * math.log(2 * math.pi) if n else 0)
+    return (1 / 12 - (1 / 360 - (1 / 1260 - 1 / (1680 * n * n)) / (n * n)) / (n * n)) / n
+
+
+def _deviance(x: float, mean: float) -> float:
+    """x log(x / mean) + mean - x, without cancellation for near numbers."""
+    if abs(x - mean) >= 0.1 * (x + mean):
+        return x * math.log(x / mean) + mean - x if x else mean
+    v = (x - mean) / (x + mean)
+    total, term, k = (x - mean) * v, 2 * x * v, 1
+    while True:
+        term *= v * v
+        new = total + term / (2 * k + 1)
+        if new == total:
+            return total
+        total, k = new, k + 1
+
+
+def _log_binomial(x: int, n: int, p: float) -> float:
+    """Logarithm of the probability of x successes in n, by its saddle point: exact for any n."""
+    if x in (0, n):
+        return n * math.log1p(-p) if x == 0 else n * math.log(p)
+    core = _stirling_error(n) - _stirling_error(x) - _stirling_error(n - x) - _deviance(x, n * p) - _deviance(n - x, n * (1 - p))
+    return core + 0.5 * math.log(n / (2 * math.pi * x * (n - x)))
+
+
+def hypergeometric(draws: np.random.Generator, good: int, bad: int, rows: int) -> int:
+    """How many of ``rows`` places, taken without replacement, are good; for any numbers."""
+    if good + bad < LIMIT:
+        return int(draws.hypergeometric(good, bad, rows))
+    if rows in (0, good + bad) or not good or not bad:
+        return min(good, rows)
+    # binomial numbers of both kinds, given that they add up: the second kind's probability decides
+    p = rows / (good + bad)
+    most = _log_binomial(min(bad, int((bad + 1) * p)), bad, p)
+    while True:
+        found = int(draws.binomial(good, p))
+        rest = rows - found
+        if 0 <= rest <= bad and math.log(draws.random()) <= _log_binomial(rest, bad, p) - most:
+            return found
+
+
 def draw(draws: np.random.Generator, left: np.ndarray, rows: int) -> np.ndarray:
     """How many of ``rows`` rows go to each block, dealt without replacement from what is ``left``."""
-    if left.sum() < 1_000_000_000:
+    if left.sum() < LIMIT:
         return draws.multivariate_hypergeometric(left, rows, method="marginals")
-    # the same law beyond NumPy's limit: distinct places in the blocks, laid end to end
-    places = draws.choice(int(left.sum()), rows, replace=False, shuffle=False)
-    return np.bincount(np.searchsorted(np.cumsum(left), places, side="right"), minlength=len(left))
+    # halves of the blocks, then halves of these: as many numbers as blocks, whatever the rows
+    if len(left) == 1:
+        return np.array([rows], dtype=np.int64)
+    middle = len(left) // 2
+    first = hypergeometric(draws, int(left[:middle].sum()), int(left[middle:].sum()), rows)
+    return np.concatenate((draw(draws, left[:middle], first), draw(draws, left[middle:], rows - first)))
 
 
 def matrix(rows_of: dict[int, int], blocks: np.ndarray, seed: int) -> dict[int, np.ndarray]:

@@ -57,3 +57,19 @@ def test_places_are_uniform(spark):
         for r in shards.shard(table, 4, seed=seed).filter("doc_id < 10").collect():
             places[r.shard] += 1
     assert sum(places.values()) == 120 and min(places.values()) > 12 and max(places.values()) < 50
+
+
+def test_large_draws_follow_the_same_law(monkeypatch):
+    """Beyond NumPy's limit: its numbers where both work, the law's moments where only the other does."""
+    monkeypatch.setattr(shards, "LIMIT", 0)
+    for good, bad, rows in ((5, 9, 6), (40, 3, 20), (300, 700, 250), (1, 1, 1), (7, 0, 3), (4, 4, 8)):
+        found = Counter(shards.hypergeometric(np.random.default_rng([good, i]), good, bad, rows) for i in range(3000))
+        wanted = Counter(np.random.default_rng(1).hypergeometric(good, bad, rows, 60_000).tolist())
+        assert all(abs(found[k] / 3000 - wanted[k] / 60_000) < 0.04 for k in {*found, *wanted})
+    good, bad, rows = 3 * 10**11, 7 * 10**11, 10**9
+    large = np.array([shards.hypergeometric(np.random.default_rng(i), good, bad, rows) for i in range(2000)], dtype=float)
+    variance = rows * 0.3 * 0.7 * (good + bad - rows) / (good + bad - 1)
+    assert abs(large.mean() - 0.3 * rows) < 5 * (variance / 2000) ** 0.5 and abs(large.var() / variance - 1) < 0.15
+    left = np.full(96, 10**10)
+    taken = shards.draw(np.random.default_rng(3), left, 10**8)
+    assert taken.sum() == 10**8 and abs(taken - 10**8 / 96).max() < 6 * (10**8 / 96) ** 0.5
