@@ -45,7 +45,10 @@ def flipped(sorts: list[Sort]) -> list[Sort]:
 def _descending(df: DataFrame, name: str) -> list[Column]:
     """Columns that, ascending, order ``name`` descending with nulls last."""
     column, kind = ref(name), df.schema[name].dataType
-    if isinstance(kind, (T.DecimalType, T.DoubleType, T.FloatType)):
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        # what is not a number is the largest, and negated it would stay so
+        return [column.isNull(), ~F.isnan(column), -column]
+    if isinstance(kind, T.DecimalType):
         down = -column
     elif isinstance(kind, T.IntegralType):
         down = -column.cast("decimal(20,0)")

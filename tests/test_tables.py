@@ -587,6 +587,18 @@ def test_nearest_once_on_dates_without_keys(rows):
     assert joins.nearest_once(rows(days(5), "d date"), rows([], "e date"), [], ("d", "e")).collect()[0][1] is None
 
 
+@pytest.mark.parametrize("sorts", [[("v", "asc")], [("v", "dsc"), ("t", "asc")], [("t", "dsc"), ("v", "asc")]])
+def test_split_windows_on_odd_values(rows, sorts):
+    """Nulls, what is not a number, ties and texts."""
+    random.seed(3)
+    data = [(i, random.choice([None, float("nan"), 1.5, -2.0, float(i % 90)]), random.choice([None, "", "a", "B", "é"]), i % 3) for i in range(900)]
+    df = rows(data, "i int, v double, t string, k int")
+    for partitions in ([], ["k"]):
+        for calc, field in (("ROW_NUM", None), ("RANK", None), ("LAG", "i"), ("FILL_DOWN", "t")):
+            plain, split = (window(df, "w", calc, field, sorts=sorts, partitions=partitions, split=s) for s in (False, True))
+            assert values(plain, "i", "w") == values(split, "i", "w"), (calc, partitions)
+
+
 def test_forms_of_a_window_agree(rows):
     df = rows([(k % 3, i, float(i % 4)) for i, k in enumerate(range(60))], "k int, i int, v double")
     for calc, field in (("ROW_NUM", None), ("RANK", None), ("NTILE", None), ("LAG", "v"), ("LEAD", "v"), ("CUM_SUM", "v"), ("FILL_DOWN", "v")):
