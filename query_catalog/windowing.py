@@ -4,7 +4,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators.windows import window
+from tallyframe.operators.windows import Calc, window, windows
 
 from .registry import query
 
@@ -52,18 +52,15 @@ FROM lineitem WINDOW o AS (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumb
 def window_whole_table_sum(t):
     df = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
     sorts = [("l_extendedprice", "dsc"), ("l_orderkey", "asc"), ("l_linenumber", "asc"), ("l_partkey", "asc"), ("l_suppkey", "asc")]
-    df = window(df, "rn", "ROW_NUM", sorts=sorts)
-    df = window(df, "running", "CUM_SUM", "l_quantity", sorts)
+    df = windows(df, [Calc("rn", "ROW_NUM"), Calc("running", "CUM_SUM", "l_quantity")], sorts)
     return df.withColumn("running", F.round("running", 2)).drop("l_quantity")
 
 
 @query(f"""SELECT event_id, lag(value, 3) OVER o AS prev, lead(value, 1) OVER o AS next, CAST(ntile(7) OVER o AS INTEGER) AS tile,
 last_value(sparse IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS down FROM {EVENTS} WINDOW o AS (ORDER BY ts, event_id)""")
 def window_whole_table_neighbours(t):
-    df = window(_events(t), "prev", "LAG", "value", ORDER, offset=3)
-    df = window(df, "next", "LEAD", "value", ORDER)
-    df = window(df, "tile", "NTILE", sorts=ORDER, ntile=7)
-    df = window(df, "down", "FILL_DOWN", "sparse", ORDER)
+    calcs = [Calc("prev", "LAG", "value", offset=3), Calc("next", "LEAD", "value"), Calc("tile", "NTILE", ntile=7), Calc("down", "FILL_DOWN", "sparse")]
+    df = windows(_events(t), calcs, ORDER)
     return df.select("event_id", "prev", "next", "tile", "down")
 
 

@@ -2,21 +2,28 @@
 
 Order-free calculations are a grouped aggregate joined back, so a group is combined map-side and
 no task ever sees a whole group. Ordered ones use Spark's window for groups of ordinary size. A
-table without partition columns, or one whose largest group is big, takes the split form: rows
-are range-partitioned by partition and sort columns, each range is computed on its own and a
-small table carries totals from range to range.
+table without partition columns, or one whose largest group is big, takes the split form, a prefix
+scan in two passes: borders from a sample cut the order into ranges, an aggregate adds up every
+range, and each range is then computed on its own with what the earlier ones add up to. Nothing is
+written in between, and all calculations on one order share the passes.
+
+A sum of doubles adds in another order in the split form, so its last digits can differ; sums of
+decimals and integers are equal in both.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from ..types import ref, resolve
 from .aggregate import Agg, summarize
-from .keys import attach, check_sorts, flipped, null_safe, order_key, sort_columns, with_tiebreak, within_groups
+from .keys import Sort, attach, check_sorts, flipped, null_safe, order_key, sort_columns, with_tiebreak, within_groups
 
 ORDERED = ("LEAD", "LAG", "FILL_DOWN", "ROW_NUM", "RANK", "NTILE", "CUM_SUM")
 GROUPED = ("SUM", "COUNT", "AVG", "MAX", "MIN", "MEDIAN", "MODE", "NUNIQUE", "STDDEV", "VAR", "FIRST", "LAST", "JOIN_STR", "JOIN_STR_DISTINCT")
@@ -25,6 +32,21 @@ GROUPED = ("SUM", "COUNT", "AVG", "MAX", "MIN", "MEDIAN", "MODE", "NUNIQUE", "ST
 MAX_GROUP_ROWS = 5_000_000
 # Rows per block when neighbours are looked up in the split form.
 BLOCK_ROWS = 1_000_000
+# Ranges of the split form for each shuffle partition, and sampled rows for each range.
+RANGES_PER_PARTITION = 4
+SAMPLE_PER_RANGE = 50
+
+
+@dataclass(frozen=True)
+class Calc:
+    """One ordered calculation of ``windows``; the fields are those of ``window``."""
+
+    out: str
+    calc: str
+    field: str | None = None
+    offset: int = 1
+    back_fill: bool = False
+    ntile: int | None = None
 
 
 def largest_group(df: DataFrame, partitions: list[str]) -> int:
@@ -57,112 +79,186 @@ def window(
     if calc in GROUPED:
         agg = Agg(calc, field, out, delimiter=delimiter, sorts=tuple(sorts))
         return attach(df, summarize(df, partitions, [agg]), partitions)
-    if calc not in ORDERED:
-        raise ValueError(f"unknown calculation {calc!r}")
+    return windows(df, [Calc(out, calc, field, offset, back_fill, ntile)], sorts, partitions, split)
+
+
+def windows(df: DataFrame, calcs: list[Calc], sorts: list[tuple[str, str]], partitions: list[str] = (), split: bool | None = None) -> DataFrame:
+    """Add several ordered calculations on one order; in the split form they share its passes."""
+    partitions = [resolve(df, p) for p in partitions]
+    sorts = check_sorts(df, sorts)
+    calcs = [_checked(df, c, sorts) for c in calcs]
+    if split is None:
+        split = not partitions or largest_group(df, partitions) > MAX_GROUP_ROWS
+    if not split:
+        return df.withColumns({c.out: _plain(df, c, sorts, partitions) for c in calcs})
+    order = within_groups(with_tiebreak(df, sorts), partitions)
+    near = [c for c in calcs if c.calc in ("LEAD", "LAG")]
+    scans = [c for c in calcs if c.calc in ("ROW_NUM", "NTILE", "CUM_SUM", "FILL_DOWN")]
+    if near:
+        scans = [*scans, Calc("__rn", "ROW_NUM")]
+    out = _scan(df, scans, order, sorts, partitions) if scans else df
+    if near:
+        out = _neighbours(out, near, partitions)
+    for c in calcs:
+        if c.calc == "RANK":
+            out = attach(out, *_ranks(df, c.out, sorts, partitions))
+    return out.select(*[ref(n) for n in dict.fromkeys([*df.columns, *[c.out for c in calcs]])])
+
+
+def _checked(df: DataFrame, c: Calc, sorts: list[Sort]) -> Calc:
+    if c.calc not in ORDERED:
+        raise ValueError(f"unknown calculation {c.calc!r}")
     if not sorts:
-        raise ValueError(f"{calc} needs a sort")
-    if field is None and calc in ("LEAD", "LAG", "FILL_DOWN", "CUM_SUM"):
-        raise ValueError(f"{calc} needs a field")
-    if calc in ("LEAD", "LAG") and offset < 1:
+        raise ValueError(f"{c.calc} needs a sort")
+    if c.field is None and c.calc in ("LEAD", "LAG", "FILL_DOWN", "CUM_SUM"):
+        raise ValueError(f"{c.calc} needs a field")
+    if c.calc in ("LEAD", "LAG") and c.offset < 1:
         raise ValueError("offset must be positive")
-    if calc == "NTILE" and (ntile is None or ntile < 1):
+    if c.calc == "NTILE" and (c.ntile is None or c.ntile < 1):
         raise ValueError("NTILE needs a positive ntile")
-    if split is None:
-        split = not partitions or largest_group(df, partitions) > MAX_GROUP_ROWS
-    if split:
-        return _split(df, out, calc, field, sorts, partitions, offset, back_fill, ntile)
-    return df.withColumn(out, _plain(df, calc, field, sorts, partitions, offset, back_fill, ntile))
+    return Calc(c.out, c.calc, resolve(df, c.field) if c.field else None, c.offset, c.back_fill, c.ntile)
 
 
-def _plain(df, calc, field, sorts, partitions, offset, back_fill, ntile) -> Column:
+def _plain(df: DataFrame, c: Calc, sorts: list[Sort], partitions: list[str]) -> Column:
     by = W.partitionBy(*[ref(p) for p in partitions])
-    order = by.orderBy(*sort_columns(within_groups(with_tiebreak(df, sorts), partitions)))
-    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    if calc == "LEAD":
-        return F.lead(ref(field), offset).over(order)
-    if calc == "LAG":
-        return F.lag(ref(field), offset).over(order)
-    if calc == "FILL_DOWN":
-        if back_fill:
-            onward = order.rowsBetween(W.currentRow, W.unboundedFollowing)
-            return F.first(ref(field), ignorenulls=True).over(onward)
-        return F.last(ref(field), ignorenulls=True).over(so_far)
-    if calc == "ROW_NUM":
-        return F.row_number().over(order).cast("bigint")
-    if calc == "RANK":
+    order = within_groups(with_tiebreak(df, sorts), partitions)
+    ordered = by.orderBy(*sort_columns(order))
+    if c.calc == "LEAD":
+        return F.lead(ref(c.field), c.offset).over(ordered)
+    if c.calc == "LAG":
+        return F.lag(ref(c.field), c.offset).over(ordered)
+    if c.calc == "ROW_NUM":
+        return F.row_number().over(ordered).cast("bigint")
+    if c.calc == "RANK":
         return F.rank().over(by.orderBy(*sort_columns(sorts))).cast("bigint")
-    if calc == "NTILE":
-        return F.ntile(ntile).over(order)
-    return F.sum(ref(field)).over(so_far)
+    if c.calc == "NTILE":
+        return F.ntile(c.ntile).over(ordered)
+    return _so_far(c, by, order)
 
 
-def _split(df, out, calc, field, sorts, partitions, offset, back_fill, ntile) -> DataFrame:
-    if calc == "RANK":
-        return _split_rank(df, out, sorts, partitions)
-    if calc in ("LEAD", "LAG"):
-        return _split_neighbour(df, out, calc, field, sorts, partitions, offset)
-    order = within_groups(with_tiebreak(df, sorts), partitions)
-    if calc == "FILL_DOWN" and back_fill:
-        order = flipped(order)
-    if calc in ("ROW_NUM", "NTILE"):
-        local = F.row_number()
-        partial = F.count(F.lit(1))
-        combine = F.sum
-    elif calc == "CUM_SUM":
-        local = F.sum(ref(field))
-        partial = F.sum(ref(field))
-        combine = F.sum
-    else:
-        local = F.last(ref(field), ignorenulls=True)
-        partial = F.max_by(ref(field), F.when(ref(field).isNotNull(), order_key(df, order)))
-        combine = lambda c: F.last(c, ignorenulls=True)
-
-    sliced = _slices(df, partitions, order)
+def _so_far(c: Calc, by, order: list[Sort]) -> Column:
+    """Running sum or last value. Filling backwards runs along the flipped order: a frame that starts at
+    its row and reads to the end of the group is read anew for every row."""
+    along = flipped(order) if c.back_fill else order
+    frame = by.orderBy(*sort_columns(along)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return F.sum(ref(c.field)).over(frame) if c.calc == "CUM_SUM" else F.last(ref(c.field), ignorenulls=True).over(frame)
+
+
+def _scan(df: DataFrame, calcs: list[Calc], order: list[Sort], sorts: list[Sort], partitions: list[str]) -> DataFrame:
+    """Calculations that a range can do alone once it knows what the ranges before it add up to."""
+    cuts = _cut_order(df, order, sorts)
+    if not _repeatable(df, [*partitions, *[n for n, _ in cuts]]):
+        df = cut_lineage(df)
     by = [ref(p) for p in partitions]
-    within = W.partitionBy(*by, "__slice").orderBy(*sort_columns(order))
-    if calc not in ("ROW_NUM", "NTILE"):
-        within = within.rowsBetween(W.unboundedPreceding, W.currentRow)
-    carried = _carry(sliced, partitions, partial, combine)
-    computed = sliced.withColumn("__local", local.over(within))
-    joined = _with_carry(computed, carried, partitions)
-    if calc == "FILL_DOWN":
-        value = F.coalesce(ref("__local"), ref("__before"))
-    elif calc == "CUM_SUM":
-        value = F.coalesce(ref("__local") + ref("__before"), ref("__local"), ref("__before"))
-    else:
-        value = (ref("__local") + F.coalesce(ref("__before"), F.lit(0))).cast("bigint")
-    result = joined.withColumn(out, value).drop("__slice", "__local", "__before")
-    if calc != "NTILE":
-        return result
-    totals = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))
-    counted = attach(result, totals, partitions)
-    return counted.withColumn(out, _ntile(ref(out), ref("__rows"), ntile)).drop("__rows")
-
-
-def _slices(df: DataFrame, partitions: list[str], order: list[tuple[str, str]]) -> DataFrame:
-    """Range-partition by (partitions, order), remember each row's range, and fix both on disk."""
-    spark = df.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by = [ref(p).asc_nulls_first() for p in partitions]
-    named = set(partitions)
-    by += sort_columns([(n, d) for n, d in order if n not in named])
-    ranged = df.repartitionByRange(ranges, *by).withColumn("__slice", F.spark_partition_id())
-    return cut_lineage(ranged)
-
-
-def _carry(sliced: DataFrame, partitions: list[str], partial: Column, combine) -> DataFrame:
-    """What all earlier ranges of a group add up to; only for groups that span several ranges.
-
-    Each range border cuts at most one group, so this has fewer rows than there are ranges.
+    sliced = _slices(df, partitions, cuts)
+    parts = {}
+    for i, c in enumerate(calcs):
+        if c.calc == "FILL_DOWN":
+            pick = F.min_by if c.back_fill else F.max_by
+            parts[f"__part{i}"] = pick(ref(c.field), F.when(ref(c.field).isNotNull(), order_key(df, order)))
+        else:
+            parts[f"__part{i}"] = F.sum(ref(c.field)) if c.calc == "CUM_SUM" else F.count(F.lit(1))
+    carried = _carry(sliced, calcs, parts, partitions)
+
+    within = W.partitionBy(*by, "__slice")
+    numbered = F.row_number().over(within.orderBy(*sort_columns(order)))
+    local = {f"__local{i}": numbered if c.calc in ("ROW_NUM", "NTILE") else _so_far(c, within, order) for i, c in enumerate(calcs)}
+    joined = _with_carry(sliced.withColumns(local), carried, partitions)
+    values = {}
+    for i, c in enumerate(calcs):
+        here, before = ref(f"__local{i}"), ref(f"__before{i}")
+        if c.calc == "FILL_DOWN":
+            values[c.out] = F.coalesce(here, before)
+        elif c.calc == "CUM_SUM":
+            values[c.out] = F.coalesce(here + before, here, before)
+        else:
+            values[c.out] = (here + F.coalesce(before, F.lit(0))).cast("bigint")
+    gone = [f"{name}{i}" for i in range(len(calcs)) for name in ("__local", "__before")]
+    result = joined.withColumns(values).drop("__slice", *gone)
+    tiles = [c for c in calcs if c.calc == "NTILE"]
+    if tiles:
+        result = attach(result, df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows")), partitions)
+        result = result.withColumns({c.out: _ntile(ref(c.out), ref("__rows"), c.ntile) for c in tiles}).drop("__rows")
+    return result
+
+
+def _cut_order(df: DataFrame, order: list[Sort], sorts: list[Sort]) -> list[Sort]:
+    """The beginning of the order that ranges are cut by: the sorts, and tie-breakers up to the first
+    fraction, because sums of fractions can differ in their last digit when computed twice."""
+    asked = {n for n, _ in sorts}
+    cuts: list[Sort] = []
+    for name, direction in order:
+        if name not in asked and isinstance(df.schema[name].dataType, T.FractionalType):
+            break
+        cuts.append((name, direction))
+    return cuts
+
+
+def _repeatable(df: DataFrame, names: list[str]) -> bool:
+    """Whether rows fall into the same ranges when ``df`` is computed twice: it has no random values and
+    no unordered limits, and the fractions it is ordered by are read, not computed."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if not plan.deterministic() or any(word in plan.toString() for word in ("Limit", "Sample")):
+        return False
+    fractions = [n for n in names if isinstance(df.schema[n].dataType, (T.DoubleType, T.FloatType))]
+    if not fractions:
+        return True
+    leaves, tops = plan.collectLeaves(), plan.output()
+    read = {leaves.apply(i).output().apply(j).exprId().id() for i in range(leaves.size()) for j in range(leaves.apply(i).output().size())}
+    top = {tops.apply(i).name(): tops.apply(i).exprId().id() for i in range(tops.size())}
+    return all(top.get(n) in read for n in fractions)
+
+
+def _slices(df: DataFrame, partitions: list[str], cuts: list[Sort]) -> DataFrame:
+    """Add every row's range of (partitions, cuts): the number of borders at or below it."""
+    ranges = RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*[ref(p) for p in partitions], order_key(df, cuts))
+    bordered = df.withColumn("__borders", _borders(df, key, ranges).scalar())
+
+    def step(state: Column, width: Column) -> Column:
+        # the key and the borders ride along, so that neither is computed in every step
+        border = F.get(state["borders"], state["at"] + width - 1)
+        at = F.when(border <= state["key"], state["at"] + width).otherwise(state["at"])
+        return F.struct(state["borders"].alias("borders"), state["key"].alias("key"), at.alias("at"))
+
+    widths = F.array(*[F.lit(1 << bit) for bit in reversed(range(ranges.bit_length()))])
+    start = F.struct(ref("__borders").alias("borders"), key.alias("key"), F.lit(0).alias("at"))
+    return bordered.withColumn("__slice", F.aggregate(widths, start, step, lambda state: state["at"])).drop("__borders")
+
+
+def _borders(df: DataFrame, key: Column, ranges: int) -> DataFrame:
+    """One row: the sorted keys that begin a new range, from a sample by the keys' hashes.
+
+    Sampled keys are counted before they are ordered, so a key of very many rows is one row there.
+    """
+    one_in = max(1, df.count() // (ranges * SAMPLE_PER_RANGE))
+    sampled = df.select(key.alias("k")).filter(F.pmod(F.xxhash64("k"), F.lit(one_in)) == 0)
+    counted = sampled.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(W.orderBy("k").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    share = F.floor(before * ranges / F.sum("n").over(W.partitionBy()))
+    begins = counted.select("k", share.alias("share")).groupBy("share").agg(F.min("k").alias("k")).filter("share > 0")
+    return begins.agg(F.sort_array(F.collect_list("k")).alias("borders"))
+
+
+def _carry(sliced: DataFrame, calcs: list[Calc], parts: dict[str, Column], partitions: list[str]) -> DataFrame:
+    """What the other ranges of a group add up to, as far as a range needs it; only for groups that span several ranges.
+
+    Each range border cuts at most one group, so this has at most twice as many rows as there are ranges.
     """
     by = [ref(p) for p in partitions]
-    stats = sliced.groupBy(*by, "__slice").agg(partial.alias("__part"))
-    earlier = W.partitionBy(*by).orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)
+    stats = sliced.groupBy(*by, "__slice").agg(*[part.alias(name) for name, part in parts.items()])
+    along = W.partitionBy(*by).orderBy("__slice")
+    earlier, later = along.rowsBetween(W.unboundedPreceding, -1), W.partitionBy(*by).orderBy(F.desc("__slice")).rowsBetween(W.unboundedPreceding, -1)
+    before = {}
+    for i, (c, name) in enumerate(zip(calcs, parts, strict=True)):
+        if c.calc == "FILL_DOWN":
+            before[f"__before{i}"] = F.last(ref(name), ignorenulls=True).over(later if c.back_fill else earlier)
+        else:
+            before[f"__before{i}"] = F.sum(ref(name)).over(earlier)
     return (
-        stats.withColumn("__before", combine(ref("__part")).over(earlier))
-        .withColumn("__earlier", F.count(F.lit(1)).over(earlier))
-        .filter("__earlier > 0")
-        .select(*[ref(p).alias(f"__key{i}") for i, p in enumerate(partitions)], ref("__slice").alias("__at"), "__before")
+        stats.withColumns({**before, "__pieces": F.count(F.lit(1)).over(W.partitionBy(*by))})
+        .filter("__pieces > 1")
+        .select(*[ref(p).alias(f"__key{i}") for i, p in enumerate(partitions)], ref("__slice").alias("__at"), *before)
     )
 
 
@@ -171,44 +267,37 @@ def _with_carry(computed: DataFrame, carried: DataFrame, partitions: list[str])
     if partitions:
         keys = [carried[f"__key{i}"] for i in range(len(partitions))]
         condition = condition & null_safe([computed[f"`{p}`"] for p in partitions], keys)
-    # fewer rows than ranges, see _carry
+    # at most two rows a range, see _carry
     joined = computed.join(F.broadcast(carried), condition, "left")
     return joined.drop("__at", *[f"__key{i}" for i in range(len(partitions))])
 
 
-def _split_rank(df, out, sorts, partitions) -> DataFrame:
-    """Rank = rows of smaller sort value + 1, from running counts of the distinct sort values."""
+def _ranks(df: DataFrame, out: str, sorts: list[Sort], partitions: list[str]) -> tuple[DataFrame, list[str]]:
+    """Rank = rows of smaller sort value + 1, from running counts of the distinct sort values; and its keys."""
     names = list(dict.fromkeys([*partitions, *[n for n, _ in sorts]]))
     counts = df.groupBy(*[ref(n) for n in names]).agg(F.count(F.lit(1)).alias("__n"))
-    running = _split(counts, "__upto", "CUM_SUM", "__n", sorts, partitions, 1, False, None)
-    ranks = running.select(*[ref(n) for n in names], (ref("__upto") - ref("__n") + 1).alias(out))
-    return attach(df, ranks, names)
+    running = windows(counts, [Calc("__upto", "CUM_SUM", "__n")], sorts, partitions, split=True)
+    return running.select(*[ref(n) for n in names], (ref("__upto") - ref("__n") + 1).alias(out)), names
 
 
-def _split_neighbour(df, out, calc, field, sorts, partitions, offset) -> DataFrame:
-    """Lead and lag on blocks of consecutive row numbers; border rows are copied next door."""
-    block = max(BLOCK_ROWS, offset)
-    numbered = _split(df, "__rn", "ROW_NUM", None, sorts, partitions, 1, False, None)
+def _neighbours(numbered: DataFrame, calcs: list[Calc], partitions: list[str]) -> DataFrame:
+    """Leads and lags on blocks of consecutive row numbers; border rows are copied next door."""
+    lag = max([c.offset for c in calcs if c.calc == "LAG"], default=0)
+    lead = max([c.offset for c in calcs if c.calc == "LEAD"], default=0)
+    block = max(BLOCK_ROWS, lag, lead)
     position = (ref("__rn") - 1) % block
     home = F.floor((ref("__rn") - 1) / block).cast("bigint")
-    if calc == "LAG":
-        visits, next_door = position >= block - offset, home + 1
-    else:
-        visits, next_door = (position < offset) & (home > 0), home - 1
+
+    def place(number: Column, guest: bool) -> Column:
+        return F.struct(number.alias("block"), F.lit(guest).alias("guest"))
+
     places = F.array_compact(
-        F.array(
-            F.struct(home.alias("block"), F.lit(False).alias("guest")),
-            F.when(visits, F.struct(next_door.alias("block"), F.lit(True).alias("guest"))),
-        )
+        F.array(place(home, False), F.when(position >= block - lag, place(home + 1, True)), F.when((position < lead) & (home > 0), place(home - 1, True)))
     )
     spread = numbered.withColumn("__place", F.explode(places))
     order = W.partitionBy(*[ref(p) for p in partitions], "__place.block").orderBy("__rn")
-    neighbour = F.lag if calc == "LAG" else F.lead
-    return (
-        spread.withColumn(out, neighbour(ref(field), offset).over(order))
-        .filter(~F.col("__place.guest"))
-        .drop("__place", "__rn")
-    )
+    near = {c.out: (F.lag if c.calc == "LAG" else F.lead)(ref(c.field), c.offset).over(order) for c in calcs}
+    return spread.withColumns(near).filter(~F.col("__place.guest")).drop("__place", "__rn")
 
 
 def _ntile(position: Column, rows: Column, tiles: int) -> Column:

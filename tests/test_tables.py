@@ -610,6 +610,41 @@ def test_forms_of_a_window_agree(rows):
             window(df, "w", "LAG", "v", sorts=[("v", "asc")], partitions=["k"], offset=0, split=split)
 
 
+def test_split_windows_at_once_write_nothing(spark, rows, monkeypatch, tmp_path):
+    """Several calculations, a key of a third of the rows, equal rows; no checkpoint, no range exchange."""
+    monkeypatch.setattr(windows, "BLOCK_ROWS", 11)
+    random.seed(8)
+    data = [(i % 400, random.choice([0.5, 0.5, random.random(), None, float("nan")]), random.choice([None, "x", "yz"]), random.choice([None, 1, 2])) for i in range(1200)]
+    rows(data, "i int, v double, s string, n bigint").repartition(7).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    calcs = [windows.Calc("rn", "ROW_NUM"), windows.Calc("run", "CUM_SUM", "n"), windows.Calc("down", "FILL_DOWN", "s"), windows.Calc("up", "FILL_DOWN", "s", back_fill=True),
+             windows.Calc("lag", "LAG", "s", offset=2), windows.Calc("lead", "LEAD", "n", offset=3), windows.Calc("tile", "NTILE", ntile=7), windows.Calc("r", "RANK")]
+    monkeypatch.setattr(windows, "cut_lineage", lambda df: pytest.fail("checkpoint"))
+    for partitions in ([], ["s"]):
+        plain, split = (windows.windows(df, calcs, [("v", "dsc"), ("i", "asc")], partitions, split=s) for s in (False, True))
+        assert plain.dtypes == split.dtypes
+        assert [repr(v) for v in values(plain)] == [repr(v) for v in values(split)]
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan and "ExistingRDD" not in plan
+    assert windows.windows(df.limit(0), calcs[:1], [("i", "asc")], split=False).count() == 0
+
+
+def test_split_windows_write_what_may_come_out_otherwise(spark, rows):
+    """A computed sum of doubles, or random values, can't be cut into the same ranges twice."""
+    df = rows([(i % 5, 0.1 * i) for i in range(50)], "k int, v double")
+    assert windows._repeatable(df, ["k", "v"])
+    summed = df.groupBy("k").agg(F.sum("v").alias("total"))
+    assert windows._repeatable(summed, ["k"]) and not windows._repeatable(summed, ["total"])
+    assert not windows._repeatable(df.withColumn("r", F.rand()), ["k"]) and not windows._repeatable(df.limit(3), ["k"])
+    assert values(window(summed, "n", "ROW_NUM", sorts=[("total", "asc")]), "k", "n") == [(k, k + 1) for k in range(5)]
+
+
+def test_ranges_are_even(spark):
+    df = spark.range(0, 20_000, 1, 8).withColumn("v", F.hash("id").cast("double"))
+    sizes = [r["count"] for r in windows._slices(df, [], [("v", "dsc")]).groupBy("__slice").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 3 * 20_000 / len(sizes)
+
+
 def test_expand_beyond_the_broadcast_limit(rows, monkeypatch):
     main, small = rows([(1,), (2,)], "a int"), rows([(i,) for i in range(7)], "b int")
     want = values(joins.expand(main, small), "a", "b")
