@@ -212,18 +212,17 @@ def _repeatable(df: DataFrame, names: list[str]) -> bool:
 def _slices(df: DataFrame, partitions: list[str], cuts: list[Sort]) -> DataFrame:
     """Add every row's range of (partitions, cuts): the number of borders at or below it."""
     ranges = RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = F.struct(*[ref(p) for p in partitions], order_key(df, cuts))
+    key = order_key(df, [*[(p, "asc") for p in partitions], *cuts])
     bordered = df.withColumn("__borders", _borders(df, key, ranges).scalar())
 
-    def step(state: Column, width: Column) -> Column:
-        # the key and the borders ride along, so that neither is computed in every step
-        border = F.get(state["borders"], state["at"] + width - 1)
-        at = F.when(border <= state["key"], state["at"] + width).otherwise(state["at"])
-        return F.struct(state["borders"].alias("borders"), state["key"].alias("key"), at.alias("at"))
+    def place(key: Column) -> Column:
+        def step(at: Column, width: Column) -> Column:
+            return F.when(F.get(ref("__borders"), at + width - 1) <= key, at + width).otherwise(at)
 
-    widths = F.array(*[F.lit(1 << bit) for bit in reversed(range(ranges.bit_length()))])
-    start = F.struct(ref("__borders").alias("borders"), key.alias("key"), F.lit(0).alias("at"))
-    return bordered.withColumn("__slice", F.aggregate(widths, start, step, lambda state: state["at"])).drop("__borders")
+        return F.aggregate(F.array(*[F.lit(1 << bit) for bit in reversed(range(ranges.bit_length()))]), F.lit(0), step)
+
+    # the key is a lambda's argument, so that it is computed once and not in every step of the search
+    return bordered.withColumn("__slice", F.get(F.transform(F.array(key), place), 0)).drop("__borders")
 
 
 def _borders(df: DataFrame, key: Column, ranges: int) -> DataFrame:
