@@ -4,11 +4,17 @@ A page is cut into blocks at its block-level tags. In the first pass each block
 stop-word density, its length and its link density: good, bad, near-good or short. In the second
 pass, the ambiguous ones (near-good and short) inherit the label of the nearest decided neighbours:
 between two good ones they are good, between two bad ones bad, and between a good and a bad one they
-are good only if they are near-good or stand in the article. Regions whose tag or class names
-say what they are (menus, headers and footers of the page, sidebars, notices, adverts, forms, comments)
-never give text, and a page's article element, when it has one, bounds where text is looked for.
+are good only if they are near-good or a heading of what follows.
 
-Stop words are the frequent short words of the pages' languages, a fixed list.
+Every block goes through both passes. An article element, or a name such as post or content, is evidence:
+its blocks are taken for near-good where stop words are few, its lone link stays ambiguous where it would be
+bad elsewhere, and its ambiguous blocks are good unless all around is bad. Beside an article
+element a block has to be good by itself. Regions whose tag or class names say what they are (menus, headers and
+footers of the page, sidebars, notices, adverts, forms, comments) never give text.
+
+Stop words are the frequent short words of four languages, a fixed list. A page with hardly any of them is
+in another language: there stop words say nothing, and length and link density decide. On a page without a good block the
+near-good ones are good.
 
 Defined cases: null html counts as empty and gives an empty text; unclosed and mismatched tags close
 at the next block or region end; a page cut off in a tag or a region ends there; character references
@@ -45,9 +51,9 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 OUTSIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|footer\w*|header|masthead|cookie\w*|consent|notice\w*|newsletter|subscribe|"
+    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side-?(?:col\w*|nav|menu|panel)|footer\w*|header|masthead|cookie\w*|consent|notice\w*|newsletter|subscribe|"
     r"signup|login|popup|modal|overlay|share\w*|sharing|social\w*|related|recommend\w*|widget\w*|comments?|comment-?list|disqus|replies|respond|pagination|pager|toolbar|copyright|legal|"
-    r"disclaimer|gdpr|alert|skip)(?:$|[\s_-])",
+    r"disclaimer|gdpr|alert|skip)(?:$|[\s_-])|(?:^|\s)side(?:$|\s)",
     re.IGNORECASE,
 )
 
@@ -55,6 +61,8 @@ OUTSIDE_NAMES = re.compile(
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.15, 0.25
 MOST_LINKS = 0.4
+#: Share of stop words in a page's unlinked text below which its language is none of the list's.
+OTHER_LANGUAGE = 0.03
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)|[^<]+|<", re.DOTALL)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -62,7 +70,10 @@ _HIDDEN_ATTRIBUTE = re.compile(r"""(?:^|\s)hidden(?:\s|=|$|/)|aria-hidden\s*=\s*
 # a slash at the end of a tag, but not of an unquoted value
 _CLOSED = re.compile(r"""(?:^|[\s"'])/\s*$""")
 _SPACES = re.compile(r"\s+")
+_WORD = re.compile(r"[^\W\d_]+")
 BREAK = "\n"
+# Weight of an article element among the open articles; more than elements can be nested.
+ELEMENT = 1 << 40
 
 
 @dataclass
@@ -73,6 +84,7 @@ class Block:
     linked: int = 0
     heading: bool = False
     article: bool = False
+    element: bool = False
     label: str = ""
     text: str = ""
 
@@ -81,7 +93,7 @@ def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, those in outside regions left out."""
     out: list[Block] = []
     block = Block()
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, whether they hide, whether they are an article
+    stack: list[tuple[str, bool, int]] = []  # open elements: name, whether they hide, 1 for an article by name and ELEMENT for an article element
     hidden = links = articles = headings = 0
 
     def close() -> None:
@@ -90,7 +102,7 @@ def blocks(page: str) -> list[Block]:
         if text:
             block.text = text
             out.append(block)
-        block = Block(heading=headings > 0, article=articles > 0)
+        block = Block(heading=headings > 0, article=articles > 0, element=articles >= ELEMENT)
 
     skip_to = 0
     for m in _TOKEN.finditer(page):
@@ -154,40 +166,51 @@ def blocks(page: str) -> list[Block]:
             article = name in ("article", "main") or bool(re.search(r"(?:^|[\s_-])(?:article|post|entry|main|content|story)(?:$|[\s_-])", named, re.IGNORECASE))
             inside = name not in ("html", "body", "article", "main")
             hides = name in HIDDEN or (name in OUTSIDE and not (name == "header" and articles)) or bool(attributes and inside and (OUTSIDE_NAMES.search(named) or _HIDDEN_ATTRIBUTE.search(attributes)))
-            article = article and not hides
+            article = 0 if hides or not article else ELEMENT if name in ("article", "main") else 1
             stack.append((name, hides, article))
             hidden += hides
             articles += article
             links += name == "a"
             headings += name in HEADINGS
         if name in BLOCKS:
-            block = Block(heading=headings > 0, article=articles > 0)
+            block = Block(heading=headings > 0, article=articles > 0, element=articles >= ELEMENT)
     close()
     return out
 
 
-def first_pass(block: Block) -> str:
-    length = len(block.text)
-    words = block.text.lower().split()
-    link_density = block.linked / length
-    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-    if link_density > MOST_LINKS:
-        return "bad"
-    if block.text.startswith(("©", "Copyright")):
-        return "bad"
-    if length < SHORT:
-        return "short"
-    if stops >= STOP_HIGH:
-        return "good" if length >= LONG else "near"
-    if stops >= STOP_LOW:
-        return "near"
-    return "near" if block.article else "bad"
+def first_pass(found: list[Block]) -> None:
+    """Label every block by its stop words, length and links."""
+    words = [_WORD.findall(b.text.lower()) for b in found]
+    stops = [sum(w in STOP_WORDS for w in ws) for ws in words]
+    linked = [b.linked > MOST_LINKS * len(b.text) for b in found]
+    plain = [i for i in range(len(found)) if not linked[i]]
+    known = sum(stops[i] for i in plain) >= OTHER_LANGUAGE * sum(len(words[i]) for i in plain)
+    for i, b in enumerate(found):
+        length, density = len(b.text), stops[i] / max(1, len(words[i])) if known else STOP_HIGH
+        if linked[i]:
+            # links in a row are a menu wherever they stand
+            lone = not any(linked[max(0, i - 1) : i] + linked[i + 1 : i + 2])
+            b.label = "short" if b.article and lone else "bad"
+        elif b.text.startswith(("©", "Copyright")):
+            b.label = "bad"
+        elif length < SHORT:
+            b.label = "short"
+        elif density >= STOP_HIGH:
+            b.label = "good" if length >= LONG else "near"
+        elif density >= STOP_LOW or b.article:
+            b.label = "near"
+        else:
+            b.label = "bad"
+    if not any(b.label == "good" for b in found):
+        # the best that such a page has
+        for b in found:
+            b.label = "good" if b.label == "near" else b.label
 
 
 def second_pass(found: list[Block]) -> list[Block]:
     """The good blocks after ambiguous ones have taken their neighbours' labels."""
     n = len(found)
-    has_article = any(b.article for b in found)
+    has_element = any(b.element for b in found)
     before, after = [""] * n, [""] * n
     last = ""
     for i in range(n):
@@ -205,21 +228,22 @@ def second_pass(found: list[Block]) -> list[Block]:
             if b.article:
                 # the article's own short lines and headings follow it, unless all around is bad
                 label = "bad" if around == {"bad"} and label == "short" and not b.heading else "good"
+            elif has_element:
+                label = "bad"
             elif around == {"good"}:
                 label = "good"
             elif around == {"bad"}:
                 label = "bad"
             else:
                 label = "good" if b.label == "near" or b.heading and y == "good" else "bad"
-        if label == "good" and (b.article or not has_article):
+        if label == "good":
             out.append(b)
     return out
 
 
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
-    for b in found:
-        b.label = first_pass(b)
+    first_pass(found)
     return "\n".join(b.text for b in second_pass(found))
 
 

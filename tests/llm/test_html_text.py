@@ -1,4 +1,9 @@
+import re
+from collections import Counter
+from html.parser import HTMLParser
+
 import cases  # noqa: F401
+import oracle
 import pytest
 
 from tallyframe.llm import html_text
@@ -79,3 +84,74 @@ def test_odd_attributes():
     assert text(f"<article><p data-x=it's title='a > b'>{PARA}</p><p class=\"x>{MORE}</p></article>") == f"{PARA}\n{MORE}"
     assert text(f"<article><a name='top'/><p>{PARA} <a href=http://x.example/a/>link</a></p></article>") == f"{PARA} link"
     assert text("<article>" + "<p a=\"" * 3000 + f"><p>{PARA}</p></article>") .endswith(PARA)
+
+
+def test_names_are_evidence_and_no_gate():
+    assert text(f"<body><div class='post'><p>{PARA}</p></div><div><p>{MORE}</p><p>{PARA}</p></div></body>") == f"{PARA}\n{MORE}\n{PARA}"
+    assert text(f"<body><div>{MORE}</div><article><p>{PARA}</p></article><div>Short beside it.</div></body>") == f"{MORE}\n{PARA}"
+    assert text(f"<body><main><div class='side-by-side'><p>{PARA}</p></div><div class='side'><p>{MORE}</p></div><div class='side-nav'><p>{MORE}</p></div></main></body>") == PARA
+
+
+def test_a_lone_link_and_a_menu_in_an_article():
+    link = "<p><a href='/x'>The whole report that was written on it</a></p>"
+    assert text(f"<article><p>{PARA}</p>{link}<p>{MORE}</p></article>") == f"{PARA}\nThe whole report that was written on it\n{MORE}"
+    assert text(f"<article><p>{PARA}</p>{link * 3}<p>{MORE}</p></article>") == f"{PARA}\n{MORE}"
+
+
+def test_a_language_without_stop_words_in_the_list():
+    first = "Старый дом стоял на холме над рекой, и люди, которые жили в нём много лет, рассказывали эту историю своим детям по вечерам. " * 2
+    links = "".join(f"<a href='/{i}'>ссылка номер {i}</a> " for i in range(9))
+    assert text(f"<body><div>{links}</div><div>{first}</div><div>Да.</div><div>{first}</div><div>{links}</div></body>") == f"{first.strip()}\nДа.\n{first.strip()}"
+
+
+def test_stop_words_decide(monkeypatch):
+    keywords = "cheap hotel booking flight travel deal price city beach luxury resort package discount " * 4
+    page = f"<body><div>{PARA}</div><div>{MORE}</div><div>{keywords}</div></body>"
+    assert text(page) == f"{PARA}\n{MORE}"
+    monkeypatch.setattr(html_text, "STOP_WORDS", frozenset())
+    assert text(page) == f"{PARA}\n{MORE}\n{keywords.strip()}"
+
+
+class Article(HTMLParser):
+    """All text of the article elements, by the standard library's parser."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.depth, self.parts = 0, []
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        self.parts.append(" " if tag in html_text.BLOCKS or tag == "br" else "")
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        self.parts.append(" " if tag in html_text.BLOCKS else "")
+
+    def handle_data(self, data):
+        self.parts.append(data if self.depth else "")
+
+
+def given_pages():
+    return [r[0] for r in oracle.duck(oracle.SF).execute("SELECT html FROM pages ORDER BY page_id").fetchall()]
+
+
+def test_given_pages_against_another_parser():
+    for page in given_pages():
+        assert text(page).split() == "".join(Article(page).parts).split()
+
+
+def test_given_pages_without_names():
+    """Every element a div and no names left: the two passes alone find the article."""
+
+    def characters(blocks):
+        return sum(len(b) * n for b, n in blocks.items())
+
+    found = wanted = both = 0
+    for page in given_pages():
+        bare = re.sub(r"<(/?)(?:nav|article|footer|ul|li|p|h1)(?=[\s>])", r"<\1div", page)
+        bare = re.sub(r"""\s(?:class|id|role)=("[^"]*"|'[^']*'|[^\s>]+)""", "", bare)
+        got, want = (Counter(text(p).split("\n")) for p in (bare, page))
+        found, wanted, both = found + characters(got), wanted + characters(want), both + characters(got & want)
+    assert both >= 0.9 * wanted and both >= 0.9 * found, (both / wanted, both / found)
