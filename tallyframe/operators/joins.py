@@ -217,6 +217,30 @@ class _Sides:
         meet = (lower["__level"] == upper["__level"]) & (lower["__node"] == upper["__node"]) & (lower["__part"] == upper["__part"])
         return lower.join(upper, meet & self.all_of(conditions)).drop("__level", "__node", "__part")
 
+    def partnered(self, conditions: list[On], side: str, rows: DataFrame) -> DataFrame:
+        """Numbers (``__row``) of the rows of a side that have a partner on the other side.
+
+        Two inequalities form no pairs for that: along the order of the first, the largest (or smallest) second
+        value of the other side seen so far tells whether any of its rows fits. More conditions are tested on pairs.
+        """
+        from .windows import window
+
+        other = self.right if side == "left" else self.left
+        if len(conditions) > 2 or len(self.inequalities(conditions)) < 2:
+            return self.without_equality(conditions)(conditions, *((rows, other) if side == "left" else (other, rows))).select("__row").distinct()
+        turned = {"gt": "lt", "ge": "le", "lt": "gt", "le": "ge"}
+        (own0, op0, there0), (own1, op1, there1) = [(c.left, c.op, c.right) if side == "left" else (c.right, turned[c.op], c.left) for c in conditions]
+        up = op1 in ("lt", "le")
+        asked = rows.select("__row", F.col(own0).alias("__first"), F.col(own1).alias("__own")).filter("__first IS NOT NULL AND __own IS NOT NULL")
+        fits = other.select(F.col(there0).alias("__first"), F.col(there1).alias("__there")).filter("__first IS NOT NULL AND __there IS NOT NULL")
+        fits = fits.groupBy("__first").agg((F.max if up else F.min)("__there").alias("__there"))
+        both = cut_lineage(asked.withColumn("__asks", F.lit(1)).unionByName(fits.withColumn("__asks", F.lit(0)), allowMissingColumns=True))
+        # the other side comes first among equals only where an equal value fits; row numbers part many equal ones
+        sorts = [("__first", "dsc" if op0 in ("lt", "le") else "asc"), ("__asks", "asc" if op0 in ("le", "ge") else "dsc"), ("__row", "asc")]
+        seen = window(both, "__best", "CUM_MAX" if up else "CUM_MIN", "__there", sorts)
+        own, best = F.col("__own"), F.col("__best")
+        return seen.filter("__asks = 1").filter({"lt": own < best, "le": own <= best, "gt": own > best, "ge": own >= best}[op1]).select("__row")
+
     def all_of(self, conditions: list[On]) -> Column:
         return reduce(lambda a, b: a & b, [self.test(c) for c in conditions])
 
@@ -251,11 +275,10 @@ class _Sides:
     def unmatched(self, branches: list[list[On]], side: str) -> DataFrame:
         out = self.left if side == "left" else self.right
         for branch in branches:
-            if way := self.without_equality(branch):
+            if self.without_equality(branch):
                 # fixed row numbers, so that the rows found can be told from the others
                 out = cut_lineage(out.withColumn("__row", F.monotonically_increasing_id()))
-                found = way(branch, *((out, self.right) if side == "left" else (self.left, out))).select("__row").distinct()
-                out = out.join(found, "__row", "left_anti").drop("__row")
+                out = out.join(self.partnered(branch, side, out), "__row", "left_anti").drop("__row")
                 continue
             other, condition = self.prepared(branch, "right" if side == "left" else "left")
             out = out.join(other, condition, "left_anti")
@@ -329,9 +352,9 @@ def blend_forks(left: DataFrame, right: DataFrame, on: list[On], how: str = "inn
 def semi(left: DataFrame, right: DataFrame, on: list[On], null_safe: bool = False) -> DataFrame:
     """Left rows that have a partner."""
     sides = _Sides(left, right, on, null_safe)
-    if way := sides.without_equality(sides.on):
+    if sides.without_equality(sides.on):
         numbered = cut_lineage(sides.left.withColumn("__row", F.monotonically_increasing_id()))
-        found = way(sides.on, numbered, sides.right).select("__row").distinct()
+        found = sides.partnered(sides.on, "left", numbered)
         return numbered.join(found, "__row", "left_semi").drop("__row").toDF(*left.columns)
     other, condition = sides.prepared(sides.on, "right")
     return sides.left.join(other, condition, "left_semi").toDF(*left.columns)
@@ -339,7 +362,8 @@ def semi(left: DataFrame, right: DataFrame, on: list[On], null_safe: bool = Fals
 
 def anti(left: DataFrame, right: DataFrame, on: list[On], null_safe: bool = False) -> DataFrame:
     """Left rows that have no partner."""
-    return blend_forks(left, right, on, null_safe=null_safe).left_only
+    sides = _Sides(left, right, on, null_safe)
+    return sides.unmatched(_branches(sides, "and"), "left").toDF(*left.columns)
 
 
 def contained_pairs(wholes: DataFrame, parts: DataFrame) -> DataFrame:

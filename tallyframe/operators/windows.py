@@ -25,7 +25,8 @@ from ..types import ref, resolve
 from .aggregate import Agg, summarize
 from .keys import Sort, attach, check_sorts, flipped, null_safe, order_key, sort_columns, with_tiebreak, within_groups
 
-ORDERED = ("LEAD", "LAG", "FILL_DOWN", "ROW_NUM", "RANK", "NTILE", "CUM_SUM")
+ORDERED = ("LEAD", "LAG", "FILL_DOWN", "ROW_NUM", "RANK", "NTILE", "CUM_SUM", "CUM_MAX", "CUM_MIN")
+RUNNING = {"CUM_SUM": F.sum, "CUM_MAX": F.max, "CUM_MIN": F.min}
 GROUPED = ("SUM", "COUNT", "AVG", "MAX", "MIN", "MEDIAN", "MODE", "NUNIQUE", "STDDEV", "VAR", "FIRST", "LAST", "JOIN_STR", "JOIN_STR_DISTINCT")
 
 # Groups above this many rows are split over tasks.
@@ -93,7 +94,7 @@ def windows(df: DataFrame, calcs: list[Calc], sorts: list[tuple[str, str]], part
         return df.withColumns({c.out: _plain(df, c, sorts, partitions) for c in calcs})
     order = within_groups(with_tiebreak(df, sorts), partitions)
     near = [c for c in calcs if c.calc in ("LEAD", "LAG")]
-    scans = [c for c in calcs if c.calc in ("ROW_NUM", "NTILE", "CUM_SUM", "FILL_DOWN")]
+    scans = [c for c in calcs if c.calc in ("ROW_NUM", "NTILE", "FILL_DOWN", *RUNNING)]
     if near:
         scans = [*scans, Calc("__rn", "ROW_NUM")]
     out = _scan(df, scans, order, sorts, partitions) if scans else df
@@ -110,7 +111,7 @@ def _checked(df: DataFrame, c: Calc, sorts: list[Sort]) -> Calc:
         raise ValueError(f"unknown calculation {c.calc!r}")
     if not sorts:
         raise ValueError(f"{c.calc} needs a sort")
-    if c.field is None and c.calc in ("LEAD", "LAG", "FILL_DOWN", "CUM_SUM"):
+    if c.field is None and c.calc in ("LEAD", "LAG", "FILL_DOWN", *RUNNING):
         raise ValueError(f"{c.calc} needs a field")
     if c.calc in ("LEAD", "LAG") and c.offset < 1:
         raise ValueError("offset must be positive")
@@ -137,11 +138,11 @@ def _plain(df: DataFrame, c: Calc, sorts: list[Sort], partitions: list[str]) ->
 
 
 def _so_far(c: Calc, by, order: list[Sort]) -> Column:
-    """Running sum or last value. Filling backwards runs along the flipped order: a frame that starts at
+    """Running sum, extreme or last value. Filling backwards runs along the flipped order: a frame that starts at
     its row and reads to the end of the group is read anew for every row."""
     along = flipped(order) if c.back_fill else order
     frame = by.orderBy(*sort_columns(along)).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return F.sum(ref(c.field)).over(frame) if c.calc == "CUM_SUM" else F.last(ref(c.field), ignorenulls=True).over(frame)
+    return RUNNING[c.calc](ref(c.field)).over(frame) if c.calc in RUNNING else F.last(ref(c.field), ignorenulls=True).over(frame)
 
 
 def _scan(df: DataFrame, calcs: list[Calc], order: list[Sort], sorts: list[Sort], partitions: list[str]) -> DataFrame:
@@ -157,7 +158,7 @@ def _scan(df: DataFrame, calcs: list[Calc], order: list[Sort], sorts: list[Sort]
             pick = F.min_by if c.back_fill else F.max_by
             parts[f"__part{i}"] = pick(ref(c.field), F.when(ref(c.field).isNotNull(), order_key(df, order)))
         else:
-            parts[f"__part{i}"] = F.sum(ref(c.field)) if c.calc == "CUM_SUM" else F.count(F.lit(1))
+            parts[f"__part{i}"] = RUNNING[c.calc](ref(c.field)) if c.calc in RUNNING else F.count(F.lit(1))
     carried = _carry(sliced, calcs, parts, partitions)
 
     within = W.partitionBy(*by, "__slice")
@@ -171,6 +172,8 @@ def _scan(df: DataFrame, calcs: list[Calc], order: list[Sort], sorts: list[Sort]
             values[c.out] = F.coalesce(here, before)
         elif c.calc == "CUM_SUM":
             values[c.out] = F.coalesce(here + before, here, before)
+        elif c.calc in RUNNING:
+            values[c.out] = (F.greatest if c.calc == "CUM_MAX" else F.least)(here, before)
         else:
             values[c.out] = (here + F.coalesce(before, F.lit(0))).cast("bigint")
     gone = [f"{name}{i}" for i in range(len(calcs)) for name in ("__local", "__before")]
@@ -253,7 +256,7 @@ def _carry(sliced: DataFrame, calcs: list[Calc], parts: dict[str, Column], parti
         if c.calc == "FILL_DOWN":
             before[f"__before{i}"] = F.last(ref(name), ignorenulls=True).over(later if c.back_fill else earlier)
         else:
-            before[f"__before{i}"] = F.sum(ref(name)).over(earlier)
+            before[f"__before{i}"] = RUNNING.get(c.calc, F.sum)(ref(name)).over(earlier)
     return (
         stats.withColumns({**before, "__pieces": F.count(F.lit(1)).over(W.partitionBy(*by))})
         .filter("__pieces > 1")

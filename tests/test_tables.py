@@ -552,6 +552,25 @@ def test_inequalities_with_few_results_make_few_candidates(rows, spark):
     assert monotone.dominated(monotone.on, monotone.left, monotone.right).count() == 0
 
 
+def test_rows_without_partner_form_no_pairs(spark, monkeypatch):
+    """Nearly every pair of 3,000 and 3,000 rows fits two inequalities; a row's partner is found without them."""
+    def pairs(*_):
+        raise AssertionError("pairs were formed")
+
+    monkeypatch.setattr(joins._Sides, "dominated", pairs)
+    monkeypatch.setattr(joins._Sides, "binned", pairs)
+    left = spark.range(3000).selectExpr("id AS i", "id % 50 AS a", "CAST(id AS double) AS b")
+    right = spark.range(3000).selectExpr("id AS j", "id % 50 AS c", "id + 0.5BD AS d")
+    for on, alone in (
+        ([On("a", "le", "c"), On("b", "lt", "d")], []),
+        ([On("a", "lt", "c"), On("b", "lt", "d")], [i for i in range(3000) if not any(j % 50 > i % 50 for j in range(i, 3000))]),
+        ([On("a", "gt", "c"), On("b", "ge", "d")], [i for i in range(3000) if not any(j % 50 < i % 50 for j in range(i))]),
+        ([On("b", "ge", "j"), On("b", "le", "d")], []),
+    ):
+        assert sorted(r[0] for r in joins.anti(left, right, on).select("i").collect()) == alone
+        assert joins.semi(left, right, on).count() == 3000 - len(alone)
+
+
 @pytest.mark.parametrize("block", [50_000, 12])
 @pytest.mark.parametrize("direction", ["nearest", "backward", "forward"])
 def test_nearest_once_equals_sequential_greedy(rows, monkeypatch, direction, block):
