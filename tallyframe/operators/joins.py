@@ -28,6 +28,8 @@ EQUALITY, THETA, TEXT = ("eq",), ("ne", "gt", "ge", "lt", "le"), ("contains", "i
 COMPARABLE = {"integer": "number", "datetime": "date"}
 # Characters of the piece of a searched text that is looked up as a key.
 PROBE = 8
+# Parts that are looked for in every text, and pieces that are sent to every task.
+FEW_PARTS, FEW_PROBES = 256, 100_000
 # Exponents of the narrowest and the widest bin of an interval join; a longer interval meets every point.
 MIN_LEVEL, MAX_LEVEL = -20, 1000
 # Bins are numbered up to here; what lies beyond is in the last one.
@@ -256,15 +258,14 @@ class _Sides:
             return frame, condition
         first = text[0]
         lvalues, rvalues = self.left.select(first.left), self.right.select(first.right)
+        plain, hashed = lambda name: F.col(name).cast("string"), lambda name: F.xxhash64(F.col(name).cast("string"))
         if first.op == "contains":
-            pairs = contained_pairs(lvalues, rvalues).toDF("__lv", "__rv")
+            pairs, lkey, rkey = _contained(lvalues, rvalues).toDF("__lv", "__rv"), hashed, plain
         else:
-            pairs = contained_pairs(rvalues, lvalues).toDF("__rv", "__lv")
-        own, other, key, partner = (
-            (first.right, first.left, "__rv", "__lv") if side == "right" else (first.left, first.right, "__lv", "__rv")
-        )
-        widened = frame.join(pairs, F.col(own).cast("string") == F.col(key)).drop(key)
-        return widened, (F.col(other).cast("string") == F.col(partner)) & condition
+            pairs, lkey, rkey = _contained(rvalues, lvalues).toDF("__rv", "__lv"), plain, hashed
+        if side == "right":
+            return frame.join(pairs, rkey(first.right) == F.col("__rv")).drop("__rv"), (lkey(first.left) == F.col("__lv")) & condition
+        return frame.join(pairs, lkey(first.left) == F.col("__lv")).drop("__lv"), (rkey(first.right) == F.col("__rv")) & condition
 
     def inner(self, conditions: list[On]) -> DataFrame:
         if way := self.without_equality(conditions):
@@ -367,31 +368,45 @@ def anti(left: DataFrame, right: DataFrame, on: list[On], null_safe: bool = Fals
 
 
 def contained_pairs(wholes: DataFrame, parts: DataFrame) -> DataFrame:
-    """Distinct (whole, part) text pairs where the part occurs in the whole.
+    """Distinct (whole, part) text pairs where the part occurs in the whole."""
+    wholes = wholes.select(F.col(f"`{wholes.columns[0]}`").cast("string").alias("whole")).distinct()
+    pairs = _contained(wholes, parts)
+    return wholes.join(pairs, (F.xxhash64("whole") == F.col("hash")) & F.contains("whole", "part")).select("whole", "part")
+
+
+def _contained(wholes: DataFrame, parts: DataFrame) -> DataFrame:
+    """Distinct (hash of a whole, part) pairs; texts that share a hash have each other's, so a join on it tests them again.
 
-    All substrings of ``PROBE`` characters of the wholes are counted, and a part is looked up by the
-    one of its own that fewest wholes have; a shorter part by itself. So texts that all begin alike
-    are told apart by what they differ in, and candidates grow with the rarest piece's wholes.
+    Up to ``FEW_PARTS`` parts are looked for in every whole where it is read. Of more, pieces of ``PROBE``
+    characters that wholes and parts share are counted, and a part is looked up by the one of its own that
+    occurs most rarely; a shorter part by itself. So texts that all begin alike are told apart by what they
+    differ in, and candidates grow with the rarest piece's wholes. Wholes are moved as hashes, and
+    their text once for each candidate's rows, never once for each piece.
     """
-    wholes = wholes.select(F.col(f"`{wholes.columns[0]}`").cast("string").alias("whole")).distinct()
+    wholes = wholes.select(F.col(f"`{wholes.columns[0]}`").cast("string").alias("whole")).select(F.xxhash64("whole").alias("hash"), "whole")
     parts = parts.select(F.col(f"`{parts.columns[0]}`").cast("string").alias("part")).filter(F.trim("part") != "").distinct()
+    if parts.limit(FEW_PARTS + 1).count() <= FEW_PARTS:
+        listed = wholes.withColumn("parts", parts.agg(F.collect_list("part")).scalar())
+        return listed.select("hash", F.explode(F.filter("parts", lambda p: F.contains("whole", p))).alias("part")).distinct()
     sized = parts.withColumn("size", F.least(F.length("part"), F.lit(PROBE)))
     # at most PROBE different sizes
     sizes = sorted(r[0] for r in sized.select("size").distinct().collect())
-    if not sizes:
-        return wholes.join(parts, F.lit(False))
 
-    def pieces(df: DataFrame, text: str, size: int) -> DataFrame:
-        return df.select(text, F.explode(F.array_distinct(_substrings(text, size))).alias("probe"))
+    def pieces(df: DataFrame, text: str, key: str, size: int) -> DataFrame:
+        return df.select(key, F.explode(F.array_distinct(_substrings(text, size))).alias("probe"))
+
+    spread = reduce(DataFrame.unionByName, [pieces(wholes, "whole", "hash", n) for n in sizes])
+    asked = cut_lineage(reduce(DataFrame.unionByName, [pieces(sized.filter(F.col("size") == n), "part", "part", n) for n in sizes]))
+
+    def with_one_of(probes: DataFrame) -> DataFrame:
+        return spread.join(F.broadcast(probes) if probes.count() <= FEW_PROBES else probes, "probe", "left_semi")
 
-    spread = reduce(DataFrame.unionByName, [pieces(wholes, "whole", n) for n in sizes])
-    asked = reduce(DataFrame.unionByName, [pieces(sized.filter(F.col("size") == n), "part", n) for n in sizes])
-    spread = cut_lineage(spread.join(asked.select("probe").distinct(), "probe", "left_semi"))
-    counts = spread.groupBy("probe").agg(F.count(F.lit(1)).alias("n"))
+    counts = with_one_of(asked.select("probe").distinct()).groupBy("probe").agg(F.count(F.lit(1)).alias("n"))
     # a piece that no whole has rules its part out
     rarest = asked.join(counts, "probe", "left").groupBy("part").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "probe")).alias("r"))
-    chosen = rarest.filter("r.n > 0").select("part", "r.probe")
-    return spread.join(chosen, "probe").filter(F.contains("whole", "part")).select("whole", "part")
+    chosen = cut_lineage(rarest.filter("r.n > 0").select("part", "r.probe"))
+    found = with_one_of(chosen.select("probe").distinct()).join(chosen, "probe").select("hash", "part")
+    return wholes.join(found, "hash").filter(F.contains("whole", "part")).select("hash", "part").distinct()
 
 
 def _substrings(name: str, size: int) -> Column:

@@ -704,3 +704,20 @@ def test_containment_with_one_shared_beginning(rows):
     got = joins.contained_pairs(left, right)
     want = {(w, p) for w in [*texts, "short x"] for p in [f"invoice {i:05d}" for i in range(0, 400, 2)] + ["x", "t x"] if p in w}
     assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
+
+
+@pytest.mark.parametrize("few", [(256, 100_000), (0, 100_000), (0, 0)])
+def test_containment_moves_no_text_for_each_piece(rows, monkeypatch, few):
+    written, cut = [], joins.cut_lineage
+    monkeypatch.setattr(joins, "FEW_PARTS", few[0])
+    monkeypatch.setattr(joins, "FEW_PROBES", few[1])
+    monkeypatch.setattr(joins, "cut_lineage", lambda df: written.append(df.columns) or cut(df))
+    texts = [f"order {i:04d} of the year, item {i % 7} of a long list" for i in range(300)]
+    parts = [f"order {i:04d}" for i in range(0, 300, 3)] + ["item 3 of", "year", "none of these", " "]
+    left, right = rows([(t,) for t in [*texts, texts[0], None]], "t string"), rows([(p,) for p in [*parts, None]], "p string")
+    want = sorted((t, p) for t in [*texts, texts[0]] for p in parts if p.strip() and p in t)
+    assert sorted(map(tuple, joins.blend(left, right, [On("t", "contains", "p")]).collect())) == want
+    forks = joins.blend_forks(right, left, [On("p", "is_part_of", "t")])
+    assert sorted(map(tuple, forks.matched.select("t", "p").collect())) == want
+    assert {r[0] for r in forks.left_only.collect()} == {"none of these", " ", None} and [r[0] for r in forks.right_only.collect()] == [None]
+    assert not any("whole" in columns for columns in written)
