@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import by_merge, cut_lineage
 from ..types import column_type, ref, resolve
 from .joins import output_names
 
@@ -103,9 +103,9 @@ def _rare_grams(keyed: DataFrame, other: DataFrame, width: int) -> DataFrame:
 
     own = grams(keyed)
     rarity = own.unionByName(grams(other)).groupBy("key", "gram").agg(F.count(F.lit(1)).alias("n"))
-    ordered = own.join(rarity, ["key", "gram"]).groupBy("key", "text").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"))
+    ordered = by_merge(own).join(by_merge(rarity), ["key", "gram"]).groupBy("key", "text").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"))
     needed = width * F.col("key.edits") + 1
-    full = keyed.join(ordered, ["key", "text"], "left").withColumn("needed", needed)
+    full = by_merge(keyed).join(by_merge(ordered), ["key", "text"], "left").withColumn("needed", needed)
     empty = F.array().cast("array<string>")
     rare = F.coalesce(F.transform(F.slice("grams", F.lit(1), F.col("needed")), lambda g: g["gram"]), empty)
     short = F.coalesce(F.size("grams"), F.lit(0)) < F.col("needed")
@@ -120,10 +120,10 @@ def _longest_run(threshold: float, shortest: int) -> int:
 
 def _rare_runs(texts: DataFrame, rarity: DataFrame, runs: DataFrame, width: int, threshold: float) -> DataFrame:
     """(id, n, run, at): of each text its rarest runs with their places, all places of the last run that counts."""
-    ordered = runs.join(rarity, "run").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("often", "run", "at"))).alias("runs"))
+    ordered = by_merge(runs).join(by_merge(rarity), "run").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("often", "run", "at"))).alias("runs"))
     n = F.length("text").cast("int")
     needed = width * _edits(F.floor(n / F.lit(threshold) + 1e-9), threshold) + 1
-    full = texts.join(ordered, "id").select("id", n.alias("n"), "runs", F.get("runs", F.least(needed, F.size("runs")) - 1)["run"].alias("last"), needed.alias("needed"))
+    full = by_merge(texts).join(by_merge(ordered), "id").select("id", n.alias("n"), "runs", F.get("runs", F.least(needed, F.size("runs")) - 1)["run"].alias("last"), needed.alias("needed"))
     kept = F.filter("runs", lambda r, i: (i < F.col("needed")) | (r["run"] == F.col("last")))
     return full.select("id", "n", F.explode(kept).alias("r")).select("id", "n", "r.run", "r.at")
 
@@ -145,9 +145,9 @@ def _long_pairs(ltexts: DataFrame, rtexts: DataFrame, threshold: float) -> DataF
     longer = F.greatest("ln", "rn")
     edits = _edits(longer, threshold)
     near = (F.abs(F.col("lat") - F.col("rat")) <= edits) & (F.abs(F.col("ln") - F.col("rn")) <= edits) & (longer > LONG)
-    pairs = l.join(r, ["run", "level"]).filter(near).select("lid", "rid").distinct()
+    pairs = by_merge(l).join(by_merge(r), ["run", "level"]).filter(near).select("lid", "rid").distinct()
     named = [side.select(F.col("id").alias(f"{s}id"), F.col("text").alias(f"{s}text")) for s, side in zip("lr", sides)]
-    return pairs.join(named[0], "lid").join(named[1], "rid").select("ltext", "rtext")
+    return by_merge(by_merge(pairs).join(by_merge(named[0]), "lid")).join(by_merge(named[1]), "rid").select("ltext", "rtext")
 
 
 def similar_texts(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -162,7 +162,7 @@ def similar_texts(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     # the distance is worked out as far as the edits allow, else it is -1
     scored = candidates.withColumn("most", edits).withColumn("d", F.expr("levenshtein(ltext, rtext, most)")).filter("d >= 0")
     ltexts, rtexts = every[0].toDF("ltext"), every[1].toDF("rtext")
-    equal = ltexts.join(rtexts, F.col("ltext") == F.col("rtext")).withColumn("score", F.lit(1.0))
+    equal = by_merge(ltexts).join(by_merge(rtexts), F.col("ltext") == F.col("rtext")).withColumn("score", F.lit(1.0))
     return scored.select("ltext", "rtext", (1 - F.col("d") / longer).alias("score")).unionByName(equal)
 
 
@@ -174,14 +174,15 @@ def _short_pairs(ltexts: DataFrame, rtexts: DataFrame, threshold: float) -> Data
     rkeys = cut_lineage(rtexts.select("text", F.explode(_own_segments(threshold)).alias("key")))
 
     sizes = [keys.groupBy("key").agg(F.count(F.lit(1)).alias(n)) for keys, n in ((lkeys, "ln"), (rkeys, "rn"))]
-    busy = cut_lineage(sizes[0].join(sizes[1], "key").filter(F.col("ln") * F.col("rn") > BUSY_PAIRS).select("key"))
+    busy = cut_lineage(by_merge(sizes[0]).join(by_merge(sizes[1]), "key").filter(F.col("ln") * F.col("rn") > BUSY_PAIRS).select("key"))
 
     def pairs(l: DataFrame, r: DataFrame, on: list[str]) -> DataFrame:
-        return l.withColumnRenamed("text", "ltext").join(r.withColumnRenamed("text", "rtext"), on).select("ltext", "rtext")
+        return by_merge(l.withColumnRenamed("text", "ltext")).join(by_merge(r.withColumnRenamed("text", "rtext")), on).select("ltext", "rtext")
 
     if busy.isEmpty():
         found = pairs(lkeys, rkeys, ["key"])
     else:
+        busy = by_merge(busy)
         calm = pairs(lkeys.join(busy, "key", "left_anti"), rkeys, ["key"])
         lbusy, rbusy = lkeys.join(busy, "key", "left_semi"), rkeys.join(busy, "key", "left_semi")
         refined = pairs(_rare_grams(lbusy, rbusy, width), _rare_grams(rbusy, lbusy, width), ["key", "gram"])
@@ -201,7 +202,7 @@ def fuzzy_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     texts = [rows.select(c).filter(F.col(c) != "") for rows, c in ((lrows, "__ltext"), (rrows, "__rtext"))]
     pairs = similar_texts(*texts, threshold).toDF("__lt", "__rt", score)
     return (
-        lrows.join(pairs, F.col("__ltext") == F.col("__lt"))
-        .join(rrows, F.col("__rt") == F.col("__rtext"))
+        by_merge(by_merge(lrows).join(by_merge(pairs), F.col("__ltext") == F.col("__lt")))
+        .join(by_merge(rrows), F.col("__rt") == F.col("__rtext"))
         .select(*[ref(c) for c in left.columns], *[ref(c) for c in names], ref(score))
     )

@@ -721,3 +721,17 @@ def test_containment_moves_no_text_for_each_piece(rows, monkeypatch, few):
     assert sorted(map(tuple, forks.matched.select("t", "p").collect())) == want
     assert {r[0] for r in forks.left_only.collect()} == {"none of these", " ", None} and [r[0] for r in forks.right_only.collect()] == [None]
     assert not any("whole" in columns for columns in written)
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.6])
+def test_fuzzy_match_broadcasts_no_keys(rows, monkeypatch, threshold):
+    """Keys are many times the table they come from, which is what Spark estimates them by."""
+    monkeypatch.setattr(fuzzy, "BUSY_PAIRS", 2)
+    written, cut = [], fuzzy.cut_lineage
+    monkeypatch.setattr(fuzzy, "cut_lineage", lambda df: written.append(df) or cut(df))
+    names = ["Acme Corp", "Acme Korp", "Acme Corp of the north and of the south and of the east", "Zeta", "Acme Corp of the north and of the south and of the eats"]
+    left, right = rows([(n,) for n in names], "name string"), rows([(n, i) for i, n in enumerate(names)], "typed string, n int")
+    out = fuzzy.fuzzy_match(left, right, "name", "typed", threshold)
+    assert out.count() == 9
+    for df in [*written, out]:
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
