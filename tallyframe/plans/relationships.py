@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import key_text, regex_extract
-from ..session import cut_lineage
+from ..session import by_merge, cut_lineage
 from .profile import IDENTIFIER_NAME, KEY_MINIMUM, KEY_NAME, MEASURE_NAME, key_score, long_form
 
 
@@ -78,7 +78,8 @@ def join_candidates(tables: dict[str, DataFrame]) -> DataFrame:
     eligible = facts.withColumn("again", named_again).filter("key_like OR again").select("t", "name")
     spelled = F.array(*[F.struct(F.lit(s).alias("strategy"), c.alias("spelling")) for s, c in _spellings().items()])
     keys = cut_lineage(
-        values.join(eligible, ["t", "name"], "left_semi")
+        # a row for each column; joined by a shuffle, all values of a column would meet in one task
+        values.join(F.broadcast(eligible), ["t", "name"], "left_semi")
         .select("t", "name", F.explode(spelled).alias("s"))
         .select("t", "name", "s.strategy", "s.spelling")
         .filter("spelling != ''")
@@ -87,7 +88,7 @@ def join_candidates(tables: dict[str, DataFrame]) -> DataFrame:
     sizes_by_column = keys.groupBy("t", "name", "strategy").agg(F.count(F.lit(1)).alias("size"))
     # a spelling is held by at most as many columns as the tables have, however often it occurs
     other = keys.select(F.col("t").alias("rt"), F.col("name").alias("rn"), F.col("strategy").alias("rs"), F.col("spelling").alias("rv"))
-    shared = keys.join(other, (F.col("spelling") == F.col("rv")) & (F.col("strategy") == F.col("rs")) & (F.col("t") < F.col("rt")))
+    shared = by_merge(keys).join(by_merge(other), (F.col("spelling") == F.col("rv")) & (F.col("strategy") == F.col("rs")) & (F.col("t") < F.col("rt")))
     overlaps = shared.groupBy("strategy", F.col("t").alias("lt"), F.col("name").alias("ln"), "rt", "rn").agg(F.count(F.lit(1)).alias("overlap"))
 
     def side(prefix: str) -> DataFrame:

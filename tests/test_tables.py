@@ -16,7 +16,7 @@ from tallyframe.operators.hierarchy import hierarchy
 from tallyframe.operators.joins import On
 from tallyframe.operators.timeseries import time_series
 from tallyframe.operators.windows import window
-from tallyframe.plans import compare, reconcile as rec
+from tallyframe.plans import compare, reconcile as rec, relationships
 from tallyframe.plans.reconcile import Settings, Side
 
 
@@ -735,3 +735,21 @@ def test_fuzzy_match_broadcasts_no_keys(rows, monkeypatch, threshold):
     assert out.count() == 9
     for df in [*written, out]:
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_join_candidates_deal_values_not_columns(rows, spark, monkeypatch):
+    """No shuffle brings all values of a column to one task, and no spellings are broadcast."""
+    written, cut = [], relationships.cut_lineage
+    monkeypatch.setattr(relationships, "cut_lineage", lambda df: written.append(df) or cut(df))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    left, right = rows([(i, f"C#{i:05d}") for i in range(50)], "`Customer ID` int, `Ref ID` string"), rows([(i % 40, 5) for i in range(60)], "`Customer ID` int, n int")
+    assert relationships.join_candidates({"a": left, "b": right}).count() == 1
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in written if "spelling" in df.columns]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        written.clear()
+        relationships.join_candidates({"a": left, "b": right})
+        plans += [df._jdf.queryExecution().executedPlan().toString() for df in written if "spelling" in df.columns]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(plans) == 2 and not any("SortMergeJoin" in plan for plan in plans)
