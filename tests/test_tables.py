@@ -753,3 +753,17 @@ def test_join_candidates_deal_values_not_columns(rows, spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert len(plans) == 2 and not any("SortMergeJoin" in plan for plan in plans)
+
+
+def test_tune_bounds_what_a_task_gets(spark):
+    """Spark's own 64 MB a task become 16; a session's other choice stays."""
+    from tallyframe.session import ADVISORY, tune
+
+    kept = spark.conf.get(ADVISORY)
+    try:
+        spark.conf.unset(ADVISORY)
+        assert tune(spark).conf.get(ADVISORY) == "16m"
+        spark.conf.set(ADVISORY, "8m")
+        assert tune(spark).conf.get(ADVISORY) == "8m"
+    finally:
+        spark.conf.set(ADVISORY, kept)
