@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import by_merge, cut_lineage
 from ..types import column_type, orderable, ref, resolve
 from .shape import reject_duplicates
 
@@ -158,6 +158,7 @@ class _Sides:
         places = [F.struct(F.lit(n).alias("__level"), (place(at / 2.0**n) if n < MAX_LEVEL else spread).alias("__bin")) for n in levels]
         points = points.withColumn("__place", F.explode(F.array(*places) if places else F.array().cast("array<struct<__level:int,__bin:bigint>>"))).select("*", "__place.*").drop("__place")
         left, right = (points, intervals) if side == "left" else (intervals, points)
+        left, right = _dealt(left, right, ["__level", "__bin"], ["__level", "__bin"])
         joined = left.join(right, (left["__level"] == right["__level"]) & (left["__bin"] == right["__bin"]) & self.all_of(conditions))
         return joined.drop("__level", "__bin")
 
@@ -216,6 +217,7 @@ class _Sides:
         extra = ["__v0", "__v1", "__b0", "__b1"]
         lower, upper = lower.drop(*extra, "__own", "__parts", "__skip"), upper.drop(*extra)
         lower, upper = (df.select("*", F.col("__at.level").alias("__level"), F.col("__at.node").alias("__node")).drop("__at") for df in (lower, upper))
+        lower, upper = _dealt(lower, upper, ["__level", "__node", "__part"], ["__level", "__node", "__part"])
         meet = (lower["__level"] == upper["__level"]) & (lower["__node"] == upper["__node"]) & (lower["__part"] == upper["__part"])
         return lower.join(upper, meet & self.all_of(conditions)).drop("__level", "__node", "__part")
 
@@ -494,10 +496,21 @@ def tolerance_join(
     l = lambda name: F.col(f"__l{sides.left_names.index(resolve(left, name))}")
     r = lambda name: F.col(f"__r{sides.right_names.index(resolve(right, name))}")
     condition = reduce(lambda a, b: a & b, [sides.all_of(sides.on), *[test(l, r) for test in residual]])
-    joined = _named(sides, sides.left.join(sides.right, condition), True)
+    dealt = _dealt(sides.left, sides.right, [c.left for c in sides.on], [c.right for c in sides.on])
+    joined = _named(sides, dealt[0].join(dealt[1], condition), True)
     return joined.drop(*[f"__b{i}" for i in range(len(buckets))])
 
 
+def _dealt(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join whose pairs may be many times its rows, over all shuffle partitions.
+
+    Small sides would else be merged into a few tasks, or sent to the one task that reads the other side's
+    only file, and these would form all the pairs.
+    """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return by_merge(left.repartition(parts, *lkeys)), by_merge(right.repartition(parts, *rkeys))
+
+
 def _bucket(amount: Column, width: int) -> Column:
     """Number of the interval of so many millionths that an amount lies in; decimals only where 64 bits don't hold it."""
     exact = amount.cast("decimal(38,6)")

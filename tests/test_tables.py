@@ -767,3 +767,16 @@ def test_tune_bounds_what_a_task_gets(spark):
         assert tune(spark).conf.get(ADVISORY) == "8m"
     finally:
         spark.conf.set(ADVISORY, kept)
+
+
+def test_pairs_of_small_tables_form_in_many_tasks(spark):
+    """Two tables of one file each: the join's pairs are dealt over all shuffle partitions."""
+    left = spark.range(0, 2000, 1, 1).selectExpr("id AS i", "CAST(id AS double) AS a", "id % 50 AS b")
+    right = spark.range(0, 2000, 1, 1).selectExpr("id AS j", "CAST(id AS double) AS c", "c + id % 7 AS hi", "id % 50 AS d")
+    found = {
+        "tolerance": joins.tolerance_join(left, right, amount=("a", "c", 3)),
+        "interval": joins.blend(left, right, [On("a", "ge", "c"), On("a", "le", "hi")]),
+        "inequalities": joins.blend(left, right, [On("a", "ge", "c"), On("b", "lt", "d")]),
+    }
+    for name, df in found.items():
+        assert df.select(F.spark_partition_id()).distinct().count() > 1, name
