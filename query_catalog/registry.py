@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.session import tune
+from tallyframe.session import deal_by_input, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,10 +17,15 @@ class Tables:
     """The driver's tables by name."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = tune(spark), folder
+        self.spark, self.folder, self.paths = tune(spark), folder, set()
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        table = self.spark.read.parquet(path)
+        if path not in self.paths:
+            self.paths.add(path)
+            deal_by_input(self.spark, self.paths)
+        return table
 
 
 def query(sql: str | None = None):

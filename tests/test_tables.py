@@ -755,6 +755,32 @@ def test_join_candidates_deal_values_not_columns(rows, spark, monkeypatch):
     assert len(plans) == 2 and not any("SortMergeJoin" in plan for plan in plans)
 
 
+def test_shuffles_have_partitions_by_input(spark, tmp_path, monkeypatch):
+    """Twice the files, twice the partitions a shuffle starts with; a larger number of the session stays."""
+    from query_catalog.registry import Tables
+    from tallyframe import session
+
+    path = f"{tmp_path}/orders.parquet"
+    spark.range(40_000).select(F.rand(1).alias("x")).coalesce(1).write.parquet(path)
+    once = sum(p.stat().st_size for p in tmp_path.glob("orders.parquet/*.parquet"))
+    monkeypatch.setattr(session, "INPUT_BYTES", once // 50)
+    kept = spark.conf.get(session.INITIAL, None)
+    try:
+        spark.conf.unset(session.INITIAL)
+        grouped = Tables(spark, str(tmp_path)).orders.groupBy("x").count()
+        first = int(spark.conf.get(session.INITIAL))
+        assert 50 <= first <= 52
+        assert "hashpartitioning(x#" in (plan := grouped._jdf.queryExecution().executedPlan().toString()) and f", {first})" in plan
+        spark.range(40_000).select(F.rand(2).alias("x")).coalesce(1).write.mode("append").parquet(path)
+        Tables(spark, str(tmp_path)).orders  # noqa: B018
+        assert 2 * 50 <= int(spark.conf.get(session.INITIAL)) <= 2 * 52
+        spark.conf.set(session.INITIAL, "1000")
+        Tables(spark, str(tmp_path)).orders  # noqa: B018
+        assert spark.conf.get(session.INITIAL) == "1000"
+    finally:
+        spark.conf.set(session.INITIAL, kept) if kept else spark.conf.unset(session.INITIAL)
+
+
 def test_tune_bounds_what_a_task_gets(spark):
     """Spark's own 64 MB a task become 16; a session's other choice stays."""
     from tallyframe.session import ADVISORY, tune
