@@ -147,11 +147,11 @@ def _link_cells(a: DataFrame, b: DataFrame, keys: list[str], units: int, days: i
     of the largest cell.
     """
     link = [*keys, "a_day", "a_units", "b_day", "b_units"]
-    zero = F.lit(0).cast("bigint")
-    # equal cells first: one row per cell with the lines of either side
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    # equal cells first: one row per cell with the lines of either side, in one aggregate for both
     sides = [
-        cells.select(*keys, "day", "units", *[(F.col("n") if s == t else zero).alias(f"{t}_n") for t in ("a", "b")])
-        for s, cells in (("a", a), ("b", b))
+        lines.select(*keys, "day", "units", *[(one if s == t else zero).alias(f"{t}_n") for t in ("a", "b")])
+        for s, lines in (("a", a), ("b", b))
     ]
     both = sides[0].unionByName(sides[1]).groupBy(*keys, "day", "units").agg(F.sum("a_n").alias("a_n"), F.sum("b_n").alias("b_n"))
     both = cut_lineage(both.withColumn("m", F.least("a_n", "b_n")))
@@ -238,9 +238,8 @@ def match_lines(a: DataFrame, b: DataFrame, a_side: Side, b_side: Side, settings
     keys = [f"k{i}" for i in range(len(a_side.keys))]
     wide = _wide(a, a_side) or _wide(b, b_side)
     sides = [_lines(df, side, neg, holidays, wide) for df, side, neg in ((a, a_side, False), (b, b_side, negate_b))]
-    cells = [lines.groupBy(*keys, "day", "units").agg(F.count(F.lit(1)).alias("n")) for lines in sides]
     tolerance = round(settings.amount_tolerance * UNITS)
-    links, largest = _link_cells(*cells, keys, tolerance, settings.date_tolerance)
+    links, largest = _link_cells(*sides, keys, tolerance, settings.date_tolerance)
     link = [*keys, "a_day", "a_units", "b_day", "b_units"]
 
     def placed(lines: DataFrame, s: str) -> DataFrame:

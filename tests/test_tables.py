@@ -781,6 +781,25 @@ def test_shuffles_have_partitions_by_input(spark, tmp_path, monkeypatch):
         spark.conf.set(session.INITIAL, kept) if kept else spark.conf.unset(session.INITIAL)
 
 
+def test_cells_of_both_sides_take_one_aggregate(rows, monkeypatch):
+    """A task that holds the cells of a ledger holds them once."""
+    schema = "id long, day date, amount double"
+    a = rows([(1, dt.date(2024, 1, 1), 5.0), (2, dt.date(2024, 1, 1), 5.0), (3, dt.date(2024, 1, 2), 7.0)], schema)
+    b = rows([(9, dt.date(2024, 1, 1), 5.0), (8, dt.date(2024, 1, 2), 8.0)], schema)
+    plans = []
+    cut = rec.cut_lineage
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(rec, "cut_lineage", seen)
+    side = Side("id", "day", "amount", [])
+    pairs = rec.match_lines(a, b, side, side, Settings(0, 0, 0))
+    assert [tuple(r)[:2] for r in pairs.collect()] == [(1, 9)]
+    assert plans[0].count("Aggregate [") == 1
+
+
 def test_tune_bounds_what_a_task_gets(spark):
     """Spark's own 64 MB a task become 16; a session's other choice stays."""
     from tallyframe.session import ADVISORY, tune
