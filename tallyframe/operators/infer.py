@@ -1,11 +1,14 @@
 """Row-wise scoring, document extraction and service calls through pluggable functions.
 
 Prompts and requests are built by Spark expressions; only the given function runs in Python, on
-Arrow batches, next to the data.
+Arrow batches, next to the data. Before every batch the garbage collector runs: accessors such as
+``Series.str`` refer back to their series, so a batch outlives its last use until then, and the
+collector by itself counts objects, not bytes, and hardly ever runs among texts.
 """
 
 from __future__ import annotations
 
+import gc
 import re
 import time
 from collections.abc import Callable, Iterator
@@ -45,7 +48,12 @@ def infer(
 ) -> DataFrame:
     """One answer per row. With ``row_limit``, only the first rows by ``order`` are scored and the
     others get null; rows tied on ``order`` come in the order of the remaining columns."""
-    answer = F.pandas_udf(scorer, "string")
+
+    @F.pandas_udf("string")
+    def answer(prompts: pd.Series) -> pd.Series:
+        gc.collect()
+        return scorer(prompts)
+
     prompted = df.withColumn("__prompt", render(df, template))
     if row_limit is None:
         return prompted.withColumn(out, answer("__prompt")).drop("__prompt")
@@ -68,6 +76,7 @@ def extract_documents(df: DataFrame, extractor: Callable[[pd.DataFrame], pd.Data
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            gc.collect()
             yield extractor(batch)
 
     return df.mapInPandas(run, schema)

@@ -672,6 +672,32 @@ def test_expand_beyond_the_broadcast_limit(rows, monkeypatch):
     assert values(beyond, "a", "b") == want and beyond.schema == joins.expand(main, small).schema
 
 
+def test_infer_and_extract_free_every_batch(spark, rows):
+    """A batch is gone before the next but one, even where an accessor refers back to it."""
+    import weakref
+
+    seen = []
+
+    def kept(values):
+        values.str.len()  # the accessor stays on the series, and the series on the accessor
+        alive = sum(r() is not None for r in seen)
+        seen.append(weakref.ref(values))
+        return alive
+
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "10")
+    try:
+        df = rows([(str(i),) for i in range(200)], "t string").coalesce(1)
+        scored = inf.infer(df, "{{t}}", lambda s: s.map({}).fillna(str(kept(s)))).collect()
+        found = inf.extract_documents(df, lambda d: d.assign(t=str(kept(d["t"]))), "t string").collect()
+    finally:
+        spark.conf.set(size, before)
+    assert len(scored) == len(found) == 200
+    assert max(int(r["AI Answer"]) for r in scored) <= 1
+    assert max(int(r["t"]) for r in found) <= 1
+
+
 def test_infer_scores_every_row_once(rows):
     df = rows([(i, i % 2) for i in range(12)], "i int, k int")
     out = inf.infer(df, "{{i}}", lambda s: s, row_limit=5, order=[("k", "asc")])
