@@ -290,7 +290,10 @@ def reconcile(a: DataFrame, b: DataFrame, a_side: Side, b_side: Side, settings:
         pairs = pairs.unionByName(match_lines(*rest, *sides, settings, negate_b, holidays).withColumn("fx_difference", F.lit(True)))
     left = _described(a, a_side, "a", False).withColumn("__in_a", F.lit(True)).join(pairs.select(F.col("a_id").alias("__a"), F.col("b_id").alias("__b"), "day_gap", "amount_diff", "fx_difference"), F.col("a_id").eqNullSafe(F.col("__a")), "left")
     right = _described(b, b_side, "b", negate_b)
-    joined = left.join(right, F.col("__b") == F.col("b_id"), "full").drop("__a", "__b")
+    # lines of A without a partner have no id to join by: by that alone one task gets them all, and a full join's are never split
+    dealt = left.withColumn("__to", F.when(F.col("__b").isNull(), F.hash("a_id")).otherwise(F.hash("__b")))
+    met = (F.col("__b") == F.col("b_id")) & (F.col("__to") == F.col("__from"))
+    joined = dealt.join(right.withColumn("__from", F.hash("b_id")), met, "full").drop("__a", "__b", "__to", "__from")
     matched = F.col("day_gap").isNotNull()
     source = F.when(matched, "Both").when(F.col("__in_a"), "Side A").otherwise("Side B")
     # of a pair that differs by the rate, the difference of the amounts themselves

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 import statistics
+from collections import Counter
 from decimal import Decimal
 
 import numpy as np
@@ -826,6 +827,25 @@ def test_cells_of_both_sides_take_one_aggregate(rows, monkeypatch):
     assert plans[0].count("Aggregate [") == 1
 
 
+def test_lines_without_a_partner_are_dealt_out(spark):
+    """A full join's tasks are never split, and a line that matches nothing has no id of the other side to go by."""
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    kept = spark.conf.get(coalesce)
+    line = lambda ids: ids.select("id", F.lit(dt.date(2024, 1, 1)).alias("day"), (F.col("id") * 10.0).alias("amount"))
+    side, settings = Side("id", "day", "amount", ["id"]), Settings(0, 0, 1.0)
+    try:
+        spark.conf.set(coalesce, "false")
+        items = rec.reconcile(line(spark.range(4000)), line(spark.range(3900, 4100)), side, side, settings)
+        got = items.select("source", "a_id", "b_id", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set(coalesce, kept)
+    assert sorted(r.a_id for r in got if r.source == "Side A") == list(range(3900))
+    assert sorted((r.a_id, r.b_id) for r in got if r.source == "Both") == [(i, i) for i in range(3900, 4000)]
+    assert sorted(r.b_id for r in got if r.source == "Side B") == list(range(4000, 4100))
+    alone = Counter(r.task for r in got if r.source == "Side A")
+    assert max(alone.values()) < 2 * 3900 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_tune_bounds_what_a_task_gets(spark):
     """Spark's own 64 MB a task become 16; a session's other choice stays."""
     from tallyframe.session import ADVISORY, tune
