@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, first_partitions
 from ..types import ref, resolve
 from .aggregate import Agg, summarize
 from .keys import Sort, attach, check_sorts, flipped, null_safe, order_key, sort_columns, with_tiebreak, within_groups
@@ -33,7 +33,7 @@ GROUPED = ("SUM", "COUNT", "AVG", "MAX", "MIN", "MEDIAN", "MODE", "NUNIQUE", "ST
 MAX_GROUP_ROWS = 5_000_000
 # Rows per block when neighbours are looked up in the split form.
 BLOCK_ROWS = 1_000_000
-# Ranges of the split form for each shuffle partition, and sampled rows for each range.
+# Ranges of the split form for each partition a shuffle starts with, and sampled rows for each range.
 RANGES_PER_PARTITION = 4
 SAMPLE_PER_RANGE = 50
 
@@ -214,7 +214,7 @@ def _repeatable(df: DataFrame, names: list[str]) -> bool:
 
 def _slices(df: DataFrame, partitions: list[str], cuts: list[Sort]) -> DataFrame:
     """Add every row's range of (partitions, cuts): the number of borders at or below it."""
-    ranges = RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = RANGES_PER_PARTITION * first_partitions(df.sparkSession)
     key = order_key(df, [*[(p, "asc") for p in partitions], *cuts])
     bordered = df.withColumn("__borders", _borders(df, key, ranges).scalar())
 

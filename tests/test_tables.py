@@ -846,6 +846,22 @@ def test_lines_without_a_partner_are_dealt_out(spark):
     assert max(alone.values()) < 2 * 3900 / int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_split_windows_have_ranges_by_input(spark):
+    """The ranges a whole table is numbered in grow with the partitions its input calls for, not only with the session's."""
+    from tallyframe import session
+
+    kept, parts = spark.conf.get(session.INITIAL, None), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("x"))
+    try:
+        spark.conf.set(session.INITIAL, str(5 * parts))
+        wide = windows.RANGES_PER_PARTITION * 5 * parts
+        assert 0.8 * wide < windows._slices(df, [], [("x", "asc")]).agg(F.countDistinct("__slice")).first()[0] <= wide
+        numbered = window(df, "n", "ROW_NUM", sorts=[("x", "asc")]).collect()
+    finally:
+        spark.conf.set(session.INITIAL, kept) if kept else spark.conf.unset(session.INITIAL)
+    assert len(numbered) == 20_000 and all(r.n == r.x + 1 for r in numbered)
+
+
 def test_tune_bounds_what_a_task_gets(spark):
     """Spark's own 64 MB a task become 16; a session's other choice stays."""
     from tallyframe.session import ADVISORY, tune
